@@ -167,3 +167,218 @@ for _rep in ["median_price_by_room_type", "top_neighbourhoods_by_listing_count",
              "superhost_price_rating_gap"]:
     QUERIES[f"report_{_rep}"] = (lambda name: lambda spark, sf:
                                  Pipeline(spark, sf).report(name))(_rep)
+
+
+# ------------------------------------------------------------ EDA
+from staylens.functions import bands as Bd  # noqa: E402
+from staylens.operators import eda as EDA  # noqa: E402
+
+LONDON_CENTRE = (51.5080, -0.1281)
+NUMERIC_COLS = ["price_numeric", "availability_365", "number_of_reviews", "review_scores_rating",
+                "review_scores_cleanliness", "review_scores_location", "host_tenure_years",
+                "occupancy_proxy", "reviews_per_month_calc", "host_portfolio_size",
+                "host_response_rate"]
+SCORE_COLS = ["review_scores_rating", "review_scores_cleanliness", "review_scores_location",
+              "number_of_reviews", "reviews_per_month_calc"]
+
+
+def _lm(spark, sf):
+    return EDA.with_bands(Pipeline(spark, sf).master)
+
+
+def _eda(spark, sf):
+    return EDA.price_eligible(_lm(spark, sf))
+
+
+def round_doubles(df: DataFrame, n: int = 4) -> DataFrame:
+    """Round every double column (stable comparison across engines)."""
+    return df.select(*[F.round(F.col(f.name), n).alias(f.name)
+                       if f.dataType.typeName() in ("double", "float") else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def _q(name):
+    def deco(fn):
+        QUERIES[name] = lambda spark, sf: round_doubles(fn(spark, sf))
+        return fn
+    return deco
+
+
+@_q("eda_population_exclusion")
+def _(spark, sf):
+    return EDA.population_exclusion(_lm(spark, sf))
+
+
+@_q("eda_numeric_summary")
+def _(spark, sf):
+    return EDA.numeric_summary(_lm(spark, sf), NUMERIC_COLS)
+
+
+@_q("eda_price_by_room_type")
+def _(spark, sf):
+    return EDA.price_by_group(_eda(spark, sf), ["room_type"])
+
+
+@_q("eda_price_ci_by_room_type")
+def _(spark, sf):
+    return EDA.mean_ci(_eda(spark, sf), ["room_type"])
+
+
+@_q("eda_price_by_neighbourhood")
+def _(spark, sf):
+    lm = _lm(spark, sf)
+    g = EDA.price_by_group(EDA.price_eligible(lm), ["neighbourhood_cleansed"], probs=())
+    return EDA.having_floor(g, lm, "listing_count", 10, 0.001)
+
+
+@_q("eda_price_by_neighbourhood_room_type")
+def _(spark, sf):
+    lm = _lm(spark, sf)
+    g = EDA.price_by_group(EDA.price_eligible(lm), ["neighbourhood_cleansed", "room_type"], probs=())
+    return EDA.having_floor(g, lm, "listing_count", 5, 0.0005)
+
+
+@_q("eda_price_ci_by_neighbourhood_room_type")
+def _(spark, sf):
+    return EDA.mean_ci(_eda(spark, sf), ["neighbourhood_cleansed", "room_type"])
+
+
+@_q("eda_host_segment_summary")
+def _(spark, sf):
+    return EDA.segment_summary(_lm(spark, sf), "host_segment", Bd.labels(Bd.HOST_SEGMENT_BANDS))
+
+
+@_q("eda_host_tenure_summary")
+def _(spark, sf):
+    return EDA.segment_summary(_lm(spark, sf), "tenure_band", Bd.labels(Bd.TENURE_BANDS))
+
+
+@_q("eda_availability_band_summary")
+def _(spark, sf):
+    return EDA.availability_band_summary(_lm(spark, sf))
+
+
+@_q("eda_neighbourhood_density")
+def _(spark, sf):
+    return EDA.neighbourhood_density(_lm(spark, sf))
+
+
+@_q("eda_price_by_distance_band")
+def _(spark, sf):
+    return EDA.price_by_distance(_eda(spark, sf), LONDON_CENTRE)
+
+
+@_q("eda_room_type_mix")
+def _(spark, sf):
+    return EDA.room_type_mix(_lm(spark, sf))
+
+
+@_q("eda_monthly_availability")
+def _(spark, sf):
+    return EDA.monthly_availability(Pipeline(spark, sf).calendar)
+
+
+@_q("eda_weekpart_availability")
+def _(spark, sf):
+    return EDA.weekpart_availability(Pipeline(spark, sf).calendar)
+
+
+@_q("eda_minimum_nights_monthly")
+def _(spark, sf):
+    return EDA.minimum_nights_monthly(Pipeline(spark, sf).calendar)
+
+
+@_q("eda_monthly_review_volume")
+def _(spark, sf):
+    return EDA.monthly_review_volume(Pipeline(spark, sf).reviews)
+
+
+@_q("eda_temporal_summary")
+def _(spark, sf):
+    return EDA.temporal_summary(Pipeline(spark, sf).calendar)
+
+
+@_q("eda_response_rate_summary")
+def _(spark, sf):
+    return EDA.response_rate_summary(_lm(spark, sf))
+
+
+@_q("eda_correlation_matrix")
+def _(spark, sf):
+    return EDA.correlation_matrix(_lm(spark, sf), ["review_scores_rating", "review_scores_cleanliness",
+                                                   "review_scores_location", "price_numeric",
+                                                   "availability_365", "number_of_reviews"],
+                                  prefix="review_scores_")
+
+
+@_q("eda_review_score_summary")
+def _(spark, sf):
+    return EDA.score_summary(_lm(spark, sf), SCORE_COLS)
+
+
+@_q("eda_market_concentration")
+def _(spark, sf):
+    return EDA.market_concentration(_lm(spark, sf))
+
+
+@_q("eda_concentration_thresholds")
+def _(spark, sf):
+    return EDA.concentration_thresholds(_lm(spark, sf))
+
+
+@_q("eda_high_review_low_score")
+def _(spark, sf):
+    return EDA.quantile_filter(_lm(spark, sf)).select(
+        "id", "neighbourhood_cleansed", "room_type", "property_type_bucket", "price_numeric",
+        "number_of_reviews", "review_scores_rating", "review_scores_cleanliness",
+        "host_segment", "host_response_rate")
+
+
+@_q("eda_price_cap_p99")
+def _(spark, sf):
+    return EDA.percentile_cap(_eda(spark, sf), "price_numeric", 0.99).select("id", "price_numeric")
+
+
+@_q("eda_rating_by_neighbourhood_masked")
+def _(spark, sf):
+    return EDA.masked_group_median(_lm(spark, sf), "neighbourhood_cleansed", "review_scores_rating", 20)
+
+
+@_q("eda_price_by_property_bucket")
+def _(spark, sf):
+    return EDA.price_by_group(_eda(spark, sf), ["property_type_bucket"], probs=())
+
+
+@_q("eda_review_count_buckets")
+def _(spark, sf):
+    lm = _eda(spark, sf).withColumn(
+        "review_bucket", Bd.band(F.col("number_of_reviews"), Bd.REVIEW_COUNT_BUCKETS))
+    return lm.groupBy("review_bucket").agg(
+        F.count(F.lit(1)).alias("listing_count"), F.median("price_numeric").alias("median_price"),
+        F.avg("review_scores_rating").alias("mean_rating"))
+
+
+@_q("eda_city_comparison")
+def _(spark, sf):
+    return EDA.city_comparison(_lm(spark, sf))
+
+
+@_q("eda_room_type_share_by_city")
+def _(spark, sf):
+    return EDA.room_type_mix(_lm(spark, sf), group="city")
+
+
+@_q("eda_price_histogram")
+def _(spark, sf):
+    return EDA.histogram(_eda(spark, sf), "price_numeric", 60)
+
+
+@_q("eda_price_relative_to_city_median")
+def _(spark, sf):
+    return EDA.relative_to_group_median(_eda(spark, sf), "city", "price_numeric",
+                                        "price_vs_city_median").select("id", "city", "price_vs_city_median")
+
+
+@_q("eda_top_neighbourhoods_value_counts")
+def _(spark, sf):
+    return EDA.top_values(_lm(spark, sf), "neighbourhood_cleansed", 5)

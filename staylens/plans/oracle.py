@@ -370,3 +370,21 @@ SELECT m.id AS listing_key, 20240215 AS snapshot_date_key, dn.neighbourhood_key,
 FROM master m
 LEFT JOIN dim_host dh ON dh.source_host_id = m.host_id
 LEFT JOIN dim_neighbourhood dn ON dn.neighbourhood_name = m.neighbourhood_cleansed""")
+
+# ---------------------------------------------------------------- EDA base
+cte("lm", ["master"], """
+SELECT *,
+  CASE WHEN host_portfolio_size IS NULL THEN NULL WHEN host_portfolio_size <= 1 THEN 'solo'
+       WHEN host_portfolio_size <= 4 THEN 'multi' ELSE 'professional' END AS host_segment,
+  CASE WHEN availability_365 IS NULL THEN NULL
+       WHEN availability_365 <= 30 THEN 'Blocked / inactive  (0-30 d)'
+       WHEN availability_365 <= 90 THEN 'Occasional  (31-90 d)'
+       WHEN availability_365 <= 270 THEN 'Active  (91-270 d)' ELSE 'Always-on  (271-365 d)' END
+    AS avail_band,
+  CASE WHEN host_tenure_years IS NULL THEN NULL WHEN host_tenure_years <= 2 THEN 'New  (0-2 yr)'
+       WHEN host_tenure_years <= 5 THEN 'Established  (2-5 yr)'
+       WHEN host_tenure_years <= 10 THEN 'Experienced  (5-10 yr)' ELSE 'Veteran  (10+ yr)' END
+    AS tenure_band
+FROM master""")
+
+cte("eda", ["lm"], "SELECT * FROM lm WHERE price_numeric IS NOT NULL AND price_numeric >= 0")

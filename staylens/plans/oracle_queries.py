@@ -125,3 +125,221 @@ SELECT coalesce(CAST(dh.host_is_superhost AS VARCHAR), 'unknown') AS superhost_s
   round(avg(fs.host_tenure_years), 2) AS mean_host_tenure_years
 FROM fact_listing_snapshot fs JOIN dim_host dh USING (host_key)
 GROUP BY dh.host_is_superhost""")
+
+
+# ---------------------------------------------------------------- EDA
+def r4(cols):
+    return ", ".join(f"round({c}, 4) AS {c}" for c in cols)
+
+
+oracle("eda_population_exclusion", ["lm"], """
+SELECT * FROM (VALUES ('total', (SELECT count(*) FROM lm)),
+  ('missing_price', (SELECT count(*) FROM lm WHERE price_numeric IS NULL)),
+  ('negative_price', (SELECT count(*) FROM lm WHERE price_numeric < 0)),
+  ('eligible', (SELECT count(*) FROM lm WHERE price_numeric >= 0))) t(population, listing_count)""")
+
+_NUM = ["price_numeric", "availability_365", "number_of_reviews", "review_scores_rating",
+        "review_scores_cleanliness", "review_scores_location", "host_tenure_years",
+        "occupancy_proxy", "reviews_per_month_calc", "host_portfolio_size", "host_response_rate"]
+_PCT = [(1, 0.01), (5, 0.05), (25, 0.25), (50, 0.5), (75, 0.75), (95, 0.95), (99, 0.99)]
+oracle("eda_numeric_summary", ["lm"], "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}::DOUBLE), 4) AS mean,
+  round(stddev_samp({c}::DOUBLE), 4) AS std, round(min({c}::DOUBLE), 4) AS min, """
+    + ", ".join(f"round(quantile_cont({c}::DOUBLE, {p}), 4) AS p{k:02d}" for k, p in _PCT)
+    + f""", round(max({c}::DOUBLE), 4) AS max, count(*) - count({c}) AS missing_count,
+  round((count(*) - count({c})) * 100.0 / count(*), 4) AS missing_pct FROM lm""" for c in _NUM))
+
+
+def _price_group(group, src="eda", probs=(25, 75, 95)):
+    qs = "".join(f", round(quantile_cont(price_numeric, {p / 100}), 4) AS p{p}" for p in probs)
+    return (f"SELECT {group}, count(price_numeric) AS listing_count, "
+            f"round(median(price_numeric), 4) AS median_price, "
+            f"round(sum(price_numeric::DECIMAL(28,2))::DOUBLE / count(price_numeric), 4) AS mean_price"
+            f"{qs} FROM {src} GROUP BY {group}")
+
+
+oracle("eda_price_by_room_type", ["eda"], _price_group("room_type"))
+oracle("eda_price_by_neighbourhood", ["eda", "lm"],
+       f"SELECT * FROM ({_price_group('neighbourhood_cleansed', probs=())}) "
+       "WHERE listing_count >= (SELECT greatest(10, floor(0.001 * count(*))) FROM lm)")
+oracle("eda_price_by_neighbourhood_room_type", ["eda", "lm"],
+       f"SELECT * FROM ({_price_group('neighbourhood_cleansed, room_type', probs=())}) "
+       "WHERE listing_count >= (SELECT greatest(5, floor(0.0005 * count(*))) FROM lm)")
+
+
+def _segment(seg, labels):
+    arr = ", ".join(f"'{x}'" for x in labels)
+    return f"""SELECT {seg}, count(*) AS listing_count, count(DISTINCT host_id) AS unique_hosts,
+  round(median(price_numeric), 4) AS median_price, round(median(review_scores_rating), 4) AS median_rating,
+  round(median(occupancy_proxy), 4) AS median_occupancy,
+  round(median(availability_365), 4) AS median_availability,
+  round(median(host_portfolio_size), 4) AS median_portfolio,
+  round(avg(CAST(host_is_superhost AS DOUBLE)), 4) AS superhost_rate,
+  CAST(list_position([{arr}], {seg}) AS INTEGER) AS segment_rank
+FROM lm GROUP BY {seg}"""
+
+
+oracle("eda_host_segment_summary", ["lm"], _segment("host_segment", ["solo", "multi", "professional"]))
+oracle("eda_host_tenure_summary", ["lm"], _segment("tenure_band", [
+    "New  (0-2 yr)", "Established  (2-5 yr)", "Experienced  (5-10 yr)", "Veteran  (10+ yr)"]))
+oracle("eda_availability_band_summary", ["lm"], """
+SELECT b.band, b.band_rank, coalesce(a.listing_count, 0) AS listing_count,
+  round(coalesce(a.listing_count, 0) * 100.0 / (SELECT count(*) FROM lm), 4) AS share_pct,
+  a.median_price, a.median_occupancy
+FROM (VALUES ('Blocked / inactive  (0-30 d)', 1), ('Occasional  (31-90 d)', 2),
+             ('Active  (91-270 d)', 3), ('Always-on  (271-365 d)', 4)) b(band, band_rank)
+LEFT JOIN (SELECT avail_band AS band, count(*) AS listing_count,
+                  round(median(price_numeric), 4) AS median_price,
+                  round(median(occupancy_proxy), 4) AS median_occupancy
+           FROM lm GROUP BY avail_band) a USING (band)""")
+oracle("eda_neighbourhood_density", ["lm"], """
+SELECT neighbourhood_cleansed AS neighbourhood, count(*) AS listing_count,
+  count(DISTINCT host_id) AS unique_hosts, round(max(neighbourhood_density_per_km2), 4) AS listings_per_km2
+FROM lm GROUP BY neighbourhood_cleansed""")
+oracle("eda_price_by_distance_band", ["eda"], """
+SELECT dist_band, count(price_numeric) AS listing_count, round(median(price_numeric), 4) AS median_price,
+  round(sum(price_numeric::DECIMAL(28,2))::DOUBLE / count(price_numeric), 4) AS mean_price, round(quantile_cont(price_numeric, 0.75), 4) AS p75,
+  CAST(list_position(['0-2 km', '2-5 km', '5-10 km', '10-20 km', '20+ km'], dist_band) AS INTEGER) AS band_rank
+FROM (SELECT *, CASE WHEN d <= 2 THEN '0-2 km' WHEN d <= 5 THEN '2-5 km' WHEN d <= 10 THEN '5-10 km'
+                     WHEN d <= 20 THEN '10-20 km' ELSE '20+ km' END AS dist_band
+      FROM (SELECT *, 2 * 6371.0 * asin(sqrt(
+              pow(sin((radians(51.508) - radians(latitude)) / 2), 2)
+              + cos(radians(latitude)) * cos(radians(51.508))
+                * pow(sin((radians(-0.1281) - radians(longitude)) / 2), 2))) AS d
+            FROM eda WHERE latitude IS NOT NULL AND longitude IS NOT NULL))
+GROUP BY dist_band""")
+
+
+def _mix(group):
+    types = ["entire_home", "hotel_room", "private_room", "shared_room"]
+    return (f"SELECT {group}, " + ", ".join(
+        f"round(count(*) FILTER (WHERE room_type = '{t}') * 100.0 / count(*), 4) AS {t}" for t in types)
+        + f" FROM lm WHERE room_type IS NOT NULL AND {group} IS NOT NULL GROUP BY {group}")
+
+
+oracle("eda_room_type_mix", ["lm"], _mix("neighbourhood_cleansed"))
+oracle("eda_room_type_share_by_city", ["lm"], _mix("city"))
+_MONTHLY = """SELECT date_trunc('month', date) AS month, count(available) AS total_days,
+  CAST(sum(CAST(available AS INTEGER)) AS BIGINT) AS available_days,
+  count(DISTINCT listing_id) AS unique_listings,
+  round(sum(CAST(available AS INTEGER)) / count(available), 4) AS availability_rate,
+  round(1 - sum(CAST(available AS INTEGER)) / count(available), 4) AS occupancy_rate
+FROM calendar GROUP BY date_trunc('month', date)"""
+oracle("eda_monthly_availability", ["calendar"], _MONTHLY)
+oracle("eda_weekpart_availability", ["calendar"], """
+SELECT dayofweek(date) IN (0, 6) AS is_weekend, count(available) AS total_days,
+  CAST(sum(CAST(available AS INTEGER)) AS BIGINT) AS available_days,
+  count(DISTINCT listing_id) AS unique_listings,
+  round(sum(CAST(available AS INTEGER)) / count(available), 4) AS availability_rate,
+  round(1 - sum(CAST(available AS INTEGER)) / count(available), 4) AS occupancy_rate,
+  CASE WHEN dayofweek(date) IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END AS label
+FROM calendar GROUP BY dayofweek(date) IN (0, 6)""")
+_MINN = """SELECT date_trunc('month', date) AS month,
+  round(median(minimum_nights), 4) AS median_min_nights, round(avg(minimum_nights), 4) AS mean_min_nights,
+  round(avg(CAST(minimum_nights >= 28 AS INTEGER)) * 100, 4) AS pct_longstay
+FROM calendar GROUP BY date_trunc('month', date)"""
+oracle("eda_minimum_nights_monthly", ["calendar"], _MINN)
+oracle("eda_monthly_review_volume", ["reviews"], """
+SELECT date_trunc('month', date) AS month, count(id) AS review_count,
+  count(DISTINCT listing_id) AS active_listings,
+  round(count(id) / count(DISTINCT listing_id), 4) AS reviews_per_active_listing
+FROM reviews GROUP BY date_trunc('month', date)""")
+oracle("eda_temporal_summary", ["calendar"], f"""
+SELECT a.*, m.median_min_nights, m.mean_min_nights, m.pct_longstay,
+  CASE WHEN month(a.month) IN (12, 1, 2) THEN 'Winter' WHEN month(a.month) IN (3, 4, 5) THEN 'Spring'
+       WHEN month(a.month) IN (6, 7, 8) THEN 'Summer' ELSE 'Autumn' END AS season
+FROM ({_MONTHLY}) a LEFT JOIN ({_MINN}) m USING (month)""")
+oracle("eda_response_rate_summary", ["lm"], """
+SELECT response_rate_band, count(*) AS listing_count,
+  round(avg(CAST(host_is_superhost AS DOUBLE)), 4) AS superhost_rate,
+  round(median(review_scores_rating), 4) AS median_rating, round(median(price_numeric), 4) AS median_price,
+  round(median(occupancy_proxy), 4) AS median_occupancy
+FROM (SELECT *, CASE WHEN host_response_rate > -0.001 AND host_response_rate <= 0.5 THEN '0-50%'
+                     WHEN host_response_rate > 0.5 AND host_response_rate <= 0.8 THEN '51-80%'
+                     WHEN host_response_rate > 0.8 AND host_response_rate <= 0.95 THEN '81-95%'
+                     WHEN host_response_rate > 0.95 AND host_response_rate <= 1.001 THEN '96-100%' END
+                  AS response_rate_band
+      FROM lm WHERE host_response_rate IS NOT NULL)
+WHERE response_rate_band IS NOT NULL GROUP BY response_rate_band""")
+_CORR = ["review_scores_rating", "review_scores_cleanliness", "review_scores_location",
+         "price_numeric", "availability_365", "number_of_reviews"]
+oracle("eda_correlation_matrix", ["lm"], "\nUNION ALL\n".join(
+    f"SELECT '{a.replace('review_scores_', '')}' AS dim_a, '{b.replace('review_scores_', '')}' AS dim_b, "
+    f"round(corr({a}, {b}), 4) AS pearson_r FROM cc" for a in _CORR for b in _CORR).replace(
+    "FROM cc", "FROM (SELECT " + ", ".join(_CORR) + " FROM lm WHERE "
+    + " AND ".join(f"{c} IS NOT NULL" for c in _CORR) + ")"))
+_SCORES = ["review_scores_rating", "review_scores_cleanliness", "review_scores_location",
+           "number_of_reviews", "reviews_per_month_calc"]
+oracle("eda_review_score_summary", ["lm"], "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS dimension, count({c}) AS n_rated, count(*) - count({c}) AS null_count,
+  round((count(*) - count({c})) * 100.0 / count(*), 4) AS null_pct, round(avg({c}::DOUBLE), 4) AS mean,
+  round(median({c}::DOUBLE), 4) AS median, round(stddev_samp({c}::DOUBLE), 4) AS std,
+  round(quantile_cont({c}::DOUBLE, 0.1), 4) AS p10, round(quantile_cont({c}::DOUBLE, 0.25), 4) AS p25,
+  round(quantile_cont({c}::DOUBLE, 0.75), 4) AS p75, round(quantile_cont({c}::DOUBLE, 0.9), 4) AS p90,
+  round(min({c}::DOUBLE), 4) AS min, round(max({c}::DOUBLE), 4) AS max FROM lm""" for c in _SCORES))
+_MC = """SELECT host_id, listing_count,
+  row_number() OVER (ORDER BY listing_count DESC, host_id) AS host_rank,
+  listing_count / sum(listing_count) OVER () AS listing_share,
+  sum(listing_count) OVER (ORDER BY listing_count DESC, host_id ROWS UNBOUNDED PRECEDING)
+    / sum(listing_count) OVER () AS cumulative_share,
+  row_number() OVER (ORDER BY listing_count DESC, host_id) * 100.0 / count(*) OVER () AS host_pct
+FROM (SELECT host_id, count(*) AS listing_count FROM lm GROUP BY host_id)"""
+oracle("eda_market_concentration", ["lm"],
+       f"SELECT host_id, listing_count, host_rank, " + r4(["listing_share", "cumulative_share", "host_pct"])
+       + f" FROM ({_MC})")
+oracle("eda_concentration_thresholds", ["lm"], f"""
+SELECT """ + ", ".join(
+    f"round(sum(listing_count) FILTER (WHERE host_rank <= greatest(1, floor(h * {p})))"
+    f" / sum(listing_count), 4) AS top_{k}pct_share" for k, p in [(1, 0.01), (5, 0.05), (10, 0.1)])
+    + f" FROM (SELECT *, max(host_rank) OVER () AS h FROM ({_MC}))")
+oracle("eda_high_review_low_score", ["lm"], """
+SELECT id, neighbourhood_cleansed, room_type, property_type_bucket, round(price_numeric, 4) AS price_numeric,
+  number_of_reviews, round(review_scores_rating, 4) AS review_scores_rating,
+  round(review_scores_cleanliness, 4) AS review_scores_cleanliness, host_segment,
+  round(host_response_rate, 4) AS host_response_rate
+FROM lm WHERE number_of_reviews >= (SELECT quantile_cont(number_of_reviews, 0.75) FROM lm)
+  AND review_scores_rating <= (SELECT quantile_cont(review_scores_rating, 0.25) FROM lm)
+  AND review_scores_rating IS NOT NULL""")
+oracle("eda_price_cap_p99", ["eda"], """
+SELECT id, round(price_numeric, 4) AS price_numeric FROM eda
+WHERE price_numeric <= (SELECT quantile_cont(price_numeric, 0.99) FROM eda)""")
+oracle("eda_rating_by_neighbourhood_masked", ["lm"], """
+SELECT neighbourhood_cleansed, count(review_scores_rating) AS n,
+  round(CASE WHEN count(review_scores_rating) >= 20 THEN median(review_scores_rating) END, 4) AS median_masked
+FROM lm GROUP BY neighbourhood_cleansed""")
+oracle("eda_price_by_property_bucket", ["eda"], _price_group("property_type_bucket", probs=()))
+oracle("eda_review_count_buckets", ["eda"], """
+SELECT review_bucket, count(*) AS listing_count, round(median(price_numeric), 4) AS median_price,
+  round(avg(review_scores_rating), 4) AS mean_rating
+FROM (SELECT *, CASE WHEN number_of_reviews IS NULL THEN NULL WHEN number_of_reviews <= 0 THEN '0'
+                     WHEN number_of_reviews <= 5 THEN '1-5' WHEN number_of_reviews <= 20 THEN '6-20'
+                     WHEN number_of_reviews <= 100 THEN '21-100' ELSE '100+' END AS review_bucket FROM eda)
+GROUP BY review_bucket""")
+oracle("eda_city_comparison", ["lm"], """
+SELECT city, count(*) AS listings, count(DISTINCT host_id) AS hosts,
+  round(median(price_numeric), 4) AS median_price,
+  round(quantile_cont(price_numeric, 0.25), 4) AS p25_price,
+  round(quantile_cont(price_numeric, 0.75), 4) AS p75_price,
+  round(quantile_cont(price_numeric, 0.95), 4) AS p95_price,
+  round(avg(review_scores_rating), 4) AS mean_rating, round(median(occupancy_proxy), 4) AS median_occupancy,
+  round(avg(CAST(host_is_superhost AS DOUBLE)), 4) AS superhost_rate_nonnull,
+  round(count(*) FILTER (WHERE host_is_superhost) / count(*), 4) AS superhost_rate_all_rows,
+  round(count(*) FILTER (WHERE availability_365 > 270) * 100.0 / count(*), 4) AS pct_avail_gt_270,
+  round(avg(CASE WHEN room_type = 'entire_home' THEN 1.0 ELSE 0.0 END), 4) AS entire_home_share,
+  round(count(*) FILTER (WHERE is_professional_host) / count(*), 4) AS professional_share
+FROM lm GROUP BY city""")
+oracle("eda_price_histogram", ["eda"], """
+SELECT b.bin, round(r.lo + b.bin * (r.hi - r.lo) / 60, 4) AS bin_start,
+  round(r.lo + (b.bin + 1) * (r.hi - r.lo) / 60, 4) AS bin_end, coalesce(c.n, 0) AS count
+FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(60)) b
+CROSS JOIN (SELECT min(price_numeric) AS lo, max(price_numeric) AS hi FROM eda) r
+LEFT JOIN (SELECT CAST(least(floor((price_numeric - lo) / ((hi - lo) / 60)), 59) AS INTEGER) AS bin,
+                  count(*) AS n
+           FROM eda, (SELECT min(price_numeric) AS lo, max(price_numeric) AS hi FROM eda) rr
+           WHERE price_numeric IS NOT NULL GROUP BY 1) c USING (bin)""")
+oracle("eda_price_relative_to_city_median", ["eda"], """
+SELECT id, city, round(CASE WHEN m = 0 OR m IS NULL THEN NULL ELSE price_numeric / m END, 4) AS price_vs_city_median
+FROM (SELECT *, median(price_numeric) OVER (PARTITION BY city) AS m FROM eda)""")
+oracle("eda_top_neighbourhoods_value_counts", ["lm"], """
+SELECT neighbourhood_cleansed, count(*) AS count FROM lm GROUP BY 1
+ORDER BY count DESC, neighbourhood_cleansed NULLS LAST LIMIT 5""")
