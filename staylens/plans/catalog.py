@@ -382,3 +382,165 @@ def _(spark, sf):
 @_q("eda_top_neighbourhoods_value_counts")
 def _(spark, sf):
     return EDA.top_values(_lm(spark, sf), "neighbourhood_cleansed", 5)
+
+
+# ------------------------------------------------------------ changes (CD*)
+import datetime as _dt  # noqa: E402
+
+from staylens.operators import changes as CH  # noqa: E402
+from staylens.operators import validation as V  # noqa: E402
+
+OLD_SNAPSHOT = _dt.date(2000, 1, 1)
+NEW_SNAPSHOT = _dt.date(2002, 1, 1)
+
+
+def snapshots(spark, sf):
+    """Two snapshots of the bound listings, defined by calendar activity.
+
+    old: listings with a calendar day before 2000-01-01; new: listings with a
+    calendar day on/after 1998-01-01, repriced +20 % where availability > 0.6,
+    re-typed to hotel_room / inactive where nothing is available.
+    """
+    p = Pipeline(spark, sf)
+    cs = p.calendar_summary.select(F.col("listing_id").alias("id"), "first_calendar_date",
+                                   "last_calendar_date", "availability_rate")
+    base = p.listings.select("id", "price_numeric", "room_type", "is_de_facto_inactive").join(cs, "id")
+    old = base.where(F.col("first_calendar_date") < F.lit(_dt.date(2000, 1, 1))).select(
+        "id", "price_numeric", "room_type", "is_de_facto_inactive",
+        F.lit(OLD_SNAPSHOT).alias("snapshot_date"))
+    hot = F.col("availability_rate") > 0.6
+    idle = F.col("availability_rate") == 0
+    new = base.where(F.col("last_calendar_date") >= F.lit(_dt.date(1998, 1, 1))).select(
+        "id",
+        F.when(hot, F.col("price_numeric") * F.lit(1.2)).otherwise(F.col("price_numeric")).alias("price_numeric"),
+        F.when(idle, F.lit("hotel_room")).otherwise(F.col("room_type")).alias("room_type"),
+        (F.col("is_de_facto_inactive") | F.coalesce(idle, F.lit(False))).alias("is_de_facto_inactive"),
+        F.lit(NEW_SNAPSHOT).alias("snapshot_date"))
+    return old, new
+
+
+@query("snapshot_diff")
+def _(spark, sf):
+    old, new = snapshots(spark, sf)
+    return CH.snapshot_diff(old, new)
+
+
+@query("snapshot_diff_summary")
+def _(spark, sf):
+    old, new = snapshots(spark, sf)
+    d = CH.snapshot_diff(old, new).select(
+        "*", F.lit(OLD_SNAPSHOT).alias("old_snapshot"), F.lit(NEW_SNAPSHOT).alias("new_snapshot"))
+    return CH.diff_summary(d, ["old_snapshot", "new_snapshot"])
+
+
+@query("snapshot_key_sets")
+def _(spark, sf):
+    old, new = snapshots(spark, sf)
+    added, removed, common = CH.key_differences(old, new, "id")
+    return (added.select(F.lit("added").alias("key_set"), "id")
+            .unionByName(removed.select(F.lit("removed").alias("key_set"), "id"))
+            .unionByName(common.select(F.lit("common").alias("key_set"), "id")))
+
+
+@query("scd2_listing_history")
+def _(spark, sf):
+    old, new = snapshots(spark, sf)
+    return CH.scd2_history(old.unionByName(new), "id", "snapshot_date",
+                           ["price_numeric", "room_type", "is_de_facto_inactive"])
+
+
+@query("dataset_version_upsert")
+def _(spark, sf):
+    old, new = snapshots(spark, sf)
+    p = Pipeline(spark, sf)
+    existing = old.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("row_count")) \
+        .withColumn("city", F.lit("bound"))
+    # re-registering the old snapshot with the clean-listing count replaces its row
+    updates = (new.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("row_count"))
+               .unionByName(p.listings.agg(F.count(F.lit(1)).alias("row_count"))
+                            .withColumn("snapshot_date", F.lit(OLD_SNAPSHOT)))
+               .withColumn("city", F.lit("bound")))
+    return CH.upsert_by_key(existing, updates, ["city", "snapshot_date"])
+
+
+# ------------------------------------------------------------ validation (V*)
+MASTER_SUITE = [
+    V.expect("row_count_between", min=1000, max=200000),
+    V.expect("column_set", columns=["id", "host_id", "neighbourhood_cleansed", "latitude",
+                                    "longitude", "room_type", "accommodates", "availability_365",
+                                    "price_numeric", "currency_code", "is_de_facto_inactive",
+                                    "is_active_supply"]),
+    V.expect("column_exists", "id"),
+    V.expect("not_null", "id"),
+    V.expect("unique", "id"),
+    V.expect("not_null", "host_id"),
+    V.expect("not_null", "neighbourhood_cleansed"),
+    V.expect("not_null", "latitude"),
+    V.expect("between", "latitude", min=-90.0, max=90.0),
+    V.expect("not_null", "room_type"),
+    V.expect("in_set", "room_type", values=["entire_home", "private_room", "shared_room", "hotel_room"]),
+    V.expect("between", "accommodates", min=1, max=100),
+    V.expect("between", "minimum_nights", min=1, mostly=0.99),
+    V.expect("between", "availability_365", min=0, max=365),
+    V.expect("between", "price_numeric", min=0.01, max=50000, mostly=0.99),
+    V.expect("between", "review_scores_rating", min=1.0, max=5.0, mostly=0.99),
+    V.expect("not_null", "is_de_facto_inactive"),
+    V.expect("between", "host_tenure_years", min=0.0, max=25.0, mostly=0.99),
+    V.expect("between", "occupancy_proxy", min=0.0, max=1.0),
+]
+
+
+@query("validation_listing_master")
+def _(spark, sf):
+    res = V.run_expectations(Pipeline(spark, sf).master, "listing_master", MASTER_SUITE)
+    return res.withColumn("unexpected_pct", F.round("unexpected_pct", 4))
+
+
+@query("validation_suite_summary")
+def _(spark, sf):
+    p = Pipeline(spark, sf)
+    cal_suite = [V.expect("not_null", "listing_id"), V.expect("not_null", "date"),
+                 V.expect("between", "minimum_nights", min=1, mostly=0.99),
+                 V.expect("in_set", "available", values=[True, False])]
+    r = V.run_expectations(p.master, "listing_master", MASTER_SUITE).unionByName(
+        V.run_expectations(p.calendar, "calendar_clean", cal_suite))
+    return V.suite_summary(r)
+
+
+@query("validation_warehouse_rules")
+def _(spark, sf):
+    p = Pipeline(spark, sf)
+    fc, fr, dl, fs = p.fact_calendar, p.fact_reviews, p.dim_listing, p.fact_listing_snapshot
+
+    def rule(name, df):
+        return df.select(F.lit(name).alias("rule"), F.col("violations").cast("long"))
+
+    rules = [
+        rule("listing_key_not_null", dl.agg(F.count_if(F.col("listing_key").isNull()).alias("violations"))),
+        rule("listing_key_unique", dl.groupBy("listing_key").count().where("count > 1")
+             .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("violations"))),
+        rule("calendar_referential_listing", V.orphan_count(fc, dl, "listing_key", "listing_key")
+             .select(F.col("orphans").alias("violations"))),
+        rule("reviews_referential_listing", V.orphan_count(fr, dl, "listing_key", "listing_key")
+             .select(F.col("orphans").alias("violations"))),
+        rule("calendar_available_int_zero_or_one",
+             fc.agg(F.count_if(~F.col("available_int").isin(0, 1)).alias("violations"))),
+        rule("calendar_key_unique", fc.groupBy("listing_key", "date_key").count().where("count > 1")
+             .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("violations"))),
+        rule("price_non_negative", fs.agg(F.count_if(F.col("price_numeric") < 0).alias("violations"))),
+        rule("occupancy_in_range", fs.agg(F.count_if(~F.col("occupancy_proxy").between(0, 1))
+                                          .alias("violations"))),
+        rule("snapshot_listing_parity", fs.agg(F.count(F.lit(1)).alias("a")).withColumn("__one", F.lit(1))
+             .join(dl.agg(F.count(F.lit(1)).alias("b")).withColumn("__one", F.lit(1)), "__one")
+             .select(F.abs(F.col("a") - F.col("b")).alias("violations"))),
+    ]
+    out = rules[0]
+    for r_ in rules[1:]:
+        out = out.unionByName(r_)
+    return out.withColumn("category", V.rule_category(F.col("rule"))) \
+              .withColumn("passed", F.col("violations") == 0)
+
+
+@query("validation_date_dimension")
+def _(spark, sf):
+    return V.date_dimension_checks(Pipeline(spark, sf).dim_date)

@@ -388,3 +388,39 @@ SELECT *,
 FROM master""")
 
 cte("eda", ["lm"], "SELECT * FROM lm WHERE price_numeric IS NOT NULL AND price_numeric >= 0")
+
+# ---------------------------------------------------------------- snapshots
+cte("snap_base", ["listings", "calendar_summary"], """
+SELECT l.id, l.price_numeric, l.room_type, l.is_de_facto_inactive, cs.first_calendar_date,
+       cs.last_calendar_date, cs.availability_rate
+FROM listings l JOIN calendar_summary cs ON l.id = cs.listing_id""")
+cte("snap_old", ["snap_base"], """
+SELECT id, price_numeric, room_type, is_de_facto_inactive, DATE '2000-01-01' AS snapshot_date
+FROM snap_base WHERE first_calendar_date < DATE '2000-01-01'""")
+cte("snap_new", ["snap_base"], """
+SELECT id, CASE WHEN availability_rate > 0.6 THEN price_numeric * 1.2::DOUBLE ELSE price_numeric END AS price_numeric,
+  CASE WHEN availability_rate = 0 THEN 'hotel_room' ELSE room_type END AS room_type,
+  (is_de_facto_inactive OR coalesce(availability_rate = 0, FALSE)) AS is_de_facto_inactive,
+  DATE '2002-01-01' AS snapshot_date
+FROM snap_base WHERE last_calendar_date >= DATE '1998-01-01'""")
+cte("snap_diff", ["snap_old", "snap_new"], """
+SELECT 'new_listing' AS change_type, id AS listing_id, NULL::VARCHAR AS field, NULL::VARCHAR AS old_value,
+       NULL::VARCHAR AS new_value, NULL::DOUBLE AS pct_change
+FROM snap_new WHERE id NOT IN (SELECT id FROM snap_old)
+UNION ALL
+SELECT 'removed_listing', id, NULL, NULL, NULL, NULL FROM snap_old WHERE id NOT IN (SELECT id FROM snap_new)
+UNION ALL
+SELECT 'price_change', o.id, 'price_numeric', printf('%.2f', o.price_numeric), printf('%.2f', n.price_numeric),
+       round_even((n.price_numeric - o.price_numeric) / o.price_numeric * 100, 1)
+FROM snap_old o JOIN snap_new n USING (id)
+WHERE o.price_numeric > 0 AND n.price_numeric IS NOT NULL
+  AND abs(n.price_numeric - o.price_numeric) / o.price_numeric > 0.05
+UNION ALL
+SELECT 'status_change', o.id, 'room_type', o.room_type, n.room_type, NULL
+FROM snap_old o JOIN snap_new n USING (id) WHERE o.room_type IS DISTINCT FROM n.room_type
+UNION ALL
+SELECT 'status_change', o.id, 'is_de_facto_inactive',
+       CASE WHEN o.is_de_facto_inactive THEN 'True' WHEN NOT o.is_de_facto_inactive THEN 'False' END,
+       CASE WHEN n.is_de_facto_inactive THEN 'True' WHEN NOT n.is_de_facto_inactive THEN 'False' END, NULL
+FROM snap_old o JOIN snap_new n USING (id)
+WHERE o.is_de_facto_inactive IS DISTINCT FROM n.is_de_facto_inactive""")

@@ -343,3 +343,122 @@ FROM (SELECT *, median(price_numeric) OVER (PARTITION BY city) AS m FROM eda)"""
 oracle("eda_top_neighbourhoods_value_counts", ["lm"], """
 SELECT neighbourhood_cleansed, count(*) AS count FROM lm GROUP BY 1
 ORDER BY count DESC, neighbourhood_cleansed NULLS LAST LIMIT 5""")
+
+
+# ---------------------------------------------------------------- changes
+oracle("snapshot_diff", ["snap_diff"], "SELECT * FROM snap_diff")
+oracle("snapshot_diff_summary", ["snap_diff"], """
+SELECT DATE '2000-01-01' AS old_snapshot, DATE '2002-01-01' AS new_snapshot,
+  count(*) FILTER (WHERE change_type = 'new_listing') AS new_listings,
+  count(*) FILTER (WHERE change_type = 'removed_listing') AS removed_listings,
+  count(*) FILTER (WHERE change_type = 'price_change') AS price_changes,
+  count(*) FILTER (WHERE change_type = 'status_change') AS status_changes,
+  count(*) AS total_changes FROM snap_diff""")
+oracle("snapshot_key_sets", ["snap_old", "snap_new"], """
+SELECT 'added' AS key_set, id FROM (SELECT id FROM snap_new EXCEPT SELECT id FROM snap_old)
+UNION ALL SELECT 'removed', id FROM (SELECT id FROM snap_old EXCEPT SELECT id FROM snap_new)
+UNION ALL SELECT 'common', id FROM (SELECT id FROM snap_old INTERSECT SELECT id FROM snap_new)""")
+oracle("scd2_listing_history", ["snap_old", "snap_new"], """
+SELECT id, price_numeric, room_type, is_de_facto_inactive, snapshot_date AS valid_from,
+  lead(snapshot_date) OVER (PARTITION BY id ORDER BY snapshot_date) AS valid_to,
+  lead(snapshot_date) OVER (PARTITION BY id ORDER BY snapshot_date) IS NULL AS is_current
+FROM (SELECT *, lag(h) OVER (PARTITION BY id ORDER BY snapshot_date) AS prev_h
+      FROM (SELECT *, (price_numeric, room_type, is_de_facto_inactive) AS h
+            FROM (SELECT * FROM snap_old UNION ALL SELECT * FROM snap_new)))
+WHERE prev_h IS NULL OR prev_h IS DISTINCT FROM h""")
+oracle("dataset_version_upsert", ["snap_old", "snap_new", "listings"], """
+SELECT snapshot_date, row_count, 'bound' AS city FROM (
+  SELECT DATE '2002-01-01' AS snapshot_date, (SELECT count(*) FROM snap_new) AS row_count
+  UNION ALL SELECT DATE '2000-01-01', (SELECT count(*) FROM listings))""")
+
+# ---------------------------------------------------------------- validation
+_SUITE = [
+    ("not_null", "id", None, None, 1.0, "count(*)", "count(*) FILTER (WHERE id IS NULL)"),
+]
+
+
+def _exp(idx, kind, col, el, un, mostly=1.0):
+    return (f"SELECT {idx} AS idx, '{kind}' AS expectation, '{col}' AS \"column\", "
+            f"CASE WHEN el > 0 THEN un / el <= {1.0 - mostly} + 1e-12 ELSE TRUE END AS success, "
+            f"CAST(un AS VARCHAR) AS observed, el AS element_count, un AS unexpected_count, "
+            f"round(CASE WHEN el > 0 THEN un * 100.0 / el ELSE 0.0 END, 4) AS unexpected_pct, "
+            f"'listing_master' AS suite FROM (SELECT ({el}) AS el, CAST(({un}) AS BIGINT) AS un FROM master)"
+            f" LIMIT 1")
+
+
+def _nn(i, c):
+    return _exp(i, "not_null", c, "count(*)", f"count(*) FILTER (WHERE {c} IS NULL)")
+
+
+def _bt(i, c, lo, hi, mostly=1.0):
+    cond = " AND ".join(x for x in [f"{c} >= {lo}" if lo is not None else "",
+                                    f"{c} <= {hi}" if hi is not None else ""] if x)
+    return _exp(i, "between", c, f"count({c})",
+                f"count(*) FILTER (WHERE {c} IS NOT NULL AND NOT ({cond}))", mostly)
+
+
+_master_suite = [
+    "SELECT 0 AS idx, 'row_count_between' AS expectation, NULL::VARCHAR AS \"column\", "
+    "count(*) BETWEEN 1000 AND 200000 AS success, CAST(count(*) AS VARCHAR) AS observed, "
+    "count(*) AS element_count, 0::BIGINT AS unexpected_count, 0.0::DOUBLE AS unexpected_pct, "
+    "'listing_master' AS suite FROM master",
+    "SELECT 1, 'column_set', NULL, TRUE, 'all present', NULL::BIGINT, NULL::BIGINT, NULL::DOUBLE, 'listing_master'",
+    "SELECT 2, 'column_exists', 'id', TRUE, 'present', NULL, NULL, NULL, 'listing_master'",
+    _nn(3, "id"),
+    _exp(4, "unique", "id", "count(id)",
+         "(SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM master WHERE id IS NOT NULL "
+         "GROUP BY id HAVING count(*) > 1))"),
+    _nn(5, "host_id"), _nn(6, "neighbourhood_cleansed"), _nn(7, "latitude"),
+    _bt(8, "latitude", -90.0, 90.0), _nn(9, "room_type"),
+    _exp(10, "in_set", "room_type", "count(room_type)",
+         "count(*) FILTER (WHERE room_type IS NOT NULL AND room_type NOT IN "
+         "('entire_home', 'private_room', 'shared_room', 'hotel_room'))"),
+    _bt(11, "accommodates", 1, 100), _bt(12, "minimum_nights", 1, None, 0.99),
+    _bt(13, "availability_365", 0, 365), _bt(14, "price_numeric", 0.01, 50000, 0.99),
+    _bt(15, "review_scores_rating", 1.0, 5.0, 0.99), _nn(16, "is_de_facto_inactive"),
+    _bt(17, "host_tenure_years", 0.0, 25.0, 0.99), _bt(18, "occupancy_proxy", 0.0, 1.0),
+]
+oracle("validation_listing_master", ["master"], "\nUNION ALL\n".join(f"({q})" for q in _master_suite))
+oracle("validation_suite_summary", ["master", "calendar"], f"""
+SELECT 'listing_master' AS suite, count(*) AS evaluated, count(*) FILTER (WHERE success) AS passed,
+  count(*) FILTER (WHERE NOT success) AS failed
+FROM ({" UNION ALL ".join(f"({q})" for q in _master_suite)})
+UNION ALL
+SELECT 'calendar_clean', 4,
+  (count(*) FILTER (WHERE listing_id IS NULL) = 0)::INT + (count(*) FILTER (WHERE date IS NULL) = 0)::INT
+  + (count(*) FILTER (WHERE minimum_nights < 1) <= 0.01 * count(minimum_nights) + 1e-12)::INT
+  + (count(*) FILTER (WHERE available NOT IN (TRUE, FALSE)) = 0)::INT,
+  4 - ((count(*) FILTER (WHERE listing_id IS NULL) = 0)::INT + (count(*) FILTER (WHERE date IS NULL) = 0)::INT
+  + (count(*) FILTER (WHERE minimum_nights < 1) <= 0.01 * count(minimum_nights) + 1e-12)::INT
+  + (count(*) FILTER (WHERE available NOT IN (TRUE, FALSE)) = 0)::INT)
+FROM calendar""")
+oracle("validation_warehouse_rules", ["dim_listing", "fact_calendar", "fact_reviews", "fact_listing_snapshot"], """
+SELECT rule, violations::BIGINT AS violations,
+  CASE WHEN regexp_matches(rule, 'unique') THEN 'uniqueness' WHEN regexp_matches(rule, '_not_null') THEN 'non_null'
+       WHEN regexp_matches(rule, 'referential') THEN 'referential'
+       WHEN regexp_matches(rule, '_in_range|bounds') THEN 'range' WHEN regexp_matches(rule, 'valid') THEN 'domain'
+       WHEN regexp_matches(rule, 'matches') THEN 'shape' WHEN regexp_matches(rule, 'present') THEN 'shape'
+       WHEN regexp_matches(rule, 'positive') THEN 'range' WHEN regexp_matches(rule, 'non_negative') THEN 'range'
+       WHEN regexp_matches(rule, 'monotonic') THEN 'structural' WHEN regexp_matches(rule, 'zero_or_one') THEN 'domain'
+       ELSE 'other' END AS category,
+  violations = 0 AS passed
+FROM (
+  SELECT 'listing_key_not_null' AS rule, count(*) FILTER (WHERE listing_key IS NULL) AS violations FROM dim_listing
+  UNION ALL SELECT 'listing_key_unique', coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM dim_listing
+      GROUP BY listing_key HAVING count(*) > 1)
+  UNION ALL SELECT 'calendar_referential_listing', count(*) FROM fact_calendar fc
+      WHERE NOT EXISTS (SELECT 1 FROM dim_listing dl WHERE dl.listing_key = fc.listing_key)
+  UNION ALL SELECT 'reviews_referential_listing', count(*) FROM fact_reviews fr
+      WHERE NOT EXISTS (SELECT 1 FROM dim_listing dl WHERE dl.listing_key = fr.listing_key)
+  UNION ALL SELECT 'calendar_available_int_zero_or_one', count(*) FILTER (WHERE available_int NOT IN (0, 1))
+      FROM fact_calendar
+  UNION ALL SELECT 'calendar_key_unique', coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM fact_calendar
+      GROUP BY listing_key, date_key HAVING count(*) > 1)
+  UNION ALL SELECT 'price_non_negative', count(*) FILTER (WHERE price_numeric < 0) FROM fact_listing_snapshot
+  UNION ALL SELECT 'occupancy_in_range', count(*) FILTER (WHERE NOT (occupancy_proxy BETWEEN 0 AND 1))
+      FROM fact_listing_snapshot
+  UNION ALL SELECT 'snapshot_listing_parity',
+      abs((SELECT count(*) FROM fact_listing_snapshot) - (SELECT count(*) FROM dim_listing)))""")
+oracle("validation_date_dimension", ["dim_date"], """
+SELECT count(*) AS rows, count(DISTINCT date_key) AS distinct_keys, min(date) AS min_date, max(date) AS max_date,
+  date_diff('day', min(date), max(date)) + 1 = count(*) AS is_continuous FROM dim_date""")
