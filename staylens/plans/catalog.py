@@ -544,3 +544,157 @@ def _(spark, sf):
 @query("validation_date_dimension")
 def _(spark, sf):
     return V.date_dimension_checks(Pipeline(spark, sf).dim_date)
+
+
+# ------------------------------------------------------------ profiling
+from staylens.functions import scalars as SC  # noqa: E402
+from staylens.operators import profile as PR  # noqa: E402
+from staylens.sources.tables import table as _table  # noqa: E402
+
+RAW_LISTING_COLS = ["id", "listing_url", "scrape_id", "name", "host_id", "host_name", "host_since",
+                    "host_response_time", "host_response_rate", "host_acceptance_rate",
+                    "host_is_superhost", "host_identity_verified", "neighbourhood_cleansed", "city",
+                    "latitude", "longitude", "property_type", "room_type", "accommodates", "bathrooms",
+                    "bathrooms_text", "bedrooms", "beds", "amenities", "price", "minimum_nights",
+                    "maximum_nights", "has_availability", "availability_365", "number_of_reviews",
+                    "last_scraped", "review_scores_rating", "review_scores_cleanliness",
+                    "review_scores_location", "license", "instant_bookable",
+                    "calculated_host_listings_count"]
+TOPV_COLS = ["room_type", "property_type", "host_response_time", "bathrooms_text", "amenities",
+             "city", "neighbourhood_cleansed", "has_availability", "instant_bookable",
+             "host_is_superhost"]
+IQR_COLS = ["latitude", "longitude", "minimum_nights", "maximum_nights", "availability_365",
+            "number_of_reviews", "accommodates", "bedrooms", "beds", "review_scores_rating"]
+EXT_COLS = ["price_numeric", "availability_365", "review_scores_rating", "accommodates", "bedrooms"]
+
+
+@_q("profile_raw_listings")
+def _(spark, sf):
+    return PR.column_profile(Pipeline(spark, sf).raw_listings, RAW_LISTING_COLS)
+
+
+@_q("profile_extended_listings")
+def _(spark, sf):
+    return PR.extended_profile(Pipeline(spark, sf).listings, EXT_COLS)
+
+
+@_q("profile_top_values")
+def _(spark, sf):
+    return PR.top_values_per_column(Pipeline(spark, sf).raw_listings, TOPV_COLS, 5, 200)
+
+
+@_q("profile_iqr_outliers")
+def _(spark, sf):
+    return PR.iqr_outliers(Pipeline(spark, sf).raw_listings, IQR_COLS)
+
+
+@_q("profile_domain_rules")
+def _(spark, sf):
+    p = Pipeline(spark, sf)
+    return PR.listing_domain_rules(p.raw_listings).unionByName(PR.calendar_domain_rules(p.raw_calendar))
+
+
+@_q("profile_key_integrity")
+def _(spark, sf):
+    from staylens.operators import quality as Q
+    p = Pipeline(spark, sf)
+    lst = Q.clean_listings_flagged(p.raw_listings).select("id")
+    cal = p.calendar_q.flagged.select("listing_id", "date")
+    rev = p.reviews_q.flagged.select("listing_id", "id")
+    ids = lst.where(F.col("id").isNotNull()).select(F.col("id").alias("lid")).distinct()
+
+    def one(name, df):
+        return df.select(F.lit(name).alias("check"), F.col("v").cast("double").alias("value"))
+
+    cal_orph = cal.join(ids, cal.listing_id == ids.lid, "left_anti")
+    rev_orph = rev.join(ids, rev.listing_id == ids.lid, "left_anti")
+    cal_ids = cal.select(F.col("listing_id").alias("cid")).distinct()
+    checks = [
+        one("listings_rows", lst.agg(F.count(F.lit(1)).alias("v"))),
+        one("listings_id_nulls", lst.agg(F.count_if(F.col("id").isNull()).alias("v"))),
+        one("listings_id_distinct", lst.agg(F.count_distinct("id").alias("v"))),
+        one("listings_id_duplicate_rows", lst.groupBy("id").count().where("count > 1")
+            .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("v"))),
+        one("calendar_key_duplicate_rows", cal.groupBy("listing_id", "date").count().where("count > 1")
+            .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("v"))),
+        one("calendar_orphan_rows", cal_orph.agg(F.count(F.lit(1)).alias("v"))),
+        one("reviews_orphan_rows", rev_orph.agg(F.count(F.lit(1)).alias("v"))),
+        one("reviews_id_duplicate_rows", rev.groupBy("id").count().where("count > 1")
+            .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("v"))),
+        one("listings_without_calendar", ids.join(cal_ids, ids.lid == cal_ids.cid, "left_anti")
+            .agg(F.count(F.lit(1)).alias("v"))),
+    ]
+    out = checks[0]
+    for c in checks[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+@_q("profile_exact_duplicates")
+def _(spark, sf):
+    p = Pipeline(spark, sf)
+    return (PR.exact_duplicate_rows(p.raw_calendar).withColumn("source", F.lit("calendar"))
+            .unionByName(PR.exact_duplicate_rows(p.raw_reviews).withColumn("source", F.lit("reviews"))))
+
+
+@_q("document_text_templates_summary")
+def _(spark, sf):
+    return PR.text_templates(_table(spark, sf, "documents", "doc_id", "text"), "text")[0]
+
+
+@_q("document_text_templates_top")
+def _(spark, sf):
+    return PR.text_templates(_table(spark, sf, "documents", "doc_id", "text"), "text", 20)[1]
+
+
+@_q("review_comment_templates_summary")
+def _(spark, sf):
+    return PR.text_templates(Pipeline(spark, sf).raw_reviews, "comments")[0]
+
+
+@_q("listing_duplicate_blocks")
+def _(spark, sf):
+    lst = Pipeline(spark, sf).listings
+    block = [F.col("neighbourhood_cleansed"), F.col("host_id"), F.round("latitude", 3),
+             F.round("longitude", 3), SC.normalise_name(F.col("name"))]
+    return PR.duplicate_blocks(lst.where(SC.normalise_name(F.col("name")) != ""), block, "id",
+                               ["id", "host_id", "neighbourhood_cleansed", "name"])
+
+
+@_q("document_duplicate_blocks")
+def _(spark, sf):
+    d = _table(spark, sf, "documents", "doc_id", "lang", "source", "text")
+    block = [F.col("lang"), SC.normalise_name(F.col("text"))]
+    return PR.duplicate_blocks(d.where(SC.normalise_name(F.col("text")) != ""), block, "doc_id",
+                               ["doc_id", "lang", "source"])
+
+
+@_q("schema_compare_cities")
+def _(spark, sf):
+    lst = Pipeline(spark, sf).listings
+    cols = ["price_numeric", "host_response_rate", "bedrooms", "review_scores_rating",
+            "bathroom_count", "host_is_superhost", "room_type"]
+    a = PR.column_profile(lst.where(F.col("city") == "AFRICA"), cols)
+    b = PR.column_profile(lst.where(F.col("city") == "AMERICA"), cols)
+    return PR.schema_compare(a, b)
+
+
+@_q("neighbourhood_name_parity")
+def _(spark, sf):
+    from staylens.plans import bindings as B
+    return PR.name_parity(B.raw_neighbourhoods(spark, sf), B.neighbourhood_geometry(spark, sf),
+                          "neighbourhood")
+
+
+@_q("sample_listings_first_2000")
+def _(spark, sf):
+    return PR.bounded_sample(Pipeline(spark, sf).listings, "id", 2000).select("id", "host_id", "price_numeric")
+
+
+@_q("profile_completeness_rollup")
+def _(spark, sf):
+    p = Pipeline(spark, sf)
+    prof = (PR.column_profile(p.raw_listings, RAW_LISTING_COLS).withColumn("source", F.lit("listings"))
+            .unionByName(PR.column_profile(p.raw_calendar).withColumn("source", F.lit("calendar")))
+            .unionByName(PR.column_profile(p.raw_reviews).withColumn("source", F.lit("reviews"))))
+    return PR.completeness_rollup(prof)

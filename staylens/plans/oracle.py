@@ -424,3 +424,19 @@ SELECT 'status_change', o.id, 'is_de_facto_inactive',
        CASE WHEN n.is_de_facto_inactive THEN 'True' WHEN NOT n.is_de_facto_inactive THEN 'False' END, NULL
 FROM snap_old o JOIN snap_new n USING (id)
 WHERE o.is_de_facto_inactive IS DISTINCT FROM n.is_de_facto_inactive""")
+
+cte("raw_listings_full", ["raw_listings"], """
+SELECT *, 'https://rooms.invalid/' || id AS listing_url, '20240215' AS scrape_id, NULL::VARCHAR AS bathrooms,
+       'LIC-' || id AS license
+FROM raw_listings""")
+cte("raw_calendar_full", [], """
+SELECT CAST(l_orderkey AS VARCHAR) AS listing_id,
+  CASE WHEN l_linenumber = 7 AND l_orderkey % 5 = 0 THEN 'not-a-date'
+       ELSE strftime(l_shipdate, '%Y-%m-%d') END AS date,
+  CASE WHEN l_returnflag = 'N' AND l_linenumber = 6 AND l_orderkey % 3 = 0 THEN 'maybe'
+       WHEN l_linestatus = 'O' THEN 't' WHEN l_linestatus = 'F' THEN 'f' END AS available,
+  format('${:,.2f}', l_extendedprice) AS price, format('${:,.2f}', l_extendedprice) AS adjusted_price,
+  CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS minimum_nights,
+  CASE WHEN l_linenumber = 1 THEN '2147483647'
+       ELSE CAST(CAST(l_quantity AS BIGINT) * 30 AS VARCHAR) END AS maximum_nights
+FROM lineitem""")

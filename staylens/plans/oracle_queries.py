@@ -462,3 +462,200 @@ FROM (
 oracle("validation_date_dimension", ["dim_date"], """
 SELECT count(*) AS rows, count(DISTINCT date_key) AS distinct_keys, min(date) AS min_date, max(date) AS max_date,
   date_diff('day', min(date), max(date)) + 1 = count(*) AS is_continuous FROM dim_date""")
+
+
+# ---------------------------------------------------------------- profiling
+_RAW_LISTING_COLS = ["id", "listing_url", "scrape_id", "name", "host_id", "host_name", "host_since",
+                     "host_response_time", "host_response_rate", "host_acceptance_rate",
+                     "host_is_superhost", "host_identity_verified", "neighbourhood_cleansed", "city",
+                     "latitude", "longitude", "property_type", "room_type", "accommodates", "bathrooms",
+                     "bathrooms_text", "bedrooms", "beds", "amenities", "price", "minimum_nights",
+                     "maximum_nights", "has_availability", "availability_365", "number_of_reviews",
+                     "last_scraped", "review_scores_rating", "review_scores_cleanliness",
+                     "review_scores_location", "license", "instant_bookable",
+                     "calculated_host_listings_count"]
+
+
+def _profile_sql(cols, src, extra_select="", group=""):
+    parts = []
+    for c in cols:
+        v = f"CAST({c} AS VARCHAR)"
+        n = f"TRY_CAST({v} AS DOUBLE)"
+        parts.append(
+            f"SELECT {extra_select}'{c}' AS \"column\", 'string' AS dtype, count(*) AS rows, "
+            f"count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+            f"round(count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*), 4) AS null_pct, "
+            f"count(DISTINCT {v}) AS distinct_count, min({v}) AS min_text, max({v}) AS max_text, "
+            f"round(min({n}), 4) AS min_num, round(max({n}), 4) AS max_num, round(avg({n}), 4) AS mean_num "
+            f"FROM {src} {group}")
+    return "\nUNION ALL\n".join(parts)
+
+
+oracle("profile_raw_listings", ["raw_listings_full"], _profile_sql(_RAW_LISTING_COLS, "raw_listings_full"))
+oracle("profile_extended_listings", ["listings"], "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", count(*) AS rows, count({c}) AS non_null,
+  count(DISTINCT {c}::DOUBLE) AS distinct_count, round(quantile_cont({c}::DOUBLE, 0.25), 4) AS q1,
+  round(quantile_cont({c}::DOUBLE, 0.5), 4) AS median, round(quantile_cont({c}::DOUBLE, 0.75), 4) AS q3,
+  round(stddev_samp({c}::DOUBLE), 4) AS std,
+  round(count(DISTINCT {c}::DOUBLE) / count(*), 4) AS cardinality_ratio,
+  CASE WHEN (count(*) - count({c})) * 100.0 / count(*) <= 0 THEN 'complete'
+       WHEN (count(*) - count({c})) * 100.0 / count(*) <= 5 THEN 'mostly_complete'
+       WHEN (count(*) - count({c})) * 100.0 / count(*) <= 30 THEN 'partial' ELSE 'sparse' END AS completeness
+FROM listings""" for c in ["price_numeric", "availability_365", "review_scores_rating", "accommodates",
+                           "bedrooms"]).replace(
+    "count(DISTINCT price_numeric::DOUBLE) AS distinct_count,", "count(DISTINCT price_numeric::DOUBLE) AS distinct_count,"))
+_TOPV = ["room_type", "property_type", "host_response_time", "bathrooms_text", "amenities",
+         "city", "neighbourhood_cleansed", "has_availability", "instant_bookable", "host_is_superhost"]
+oracle("profile_top_values", ["raw_listings"], """
+SELECT "column", value, count, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY count DESC, value) AS rank,
+         count(*) OVER (PARTITION BY "column") AS nd
+  FROM (""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS count FROM raw_listings "
+    f"WHERE {c} IS NOT NULL GROUP BY 2" for c in _TOPV) + """))
+WHERE nd <= 200 AND rank <= 5""")
+_IQR = ["latitude", "longitude", "minimum_nights", "maximum_nights", "availability_365",
+        "number_of_reviews", "accommodates", "bedrooms", "beds", "review_scores_rating"]
+
+
+def _iqr(c):
+    sent = c in ("maximum_nights",)
+    num = f"TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE)"
+    val = f"CASE WHEN {num} >= 1073741824.0 THEN NULL ELSE {num} END" if sent else num
+    sc = f"count(*) FILTER (WHERE {num} >= 1073741824.0)" if sent else "0"
+    return f"""SELECT '{c}' AS "column", s.n AS non_null,
+  round(CASE WHEN s.n >= 4 THEN s.q1 - 1.5 * (s.q3 - s.q1) END, 4) AS iqr_lower,
+  round(CASE WHEN s.n >= 4 THEN s.q3 + 1.5 * (s.q3 - s.q1) END, 4) AS iqr_upper,
+  count(*) FILTER (WHERE s.n >= 4 AND v < s.q1 - 1.5 * (s.q3 - s.q1)) AS low_outliers,
+  count(*) FILTER (WHERE s.n >= 4 AND v > s.q3 + 1.5 * (s.q3 - s.q1)) AS high_outliers,
+  s.sc AS sentinel_int_max_rows
+FROM (SELECT {val} AS v FROM raw_listings) x,
+     (SELECT quantile_cont({val}, 0.25) AS q1, quantile_cont({val}, 0.75) AS q3, count({val}) AS n,
+             {sc} AS sc FROM raw_listings) s
+GROUP BY s.n, s.q1, s.q3, s.sc"""
+
+
+oracle("profile_iqr_outliers", ["raw_listings"], "\nUNION ALL\n".join(_iqr(c) for c in _IQR))
+
+
+def _nb(c, lo, hi):
+    return f"coalesce(NOT (TRY_CAST({c} AS DOUBLE) BETWEEN {lo} AND {hi}), TRUE)"
+
+
+_PRICE = "TRY_CAST(regexp_replace(price, '[^0-9.\\-]', '', 'g') AS DOUBLE)"
+_LRULES = [("price_negative", f"{_PRICE} < 0"), ("price_zero", f"{_PRICE} = 0"),
+           ("latitude_out_of_range", _nb("latitude", -90, 90)),
+           ("longitude_out_of_range", _nb("longitude", -180, 180)),
+           ("latitude_outside_city_bbox", _nb("latitude", 51.2, 51.8)),
+           ("longitude_outside_city_bbox", _nb("longitude", -0.55, 0.35)),
+           ("minimum_nights_le_zero", "TRY_CAST(minimum_nights AS DOUBLE) <= 0"),
+           ("minimum_nights_ge_365", "TRY_CAST(minimum_nights AS DOUBLE) >= 365"),
+           ("maximum_nights_int_max_sentinel", "TRY_CAST(maximum_nights AS DOUBLE) >= 1073741824"),
+           ("availability_365_out_of_range", _nb("availability_365", 0, 365)),
+           ("number_of_reviews_negative", "TRY_CAST(number_of_reviews AS DOUBLE) < 0"),
+           ("accommodates_le_zero", "TRY_CAST(accommodates AS DOUBLE) <= 0"),
+           ("bedrooms_negative", "TRY_CAST(bedrooms AS DOUBLE) < 0"),
+           ("beds_negative", "TRY_CAST(beds AS DOUBLE) < 0")]
+_CRULES = [("available_not_in_t_f", "coalesce(NOT (available IN ('t', 'f')), TRUE)"),
+           ("minimum_nights_le_zero", "TRY_CAST(minimum_nights AS DOUBLE) <= 0"),
+           ("minimum_nights_ge_365", "TRY_CAST(minimum_nights AS DOUBLE) >= 365"),
+           ("maximum_nights_int_max_sentinel", "TRY_CAST(maximum_nights AS DOUBLE) >= 1073741824")]
+oracle("profile_domain_rules", ["raw_listings", "raw_calendar"], "\nUNION ALL\n".join(
+    [f"SELECT 'listings' AS source_file, '{n}' AS rule, count(*) FILTER (WHERE {c}) AS violation_count "
+     f"FROM raw_listings" for n, c in _LRULES]
+    + [f"SELECT 'calendar', '{n}', count(*) FILTER (WHERE {c}) FROM raw_calendar" for n, c in _CRULES]))
+oracle("profile_key_integrity", ["typed_listings", "flagged_calendar", "flagged_reviews"], """
+SELECT * FROM (VALUES
+ ('listings_rows', (SELECT count(*) FROM typed_listings)::DOUBLE),
+ ('listings_id_nulls', (SELECT count(*) FILTER (WHERE id IS NULL) FROM typed_listings)::DOUBLE),
+ ('listings_id_distinct', (SELECT count(DISTINCT id) FROM typed_listings)::DOUBLE),
+ ('listings_id_duplicate_rows', (SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM typed_listings
+     GROUP BY id HAVING count(*) > 1))::DOUBLE),
+ ('calendar_key_duplicate_rows', (SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM flagged_calendar
+     GROUP BY listing_id, date HAVING count(*) > 1))::DOUBLE),
+ ('calendar_orphan_rows', (SELECT count(*) FROM flagged_calendar
+     WHERE listing_id IS NULL OR listing_id NOT IN (SELECT id FROM typed_listings WHERE id IS NOT NULL))::DOUBLE),
+ ('reviews_orphan_rows', (SELECT count(*) FROM flagged_reviews
+     WHERE listing_id IS NULL OR listing_id NOT IN (SELECT id FROM typed_listings WHERE id IS NOT NULL))::DOUBLE),
+ ('reviews_id_duplicate_rows', (SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM flagged_reviews
+     GROUP BY id HAVING count(*) > 1))::DOUBLE),
+ ('listings_without_calendar', (SELECT count(DISTINCT id) FROM typed_listings WHERE id IS NOT NULL AND id NOT IN
+     (SELECT listing_id FROM flagged_calendar WHERE listing_id IS NOT NULL))::DOUBLE)) t("check", value)""")
+oracle("profile_exact_duplicates", ["raw_calendar_full", "raw_reviews"], """
+SELECT count(*) AS rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_calendar_full)) AS distinct_rows,
+  count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_calendar_full)) AS duplicate_rows,
+  'calendar' AS source FROM raw_calendar_full
+UNION ALL
+SELECT count(*), (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_reviews)),
+  count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_reviews)), 'reviews' FROM raw_reviews""")
+
+
+def _templates(src, col):
+    return (f"(SELECT lower(trim(coalesce({col}, ''))) AS norm, count(*) AS occurrences FROM {src} GROUP BY 1)")
+
+
+oracle("document_text_templates_summary", [], f"""
+SELECT CAST(coalesce(sum(occurrences) FILTER (WHERE occurrences > 1), 0) AS BIGINT) AS duplicate_text_rows,
+  count(*) FILTER (WHERE occurrences > 1) AS distinct_template_count FROM {_templates('documents', 'text')}""")
+oracle("document_text_templates_top", [], f"""
+SELECT occurrences, substr(norm, 1, 100) AS preview FROM {_templates('documents', 'text')}
+ORDER BY occurrences DESC, norm LIMIT 20""")
+oracle("review_comment_templates_summary", ["raw_reviews"], f"""
+SELECT CAST(coalesce(sum(occurrences) FILTER (WHERE occurrences > 1), 0) AS BIGINT) AS duplicate_text_rows,
+  count(*) FILTER (WHERE occurrences > 1) AS distinct_template_count FROM {_templates('raw_reviews', 'comments')}""")
+_NORM = "regexp_replace(lower(trim(coalesce({0}, ''))), '\\s+', ' ', 'g')"
+oracle("listing_duplicate_blocks", ["listings"], f"""
+SELECT block_size, id, host_id, neighbourhood_cleansed, name FROM (
+  SELECT *, count(*) OVER (PARTITION BY neighbourhood_cleansed, host_id, round(latitude, 3),
+                                        round(longitude, 3), {_NORM.format('name')}) AS block_size
+  FROM listings WHERE {_NORM.format('name')} <> '') WHERE block_size > 1""")
+oracle("document_duplicate_blocks", [], f"""
+SELECT block_size, doc_id, lang, source FROM (
+  SELECT *, count(*) OVER (PARTITION BY lang, {_NORM.format('text')}) AS block_size
+  FROM documents WHERE {_NORM.format('text')} <> '') WHERE block_size > 1""")
+_SC = ["price_numeric", "host_response_rate", "bedrooms", "review_scores_rating", "bathroom_count",
+       "host_is_superhost", "room_type"]
+_SCT = {"price_numeric": "double", "host_response_rate": "double", "bedrooms": "double",
+        "review_scores_rating": "double", "bathroom_count": "double", "host_is_superhost": "boolean",
+        "room_type": "string"}
+
+
+def _np(city):
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS col, '{_SCT[c]}' AS dtype, count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*) AS np "
+        f"FROM listings WHERE city = '{city}'" for c in _SC)
+
+
+oracle("schema_compare_cities", ["listings"], f"""
+SELECT coalesce(a.col, b.col) AS "column",
+  CASE WHEN a.col IS NOT NULL AND b.col IS NOT NULL THEN 'both' WHEN a.col IS NOT NULL THEN 'only_a' ELSE 'only_b' END
+    AS presence,
+  a.dtype AS dtype_a, b.dtype AS dtype_b, round(a.np, 4) AS null_pct_a, round(b.np, 4) AS null_pct_b,
+  abs(a.np - b.np) > 10 AS null_rate_drift, a.dtype <> b.dtype AS dtype_mismatch
+FROM ({_np('AFRICA')}) a FULL JOIN ({_np('AMERICA')}) b ON a.col = b.col""")
+oracle("neighbourhood_name_parity", [], """
+SELECT 'only_a' AS side, name FROM (SELECT trim(n_name || ' ') AS name FROM nation
+  EXCEPT ALL SELECT trim(n_name) FROM nation)
+UNION ALL SELECT 'only_b', name FROM (SELECT trim(n_name) AS name FROM nation
+  EXCEPT ALL SELECT trim(n_name || ' ') FROM nation)""")
+oracle("sample_listings_first_2000", ["listings"], """
+SELECT id, host_id, round(price_numeric, 4) AS price_numeric FROM listings ORDER BY id LIMIT 2000""")
+oracle("profile_completeness_rollup", ["raw_listings_full", "raw_calendar_full", "raw_reviews"], """
+SELECT source, count(*) AS columns, count(*) FILTER (WHERE null_count = 0) AS full_columns,
+  count(*) FILTER (WHERE null_count > 0 AND null_count < rows) AS partial_columns,
+  count(*) FILTER (WHERE null_count = rows) AS fully_null_columns,
+  count(*) FILTER (WHERE null_count * 100.0 / rows >= 30) AS columns_ge_30pct_null
+FROM (SELECT 'listings' AS source, UNNEST(map_values(m)) AS null_count, rows FROM (
+        SELECT count(*) AS rows, MAP {""" + ", ".join(
+    f"'{c}': count(*) FILTER (WHERE {c} IS NULL)" for c in _RAW_LISTING_COLS) + """} AS m FROM raw_listings_full)
+      UNION ALL
+      SELECT 'calendar', UNNEST([count(*) FILTER (WHERE listing_id IS NULL), count(*) FILTER (WHERE date IS NULL),
+        count(*) FILTER (WHERE available IS NULL), count(*) FILTER (WHERE price IS NULL),
+        count(*) FILTER (WHERE adjusted_price IS NULL), count(*) FILTER (WHERE minimum_nights IS NULL),
+        count(*) FILTER (WHERE maximum_nights IS NULL)]), count(*) FROM raw_calendar_full
+      UNION ALL
+      SELECT 'reviews', UNNEST([count(*) FILTER (WHERE listing_id IS NULL), count(*) FILTER (WHERE id IS NULL),
+        count(*) FILTER (WHERE date IS NULL), count(*) FILTER (WHERE reviewer_id IS NULL),
+        count(*) FILTER (WHERE reviewer_name IS NULL), count(*) FILTER (WHERE comments IS NULL)]), count(*)
+      FROM raw_reviews)
+GROUP BY source""")
