@@ -698,3 +698,122 @@ def _(spark, sf):
             .unionByName(PR.column_profile(p.raw_calendar).withColumn("source", F.lit("calendar")))
             .unionByName(PR.column_profile(p.raw_reviews).withColumn("source", F.lit("reviews"))))
     return PR.completeness_rollup(prof)
+
+
+# ------------------------------------------------------------ statistics (H*)
+from staylens.operators import stats as ST  # noqa: E402
+
+
+def _h1_frame(spark, sf):
+    e = _eda(spark, sf).where(F.col("room_type").isin("entire_home", "private_room"))
+    return e.withColumn("log_price", F.log1p("price_numeric")), F.col("room_type") == "entire_home"
+
+
+def listing_weekpart(cal: DataFrame) -> DataFrame:
+    """Per-listing weekday / weekend availability (long -> wide)."""
+    wk = SC.is_weekend(F.col("date"))
+    a = F.col("available").cast("double")
+    return cal.groupBy("listing_id").agg(F.avg(F.when(~wk, a)).alias("weekday_rate"),
+                                         F.avg(F.when(wk, a)).alias("weekend_rate")) \
+        .withColumn("diff", F.col("weekend_rate") - F.col("weekday_rate"))
+
+
+@_q("stats_welch_room_type_log_price")
+def _(spark, sf):
+    e, g = _h1_frame(spark, sf)
+    return ST.welch_stats(e, "log_price", g, "entire_home", "private_room")
+
+
+@_q("stats_welch_review_count_log_price")
+def _(spark, sf):
+    e = _eda(spark, sf).where(F.col("number_of_reviews").isNotNull()).withColumn(
+        "log_price", F.log1p("price_numeric"))
+    return ST.welch_stats(e, "log_price", F.col("number_of_reviews") > 10, "high_review", "low_review")
+
+
+@_q("stats_mann_whitney_superhost_rating")
+def _(spark, sf):
+    lm = _lm(spark, sf)
+    return ST.mann_whitney(lm, "review_scores_rating", F.col("host_is_superhost")).drop("p_value")
+
+
+def _kw_frame(spark, sf):
+    e = _eda(spark, sf)
+    counts = e.groupBy("neighbourhood_cleansed").agg(F.count("price_numeric").alias("__n"))
+    floor = e.agg(F.greatest(F.lit(30), F.floor(F.count(F.lit(1)) * 0.001)).alias("__min"))
+    keep = counts.withColumn("__one", F.lit(1)).join(F.broadcast(floor.withColumn("__one", F.lit(1))), "__one") \
+        .where(F.col("__n") >= F.col("__min")).select("neighbourhood_cleansed")
+    # ranks of price equal ranks of log1p(price) (monotone transform)
+    return e.join(keep, "neighbourhood_cleansed", "left_semi")
+
+
+@_q("stats_kruskal_neighbourhood_price")
+def _(spark, sf):
+    return ST.kruskal_wallis(_kw_frame(spark, sf), "price_numeric", "neighbourhood_cleansed").drop("p_value")
+
+
+@_q("stats_weekend_availability_diff")
+def _(spark, sf):
+    wp = EDA.weekpart_availability(Pipeline(spark, sf).calendar)
+    agg = wp.agg(F.max(F.when(F.col("is_weekend"), F.col("availability_rate"))).alias("weekend_rate"),
+                 F.max(F.when(~F.col("is_weekend"), F.col("availability_rate"))).alias("weekday_rate"),
+                 F.sum("total_days").alias("n_total"))
+    d = F.col("weekend_rate") - F.col("weekday_rate")
+    return agg.select("n_total", "weekend_rate", "weekday_rate", d.alias("statistic"),
+                      (F.abs(d) > 0.01).alias("significant"))
+
+
+@_q("calendar_listing_weekpart_pivot")
+def _(spark, sf):
+    return listing_weekpart(Pipeline(spark, sf).calendar)
+
+
+@_q("stats_wilcoxon_weekend_weekday")
+def _(spark, sf):
+    w = ST.wilcoxon_signed_rank(listing_weekpart(Pipeline(spark, sf).calendar))
+    return w.select("n", "n_pairs", "statistic", "z", "effect_size", "mean_diff")
+
+
+@_q("stats_welch_ci_room_type")
+def _(spark, sf):
+    e, g = _h1_frame(spark, sf)
+    return ST.welch_test(e, "log_price", g, "entire_home", "private_room")
+
+
+@_q("stats_bootstrap_superhost_price")
+def _(spark, sf):
+    return ST.bootstrap_mean_diff(_eda(spark, sf), "price_numeric", F.col("host_is_superhost"), 2000)
+
+
+@query("stats_ols_hc3_log_price")
+def _(spark, sf):
+    e = _eda(spark, sf).withColumn("log_price", F.log1p("price_numeric")) \
+        .withColumn("superhost_flag", F.col("host_is_superhost").cast("double"))
+    return ST.ols_hc3(e, "log_price", ["accommodates", "bedrooms", "review_scores_rating", "superhost_flag"],
+                      ["room_type", "neighbourhood_cleansed"])
+
+
+@query("stats_hypothesis_tests")
+def _(spark, sf):
+    """H9: the effect table (statistic, p-value, effect size, direction, significance)."""
+    e, g = _h1_frame(spark, sf)
+    h1 = ST.welch_test(e, "log_price", g).select(
+        F.lit("H1").alias("test"), F.lit("Welch t-test (log)").alias("method"),
+        (F.col("n1") + F.col("n2")).alias("n_total"), "statistic", "p_value", "effect_size",
+        F.lit("Cohen d").alias("effect_label"))
+    lm = _lm(spark, sf)
+    h2 = ST.mann_whitney(lm, "review_scores_rating", F.col("host_is_superhost")).select(
+        F.lit("H2"), F.lit("Mann-Whitney U"), (F.col("n1") + F.col("n2")), "statistic", "p_value",
+        "effect_size", F.lit("rank-biserial r"))
+    e3 = _eda(spark, sf).where(F.col("number_of_reviews").isNotNull()).withColumn(
+        "log_price", F.log1p("price_numeric"))
+    h3 = ST.welch_test(e3, "log_price", F.col("number_of_reviews") > 10).select(
+        F.lit("H3"), F.lit("Welch t-test (log)"), (F.col("n1") + F.col("n2")), "statistic", "p_value",
+        "effect_size", F.lit("Cohen d"))
+    h4 = ST.kruskal_wallis(_kw_frame(spark, sf), "price_numeric", "neighbourhood_cleansed").select(
+        F.lit("H4"), F.lit("Kruskal-Wallis"), "n_total", "statistic", "p_value", "effect_size",
+        F.lit("epsilon-squared"))
+    out = h1.unionAll(h2).unionAll(h3).unionAll(h4)
+    return out.withColumn("significant", F.col("p_value") < 0.05).withColumn(
+        "direction", F.when(F.col("effect_size") > 0, "positive").when(F.col("effect_size") < 0, "negative")
+        .otherwise("none"))

@@ -659,3 +659,75 @@ FROM (SELECT 'listings' AS source, UNNEST(map_values(m)) AS null_count, rows FRO
         count(*) FILTER (WHERE reviewer_name IS NULL), count(*) FILTER (WHERE comments IS NULL)]), count(*)
       FROM raw_reviews)
 GROUP BY source""")
+
+
+# ---------------------------------------------------------------- statistics
+def _welch(src, cond, a, b):
+    return f"""SELECT '{a}' AS group_a, '{b}' AS group_b, n1, n2, round(m1, 4) AS m1, round(m2, 4) AS m2,
+  round(v1, 4) AS v1, round(v2, 4) AS v2, round((m1 - m2) / sqrt(v1 / n1 + v2 / n2), 4) AS statistic,
+  round(pow(v1 / n1 + v2 / n2, 2) / (pow(v1 / n1, 2) / (n1 - 1) + pow(v2 / n2, 2) / (n2 - 1)), 4) AS dof,
+  round((m1 - m2) / sqrt((v1 + v2) / 2), 4) AS effect_size, round(m1 - m2, 4) AS mean_diff,
+  round(sqrt(v1 / n1 + v2 / n2), 4) AS se_diff
+FROM (SELECT count(x) FILTER (WHERE g) AS n1, avg(x) FILTER (WHERE g) AS m1, var_samp(x) FILTER (WHERE g) AS v1,
+             count(x) FILTER (WHERE NOT g) AS n2, avg(x) FILTER (WHERE NOT g) AS m2,
+             var_samp(x) FILTER (WHERE NOT g) AS v2
+      FROM (SELECT ln(1 + price_numeric) AS x, {cond} AS g FROM {src}) WHERE x IS NOT NULL AND g IS NOT NULL)"""
+
+
+oracle("stats_welch_room_type_log_price", ["eda"], _welch(
+    "eda WHERE room_type IN ('entire_home', 'private_room')", "room_type = 'entire_home'",
+    "entire_home", "private_room"))
+oracle("stats_welch_review_count_log_price", ["eda"], _welch(
+    "eda WHERE number_of_reviews IS NOT NULL", "number_of_reviews > 10", "high_review", "low_review"))
+oracle("stats_mann_whitney_superhost_rating", ["lm"], """
+SELECT n1, n2, round(u, 4) AS statistic,
+  round((abs(u - n1 * n2 / 2) - 0.5) / sqrt(n1 * n2 / 12 * ((n + 1) - tie / (n * (n - 1)))), 4) AS z,
+  round(2 * u / (n1 * n2) - 1, 4) AS effect_size
+FROM (SELECT count(*) FILTER (WHERE g) AS n1, count(*) FILTER (WHERE NOT g) AS n2, count(*)::DOUBLE AS n,
+             sum(r) FILTER (WHERE g) - count(*) FILTER (WHERE g) * (count(*) FILTER (WHERE g) + 1) / 2 AS u,
+             (SELECT sum(pow(t, 3) - t) FROM (SELECT count(*)::DOUBLE AS t FROM lm
+                WHERE review_scores_rating IS NOT NULL AND host_is_superhost IS NOT NULL
+                GROUP BY review_scores_rating)) AS tie
+      FROM (SELECT host_is_superhost AS g,
+                   (rank() OVER (ORDER BY review_scores_rating)
+                    + count(*) OVER (PARTITION BY review_scores_rating) - 1
+                    + rank() OVER (ORDER BY review_scores_rating)) / 2.0 AS r
+            FROM lm WHERE review_scores_rating IS NOT NULL AND host_is_superhost IS NOT NULL))""")
+oracle("stats_kruskal_neighbourhood_price", ["eda"], """
+SELECT CAST(n AS BIGINT) AS n_total, k AS groups, round(h, 4) AS statistic, round((h - k + 1) / (n - k), 4) AS effect_size
+FROM (SELECT n, k, (12 / (n * (n + 1)) * s - 3 * (n + 1)) / (1 - tie / (pow(n, 3) - n)) AS h
+      FROM (SELECT sum(rs * rs / c) AS s, count(*) AS k, sum(c)::DOUBLE AS n, max(tie) AS tie FROM (
+              SELECT nb, sum(r) AS rs, count(*) AS c,
+                     (SELECT sum(pow(t, 3) - t) FROM (SELECT count(*)::DOUBLE AS t FROM kw GROUP BY price_numeric)) AS tie
+              FROM (SELECT neighbourhood_cleansed AS nb, (2 * rank() OVER (ORDER BY price_numeric)
+                           + count(*) OVER (PARTITION BY price_numeric) - 1) / 2.0 AS r FROM kw)
+              GROUP BY nb)))""".replace("kw", "(SELECT * FROM eda WHERE neighbourhood_cleansed IN ("
+    "SELECT neighbourhood_cleansed FROM eda GROUP BY 1 HAVING count(price_numeric) >= "
+    "(SELECT greatest(30, floor(count(*) * 0.001)) FROM eda)))"))
+oracle("stats_weekend_availability_diff", ["calendar"], """
+SELECT n_total, round(we, 4) AS weekend_rate, round(wd, 4) AS weekday_rate, round(we - wd, 4) AS statistic,
+  abs(we - wd) > 0.01 AS significant
+FROM (SELECT count(available) AS n_total,
+        sum(CAST(available AS INT)) FILTER (WHERE dayofweek(date) IN (0, 6))
+          / count(available) FILTER (WHERE dayofweek(date) IN (0, 6)) AS we,
+        sum(CAST(available AS INT)) FILTER (WHERE dayofweek(date) NOT IN (0, 6))
+          / count(available) FILTER (WHERE dayofweek(date) NOT IN (0, 6)) AS wd FROM calendar)""")
+_WP = """SELECT listing_id, avg(CAST(available AS DOUBLE)) FILTER (WHERE dayofweek(date) NOT IN (0, 6)) AS weekday_rate,
+  avg(CAST(available AS DOUBLE)) FILTER (WHERE dayofweek(date) IN (0, 6)) AS weekend_rate
+FROM calendar GROUP BY listing_id"""
+oracle("calendar_listing_weekpart_pivot", ["calendar"], f"""
+SELECT listing_id, round(weekday_rate, 4) AS weekday_rate, round(weekend_rate, 4) AS weekend_rate,
+  round(weekend_rate - weekday_rate, 4) AS diff FROM ({_WP})""")
+oracle("stats_wilcoxon_weekend_weekday", ["calendar"], f"""
+SELECT n, n_pairs, round(w, 4) AS statistic,
+  round((w - n * (n + 1) / 4) / sqrt(n * (n + 1) * (2 * n + 1) / 24 - tie / 48), 4) AS z,
+  round(md / sd, 4) AS effect_size, round(md, 4) AS mean_diff
+FROM (SELECT count(*) FILTER (WHERE d <> 0) AS n,
+        sum(r) FILTER (WHERE d > 0) AS w,
+        (SELECT sum(pow(t, 3) - t) FROM (SELECT count(*)::DOUBLE AS t FROM ({_WP}) WHERE weekend_rate - weekday_rate <> 0
+           GROUP BY abs(weekend_rate - weekday_rate))) AS tie,
+        (SELECT count(*) FROM ({_WP}) WHERE weekend_rate - weekday_rate IS NOT NULL) AS n_pairs,
+        (SELECT avg(weekend_rate - weekday_rate) FROM ({_WP})) AS md,
+        (SELECT stddev_samp(weekend_rate - weekday_rate) FROM ({_WP})) AS sd
+      FROM (SELECT d, (2 * rank() OVER (ORDER BY abs(d)) + count(*) OVER (PARTITION BY abs(d)) - 1) / 2.0 AS r
+            FROM (SELECT weekend_rate - weekday_rate AS d FROM ({_WP})) WHERE d IS NOT NULL AND d <> 0))""")
