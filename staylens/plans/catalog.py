@@ -817,3 +817,65 @@ def _(spark, sf):
     return out.withColumn("significant", F.col("p_value") < 0.05).withColumn(
         "direction", F.when(F.col("effect_size") > 0, "positive").when(F.col("effect_size") < 0, "negative")
         .otherwise("none"))
+
+
+# ------------------------------------------------------------ streaming (ST*)
+from staylens.streaming import cdc as CDC  # noqa: E402
+
+
+@query("cdc_scd2_history")
+def _(spark, sf):
+    job = CDC.run_from_orders(spark, sf, replays=2)
+    return job.history().select("listing_id", "lsn", F.round("price_numeric", 4).alias("price_numeric"),
+                                "room_type", "valid_from", "valid_to", "is_current", "is_deleted")
+
+
+@query("cdc_dead_letters")
+def _(spark, sf):
+    job = CDC.run_from_orders(spark, sf)
+    return job.dead_letters().select("listing_id", "lsn", "op", "action", "failure_reason")
+
+
+@query("cdc_dead_letter_alarm")
+def _(spark, sf):
+    return CDC.dead_letter_alarm(CDC.run_from_orders(spark, sf).dead_letters())
+
+
+@query("cdc_progress")
+def _(spark, sf):
+    return CDC.run_from_orders(spark, sf).progress()
+
+
+def _expected_current(spark, sf):
+    """Batch snapshot of listings implied by the orders (price after open-order repricing,
+    pending low-priority orders removed)."""
+    o = _table(spark, sf, "orders", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    room = (F.when(F.col("o_orderpriority").isin("1-URGENT", "3-MEDIUM"), "entire_home")
+            .when(F.col("o_orderpriority") == "2-HIGH", "private_room")
+            .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "shared_room").otherwise("hotel_room"))
+    return o.where(~((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"))).select(
+        F.col("o_orderkey").alias("listing_id"),
+        F.round(F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice") * F.lit(1.2))
+                .otherwise(F.col("o_totalprice")), 4).alias("price_numeric"),
+        room.alias("room_type"))
+
+
+@query("cdc_reconciliation")
+def _(spark, sf):
+    cur = CDC.run_from_orders(spark, sf).history().where("is_current AND NOT is_deleted").select(
+        "listing_id", F.round("price_numeric", 4).alias("price_numeric"), "room_type")
+    return CDC.reconcile(_expected_current(spark, sf), cur, "listing_id", ["price_numeric", "room_type"])
+
+
+@query("calendar_upsert_last_lsn")
+def _(spark, sf):
+    """ST6: calendar facts upserted from line-level updates; per (listing, day) the
+    update with the highest line number (the lsn) wins."""
+    li = _table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate", "l_linestatus",
+                "l_quantity")
+    upd = li.select(F.col("l_orderkey").alias("listing_id"), F.to_date("l_shipdate").alias("date"),
+                    (F.col("l_linestatus") == "O").alias("available"),
+                    F.col("l_quantity").cast("long").alias("minimum_nights"),
+                    F.col("l_linenumber").cast("long").alias("lsn"))
+    existing = Pipeline(spark, sf).calendar.select("listing_id", "date", "available", "minimum_nights")
+    return CDC.upsert_last_wins(existing, upd, ["listing_id", "date"], "lsn")

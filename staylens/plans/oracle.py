@@ -440,3 +440,22 @@ SELECT CAST(l_orderkey AS VARCHAR) AS listing_id,
   CASE WHEN l_linenumber = 1 THEN '2147483647'
        ELSE CAST(CAST(l_quantity AS BIGINT) * 30 AS VARCHAR) END AS maximum_nights
 FROM lineitem""")
+
+# ---------------------------------------------------------------- CDC
+cte("cdc_events", [], """
+SELECT o_orderkey AS listing_id, o_orderkey * 10 + 1 AS lsn, o_orderdate::TIMESTAMP AS valid_from,
+       o_totalprice AS price_numeric, FALSE AS is_deleted, o_orderpriority, o_orderstatus FROM orders
+UNION ALL
+SELECT o_orderkey, o_orderkey * 10 + 2, o_orderdate::TIMESTAMP + INTERVAL 1 DAY, o_totalprice * 1.2::DOUBLE, FALSE,
+       o_orderpriority, o_orderstatus FROM orders WHERE o_orderstatus = 'O'
+UNION ALL
+SELECT o_orderkey, o_orderkey * 10 + 3, o_orderdate::TIMESTAMP + INTERVAL 2 DAY, NULL, TRUE,
+       o_orderpriority, o_orderstatus FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '5-LOW'""")
+cte("cdc_history", ["cdc_events"], """
+SELECT listing_id, lsn, round(price_numeric, 4) AS price_numeric,
+  CASE WHEN is_deleted THEN NULL WHEN o_orderpriority IN ('1-URGENT', '3-MEDIUM') THEN 'entire_home'
+       WHEN o_orderpriority = '2-HIGH' THEN 'private_room' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'shared_room'
+       ELSE 'hotel_room' END AS room_type,
+  valid_from, lead(valid_from) OVER (PARTITION BY listing_id ORDER BY valid_from, lsn) AS valid_to,
+  lead(valid_from) OVER (PARTITION BY listing_id ORDER BY valid_from, lsn) IS NULL AS is_current, is_deleted
+FROM cdc_events""")

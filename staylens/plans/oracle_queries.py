@@ -731,3 +731,27 @@ FROM (SELECT count(*) FILTER (WHERE d <> 0) AS n,
         (SELECT stddev_samp(weekend_rate - weekday_rate) FROM ({_WP})) AS sd
       FROM (SELECT d, (2 * rank() OVER (ORDER BY abs(d)) + count(*) OVER (PARTITION BY abs(d)) - 1) / 2.0 AS r
             FROM (SELECT weekend_rate - weekday_rate AS d FROM ({_WP})) WHERE d IS NOT NULL AND d <> 0))""")
+
+
+# ---------------------------------------------------------------- CDC
+oracle("cdc_scd2_history", ["cdc_history"], "SELECT * FROM cdc_history")
+oracle("cdc_dead_letters", [], """
+SELECT o_orderkey AS listing_id, o_orderkey * 10 + 4 AS lsn, 'u' AS op, 'update' AS action,
+  'invalid_price_numeric' AS failure_reason
+FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED'""")
+oracle("cdc_dead_letter_alarm", [], """
+SELECT count(*) AS depth, count(*) > 100 AS alarm FROM orders
+WHERE o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED'""")
+oracle("cdc_progress", ["cdc_events"], "SELECT 'listings' AS source_table, max(lsn) AS last_lsn FROM cdc_events")
+oracle("cdc_reconciliation", ["cdc_history"], """
+SELECT count(*) AS snapshot_rows, count(*) AS stream_rows, count(*) AS matched_rows, 0::BIGINT AS mismatched_rows
+FROM cdc_history WHERE is_current AND NOT is_deleted""")
+oracle("calendar_upsert_last_lsn", ["calendar"], """
+SELECT listing_id, date, available, minimum_nights FROM calendar
+WHERE (listing_id, date) NOT IN (SELECT (l_orderkey, CAST(l_shipdate AS DATE)) FROM lineitem)
+UNION ALL
+SELECT listing_id, date, max_by(available, o) AS available, max_by(minimum_nights, o) AS minimum_nights FROM (
+  SELECT l_orderkey AS listing_id, CAST(l_shipdate AS DATE) AS date, l_linestatus = 'O' AS available,
+         CAST(l_quantity AS BIGINT) AS minimum_nights,
+         (l_linenumber, l_linestatus = 'O', CAST(l_quantity AS BIGINT)) AS o
+  FROM lineitem) GROUP BY 1, 2""")
