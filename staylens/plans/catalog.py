@@ -879,3 +879,205 @@ def _(spark, sf):
                     F.col("l_linenumber").cast("long").alias("lsn"))
     existing = Pipeline(spark, sf).calendar.select("listing_id", "date", "available", "minimum_nights")
     return CDC.upsert_last_wins(existing, upd, ["listing_id", "date"], "lsn")
+
+
+# ------------------------------------------------------------ features, models, segments (M*)
+from pyspark.ml.functions import array_to_vector  # noqa: E402
+
+from staylens.operators import features as FE  # noqa: E402
+from staylens.operators import models as MO  # noqa: E402
+
+MODEL_NUMERIC = ["accommodates", "bedrooms", "beds", "bathroom_count", "minimum_nights",
+                 "host_tenure_years", "host_response_rate", "availability_365", "review_scores_rating",
+                 "review_scores_cleanliness", "review_scores_location", "reviews_per_month_calc",
+                 "calculated_host_listings_count", "number_of_reviews", "beds_per_guest",
+                 "host_is_superhost", "instant_bookable", "bathroom_is_shared", "amenity_count",
+                 "has_wifi", "has_kitchen", "has_washer", "has_pool"]
+MODEL_CATEGORICAL = ["room_type", "neighbourhood_cleansed", "property_type_bucket"]
+
+
+def _features(spark, sf):
+    return FE.listing_features(Pipeline(spark, sf).master)
+
+
+def _split(spark, sf):
+    f = MO.group_split(_features(spark, sf))
+    return f.where(~F.col("is_test")), f.where(F.col("is_test"))
+
+
+@_q("features_listing_matrix")
+def _(spark, sf):
+    return _features(spark, sf)
+
+
+@_q("features_host")
+def _(spark, sf):
+    hf = FE.host_features(Pipeline(spark, sf).master)
+    # exact decimal means: report half-up at 4 places on both engines
+    return hf.withColumns({c: F.round(F.col(c) + F.lit(1e-9), 4) for c in ["avg_price", "avg_review_scores_rating"]})
+
+
+@_q("features_clustering")
+def _(spark, sf):
+    return FE.clustering_features(Pipeline(spark, sf).master, LONDON_CENTRE)
+
+
+@_q("model_group_split")
+def _(spark, sf):
+    f = MO.group_split(_features(spark, sf))
+    return f.groupBy("is_test").agg(F.count(F.lit(1)).alias("listings"),
+                                    F.count_distinct("host_id").alias("hosts"))
+
+
+@_q("model_baseline_medians")
+def _(spark, sf):
+    tr, te = _split(spark, sf)
+    return MO.baseline_medians(tr, te)
+
+
+def _fit(spark, sf, kind):
+    tr, te = _split(spark, sf)
+    model, trf = MO.fit_price_model(tr, kind, MODEL_NUMERIC, MODEL_CATEGORICAL)
+    return model, trf, te
+
+
+@_q("model_price_comparison")
+def _(spark, sf):
+    """Ridge and random forest vs the median baselines, test MAE order."""
+    out = None
+    for kind in ["ridge", "random_forest"]:
+        model, trf, te = _fit(spark, sf, kind)
+        m = MO.regression_metrics(MO.score(model, te, MODEL_NUMERIC, trf)).withColumn("model", F.lit(kind))
+        out = m if out is None else out.unionByName(m)
+    tr, te = _split(spark, sf)
+    return out.unionByName(MO.baseline_medians(tr, te)).orderBy("mae")
+
+
+@_q("model_gradient_boosting")
+def _(spark, sf):
+    """Gradient boosting, 500 rounds x 0.05 learning rate (the reference setting)."""
+    model, trf, te = _fit(spark, sf, "gradient_boosting")
+    return MO.regression_metrics(MO.score(model, te, MODEL_NUMERIC, trf)).withColumn(
+        "model", F.lit("gradient_boosting"))
+
+
+@_q("model_cv_ridge")
+def _(spark, sf):
+    """5-fold group CV (fold = host hash), MAE in price units, train/validation gap."""
+    f = _features(spark, sf).withColumn("fold", MO.hash_bucket("host_id", 5, 7))
+    rows = None
+    for k in range(5):
+        tr, va = f.where(F.col("fold") != k), f.where(F.col("fold") == k)
+        model, trf = MO.fit_price_model(tr, "ridge", MODEL_NUMERIC, MODEL_CATEGORICAL)
+        mv = MO.regression_metrics(MO.score(model, va, MODEL_NUMERIC, trf)).select(F.col("mae").alias("val_mae"))
+        mt = MO.regression_metrics(MO.score(model, tr, MODEL_NUMERIC, trf)).select(F.col("mae").alias("train_mae"))
+        r = mv.withColumn("__one", F.lit(1)).join(mt.withColumn("__one", F.lit(1)), "__one") \
+            .select(F.lit(k).alias("fold"), "train_mae", "val_mae",
+                    (F.col("train_mae") - F.col("val_mae")).alias("overfit_gap"))
+        rows = r if rows is None else rows.unionByName(r)
+    return rows
+
+
+@_q("model_residuals_by_segment")
+def _(spark, sf):
+    model, trf, te = _fit(spark, sf, "ridge")
+    res = MO.residual_table(MO.score(model, te, MODEL_NUMERIC, trf))
+    res = res.withColumn("host_segment", Bd.band(F.col("calculated_host_listings_count"),
+                                                 [("solo (1)", 1), ("multi (2-4)", 4), ("professional (5+)", None)]))
+    out = None
+    for seg in ["price_band", "room_type", "host_segment"]:
+        s = MO.segment_errors(res, seg).select(F.lit(seg).alias("segment_type"),
+                                               F.col(seg).alias("segment"), "*").drop(seg)
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+@_q("model_batch_scoring")
+def _(spark, sf):
+    model, trf, te = _fit(spark, sf, "ridge")
+    return MO.reliability_flags(MO.score(model, te, MODEL_NUMERIC, trf)).select(
+        "id", "room_type", "price_numeric", "predicted_price", "warnings")
+
+
+@_q("model_permutation_importance")
+def _(spark, sf):
+    model, trf, te = _fit(spark, sf, "ridge")
+    feats = ["accommodates", "bedrooms", "availability_365", "review_scores_rating", "minimum_nights",
+             "host_tenure_years", "number_of_reviews", "amenity_count"]
+    return MO.permutation_importance(model, te, feats, MODEL_NUMERIC, trf, repeats=10)
+
+
+@_q("model_cross_city_transfer")
+def _(spark, sf):
+    f = _features(spark, sf).join(Pipeline(spark, sf).listings.select("id", "city"), "id")
+    a, b = f.where(F.col("city") == "AFRICA"), f.where(F.col("city") == "AMERICA")
+    ta, tb = MO.group_split(a), MO.group_split(b)
+    model_a, trf_a = MO.fit_price_model(ta.where(~F.col("is_test")), "ridge", MODEL_NUMERIC, MODEL_CATEGORICAL)
+    model_b, trf_b = MO.fit_price_model(tb.where(~F.col("is_test")), "ridge", MODEL_NUMERIC, MODEL_CATEGORICAL)
+    test_b = tb.where(F.col("is_test"))
+    transfer = MO.score(model_a, test_b, MODEL_NUMERIC, trf_a)
+    native = MO.score(model_b, test_b, MODEL_NUMERIC, trf_b)
+    out = MO.regression_metrics(transfer).withColumn("setting", F.lit("AFRICA->AMERICA")).unionByName(
+        MO.regression_metrics(native).withColumn("setting", F.lit("AMERICA in-domain")))
+    by_rt = MO.segment_errors(MO.residual_table(transfer), "room_type").select(
+        F.col("room_type").alias("segment"), "mae")
+    return out.withColumn("segment", F.lit("all")).select("setting", "segment", "n", "mae").unionByName(
+        by_rt.select(F.lit("AFRICA->AMERICA").alias("setting"), "segment", "n", "mae"))
+
+
+def _cluster_vec(spark, sf):
+    cf = FE.clustering_features(Pipeline(spark, sf).master, LONDON_CENTRE)
+    scaled = MO.log_scale(cf, FE.CLUSTER_FEATURES,
+                          ["price_numeric", "reviews_per_month_calc", "calculated_host_listings_count"])
+    return MO.assemble(scaled, [f"z_{c}" for c in FE.CLUSTER_FEATURES]), cf
+
+
+@_q("segments_listing_kmeans_sweep")
+def _(spark, sf):
+    vec, _ = _cluster_vec(spark, sf)
+    return MO.kmeans_sweep(vec.cache(), range(2, 11))
+
+
+@_q("segments_listing_profiles")
+def _(spark, sf):
+    vec, _ = _cluster_vec(spark, sf)
+    vec = vec.cache()
+    sweep = MO.kmeans_sweep(vec, range(2, 11)).collect()
+    k = MO.choose_k([r.asDict() for r in sweep])
+    return MO.cluster_profile(MO.fit_kmeans(vec, k)).withColumn("k", F.lit(k))
+
+
+@_q("segments_host_profiles")
+def _(spark, sf):
+    hf = FE.host_features(Pipeline(spark, sf).master)
+    cols = FE.HOST_FEATURES
+    vec = MO.assemble(MO.log_scale(hf, cols, ["listing_count", "avg_price"]), [f"z_{c}" for c in cols]).cache()
+    sweep = MO.kmeans_sweep(vec, range(2, 9)).collect()
+    k = MO.choose_k([r.asDict() for r in sweep])
+    lab = MO.fit_kmeans(vec, k)
+    return lab.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("hosts"), *[F.avg(c).alias(f"mean_{c}") for c in cols]).withColumn("k", F.lit(k))
+
+
+@_q("segments_embedding_clusters")
+def _(spark, sf):
+    e = _table(spark, sf, "embeddings", "vec_id", "embedding", "label")
+    vec = e.select("vec_id", "label", array_to_vector("embedding").alias("features")).cache()
+    lab = MO.fit_kmeans(vec, 4)
+    n = lab.agg(F.count(F.lit(1)).alias("__n")).withColumn("__one", F.lit(1))
+    return lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"),
+                                      F.mode("label", deterministic=True).alias("modal_label")) \
+        .withColumn("__one", F.lit(1)).join(F.broadcast(n), "__one") \
+        .select("cluster", "size", "modal_label", (F.col("size") * 100.0 / F.col("__n")).alias("pct"))
+
+
+@_q("segments_assign_batch")
+def _(spark, sf):
+    vec, cf = _cluster_vec(spark, sf)
+    raw = Pipeline(spark, sf).master.where(F.col("price_numeric") > 0).select(
+        "id", *[F.col(c).cast("double").alias(c) for c in FE.CLUSTER_FEATURES if c != "distance_km"],
+        F.lit(None).cast("double").alias("distance_km"))
+    from pyspark.ml.clustering import KMeans
+    km = KMeans(k=4, seed=42, featuresCol="features").fit(MO.assemble(cf, FE.CLUSTER_FEATURES))
+    med = cf.agg(*[F.median(c).alias(c) for c in FE.CLUSTER_FEATURES]).first().asDict()
+    return MO.assign_clusters(km, raw, FE.CLUSTER_FEATURES, med).select("id", "imputed_fields", "prediction")

@@ -459,3 +459,27 @@ SELECT listing_id, lsn, round(price_numeric, 4) AS price_numeric,
   valid_from, lead(valid_from) OVER (PARTITION BY listing_id ORDER BY valid_from, lsn) AS valid_to,
   lead(valid_from) OVER (PARTITION BY listing_id ORDER BY valid_from, lsn) IS NULL AS is_current, is_deleted
 FROM cdc_events""")
+
+cte("host_agg", ["master"], """
+SELECT host_id, count(*)::DOUBLE AS listing_count,
+  arg_min(host_tenure_years, id) FILTER (WHERE host_tenure_years IS NOT NULL) AS host_tenure_years,
+  arg_min(host_response_rate, id) FILTER (WHERE host_response_rate IS NOT NULL) AS host_response_rate,
+  arg_min(host_acceptance_rate, id) FILTER (WHERE host_acceptance_rate IS NOT NULL) AS host_acceptance_rate,
+  arg_min(CAST(host_is_superhost AS DOUBLE), id) FILTER (WHERE host_is_superhost IS NOT NULL) AS host_is_superhost,
+  sum(price_numeric::DECIMAL(28,2))::DOUBLE / count(price_numeric) AS avg_price,
+  avg(availability_365)::DOUBLE AS avg_availability_365,
+  sum(review_scores_rating::DECIMAL(28,2))::DOUBLE / count(review_scores_rating) AS avg_review_scores_rating, avg(reviews_per_month_calc) AS avg_reviews_per_month,
+  avg(accommodates)::DOUBLE AS avg_accommodates, avg(minimum_nights)::DOUBLE AS avg_minimum_nights,
+  round(avg(CASE WHEN room_type = 'entire_home' THEN 1.0 ELSE 0.0 END) * 100, 2)::DOUBLE AS pct_entire_home,
+  count(DISTINCT neighbourhood_cleansed)::DOUBLE AS neighbourhood_count
+FROM master GROUP BY host_id""")
+
+cte("clust_feat", ["master"], """
+SELECT id, room_type, neighbourhood_cleansed, price_numeric::DOUBLE AS price_numeric,
+  accommodates::DOUBLE AS accommodates, bedrooms::DOUBLE AS bedrooms, availability_365::DOUBLE AS availability_365,
+  review_scores_rating::DOUBLE AS review_scores_rating, reviews_per_month_calc::DOUBLE AS reviews_per_month_calc,
+  minimum_nights::DOUBLE AS minimum_nights, calculated_host_listings_count::DOUBLE AS calculated_host_listings_count,
+  round(2 * 6371.0 * asin(sqrt(pow(sin((radians(51.508) - radians(latitude)) / 2), 2)
+    + cos(radians(latitude)) * cos(radians(51.508)) * pow(sin((radians(-0.1281) - radians(longitude)) / 2), 2))), 3)
+    AS distance_km
+FROM master WHERE price_numeric IS NOT NULL AND price_numeric > 0""")

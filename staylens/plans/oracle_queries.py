@@ -755,3 +755,73 @@ SELECT listing_id, date, max_by(available, o) AS available, max_by(minimum_night
          CAST(l_quantity AS BIGINT) AS minimum_nights,
          (l_linenumber, l_linestatus = 'O', CAST(l_quantity AS BIGINT)) AS o
   FROM lineitem) GROUP BY 1, 2""")
+
+
+# ---------------------------------------------------------------- features
+_AMEN = [("wifi", "has_wifi"), ("kitchen", "has_kitchen"), ("air conditioning", "has_air_conditioning"),
+         ("washer", "has_washer"), ("parking", "has_parking"), ("pool", "has_pool"),
+         ("dedicated workspace", "has_workspace"), ("gym", "has_gym"), ("elevator", "has_elevator"),
+         ("tv", "has_tv"), ("bathtub", "has_bathtub"), ("dishwasher", "has_dishwasher")]
+_FNUM = ["accommodates", "bedrooms", "beds", "bathroom_count", "minimum_nights", "host_tenure_years",
+         "host_response_rate", "latitude", "longitude", "availability_365", "review_scores_rating",
+         "review_scores_cleanliness", "review_scores_location", "reviews_per_month_calc",
+         "calculated_host_listings_count", "number_of_reviews"]
+_FDBL = {"bedrooms", "beds", "bathroom_count", "host_tenure_years", "host_response_rate", "latitude",
+         "longitude", "review_scores_rating", "review_scores_cleanliness", "review_scores_location",
+         "reviews_per_month_calc"}
+_ARR = ("CASE WHEN json_valid(amenities) AND json_type(amenities) = 'ARRAY' "
+        "THEN list_transform(CAST(json_extract_string(amenities, '$[*]') AS VARCHAR[]), lambda x: lower(x)) "
+        "ELSE []::VARCHAR[] END")
+
+
+def _bin(c):
+    return f"coalesce(CAST({c} AS INTEGER), 0) AS {c}"
+
+
+oracle("features_listing_matrix", ["master"], "SELECT id, host_id, " + ", ".join(
+    f"round({c}, 4) AS {c}" if c in _FDBL else c for c in _FNUM)
+    + ", round(CASE WHEN accommodates IS NULL OR accommodates = 0 THEN NULL ELSE beds / accommodates END, 4)"
+      " AS beds_per_guest, "
+    + ", ".join(_bin(c) for c in ["host_is_superhost", "instant_bookable", "bathroom_is_shared"])
+    + ", room_type, neighbourhood_cleansed, property_type_bucket, "
+    + ", ".join(f"CAST(len(list_filter(arr, lambda x: contains(x, '{kw}'))) > 0 AS INTEGER) AS {n}" for kw, n in _AMEN)
+    + ", len(arr) AS amenity_count, round(ln(1 + price_numeric), 4) AS log_price, round(price_numeric, 4) AS price_numeric"
+    + f" FROM (SELECT *, {_ARR} AS arr FROM master WHERE price_numeric IS NOT NULL AND price_numeric > 0)")
+_HF = ["listing_count", "host_tenure_years", "host_response_rate", "host_acceptance_rate",
+       "host_is_superhost", "avg_price", "avg_availability_365", "avg_review_scores_rating",
+       "avg_reviews_per_month", "avg_accommodates", "avg_minimum_nights", "pct_entire_home",
+       "neighbourhood_count"]
+oracle("features_host", ["host_agg"], "SELECT host_id, " + ", ".join(
+    f"round(coalesce({c}, (SELECT median({c}) FROM host_agg))"
+    + (" + 1e-9" if c in ("avg_price", "avg_review_scores_rating") else "") + f", 4) AS {c}" for c in _HF)
+    + " FROM host_agg")
+oracle("features_clustering", ["clust_feat"], "SELECT id, room_type, neighbourhood_cleansed, " + ", ".join(
+    f"round(coalesce({c}, (SELECT median({c}) FROM clust_feat)), 4) AS {c}" for c in
+    ["price_numeric", "accommodates", "bedrooms", "availability_365", "review_scores_rating",
+     "reviews_per_month_calc", "minimum_nights", "calculated_host_listings_count", "distance_km"])
+    + " FROM clust_feat")
+_SPLIT = "((host_id * 2654435761 + 42) % 4294967296) % 100 < 20"
+oracle("model_group_split", ["master"], f"""
+SELECT {_SPLIT} AS is_test, count(*) AS listings, count(DISTINCT host_id) AS hosts
+FROM master WHERE price_numeric IS NOT NULL AND price_numeric > 0 GROUP BY 1""")
+
+
+def _metrics(pred, src, name):
+    return f"""SELECT count(*) AS n, round(avg(abs(p - y)), 4) AS mae, round(sqrt(avg((p - y) * (p - y))), 4) AS rmse,
+  round(avg(abs(p - y) / y) * 100, 4) AS mape, round(1 - sum((p - y) * (p - y)) / (count(*) * var_pop(y)), 4) AS r2,
+  round(avg(CAST(abs(p - y) / y <= 0.2 AS DOUBLE)) * 100, 4) AS pct_within_20, '{name}' AS model
+FROM (SELECT price_numeric AS y, {pred} AS p FROM {src})"""
+
+
+_TR = f"(SELECT * FROM master WHERE price_numeric > 0 AND NOT ({_SPLIT}))"
+_TE = f"(SELECT * FROM master WHERE price_numeric > 0 AND {_SPLIT})"
+_G = f"(SELECT median(price_numeric) FROM {_TR})"
+_RT = f"(SELECT room_type, median(price_numeric) AS m FROM {_TR} GROUP BY room_type)"
+_NR = f"(SELECT neighbourhood_cleansed, room_type, median(price_numeric) AS m FROM {_TR} GROUP BY 1, 2)"
+oracle("model_baseline_medians", ["master"], "\nUNION ALL\n".join([
+    _metrics(_G, _TE, "global_median"),
+    _metrics(f"coalesce(rt.m, {_G})", f"{_TE} t LEFT JOIN {_RT} rt ON t.room_type = rt.room_type",
+             "room_type_median"),
+    _metrics(f"coalesce(nr.m, rt.m, {_G})", f"{_TE} t LEFT JOIN {_RT} rt ON t.room_type = rt.room_type "
+             f"LEFT JOIN {_NR} nr ON t.neighbourhood_cleansed = nr.neighbourhood_cleansed AND t.room_type = nr.room_type",
+             "neighbourhood_room_type_median")]))
