@@ -156,7 +156,7 @@ def regressor(kind: str, n_train: int | None = None, y_std: float | None = None)
 
 def fit_price_model(train: DataFrame, kind: str, numeric: Sequence[str], categorical: Sequence[str]):
     from staylens.operators.features import median_impute
-    tr = median_impute(train, list(numeric))
+    tr = median_impute(train, list(numeric)).cache()
     stats = tr.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("log_price").alias("sd")).first()
     pipe = MLPipeline(stages=preprocess_stages(numeric, categorical)
                       + [regressor(kind, stats["n"], stats["sd"])])

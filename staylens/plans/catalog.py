@@ -897,7 +897,11 @@ MODEL_CATEGORICAL = ["room_type", "neighbourhood_cleansed", "property_type_bucke
 
 
 def _features(spark, sf):
-    return FE.listing_features(Pipeline(spark, sf).master)
+    """Model inputs, checkpointed (shared spark.checkpoint.dir): model fitting runs many
+    actions over them, and the lineage back to the raw scans is cut once."""
+    from staylens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return FE.listing_features(Pipeline(spark, sf).master).checkpoint(eager=True)
 
 
 def _split(spark, sf):
@@ -1009,7 +1013,7 @@ def _(spark, sf):
 
 @_q("model_cross_city_transfer")
 def _(spark, sf):
-    f = _features(spark, sf).join(Pipeline(spark, sf).listings.select("id", "city"), "id")
+    f = _features(spark, sf).join(Pipeline(spark, sf).listings.select("id", "city"), "id").checkpoint(eager=True)
     a, b = f.where(F.col("city") == "AFRICA"), f.where(F.col("city") == "AMERICA")
     ta, tb = MO.group_split(a), MO.group_split(b)
     model_a, trf_a = MO.fit_price_model(ta.where(~F.col("is_test")), "ridge", MODEL_NUMERIC, MODEL_CATEGORICAL)
@@ -1020,13 +1024,15 @@ def _(spark, sf):
     out = MO.regression_metrics(transfer).withColumn("setting", F.lit("AFRICA->AMERICA")).unionByName(
         MO.regression_metrics(native).withColumn("setting", F.lit("AMERICA in-domain")))
     by_rt = MO.segment_errors(MO.residual_table(transfer), "room_type").select(
-        F.col("room_type").alias("segment"), "mae")
+        F.col("room_type").alias("segment"), "n", "mae")
     return out.withColumn("segment", F.lit("all")).select("setting", "segment", "n", "mae").unionByName(
         by_rt.select(F.lit("AFRICA->AMERICA").alias("setting"), "segment", "n", "mae"))
 
 
 def _cluster_vec(spark, sf):
-    cf = FE.clustering_features(Pipeline(spark, sf).master, LONDON_CENTRE)
+    from staylens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    cf = FE.clustering_features(Pipeline(spark, sf).master, LONDON_CENTRE).checkpoint(eager=True)
     scaled = MO.log_scale(cf, FE.CLUSTER_FEATURES,
                           ["price_numeric", "reviews_per_month_calc", "calculated_host_listings_count"])
     return MO.assemble(scaled, [f"z_{c}" for c in FE.CLUSTER_FEATURES]), cf
@@ -1049,7 +1055,9 @@ def _(spark, sf):
 
 @_q("segments_host_profiles")
 def _(spark, sf):
-    hf = FE.host_features(Pipeline(spark, sf).master)
+    from staylens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    hf = FE.host_features(Pipeline(spark, sf).master).checkpoint(eager=True)
     cols = FE.HOST_FEATURES
     vec = MO.assemble(MO.log_scale(hf, cols, ["listing_count", "avg_price"]), [f"z_{c}" for c in cols]).cache()
     sweep = MO.kmeans_sweep(vec, range(2, 9)).collect()
