@@ -825,3 +825,70 @@ oracle("model_baseline_medians", ["master"], "\nUNION ALL\n".join([
     _metrics(f"coalesce(nr.m, rt.m, {_G})", f"{_TE} t LEFT JOIN {_RT} rt ON t.room_type = rt.room_type "
              f"LEFT JOIN {_NR} nr ON t.neighbourhood_cleansed = nr.neighbourhood_cleansed AND t.room_type = nr.room_type",
              "neighbourhood_room_type_median")]))
+
+
+# ---------------------------------------------------------------- sources / search
+oracle("geo_neighbourhood_metrics", ["lm", "listings"], """
+SELECT d.*, p.median_price FROM (
+  SELECT neighbourhood_cleansed AS neighbourhood, count(*) AS listing_count, count(DISTINCT host_id) AS unique_hosts,
+         round(max(neighbourhood_density_per_km2), 4) AS listings_per_km2 FROM lm GROUP BY 1) d
+LEFT JOIN (SELECT neighbourhood_cleansed AS neighbourhood, round(median(price_numeric), 4) AS median_price
+           FROM listings WHERE price_numeric >= 0 GROUP BY 1) p USING (neighbourhood)""")
+oracle("dataset_inventory", ["raw_listings_full", "raw_calendar_full", "raw_reviews"], """
+SELECT 'listings' AS source, count(*) AS rows, 37 AS columns, 'loaded' AS load_status FROM raw_listings_full
+UNION ALL SELECT 'calendar', count(*), 7, 'loaded' FROM raw_calendar_full
+UNION ALL SELECT 'reviews', count(*), 6, 'loaded' FROM raw_reviews
+UNION ALL SELECT 'neighbourhoods', count(*), 2, 'loaded' FROM nation""")
+oracle("multi_city_union", ["listings"], """
+SELECT city, count(*) AS listings, count(DISTINCT host_id) AS hosts FROM listings GROUP BY city""")
+oracle("listing_preview", ["listings"], """
+SELECT id, name, round(price_numeric, 4) AS price_numeric, room_type FROM listings ORDER BY id LIMIT 20""")
+oracle("column_samples_listings", ["listings"], """
+SELECT c."column", c.dtype, s.samples FROM (VALUES ('room_type', 'string'), ('property_type_bucket', 'string'),
+  ('city', 'string'), ('currency_code', 'string'), ('host_response_time', 'string'), ('instant_bookable', 'boolean'))
+  c("column", dtype)
+LEFT JOIN (
+  SELECT "column", array_to_string(list_sort(list(value)), '|') AS samples FROM (
+    SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY cnt DESC, value) AS rk,
+           count(*) OVER (PARTITION BY "column") AS nd FROM (
+      SELECT 'room_type' AS "column", room_type AS value, count(*) AS cnt FROM listings WHERE room_type IS NOT NULL GROUP BY 2
+      UNION ALL SELECT 'property_type_bucket', property_type_bucket, count(*) FROM listings
+        WHERE property_type_bucket IS NOT NULL GROUP BY 2
+      UNION ALL SELECT 'city', city, count(*) FROM listings WHERE city IS NOT NULL GROUP BY 2
+      UNION ALL SELECT 'currency_code', currency_code, count(*) FROM listings WHERE currency_code IS NOT NULL GROUP BY 2
+      UNION ALL SELECT 'host_response_time', host_response_time, count(*) FROM listings
+        WHERE host_response_time IS NOT NULL GROUP BY 2
+      UNION ALL SELECT 'instant_bookable', CAST(instant_bookable AS VARCHAR), count(*) FROM listings
+        WHERE instant_bookable IS NOT NULL GROUP BY 2))
+  WHERE nd <= 50 AND rk <= 8 GROUP BY "column") s USING ("column")""")
+oracle("search_listings_filtered", ["listings"], """
+SELECT id, neighbourhood_cleansed, round(price_numeric, 4) AS price_numeric,
+  round(review_scores_rating, 4) AS review_scores_rating FROM listings
+WHERE room_type = 'entire_home' AND neighbourhood_cleansed ILIKE '%nation_1%' AND price_numeric >= 1000
+  AND price_numeric <= 300000 AND review_scores_rating >= 4 AND host_is_superhost = TRUE
+ORDER BY id LIMIT 50""")
+oracle("listing_lookup", ["listings"], """
+SELECT id, host_id, round(price_numeric, 4) AS price_numeric, room_type FROM listings WHERE id = 7 LIMIT 1""")
+oracle("listing_filter_page", ["listings"], """
+SELECT id, name, round(price_numeric, 4) AS price_numeric,
+  (SELECT count(*) FROM listings WHERE lower(room_type) = 'private_room' AND contains(lower(name), 'household'))
+    AS total_count
+FROM listings WHERE lower(room_type) = 'private_room' AND contains(lower(name), 'household')
+ORDER BY id LIMIT 25 OFFSET 20""")
+oracle("top_neighbourhoods_by_metric", ["neighbourhood_summary"], """
+SELECT neighbourhood, round(median_price_gbp, 4) AS median_price_gbp, listing_count FROM neighbourhood_summary
+ORDER BY median_price_gbp DESC NULLS LAST, neighbourhood LIMIT 10""")
+oracle("top_neighbourhoods_null_as_zero", ["neighbourhood_summary"], """
+SELECT neighbourhood, round(avg_review_score, 4) AS avg_review_score FROM neighbourhood_summary
+ORDER BY coalesce(avg_review_score, 0) DESC, neighbourhood LIMIT 5""")
+oracle("guarded_sql_example", ["listings"], """
+SELECT room_type, count(*) AS listings, round(median(price_numeric), 2) AS median_price
+FROM listings GROUP BY room_type ORDER BY listings DESC, room_type LIMIT 50""")
+oracle("warehouse_completion_checks", [], """
+SELECT * FROM (VALUES ('table_present', 'dim_city', TRUE), ('table_present', 'dim_neighbourhood', TRUE),
+  ('table_present', 'dim_host', TRUE), ('table_present', 'dim_listing', TRUE), ('table_present', 'dim_date', TRUE),
+  ('table_present', 'fact_calendar', TRUE), ('table_present', 'fact_reviews', TRUE),
+  ('table_present', 'fact_listing_snapshot', TRUE),
+  ('report_runs', 'median_price_by_room_type', TRUE), ('report_runs', 'top_neighbourhoods_by_listing_count', TRUE),
+  ('report_runs', 'weekend_vs_weekday_availability', TRUE), ('report_runs', 'occupancy_proxy_distribution', TRUE),
+  ('report_runs', 'superhost_price_rating_gap', TRUE)) t("check", target, passed)""")
