@@ -8,7 +8,11 @@ most ``num_partitions`` rows, a proven bound -- give the offsets, which are
 broadcast back. Work and memory per task stay proportional to a partition.
 
 The order must be total (include a unique key as the last sort column) so the
-result is deterministic and survives task retries.
+result is deterministic and survives task retries. The local numbering is one
+opaque ``mapInPandas`` node shared by both consumers (offsets and rows), so
+Spark reuses a single range exchange: a pure-JVM variant with
+``monotonically_increasing_id`` lets column pruning split the plan into two
+exchanges whose range bounds are sampled independently, which is wrong.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.plans.pipeline import Pipeline
+from staylens.plans.pipeline import Pipeline, shared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -35,57 +35,57 @@ def rounded(df: DataFrame, cols: list[str], n: int = 6) -> DataFrame:
 # ------------------------------------------------------------ clean + quarantine
 @query("clean_listings")
 def q_clean_listings(spark, sf):
-    return Pipeline(spark, sf).listings
+    return shared(spark, sf).listings
 
 
 @query("rejected_listings")
 def q_rejected_listings(spark, sf):
-    return Pipeline(spark, sf).listings_q.rejected.select(
+    return shared(spark, sf).listings_q.rejected.select(
         "id", "latitude", "longitude", "price_numeric", "rejection_reason")
 
 
 @query("clean_calendar")
 def q_clean_calendar(spark, sf):
-    return Pipeline(spark, sf).calendar
+    return shared(spark, sf).calendar
 
 
 @query("rejected_calendar")
 def q_rejected_calendar(spark, sf):
-    return Pipeline(spark, sf).calendar_q.rejected
+    return shared(spark, sf).calendar_q.rejected
 
 
 @query("clean_reviews")
 def q_clean_reviews(spark, sf):
-    return Pipeline(spark, sf).reviews
+    return shared(spark, sf).reviews
 
 
 @query("rejected_reviews")
 def q_rejected_reviews(spark, sf):
-    return Pipeline(spark, sf).reviews_q.rejected
+    return shared(spark, sf).reviews_q.rejected
 
 
 @query("neighbourhoods_clean")
 def q_neighbourhoods(spark, sf):
-    return rounded(Pipeline(spark, sf).neighbourhoods,
+    return rounded(shared(spark, sf).neighbourhoods,
                    ["centroid_latitude", "centroid_longitude", "area_km2"], 6)
 
 
 # ------------------------------------------------------------ summaries
 @query("calendar_summary")
 def q_calendar_summary(spark, sf):
-    return rounded(Pipeline(spark, sf).calendar_summary,
+    return rounded(shared(spark, sf).calendar_summary,
                    ["availability_rate", "occupancy_proxy", "avg_minimum_nights",
                     "avg_maximum_nights"])
 
 
 @query("review_summary")
 def q_review_summary(spark, sf):
-    return rounded(Pipeline(spark, sf).review_summary, ["avg_comment_length"])
+    return rounded(shared(spark, sf).review_summary, ["avg_comment_length"])
 
 
 @query("neighbourhood_summary")
 def q_neighbourhood_summary(spark, sf):
-    df = rounded(Pipeline(spark, sf).neighbourhood_summary,
+    df = rounded(shared(spark, sf).neighbourhood_summary,
                  ["price_null_share", "entire_home_share", "superhost_share",
                   "avg_review_score", "avg_availability_365", "area_km2", "listings_per_km2"], 4)
     return rounded(df, ["median_price_gbp", "mean_price_gbp"], 2)
@@ -108,56 +108,56 @@ MASTER_DOUBLES = ["avg_comment_length", "availability_rate", "occupancy_proxy",
 
 @query("listing_master")
 def q_listing_master(spark, sf):
-    return rounded(Pipeline(spark, sf).master.select(*MASTER_COLS), MASTER_DOUBLES, 4)
+    return rounded(shared(spark, sf).master.select(*MASTER_COLS), MASTER_DOUBLES, 4)
 
 
 @query("listing_master_totals")
 def q_master_totals(spark, sf):
     from staylens.operators.summaries import master_totals
-    return rounded(master_totals(Pipeline(spark, sf).master),
+    return rounded(master_totals(shared(spark, sf).master),
                    ["median_price_gbp", "total_revenue_proxy_gbp", "median_occupancy_proxy"], 2)
 
 
 # ------------------------------------------------------------ warehouse
 @query("dim_city")
 def q_dim_city(spark, sf):
-    return Pipeline(spark, sf).dim_city
+    return shared(spark, sf).dim_city
 
 
 @query("dim_neighbourhood")
 def q_dim_neighbourhood(spark, sf):
-    return rounded(Pipeline(spark, sf).dim_neighbourhood,
+    return rounded(shared(spark, sf).dim_neighbourhood,
                    ["area_km2", "centroid_latitude", "centroid_longitude"], 6)
 
 
 @query("dim_host")
 def q_dim_host(spark, sf):
-    return Pipeline(spark, sf).dim_host
+    return shared(spark, sf).dim_host
 
 
 @query("dim_listing")
 def q_dim_listing(spark, sf):
-    return Pipeline(spark, sf).dim_listing
+    return shared(spark, sf).dim_listing
 
 
 @query("dim_date")
 def q_dim_date(spark, sf):
-    return Pipeline(spark, sf).dim_date
+    return shared(spark, sf).dim_date
 
 
 @query("fact_calendar")
 def q_fact_calendar(spark, sf):
-    return Pipeline(spark, sf).fact_calendar
+    return shared(spark, sf).fact_calendar
 
 
 @query("fact_reviews")
 def q_fact_reviews(spark, sf):
-    return Pipeline(spark, sf).fact_reviews
+    return shared(spark, sf).fact_reviews
 
 
 @query("fact_listing_snapshot")
 def q_fact_listing_snapshot(spark, sf):
-    return rounded(Pipeline(spark, sf).fact_listing_snapshot,
+    return rounded(shared(spark, sf).fact_listing_snapshot,
                    ["host_tenure_years", "price_per_bedroom_gbp", "reviews_per_month_calc",
                     "revenue_proxy_gbp", "occupancy_proxy", "availability_rate"], 4)
 
@@ -166,7 +166,7 @@ for _rep in ["median_price_by_room_type", "top_neighbourhoods_by_listing_count",
              "weekend_vs_weekday_availability", "occupancy_proxy_distribution",
              "superhost_price_rating_gap"]:
     QUERIES[f"report_{_rep}"] = (lambda name: lambda spark, sf:
-                                 Pipeline(spark, sf).report(name))(_rep)
+                                 shared(spark, sf).report(name))(_rep)
 
 
 # ------------------------------------------------------------ EDA
@@ -183,7 +183,7 @@ SCORE_COLS = ["review_scores_rating", "review_scores_cleanliness", "review_score
 
 
 def _lm(spark, sf):
-    return EDA.with_bands(Pipeline(spark, sf).master)
+    return EDA.with_bands(shared(spark, sf).master)
 
 
 def _eda(spark, sf):
@@ -275,27 +275,27 @@ def _(spark, sf):
 
 @_q("eda_monthly_availability")
 def _(spark, sf):
-    return EDA.monthly_availability(Pipeline(spark, sf).calendar)
+    return EDA.monthly_availability(shared(spark, sf).calendar)
 
 
 @_q("eda_weekpart_availability")
 def _(spark, sf):
-    return EDA.weekpart_availability(Pipeline(spark, sf).calendar)
+    return EDA.weekpart_availability(shared(spark, sf).calendar)
 
 
 @_q("eda_minimum_nights_monthly")
 def _(spark, sf):
-    return EDA.minimum_nights_monthly(Pipeline(spark, sf).calendar)
+    return EDA.minimum_nights_monthly(shared(spark, sf).calendar)
 
 
 @_q("eda_monthly_review_volume")
 def _(spark, sf):
-    return EDA.monthly_review_volume(Pipeline(spark, sf).reviews)
+    return EDA.monthly_review_volume(shared(spark, sf).reviews)
 
 
 @_q("eda_temporal_summary")
 def _(spark, sf):
-    return EDA.temporal_summary(Pipeline(spark, sf).calendar)
+    return EDA.temporal_summary(shared(spark, sf).calendar)
 
 
 @_q("eda_response_rate_summary")
@@ -401,7 +401,7 @@ def snapshots(spark, sf):
     calendar day on/after 1998-01-01, repriced +20 % where availability > 0.6,
     re-typed to hotel_room / inactive where nothing is available.
     """
-    p = Pipeline(spark, sf)
+    p = shared(spark, sf)
     cs = p.calendar_summary.select(F.col("listing_id").alias("id"), "first_calendar_date",
                                    "last_calendar_date", "availability_rate")
     base = p.listings.select("id", "price_numeric", "room_type", "is_de_facto_inactive").join(cs, "id")
@@ -452,7 +452,7 @@ def _(spark, sf):
 @query("dataset_version_upsert")
 def _(spark, sf):
     old, new = snapshots(spark, sf)
-    p = Pipeline(spark, sf)
+    p = shared(spark, sf)
     existing = old.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("row_count")) \
         .withColumn("city", F.lit("bound"))
     # re-registering the old snapshot with the clean-listing count replaces its row
@@ -492,13 +492,13 @@ MASTER_SUITE = [
 
 @query("validation_listing_master")
 def _(spark, sf):
-    res = V.run_expectations(Pipeline(spark, sf).master, "listing_master", MASTER_SUITE)
+    res = V.run_expectations(shared(spark, sf).master, "listing_master", MASTER_SUITE)
     return res.withColumn("unexpected_pct", F.round("unexpected_pct", 4))
 
 
 @query("validation_suite_summary")
 def _(spark, sf):
-    p = Pipeline(spark, sf)
+    p = shared(spark, sf)
     cal_suite = [V.expect("not_null", "listing_id"), V.expect("not_null", "date"),
                  V.expect("between", "minimum_nights", min=1, mostly=0.99),
                  V.expect("in_set", "available", values=[True, False])]
@@ -509,7 +509,7 @@ def _(spark, sf):
 
 @query("validation_warehouse_rules")
 def _(spark, sf):
-    p = Pipeline(spark, sf)
+    p = shared(spark, sf)
     fc, fr, dl, fs = p.fact_calendar, p.fact_reviews, p.dim_listing, p.fact_listing_snapshot
 
     def rule(name, df):
@@ -543,7 +543,7 @@ def _(spark, sf):
 
 @query("validation_date_dimension")
 def _(spark, sf):
-    return V.date_dimension_checks(Pipeline(spark, sf).dim_date)
+    return V.date_dimension_checks(shared(spark, sf).dim_date)
 
 
 # ------------------------------------------------------------ profiling
@@ -570,34 +570,34 @@ EXT_COLS = ["price_numeric", "availability_365", "review_scores_rating", "accomm
 
 @_q("profile_raw_listings")
 def _(spark, sf):
-    return PR.column_profile(Pipeline(spark, sf).raw_listings, RAW_LISTING_COLS)
+    return PR.column_profile(shared(spark, sf).raw_listings, RAW_LISTING_COLS)
 
 
 @_q("profile_extended_listings")
 def _(spark, sf):
-    return PR.extended_profile(Pipeline(spark, sf).listings, EXT_COLS)
+    return PR.extended_profile(shared(spark, sf).listings, EXT_COLS)
 
 
 @_q("profile_top_values")
 def _(spark, sf):
-    return PR.top_values_per_column(Pipeline(spark, sf).raw_listings, TOPV_COLS, 5, 200)
+    return PR.top_values_per_column(shared(spark, sf).raw_listings, TOPV_COLS, 5, 200)
 
 
 @_q("profile_iqr_outliers")
 def _(spark, sf):
-    return PR.iqr_outliers(Pipeline(spark, sf).raw_listings, IQR_COLS)
+    return PR.iqr_outliers(shared(spark, sf).raw_listings, IQR_COLS)
 
 
 @_q("profile_domain_rules")
 def _(spark, sf):
-    p = Pipeline(spark, sf)
+    p = shared(spark, sf)
     return PR.listing_domain_rules(p.raw_listings).unionByName(PR.calendar_domain_rules(p.raw_calendar))
 
 
 @_q("profile_key_integrity")
 def _(spark, sf):
     from staylens.operators import quality as Q
-    p = Pipeline(spark, sf)
+    p = shared(spark, sf)
     lst = Q.clean_listings_flagged(p.raw_listings).select("id")
     cal = p.calendar_q.flagged.select("listing_id", "date")
     rev = p.reviews_q.flagged.select("listing_id", "id")
@@ -632,7 +632,7 @@ def _(spark, sf):
 
 @_q("profile_exact_duplicates")
 def _(spark, sf):
-    p = Pipeline(spark, sf)
+    p = shared(spark, sf)
     return (PR.exact_duplicate_rows(p.raw_calendar).withColumn("source", F.lit("calendar"))
             .unionByName(PR.exact_duplicate_rows(p.raw_reviews).withColumn("source", F.lit("reviews"))))
 
@@ -649,12 +649,12 @@ def _(spark, sf):
 
 @_q("review_comment_templates_summary")
 def _(spark, sf):
-    return PR.text_templates(Pipeline(spark, sf).raw_reviews, "comments")[0]
+    return PR.text_templates(shared(spark, sf).raw_reviews, "comments")[0]
 
 
 @_q("listing_duplicate_blocks")
 def _(spark, sf):
-    lst = Pipeline(spark, sf).listings
+    lst = shared(spark, sf).listings
     block = [F.col("neighbourhood_cleansed"), F.col("host_id"), F.round("latitude", 3),
              F.round("longitude", 3), SC.normalise_name(F.col("name"))]
     return PR.duplicate_blocks(lst.where(SC.normalise_name(F.col("name")) != ""), block, "id",
@@ -671,7 +671,7 @@ def _(spark, sf):
 
 @_q("schema_compare_cities")
 def _(spark, sf):
-    lst = Pipeline(spark, sf).listings
+    lst = shared(spark, sf).listings
     cols = ["price_numeric", "host_response_rate", "bedrooms", "review_scores_rating",
             "bathroom_count", "host_is_superhost", "room_type"]
     a = PR.column_profile(lst.where(F.col("city") == "AFRICA"), cols)
@@ -688,12 +688,12 @@ def _(spark, sf):
 
 @_q("sample_listings_first_2000")
 def _(spark, sf):
-    return PR.bounded_sample(Pipeline(spark, sf).listings, "id", 2000).select("id", "host_id", "price_numeric")
+    return PR.bounded_sample(shared(spark, sf).listings, "id", 2000).select("id", "host_id", "price_numeric")
 
 
 @_q("profile_completeness_rollup")
 def _(spark, sf):
-    p = Pipeline(spark, sf)
+    p = shared(spark, sf)
     prof = (PR.column_profile(p.raw_listings, RAW_LISTING_COLS).withColumn("source", F.lit("listings"))
             .unionByName(PR.column_profile(p.raw_calendar).withColumn("source", F.lit("calendar")))
             .unionByName(PR.column_profile(p.raw_reviews).withColumn("source", F.lit("reviews"))))
@@ -754,7 +754,7 @@ def _(spark, sf):
 
 @_q("stats_weekend_availability_diff")
 def _(spark, sf):
-    wp = EDA.weekpart_availability(Pipeline(spark, sf).calendar)
+    wp = EDA.weekpart_availability(shared(spark, sf).calendar)
     agg = wp.agg(F.max(F.when(F.col("is_weekend"), F.col("availability_rate"))).alias("weekend_rate"),
                  F.max(F.when(~F.col("is_weekend"), F.col("availability_rate"))).alias("weekday_rate"),
                  F.sum("total_days").alias("n_total"))
@@ -765,12 +765,12 @@ def _(spark, sf):
 
 @_q("calendar_listing_weekpart_pivot")
 def _(spark, sf):
-    return listing_weekpart(Pipeline(spark, sf).calendar)
+    return listing_weekpart(shared(spark, sf).calendar)
 
 
 @_q("stats_wilcoxon_weekend_weekday")
 def _(spark, sf):
-    w = ST.wilcoxon_signed_rank(listing_weekpart(Pipeline(spark, sf).calendar))
+    w = ST.wilcoxon_signed_rank(listing_weekpart(shared(spark, sf).calendar))
     return w.select("n", "n_pairs", "statistic", "z", "effect_size", "mean_diff")
 
 
@@ -877,7 +877,7 @@ def _(spark, sf):
                     (F.col("l_linestatus") == "O").alias("available"),
                     F.col("l_quantity").cast("long").alias("minimum_nights"),
                     F.col("l_linenumber").cast("long").alias("lsn"))
-    existing = Pipeline(spark, sf).calendar.select("listing_id", "date", "available", "minimum_nights")
+    existing = shared(spark, sf).calendar.select("listing_id", "date", "available", "minimum_nights")
     return CDC.upsert_last_wins(existing, upd, ["listing_id", "date"], "lsn")
 
 
@@ -901,7 +901,7 @@ def _features(spark, sf):
     actions over them, and the lineage back to the raw scans is cut once."""
     from staylens.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-    return FE.listing_features(Pipeline(spark, sf).master).checkpoint(eager=True)
+    return FE.listing_features(shared(spark, sf).master).checkpoint(eager=True)
 
 
 def _split(spark, sf):
@@ -916,14 +916,14 @@ def _(spark, sf):
 
 @_q("features_host")
 def _(spark, sf):
-    hf = FE.host_features(Pipeline(spark, sf).master)
+    hf = FE.host_features(shared(spark, sf).master)
     # exact decimal means: report half-up at 4 places on both engines
     return hf.withColumns({c: F.round(F.col(c) + F.lit(1e-9), 4) for c in ["avg_price", "avg_review_scores_rating"]})
 
 
 @_q("features_clustering")
 def _(spark, sf):
-    return FE.clustering_features(Pipeline(spark, sf).master, LONDON_CENTRE)
+    return FE.clustering_features(shared(spark, sf).master, LONDON_CENTRE)
 
 
 @_q("model_group_split")
@@ -1013,7 +1013,7 @@ def _(spark, sf):
 
 @_q("model_cross_city_transfer")
 def _(spark, sf):
-    f = _features(spark, sf).join(Pipeline(spark, sf).listings.select("id", "city"), "id").checkpoint(eager=True)
+    f = _features(spark, sf).join(shared(spark, sf).listings.select("id", "city"), "id").checkpoint(eager=True)
     a, b = f.where(F.col("city") == "AFRICA"), f.where(F.col("city") == "AMERICA")
     ta, tb = MO.group_split(a), MO.group_split(b)
     model_a, trf_a = MO.fit_price_model(ta.where(~F.col("is_test")), "ridge", MODEL_NUMERIC, MODEL_CATEGORICAL)
@@ -1032,7 +1032,7 @@ def _(spark, sf):
 def _cluster_vec(spark, sf):
     from staylens.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-    cf = FE.clustering_features(Pipeline(spark, sf).master, LONDON_CENTRE).checkpoint(eager=True)
+    cf = FE.clustering_features(shared(spark, sf).master, LONDON_CENTRE).checkpoint(eager=True)
     scaled = MO.log_scale(cf, FE.CLUSTER_FEATURES,
                           ["price_numeric", "reviews_per_month_calc", "calculated_host_listings_count"])
     return MO.assemble(scaled, [f"z_{c}" for c in FE.CLUSTER_FEATURES]), cf
@@ -1057,7 +1057,7 @@ def _(spark, sf):
 def _(spark, sf):
     from staylens.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-    hf = FE.host_features(Pipeline(spark, sf).master).checkpoint(eager=True)
+    hf = FE.host_features(shared(spark, sf).master).checkpoint(eager=True)
     cols = FE.HOST_FEATURES
     vec = MO.assemble(MO.log_scale(hf, cols, ["listing_count", "avg_price"]), [f"z_{c}" for c in cols]).cache()
     sweep = MO.kmeans_sweep(vec, range(2, 9)).collect()
@@ -1082,7 +1082,7 @@ def _(spark, sf):
 @_q("segments_assign_batch")
 def _(spark, sf):
     vec, cf = _cluster_vec(spark, sf)
-    raw = Pipeline(spark, sf).master.where(F.col("price_numeric") > 0).select(
+    raw = shared(spark, sf).master.where(F.col("price_numeric") > 0).select(
         "id", *[F.col(c).cast("double").alias(c) for c in FE.CLUSTER_FEATURES if c != "distance_km"],
         F.lit(None).cast("double").alias("distance_km"))
     from pyspark.ml.clustering import KMeans
@@ -1100,7 +1100,7 @@ from staylens.sources import files as FI  # noqa: E402
 @_q("geo_neighbourhood_metrics")
 def _(spark, sf):
     """J11 + GE2: density joined to median price per neighbourhood."""
-    p = Pipeline(spark, sf)
+    p = shared(spark, sf)
     dens = EDA.neighbourhood_density(EDA.with_bands(p.master))
     price = EDA.price_by_group(EDA.price_eligible(p.listings), ["neighbourhood_cleansed"], probs=()) \
         .select(F.col("neighbourhood_cleansed").alias("neighbourhood"), "median_price")
@@ -1113,7 +1113,7 @@ def _(spark, sf):
     areas recomputed from the read geometry."""
     import uuid
     from staylens.session import scratch_path
-    p = Pipeline(spark, sf)
+    p = shared(spark, sf)
     feats = GEO.geojson_features(p.neighbourhood_summary.select("neighbourhood", "listing_count",
                                                                 "median_price_gbp", "listings_per_km2"),
                                  p.geometry)
@@ -1132,7 +1132,7 @@ def _(spark, sf):
 
 @_q("dataset_inventory")
 def _(spark, sf):
-    p = Pipeline(spark, sf)
+    p = shared(spark, sf)
     return FI.inventory({"listings": p.raw_listings, "calendar": p.raw_calendar, "reviews": p.raw_reviews,
                          "neighbourhoods": B_raw_neigh(spark, sf)})
 
@@ -1144,9 +1144,9 @@ def B_raw_neigh(spark, sf):
 
 @_q("multi_city_union")
 def _(spark, sf):
-    lst = Pipeline(spark, sf).listings.drop("city")
+    lst = shared(spark, sf).listings.drop("city")
     cities = [r[0] for r in _table(spark, sf, "region", "r_name").collect()]  # 5 regions (fixed size)
-    frames = {c: lst.join(Pipeline(spark, sf).listings.where(F.col("city") == c).select("id"), "id", "left_semi")
+    frames = {c: lst.join(shared(spark, sf).listings.where(F.col("city") == c).select("id"), "id", "left_semi")
               for c in cities}
     u = FI.union_cities(frames)
     return u.groupBy("city").agg(F.count(F.lit(1)).alias("listings"),
@@ -1155,44 +1155,44 @@ def _(spark, sf):
 
 @_q("listing_preview")
 def _(spark, sf):
-    return FI.preview(Pipeline(spark, sf).listings.select("id", "name", "price_numeric", "room_type"), 20, ["id"])
+    return FI.preview(shared(spark, sf).listings.select("id", "name", "price_numeric", "room_type"), 20, ["id"])
 
 
 @_q("column_samples_listings")
 def _(spark, sf):
-    df = Pipeline(spark, sf).listings.select("room_type", "property_type_bucket", "city", "currency_code",
+    df = shared(spark, sf).listings.select("room_type", "property_type_bucket", "city", "currency_code",
                                              "host_response_time", "instant_bookable")
     return FI.column_samples(df, 8, 50).withColumn("samples", F.concat_ws("|", "samples"))
 
 
 @_q("search_listings_filtered")
 def _(spark, sf):
-    return SE.search_listings(Pipeline(spark, sf).listings, room_type="entire_home", neighbourhood="nation_1",
+    return SE.search_listings(shared(spark, sf).listings, room_type="entire_home", neighbourhood="nation_1",
                               min_price=1000.0, max_price=300000.0, min_rating=4.0, superhost=True,
                               limit=50).select("id", "neighbourhood_cleansed", "price_numeric", "review_scores_rating")
 
 
 @_q("listing_lookup")
 def _(spark, sf):
-    return SE.lookup(Pipeline(spark, sf).listings, "id", 7).select("id", "host_id", "price_numeric", "room_type")
+    return SE.lookup(shared(spark, sf).listings, "id", 7).select("id", "host_id", "price_numeric", "room_type")
 
 
 @_q("listing_filter_page")
 def _(spark, sf):
     return SE.page_with_total(
-        Pipeline(spark, sf).listings.where(F.lower("room_type") == "private_room")
+        shared(spark, sf).listings.where(F.lower("room_type") == "private_room")
         .where(F.lower("name").contains("household")).select("id", "name", "price_numeric"), "id", 20, 25)
 
 
 @_q("top_neighbourhoods_by_metric")
 def _(spark, sf):
-    return SE.top_n_by_metric(Pipeline(spark, sf).neighbourhood_summary, "median_price_gbp", 10) \
+    return SE.top_n_by_metric(shared(spark, sf).neighbourhood_summary, "median_price_gbp", 10) \
         .select("neighbourhood", "median_price_gbp", "listing_count")
 
 
 @_q("top_neighbourhoods_null_as_zero")
 def _(spark, sf):
-    return SE.top_n_null_as_zero(Pipeline(spark, sf).neighbourhood_summary, "avg_review_score", 5,
+    return SE.top_n_null_as_zero(shared(spark, sf).neighbourhood_summary, "avg_review_score", 5,
                                  "neighbourhood").select("neighbourhood", "avg_review_score")
 
 
@@ -1204,14 +1204,14 @@ FROM listings_clean GROUP BY room_type ORDER BY listings DESC, room_type
 
 @_q("guarded_sql_example")
 def _(spark, sf):
-    Pipeline(spark, sf).listings.createOrReplaceTempView("listings_clean")
+    shared(spark, sf).listings.createOrReplaceTempView("listings_clean")
     return SE.run_guarded(spark, GUARDED_EXAMPLE, 50)
 
 
 @_q("warehouse_completion_checks")
 def _(spark, sf):
     """V11 + V12: expected warehouse tables registered, and every named report runs."""
-    p = Pipeline(spark, sf)
+    p = shared(spark, sf)
     from staylens.plans import reports as R
     wh = p.warehouse()
     R.register_views(spark, wh)

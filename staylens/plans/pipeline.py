@@ -19,6 +19,24 @@ from staylens.plans import bindings as B
 from staylens.plans import reports
 
 
+_SHARED: dict = {}
+
+
+def shared(spark: SparkSession, sf_dir: str) -> "Pipeline":
+    """One lazy Pipeline per (session, data folder).
+
+    Its attributes are immutable lazy DataFrames, so queries in one session
+    share the Python-side plan construction; every action still executes the
+    full plan from the scans.
+    """
+    key = (id(spark), sf_dir)
+    p = _SHARED.get(key)
+    if p is None or p.spark is not spark:
+        p = Pipeline(spark, sf_dir)
+        _SHARED[key] = p
+    return p
+
+
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, snapshot: _dt.date = B.SNAPSHOT,
                  currency_code: str = "GBP"):
@@ -139,7 +157,15 @@ class Pipeline:
                  "fact_calendar", "fact_reviews", "fact_listing_snapshot"]}
 
     def report(self, name: str) -> DataFrame:
-        return reports.run_report(self.spark, name, self.warehouse())
+        """Run a named report; only the warehouse tables its SQL names are built."""
+        if name == "occupancy_proxy_distribution":
+            return reports.run_report(self.spark, name,
+                                      {"fact_listing_snapshot": self.fact_listing_snapshot})
+        sql = reports.REPORT_SQL.get(name, "")
+        needed = {n: getattr(self, n) for n in
+                  ["dim_city", "dim_neighbourhood", "dim_host", "dim_listing", "dim_date",
+                   "fact_calendar", "fact_reviews", "fact_listing_snapshot"] if n in sql}
+        return reports.run_report(self.spark, name, needed)
 
     # -- materialisation ---------------------------------------------------
     def materialize(self, out_dir: str) -> dict[str, str]:
