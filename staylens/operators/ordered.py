@@ -9,10 +9,10 @@ broadcast back. Work and memory per task stay proportional to a partition.
 
 The order must be total (include a unique key as the last sort column) so the
 result is deterministic and survives task retries. The local numbering is one
-opaque ``mapInPandas`` node shared by both consumers (offsets and rows), so
-Spark reuses a single range exchange: a pure-JVM variant with
-``monotonically_increasing_id`` lets column pruning split the plan into two
-exchanges whose range bounds are sampled independently, which is wrong.
+``mapInPandas`` pass whose output is checkpointed (reliable, in the shared
+``spark.checkpoint.dir``) before the offsets are computed, so the offsets and
+the rows come from the same materialised partitioning, never from two
+evaluations of the upstream plan (which need not partition identically).
 """
 
 from __future__ import annotations
@@ -64,7 +64,12 @@ def ordered_index(df: DataFrame, order: Sequence[Column | str], rn_col: str = "r
                 pdf["__lcum"] = cs
             yield pdf
 
-    numbered = s.mapInPandas(local, schema)
+    # Materialise the numbered rows once (reliable checkpoint in the shared
+    # spark.checkpoint.dir): the per-partition totals and the rows must see the
+    # same partitioning, and two evaluations of an upstream plan need not agree.
+    from staylens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    numbered = s.mapInPandas(local, schema).checkpoint(eager=True)
     aggs = [F.count(F.lit(1)).alias("__pn")]
     if value_col:
         aggs.append(F.sum(F.coalesce(F.col(value_col).cast("double"), F.lit(0.0))).alias("__ps"))

@@ -32,14 +32,18 @@ def shared(spark: SparkSession, sf_dir: str) -> "Pipeline":
     key = (id(spark), sf_dir)
     p = _SHARED.get(key)
     if p is None or p.spark is not spark:
-        p = Pipeline(spark, sf_dir)
+        p = Pipeline(spark, sf_dir, persist=True)
         _SHARED[key] = p
     return p
 
 
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, snapshot: _dt.date = B.SNAPSHOT,
-                 currency_code: str = "GBP"):
+                 currency_code: str = "GBP", persist: bool = False):
+        """``persist``: keep the clean/rejected tables and the master in executor
+        memory/disk once computed (the pipeline's materialisation boundaries), for
+        sessions that run many reports over one snapshot."""
+        self.persist = persist
         self.spark = spark
         self.sf_dir = sf_dir
         self.snapshot = snapshot
@@ -63,17 +67,26 @@ class Pipeline:
         return B.neighbourhood_geometry(self.spark, self.sf_dir)
 
     # -- clean + quarantine ------------------------------------------------
+    def _keep(self, df: DataFrame) -> DataFrame:
+        if self.persist:
+            from pyspark import StorageLevel
+            return df.persist(StorageLevel.MEMORY_AND_DISK)
+        return df
+
+    def _quarantine(self, q: quality.Quarantined) -> quality.Quarantined:
+        return quality._split(self._keep(q.flagged)) if self.persist else q
+
     @cached_property
     def listings_q(self) -> quality.Quarantined:
-        return quality.clean_listings(self.raw_listings, self.currency_code)
+        return self._quarantine(quality.clean_listings(self.raw_listings, self.currency_code))
 
     @cached_property
     def calendar_q(self) -> quality.Quarantined:
-        return quality.clean_calendar(self.raw_calendar)
+        return self._quarantine(quality.clean_calendar(self.raw_calendar))
 
     @cached_property
     def reviews_q(self) -> quality.Quarantined:
-        return quality.clean_reviews(self.raw_reviews)
+        return self._quarantine(quality.clean_reviews(self.raw_reviews))
 
     @property
     def listings(self) -> DataFrame:
@@ -107,9 +120,9 @@ class Pipeline:
 
     @cached_property
     def master(self) -> DataFrame:
-        return summaries.listing_master(self.listings, self.review_summary,
-                                        self.calendar_summary, self.neighbourhood_summary,
-                                        self.snapshot)
+        return self._keep(summaries.listing_master(self.listings, self.review_summary,
+                                                   self.calendar_summary, self.neighbourhood_summary,
+                                                   self.snapshot))
 
     # -- star schema -------------------------------------------------------
     @cached_property
