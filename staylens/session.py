@@ -40,6 +40,7 @@ def build_session(master: str | None = None, app: str = "staylens",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -61,3 +62,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``staylens`` importable in Python workers (pandas UDFs, mapInPandas).
+
+    Zips the package once per SparkContext and registers it with
+    ``addPyFile`` -- the same mechanism as ``--py-files``: Spark serves the
+    archive from the driver to every executor.
+    """
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import zipfile
+
+    import staylens
+    pkg_dir = os.path.dirname(os.path.abspath(staylens.__file__))
+    parent = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="staylens-pyfiles-"), "staylens.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, parent))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
