@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import chat_format, language_id, packing, quality_rules, token_counts
+from staylens.llm import chat_format, language_id, packing, pii, quality_rules, token_counts
 from staylens.llm.common import crc_bucket, read_table
 
 
@@ -47,6 +47,14 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, terms = pii.find(spark, read_table(spark, sf_dir, "documents"))
+    n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == pii.KINDS.index(kind))).cast("bigint")
+    return pii.with_terms(found, terms).select(
+        "doc_id", *(n(k).alias(f"n_{k}") for k in pii.KINDS[:4]),
+        F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_packing, op4_token_counts, op6_quality_rules, op7_chat_formatting, op9_language_id)}
+    op2_packing, op4_token_counts, op6_quality_rules, op7_chat_formatting, op9_language_id, op10_pii)}
 ORACLES: dict[str, str] = {}
