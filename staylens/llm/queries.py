@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import chat_format, language_id, packing, pii, quality_rules, token_counts
+from staylens.llm import chat_format, language_id, ngram_join, packing, pii, quality_rules, token_counts
 from staylens.llm.common import crc_bucket, read_table
 
 
@@ -16,7 +16,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.with_limit(token_counts.token_counts(spark, read_table(spark, sf_dir, "documents")))
+    return token_counts.with_limit(token_counts.token_counts(read_table(spark, sf_dir, "documents")))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_classes(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = crc_bucket(F.col("doc_id"), 3) == 1
@@ -56,5 +60,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_packing, op4_token_counts, op6_quality_rules, op7_chat_formatting, op9_language_id, op10_pii)}
+    op2_packing, op4_token_counts, op6_quality_rules, op7_chat_formatting, op8_ngram_jaccard_join, op9_language_id, op10_pii)}
 ORACLES: dict[str, str] = {}
