@@ -1,9 +1,11 @@
 """Token counts without token ids.
 
 Every text is cut into the pre-tokens of the tokenizer. The frequencies of a block of
-documents are written as postings, one row per (pre-token, block). The pieces of each
-distinct pre-token of the corpus are counted once, joined to the postings, and summed
-per document. No id sequence is ever made.
+documents become postings, one row per (pre-token, block), which are dealt and sorted by
+pre-token. So all rows of a pre-token follow each other in one task: its pieces are counted
+once in the corpus, when its first row comes, and joined to all its frequencies there (a
+merge join whose other side, the vocabulary, never needs a shuffle of its own). Sums go to
+the documents. No id sequence is ever made.
 
 A pre-token in a third of all documents has one posting row per block, so no key is hot:
 the rows of a block are merged before the shuffle.
@@ -18,16 +20,18 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.llm import common
 
 TOKENIZER = "byte_bpe_50k.json"
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 #: A pre-token cache of a task is emptied beyond this many entries.
 CACHE = 400_000
 _BITS = 20  # of a block's row numbers and of a task's block numbers
+_ROWS = 1 << 16  # of a block, at most: a cell's row number has 16 bits
+_MOST = (1 << 16) - 1  # of a cell's frequency; a higher one takes several cells
 
 
 class PreTokens:
@@ -111,97 +115,101 @@ def pieces(tokenizer, pretoken: str) -> int:
 
 def postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              tokenizer: str = TOKENIZER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per block of documents: one row per pre-token with row numbers and frequencies, and
-    one row with an empty pre-token that holds the ids and bytes of the block's documents."""
+    """Per block of documents: one row per pre-token with ``cells`` (16 bits of row number, 16
+    of frequency), and one row with an empty pre-token that holds the block's ids and bytes."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         names = PreTokens(tokenizer)
         task = TaskContext.get().partitionId() if TaskContext.get() else 0
-        for b, batch in enumerate(common.blocks(batches, "text", block_bytes)):
+        for b, batch in enumerate(x.slice(i, _ROWS) for x in common.blocks(batches, "text", block_bytes)
+                                  for i in range(0, x.num_rows, _ROWS)):
             if len(names.chunks) > CACHE:
                 names.clear()
             texts = common.texts_of(batch, "text")
             key = (task << 2 * _BITS) + (b << _BITS)
-            found = [np.array(names.of(t), dtype=np.int64) for t in texts]
-            sizes = np.array([len(x) for x in found])
-            flat = np.concatenate(found) * (1 << _BITS) + np.repeat(np.arange(len(found)), sizes)
+            found = [np.array(names.of(t), dtype=np.int32) for t in texts]
+            flat = np.concatenate(found).astype(np.int64) * _ROWS + np.repeat(
+                np.arange(len(found)), [len(x) for x in found])
             pairs, counts = np.unique(flat, return_counts=True)
-            token = pairs >> _BITS
+            if len(counts) and counts.max() > _MOST:
+                n = -(-counts // _MOST)
+                left = counts.repeat(n) - common.ragged(np.zeros(len(n), np.int64), n) * _MOST
+                pairs, counts = pairs.repeat(n), np.minimum(left, _MOST)
+            token = pairs // _ROWS
             firsts = np.flatnonzero(np.diff(token, prepend=-1))
             runs = np.diff(np.append(firsts, len(token)))
-            docs_in = (pairs & ((1 << _BITS) - 1)).astype(np.int32)
+            cells = (((pairs % _ROWS) << 16) | counts).astype("<u4")
             rows = len(firsts)
-            head = pa.array([None], pa.binary())
-            ids = batch.column(0)
+            ids = batch.column(batch.schema.get_field_index("doc_id"))
             lists = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), ids)
             n_bytes = pa.array([[len(t.encode("utf-8", "surrogatepass")) for t in texts]], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([
                 pa.array([names.names[i] for i in token[firsts]], pa.string()),
-                pa.array(np.full(rows, key), pa.int64()),
-                common.binary_runs(docs_in, runs), common.binary_runs(counts.astype(np.int32), runs),
+                pa.array(np.full(rows, key), pa.int64()), common.binary_runs(cells, runs),
                 pa.nulls(rows, lists.type), pa.nulls(rows, n_bytes.type)], names=_POSTINGS)
             yield pa.RecordBatch.from_arrays([
-                pa.array([""]), pa.array([key], pa.int64()), head, head, lists, n_bytes], names=_POSTINGS)
+                pa.array([""]), pa.array([key], pa.int64()), pa.array([b""], pa.binary()), lists, n_bytes],
+                names=_POSTINGS)
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"pretoken string, block bigint, docs binary, freqs binary, ids array<{id_type}>, n_bytes array<bigint>")
+        run, f"pretoken string, block bigint, cells binary, ids array<{id_type}>, n_bytes array<bigint>")
 
 
-_POSTINGS = ["pretoken", "block", "docs", "freqs", "ids", "n_bytes"]
+_POSTINGS = ["pretoken", "block", "cells", "ids", "n_bytes"]
 
 
-def piece_counts(pretokens: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(pretoken, n_pieces) of distinct pre-tokens."""
+def joined_counts(rows: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
+    """(key, n, doc_id, n_bytes) of postings sorted by pre-token within their partitions: the
+    sums of a task by document key, and a row with n = 0 for each document."""
+    id_type = rows.schema["ids"].dataType.elementType.simpleString()
+
     def run(batches):
         t = common.load_tokenizer(tokenizer)
+        keys, sums, last, last_n = np.empty(0, np.int64), np.empty(0, np.int64), "", 0
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([pieces(t, x) for x in batch.column(0).to_pylist()], pa.int32())],
-                names=["pretoken", "n_pieces"])
-    return pretokens.select("pretoken").mapInArrow(run, "pretoken string, n_pieces int")
+            kind = batch.column(3).type.value_type
+            coded = batch.column(0).dictionary_encode()
+            names = coded.dictionary.to_pylist()
+            counts = [last_n if s == last else pieces(t, s) for s in names]
+            last, last_n = names[-1], counts[-1]
+            blocks = batch.column(1).to_numpy(zero_copy_only=False)
+            cells, runs = common.run_values(batch.column(2), "<u4")
+            n = np.array(counts, np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+            at = np.repeat(blocks, runs) + (cells >> 16).astype(np.int64)
+            keys, sums = _merged(np.concatenate([keys, at]), np.concatenate(
+                [sums, (cells & _MOST).astype(np.int64) * np.repeat(n, runs)]))
+            if len(keys) > 1_000_000:
+                yield _sums(keys, sums, kind)
+                keys, sums = keys[:0], sums[:0]
+            if names[0] == "":
+                for i in np.flatnonzero(coded.indices.to_numpy(zero_copy_only=False) == 0).tolist():
+                    ids, n_bytes = batch.column(3)[i].values, batch.column(4)[i].values
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(blocks[i] + np.arange(len(ids))), pa.array(np.zeros(len(ids), np.int64)), ids, n_bytes], names=_COUNTS)
+        if len(keys):
+            yield _sums(keys, sums, kind)
+    return rows.mapInArrow(run, f"key bigint, n bigint, doc_id {id_type}, n_bytes bigint")
 
 
-def _sums(joined: DataFrame) -> DataFrame:
-    """Partial sums of pieces per document key, merged within each task."""
-    def run(batches):
-        keys, sums = np.empty(0, np.int64), np.empty(0, np.int64)
+_COUNTS = ["key", "n", "doc_id", "n_bytes"]
 
-        def merged(k, v):
-            u, at = np.unique(k, return_inverse=True)
-            out = np.zeros(len(u), np.int64)
-            np.add.at(out, at, v)
-            return u, out
 
-        def rows(k, v):
-            return pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(v, pa.int64())], names=["key", "n"])
-        for batch in batches:
-            docs, runs = common.run_values(batch.column(1), np.int32)
-            freqs, _ = common.run_values(batch.column(2), np.int32)
-            block = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), runs)
-            n = np.repeat(batch.column(3).to_numpy(zero_copy_only=False).astype(np.int64), runs)
-            u, s = merged(block + docs, freqs * n)
-            keys, sums = merged(np.concatenate([keys, u]), np.concatenate([sums, s]))
-            if len(keys) > 1_000_000:
-                yield rows(keys, sums)
-                keys, sums = keys[:0], sums[:0]
-        yield rows(keys, sums)
-    return joined.select("block", "docs", "freqs", "n_pieces").mapInArrow(run, "key bigint, n bigint")
+def _merged(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    u, at = np.unique(keys, return_inverse=True)
+    return u, np.bincount(at, values, len(u)).astype(np.int64)
+
+
+def _sums(keys: np.ndarray, sums: np.ndarray, kind: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([
+        pa.array(keys), pa.array(sums), pa.nulls(len(keys), kind), pa.nulls(len(keys), pa.int64())], names=_COUNTS)
 
 
-def token_counts(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  tokenizer: str = TOKENIZER) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) of every row of ``docs``."""
-    rows = common.written(spark, postings(docs, id_col, text_col, tokenizer), "pretoken-postings")
-    body = rows.where(F.col("pretoken") != "")
-    vocabulary = piece_counts(body.select("pretoken").distinct(), tokenizer)
-    sums = _sums(body.join(vocabulary, "pretoken")).select(
-        "key", "n", F.lit(None).cast(docs.schema[id_col].dataType).alias("doc_id"),
-        F.lit(None).cast("bigint").alias("n_bytes"))
-    heads = rows.where(F.col("pretoken") == "").select("block", F.posexplode(F.arrays_zip("ids", "n_bytes"))).select(
-        (F.col("block") + F.col("pos")).alias("key"), F.lit(0).cast("bigint").alias("n"),
-        F.col("col.ids").alias("doc_id"), F.col("col.n_bytes").alias("n_bytes"))
-    return heads.unionByName(sums).groupBy("key").agg(
+    rows = postings(docs, id_col, text_col, tokenizer).repartition("pretoken").sortWithinPartitions("pretoken")
+    return joined_counts(rows, tokenizer).groupBy("key").agg(
         F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"),
         F.sum("n").alias("n_tokens")).drop("key")
 

@@ -11,7 +11,7 @@ def test_counts_equal_library(spark, make_docs, sample_texts):
     t = common.load_tokenizer(token_counts.TOKENIZER)
     docs = make_docs(sample_texts)
     docs = docs.unionByName(docs.where("doc_id = 30"))
-    got = token_counts.with_limit(token_counts.token_counts(spark, docs), 1024).collect()
+    got = token_counts.with_limit(token_counts.token_counts(docs), 1024).collect()
     assert len(got) == len(sample_texts) + 2
     for r in got:
         text = "no id here" if r["doc_id"] is None else sample_texts[r["doc_id"]] or ""
@@ -20,7 +20,13 @@ def test_counts_equal_library(spark, make_docs, sample_texts):
 
 
 def test_counts_of_empty_table(spark, make_docs):
-    assert token_counts.token_counts(spark, make_docs([]).where("false")).count() == 0
+    assert token_counts.token_counts(make_docs([]).where("false")).count() == 0
+
+
+def test_high_frequencies_take_several_cells(spark, make_docs):
+    n = 3 * 65535 + 7
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(make_docs(["a" + " a" * n, "b"])).collect()}
+    assert got[0] == n + 1 and got[1] == 1
 
 
 def test_pieces_hold_the_library_ids(spark, make_docs, sample_texts):
