@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import os
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,7 +64,6 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str,
         if not batch.num_rows:
             continue
         texts = batch.column(batch.schema.get_field_index(column))
-        import pyarrow.compute as pc
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         part = np.cumsum(sizes) // limit
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
@@ -103,3 +104,49 @@ def run_values(column: pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, dtype=dtype), np.zeros(len(column), dtype=np.int64)
     values = np.frombuffer(data, dtype=np.uint8)[offs[0]:offs[-1]].view(dtype)
     return values, np.diff(offs).astype(np.int64) // size
+
+
+class Runs:
+    """Numbered runs of integers in one growing pool (no object per run, which spares the
+    garbage collector millions of lists). Run 0 is empty."""
+
+    def __init__(self):
+        self.pool, self.ends = array("q"), array("q", [0, 0])
+
+    def add(self, values) -> int:
+        self.pool.extend(values)
+        self.ends.append(len(self.pool))
+        return len(self.ends) - 2
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of the runs one after another, and the length of each."""
+        ends = np.frombuffer(self.ends, np.int64)
+        starts, lengths = ends[numbers], ends[numbers + 1] - ends[numbers]
+        pool = np.frombuffer(self.pool, np.int64) if self.pool else np.empty(0, np.int64)
+        return pool[ragged(starts, lengths)], lengths
+
+
+def coded(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Of a column of lists of text: the distinct texts, their numbers one list after another,
+    and the offsets of the lists."""
+    items = column.flatten().dictionary_encode()
+    offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))])
+    return items.dictionary.to_pylist(), items.indices.to_numpy(zero_copy_only=False).astype(np.int64), offsets
+
+
+_KEPT: dict = {}
+
+
+def per_worker(kind, *key):
+    """One ``kind(*key)`` per Python worker, so that caches outlive a task."""
+    if (kind, key) not in _KEPT:
+        _KEPT[kind, key] = kind(*key)
+    return _KEPT[kind, key]
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that a byte-level vocabulary writes for each byte: printable bytes stand for
+    themselves, the others follow from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = (b for b in range(256) if b not in set(plain))
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,60 +25,67 @@ from staylens.llm import common
 TOKENIZER = "word_bpe_49k.json"
 WINDOW = 2048
 END_ID = 1
-CACHE = 300_000
+#: Distinct words that a worker remembers; beyond, it starts anew.
+CACHE = 1_000_000
 _BITS = 40  # sequence numbers of a share
 
 
 class WordIds:
     """Ids of texts whose tokenizer drops white space: a text is the concatenation of its
-    white-space separated chunks, and each distinct chunk is encoded once per task."""
+    white-space separated chunks. A chunk is a word and its trailing marks, or else encoded
+    as it is. Each distinct word of a worker is encoded once."""
 
     def __init__(self, tokenizer: str):
         self.t = common.load_tokenizer(tokenizer)
+        self.bytes = common.byte_letters()
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.pool, self.starts, self.lengths = (np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64))
-
-    def _add(self, chunks: list[str]) -> None:
-        got = [e.ids for e in self.t.encode_batch(chunks, add_special_tokens=False)]
-        lengths = np.array([len(x) for x in got], np.int64)
-        flat = np.array([i for x in got for i in x], np.uint32)
-        starts = len(self.pool) + np.cumsum(lengths) - lengths
-        self.pool = np.concatenate([self.pool, flat])
-        self.starts = np.concatenate([self.starts, starts])
-        self.lengths = np.concatenate([self.lengths, lengths])
-
-    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.number: dict[str, int] = {"": 0}
+        self.runs = common.Runs()
+
+    def _encoded(self, text: str) -> int:
+        got = self.number.get(text)
+        if got is None:
+            got = self.number[text] = self.runs.add(self.t.encode(text, add_special_tokens=False).ids)
+        return got
+
+    def _word(self, word: str) -> int | None:
+        """The run of a plain word, None if it isn't one."""
+        if not word.isalpha() or max(word) > _LAST or _DOTTED in word:
+            return None
+        low = word.lower()
+        spelled = low if low.isascii() else "".join(map(self.bytes.__getitem__, low.encode()))
+        got = self.number[word] = self.runs.add([x.id for x in self.t.model.tokenize(spelled)])
+        return got
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one text after another, and the number of ids of each text."""
         if len(self.number) > CACHE:
             self.clear()
-        odd = {i for i, t in enumerate(texts) if _ODD(t)}
-        parts = [[] if i in odd else t.split() for i, t in enumerate(texts)]
-        number, base = self.number, len(self.number)
-        at = np.fromiter((number.setdefault(w, len(number)) for p in parts for w in p), np.int64,
-                         sum(map(len, parts)))
-        if len(number) > base:
-            from itertools import islice
-            self._add(list(islice(number, base, None)))
-        lengths = self.lengths[at]
-        flat = self.pool[common.ragged(self.starts[at], lengths)]
-        ends = np.cumsum([len(p) for p in parts])
+        known = self.number
+        chunks, at, offsets = common.coded(pc.ascii_split_whitespace(pc.fill_null(texts, "")))
+        runs = np.zeros((len(chunks), 2), np.int64)  # of the word and of its marks
+        for i, chunk in enumerate(chunks):
+            word = chunk.rstrip(_MARKS)
+            got = known.get(word)
+            if got is None:
+                got = self._word(word)
+            if got is None:
+                runs[i, 0] = self._encoded(chunk)
+            else:
+                runs[i, 0] = got
+                if len(word) < len(chunk):
+                    runs[i, 1] = self._encoded(chunk[len(word):])
+        ids, lengths = self.runs.take(runs[at].ravel())
         upto = np.concatenate([[0], np.cumsum(lengths)])
-        counts = np.diff(upto[ends], prepend=0)
-        if odd:
-            pieces = np.split(flat, np.cumsum(counts)[:-1])
-            for i in odd:
-                pieces[i] = np.array(self.t.encode(texts[i], add_special_tokens=False).ids, np.uint32)
-            counts = np.array([len(p) for p in pieces], np.int64)
-            flat = np.concatenate(pieces)
-        return flat, counts
+        return ids.astype(np.uint32), np.diff(upto[2 * offsets])
 
 
-def _ODD(text: str) -> bool:
-    """Python splits at these too, the tokenizer doesn't."""
-    return not text.isprintable() and any(c in text for c in "\x1c\x1d\x1e\x1f")
+#: Marks that make one pre-token when they follow a word.
+_MARKS = ".,;:!?)"
+#: Letters up to here are composed, and lower case letter by letter; but for the dotted I.
+_LAST, _DOTTED = "\u024f", "\u0130"
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER,
@@ -87,9 +95,9 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        words = WordIds(tokenizer)
-        for batch in common.blocks(batches, "text", 4 << 20):
-            flat, counts = words.of(common.texts_of(batch, "text"))
+        words = common.per_worker(WordIds, tokenizer)
+        for batch in common.blocks(batches, "text"):
+            flat, counts = words.of(batch.column(1))
             flat = np.insert(flat, np.cumsum(counts), end_id).astype("<u4")
             counts = counts + 1
             n = -(-counts // window)

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,19 +28,18 @@ from staylens.llm import common
 
 TOKENIZER = "byte_bpe_50k.json"
 BLOCK_BYTES = 32 << 20
-#: A pre-token cache of a task is emptied beyond this many entries.
-CACHE = 400_000
+#: A worker's cache of chunks and pre-tokens is emptied beyond this many entries.
+CACHE = 800_000
 _BITS = 20  # of a block's row numbers and of a task's block numbers
 _ROWS = 1 << 16  # of a block, at most: a cell's row number has 16 bits
 _MOST = (1 << 16) - 1  # of a cell's frequency; a higher one takes several cells
 
 
 class PreTokens:
-    """Numbers for pre-tokens, with a cache from space-separated chunks to their pre-tokens.
-
-    A pre-token never goes on over a boundary between a non-space and a single space that
-    precedes a non-space, so texts whose chunks have no other white space at their edges
-    are the concatenation of their chunks."""
+    """Numbers for pre-tokens. A pre-token never goes on over a boundary between a non-space
+    and a single space that precedes a non-space, so a text whose space-separated chunks
+    have no white space at their edges is the concatenation of these chunks' pre-tokens.
+    Each distinct chunk of a worker is cut once."""
 
     def __init__(self, tokenizer: str):
         self.t = common.load_tokenizer(tokenizer)
@@ -50,60 +50,57 @@ class PreTokens:
     def clear(self) -> None:
         self.number: dict[str, int] = {}
         self.names: list[str] = []
-        self.chunks: dict[str, list[int] | None] = {}
+        self.chunks: dict[str, int] = {}
+        self.runs = common.Runs()
+
+    def _number(self, name: str) -> int:
+        k = self.number.get(name)
+        if k is None:
+            k = self.number[name] = len(self.names)
+            self.names.append(name)
+        return k
 
     def _plain(self, text: str) -> list[int]:
-        out = []
-        for s, _ in self.t.pre_tokenizer.pre_tokenize_str(text):
-            k = self.number.get(s)
-            if k is None:
-                k = self.number[s] = len(self.names)
-                self.names.append(s)
-            out.append(k)
-        return out
+        return [self._number(s) for s, _ in self.t.pre_tokenizer.pre_tokenize_str(text)]
 
     def whole(self, text: str) -> list[int]:
         """Pre-tokens of a text that may hold special strings; those are pre-tokens too."""
-        parts = [text]
+        parts = [text] if text else []
         for special in self.specials:
             parts = [y for x in parts for y in self._cut(x, special)]
-        out = []
-        for part in parts:
-            if part in self.specials:
-                key = "\0" + part
-                k = self.number.setdefault(key, len(self.names))
-                if k == len(self.names):
-                    self.names.append(key)
-                out.append(k)
-            elif part:
-                out.extend(self._plain(part))
-        return out
+        return [k for x in parts for k in ([self._number("\0" + x)] if x in self.specials else self._plain(x))]
 
     def _cut(self, text: str, special: str) -> list[str]:
         if text in self.specials:
             return [text]
-        bits = text.split(special)
-        return [y for i, x in enumerate(bits) for y in ([special, x] if i else [x])]
-
-    def _chunk(self, chunk: str) -> list[int] | None:
-        body = chunk.removeprefix(" ")
-        if not body or body[0].isspace() or body[-1].isspace() or "\0" in body or any(s in chunk for s in self.specials):
-            return None
-        return self._plain(chunk)
-
-    def of(self, text: str) -> list[int]:
-        if not text:
-            return []
-        known, out = self.chunks, []
-        first, *rest = text.split(" ")
-        for chunk in (first, *(" " + x for x in rest)):
-            got = known.get(chunk, 0)
-            if got == 0:
-                got = known[chunk] = self._chunk(chunk)
-            if got is None:
-                return self.whole(text)
-            out.extend(got)
-        return out
+        bits = [y for x in text.split(special) for y in (special, x)][1:]
+        return [x for x in bits if x]
+
+    def _chunk(self, chunk: str) -> int:
+        """The run of a chunk with its space, or -1 if its text has to be cut as a whole."""
+        got = self.chunks.get(chunk)
+        if got is None:
+            body = chunk.removeprefix(" ")
+            odd = not body or body[0].isspace() or body[-1].isspace() or any(s in body for s in self.specials)
+            got = self.chunks[chunk] = -1 if odd else self.runs.add(self._plain(chunk))
+        return got
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All pre-tokens of the texts as (text's place, number), in no order."""
+        if len(self.chunks) > CACHE or len(self.names) > CACHE:
+            self.clear()
+        texts = pc.fill_null(texts, "")
+        chunks, at, offsets = common.coded(pc.split_pattern(texts, " "))
+        runs = np.fromiter((self._chunk(" " + c) for c in chunks), np.int64, len(chunks))[at]
+        starts = offsets[:-1]
+        runs[starts] = [self._chunk(chunks[k]) for k in at[starts]]
+        odd = np.flatnonzero(np.minimum.reduceat(runs, starts) < 0)
+        place = np.repeat(np.arange(len(texts)), np.diff(offsets))
+        plain = ~np.isin(place, odd) if len(odd) else slice(None)
+        numbers, lengths = self.runs.take(runs[plain])
+        cut = [self.whole(texts[int(i)].as_py()) for i in odd]
+        return (np.concatenate([np.repeat(place[plain], lengths), np.repeat(odd, [len(x) for x in cut])]),
+                np.concatenate([numbers, np.array([k for x in cut for k in x], np.int64)]))
 
 
 def pieces(tokenizer, pretoken: str) -> int:
@@ -120,17 +117,14 @@ def postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        names = PreTokens(tokenizer)
+        names = common.per_worker(PreTokens, tokenizer)
         task = TaskContext.get().partitionId() if TaskContext.get() else 0
         for b, batch in enumerate(x.slice(i, _ROWS) for x in common.blocks(batches, "text", block_bytes)
                                   for i in range(0, x.num_rows, _ROWS)):
-            if len(names.chunks) > CACHE:
-                names.clear()
-            texts = common.texts_of(batch, "text")
+            texts = batch.column(1)
             key = (task << 2 * _BITS) + (b << _BITS)
-            found = [np.array(names.of(t), dtype=np.int32) for t in texts]
-            flat = np.concatenate(found).astype(np.int64) * _ROWS + np.repeat(
-                np.arange(len(found)), [len(x) for x in found])
+            place, number = names.of(texts)
+            flat = number * _ROWS + place
             pairs, counts = np.unique(flat, return_counts=True)
             if len(counts) and counts.max() > _MOST:
                 n = -(-counts // _MOST)
@@ -141,9 +135,9 @@ def postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             runs = np.diff(np.append(firsts, len(token)))
             cells = (((pairs % _ROWS) << 16) | counts).astype("<u4")
             rows = len(firsts)
-            ids = batch.column(batch.schema.get_field_index("doc_id"))
-            lists = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), ids)
-            n_bytes = pa.array([[len(t.encode("utf-8", "surrogatepass")) for t in texts]], pa.list_(pa.int64()))
+            ends = pa.array([0, len(texts)], pa.int32())
+            lists = pa.ListArray.from_arrays(ends, batch.column(0))
+            n_bytes = pa.ListArray.from_arrays(ends, pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64()))
             yield pa.RecordBatch.from_arrays([
                 pa.array([names.names[i] for i in token[firsts]], pa.string()),
                 pa.array(np.full(rows, key), pa.int64()), common.binary_runs(cells, runs),
