@@ -32,5 +32,5 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         if after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty():
             break
         edges = after
-    tree = after.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    tree = after.distinct().select(F.col("a").alias("node"), F.col("b").alias("root"))
     return tree.unionByName(tree.select("root").distinct().select(F.col("root").alias("node"), "root"))

@@ -40,10 +40,10 @@ from staylens.llm.components import components
 WORDS = 5
 PERCENT = 80
 #: k is n // SLACK, 1 at least: longer prefixes cost rows and spare comparisons.
-SLACK = 20
+SLACK = 10
 STARS = 3
 GROUP = 64
-#: The classes left after the prefix count are broadcast up to this number, else shuffled.
+#: Tables of a few numbers a class are broadcast up to this many rows, else shuffled.
 BROADCAST_ROWS = 300_000
 _CACHE = 500_000
 _MASK = np.uint64((1 << 48) - 1)
@@ -91,9 +91,11 @@ def _extra(n: Column) -> Column:
 
 
 def sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """(doc_id, n, cls, tokens) of every row: size, class and sorted shingle hashes. Copies that
-    a task meets again have null tokens, so that copies of one text are few rows later on."""
+    """(doc_id, key, n, cls, tokens) of every row: the text's hash, size, class and sorted
+    shingle hashes. Copies that a task meets again have null tokens, so that copies of one
+    text are few rows later on."""
     id_type = docs.schema[id_col].dataType.simpleString()
+    text = F.col(text_col)
 
     def run(batches):
         import xxhash
@@ -109,11 +111,11 @@ def sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
             offsets = np.concatenate([[0], np.cumsum(np.where(fresh, sizes, 0))]).astype(np.int32)
             kept = [x for x, f in zip(found, fresh) if f] or [np.empty(0, np.int64)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes), pa.array(cls, pa.int64()), pa.ListArray.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(sizes), pa.array(cls, pa.int64()), pa.ListArray.from_arrays(
                     pa.array(offsets), pa.array(np.concatenate(kept)), mask=pa.array(~fresh))],
-                names=["doc_id", "n", "cls", "tokens"])
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {id_type}, n bigint, cls bigint, tokens array<bigint>")
+                names=["doc_id", "key", "n", "cls", "tokens"])
+    return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("key")).mapInArrow(
+        run, f"doc_id {id_type}, key bigint, n bigint, cls bigint, tokens array<bigint>")
 
 
 def shared_tokens(rows: DataFrame) -> DataFrame:
@@ -160,6 +162,11 @@ def shared_tokens(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "cls bigint, n bigint").groupBy("cls").agg(F.sum("n").alias("shared"))
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if it is known to be small."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def linked(a: Column, b: Column, percent: int = PERCENT) -> Column:
     """Whether two token arrays link."""
     both = F.size(F.array_intersect(a, b)).cast("bigint")
@@ -187,7 +194,8 @@ def _matrix_links(spark: SparkSession, rows: DataFrame, percent: int) -> DataFra
     """Links between classes of different families. rows: (cls, n, tokens, family)."""
     tokens = rows.select("cls", "n", "family", F.explode("tokens").alias("token"))
     crossing = shared_tokens(tokens.select("token", F.col("family").alias("label"), "cls"))
-    left = rows.join(crossing, "cls").where(F.col("shared") >= least_overlap(F.col("n"), percent)).drop("shared")
+    crossing = common.written(spark, crossing, "crossing")
+    left = rows.join(_small(crossing), "cls").where(F.col("shared") >= least_overlap(F.col("n"), percent)).drop("shared")
     shares = left.groupBy("family").agg(F.ceil(F.count("*") / GROUP).alias("shares"))
     left = common.written(spark, left.join(shares, "family").withColumn(
         "grp", F.xxhash64("family", F.pmod(F.xxhash64("cls"), "shares"))).drop("shares"), "tgm-classes")
@@ -214,21 +222,22 @@ def _matrix_links(spark: SparkSession, rows: DataFrame, percent: int) -> DataFra
 def join_classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
-    every = common.written(spark, sets(docs, id_col, text_col, words), "shingle-sets")
-    full = every.where(F.col("cls").isNotNull())
     n = F.col("n")
     prefix = F.slice("tokens", F.lit(1), F.least(n, n - least_overlap(n, percent) + _extra(n)).cast("int"))
-    fresh = full.where(F.col("tokens").isNotNull())
-    near = shared_tokens(fresh.select(F.explode(prefix).alias("token"), F.col("cls").alias("label"), "cls"))
+    every = common.written(spark, sets(docs, id_col, text_col, words).withColumn("tokens", prefix), "shingle-prefixes")
+    full = every.where(F.col("cls").isNotNull())
+    near = shared_tokens(full.where(F.col("tokens").isNotNull()).select(
+        F.explode("tokens").alias("token"), F.col("cls").alias("label"), "cls"))
     classes = common.written(spark, full.groupBy("cls").agg(
-        F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count("*").alias("copies")).join(near, "cls", "left"), "classes")
-    maybe = classes.where(F.col("shared") >= _extra(least_overlap(n, percent))).select("cls")
-    if maybe.count() <= BROADCAST_ROWS:
-        maybe = F.broadcast(maybe)
-    rows = common.written(spark, fresh.join(maybe, "cls", "left_semi").select("cls", "n", "tokens").dropDuplicates(["cls"]), "maybe-linked")
+        F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.min("key").alias("key")).join(near, "cls", "left"), "classes")
+    maybe = common.written(spark, classes.where(F.col("shared") >= _extra(least_overlap(n, percent))).select("key"), "maybe-linked")
+    # the whole sets of one text of each class that is left
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key"))
+    rows = sets(texts.join(_small(maybe), "key", "left_semi"), "doc_id", "text", words).where(F.col("tokens").isNotNull())
+    rows = common.written(spark, rows.select("cls", "n", "tokens").dropDuplicates(["cls"]), "whole-sets")
     links = common.written(spark, _stars(rows, percent), "star-links")
     family = components(spark, links).select(F.col("node").alias("cls"), F.col("root").alias("family"))
-    grouped = common.written(spark, rows.join(family, "cls", "left").withColumn("family", F.coalesce("family", "cls")), "families")
+    grouped = rows.join(_small(family), "cls", "left").withColumn("family", F.coalesce("family", "cls"))
     more = common.written(spark, _matrix_links(spark, grouped, percent), "matrix-links")
     root = components(spark, links.unionByName(more)).withColumnRenamed("node", "cls")
     named = classes.join(root, "cls", "left").select("cls", "rep", F.coalesce("root", "cls").alias("root"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import chat_format, decontaminate, language_id, ngram_join, packing, pii, quality_rules, token_counts
+from staylens.llm import chat_format, decontaminate, html_extract, language_id, ngram_join, packing, pii, quality_rules, token_counts
 from staylens.llm.common import crc_bucket, read_table
 
 
@@ -15,6 +15,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(digests)
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.length("text").cast("bigint"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_limit(token_counts.token_counts(read_table(spark, sf_dir, "documents")))
 
@@ -64,5 +69,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_packing, op4_token_counts, op5_decontamination, op6_quality_rules, op7_chat_formatting, op8_ngram_jaccard_join, op9_language_id, op10_pii)}
+    op2_packing, op3_html_extraction, op4_token_counts, op5_decontamination, op6_quality_rules, op7_chat_formatting, op8_ngram_jaccard_join, op9_language_id, op10_pii)}
 ORACLES: dict[str, str] = {}
