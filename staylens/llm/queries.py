@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import chat_format, decontaminate, html_extract, language_id, ngram_join, packing, pii, quality_rules, token_counts
+from staylens.llm import chat_format, decontaminate, html_extract, language_id, ngram_join, packing, pii, quality_rules, token_counts, toxicity
 from staylens.llm.common import crc_bucket, read_table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_bucket(F.col("doc_id"), 5) == 0
+    found = toxicity.toxicity(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), learn=~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = packing.pieces(read_table(spark, sf_dir, "documents"))
     digests = parts.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
@@ -69,5 +75,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_packing, op3_html_extraction, op4_token_counts, op5_decontamination, op6_quality_rules, op7_chat_formatting, op8_ngram_jaccard_join, op9_language_id, op10_pii)}
+    op1_toxicity, op2_packing, op3_html_extraction, op4_token_counts, op5_decontamination, op6_quality_rules, op7_chat_formatting, op8_ngram_jaccard_join, op9_language_id, op10_pii)}
 ORACLES: dict[str, str] = {}
