@@ -16,40 +16,27 @@ from pyspark.sql import functions as F
 from staylens.functions import bands as Bd
 from staylens.functions import scalars as S
 from staylens.functions.statmath import t_critical
-from staylens.operators.ordered import ordered_index
+from staylens.operators.ordered import exact_quantiles, null_safe_join, ordered_index, with_quantiles
 
 
 # ------------------------------------------------------------------ helpers
-def quantiles(c: Column | str, probs: Sequence[float]) -> Column:
-    """Exact linear-interpolation quantiles of one column as an array."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.percentile(c, F.array(*[F.lit(float(p)) for p in probs]))
+def exact_quantile(df: DataFrame, col: str, prob: float) -> DataFrame:
+    """One-row DataFrame ``q``: exact linear-interpolation quantile of ``col``."""
+    one = df.sparkSession.range(1).select(F.lit(1).alias("__k"))
+    return with_quantiles(one, df.select(F.col(col).alias("v"), F.lit(1).alias("__k")), ["__k"], {"q": ("v", prob)}).select("q")
 
 
-def exact_quantile(df: DataFrame, col: str, prob: float) -> DataFrame:
-    """One-row DataFrame ``q``: exact linear-interpolation quantile of ``col``.
+def _column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """One row: exact quantiles ``q{column}_{probability}`` by place, of all columns in one pass."""
+    numbered = df.select(F.lit(1).alias("__k"), *(F.col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(cols)))
+    one = df.sparkSession.range(1).select(F.lit(1).alias("__k"))
+    return with_quantiles(one, numbered, ["__k"], {
+        f"q{i}_{j}": (f"__v{i}", p) for i in range(len(cols)) for j, p in enumerate(probs)}).drop("__k")
 
-    Distinct values are counted (partial aggregation), range-sorted with
-    running counts (``ordered_index``), and the two order statistics around
-    position (n-1)*prob are picked -- no task holds more than a partition.
-    """
-    vc = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(
-        F.count(F.lit(1)).cast("double").alias("c"))
-    idx = ordered_index(vc, [F.col("v")], rn_col="__rn", value_col="c", cum_col="cum",
-                        total_value_col="n")
-    # rows cover 0-based positions [cum - c, cum - 1]
-    h = (F.col("n") - 1) * F.lit(float(prob))
-    lo_pos, hi_pos = F.floor(h), F.ceil(h)
-    start = F.col("cum") - F.col("c")
-    cand = idx.select(
-        "v", "n",
-        ((start <= lo_pos) & (lo_pos <= F.col("cum") - 1)).alias("is_lo"),
-        ((start <= hi_pos) & (hi_pos <= F.col("cum") - 1)).alias("is_hi"),
-        (h - lo_pos).alias("frac")).where(F.col("is_lo") | F.col("is_hi"))
-    agg = cand.agg(F.max(F.when(F.col("is_lo"), F.col("v"))).alias("lo"),
-                   F.max(F.when(F.col("is_hi"), F.col("v"))).alias("hi"),
-                   F.max("frac").alias("frac"))
-    return agg.select((F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")).alias("q"))
+
+def _one_row(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two one-row tables side by side."""
+    return null_safe_join(a, b, [])
 
 
 def with_bands(lm: DataFrame, portfolio: str = "host_portfolio_size",
@@ -89,11 +76,11 @@ def numeric_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
                  F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
-                 F.max(x).alias(f"hi{i}"), quantiles(x, probs).alias(f"q{i}")]
-    wide = df.agg(*aggs)
+                 F.max(x).alias(f"hi{i}")]
+    wide = _one_row(df.agg(*aggs), _column_quantiles(df, cols, probs))
     rows = []
     for i, c in enumerate(cols):
-        q = F.col(f"q{i}")
+        q = [F.col(f"q{i}_{j}") for j in range(len(probs))]
         rows.append(F.struct(
             F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
             F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"),
@@ -114,12 +101,10 @@ def money_mean(c: Column | str, scale: int = 2) -> Column:
 def price_by_group(df: DataFrame, group: Sequence[str], price: str = "price_numeric",
                    probs: Sequence[float] = (0.25, 0.75, 0.95)) -> DataFrame:
     """AG11/AG12/AG14/AG19/AG31: count, median, mean and quantiles per group."""
-    q = quantiles(price, [0.5, *probs])
-    agg = df.groupBy(*group).agg(F.count(price).alias("listing_count"),
-                                 q.alias("__q"), money_mean(price).alias("mean_price"))
-    return agg.select(*group, "listing_count", F.col("__q")[0].alias("median_price"),
-                      "mean_price",
-                      *[F.col("__q")[i + 1].alias(f"p{int(p * 100)}") for i, p in enumerate(probs)])
+    named = {"median_price": 0.5, **{f"p{int(p * 100)}": p for p in probs}}
+    agg = df.groupBy(*group).agg(F.count(price).alias("listing_count"), money_mean(price).alias("mean_price"))
+    return with_quantiles(agg, df, group, {n: (price, p) for n, p in named.items()}).select(
+        *group, "listing_count", "median_price", "mean_price", *[n for n in named if n != "median_price"])
 
 
 def adaptive_floor(df: DataFrame, min_abs: int, frac: float) -> Column:
@@ -161,12 +146,12 @@ def segment_summary(lm: DataFrame, segment: str, order: Sequence[str],
     agg = lm.groupBy(segment).agg(
         F.count(F.lit(1)).alias("listing_count"),
         F.count_distinct("host_id").alias("unique_hosts"),
-        F.median("price_numeric").alias("median_price"),
-        F.median("review_scores_rating").alias("median_rating"),
-        F.median("occupancy_proxy").alias("median_occupancy"),
-        F.median("availability_365").alias("median_availability"),
-        F.median("host_portfolio_size").alias("median_portfolio"),
         F.avg(sh).alias("superhost_rate"))
+    agg = with_quantiles(agg, lm, [segment], {f"median_{n}": (c, 0.5) for n, c in (
+        ("price", "price_numeric"), ("rating", "review_scores_rating"), ("occupancy", "occupancy_proxy"),
+        ("availability", "availability_365"), ("portfolio", "host_portfolio_size"))}).select(
+        segment, "listing_count", "unique_hosts", "median_price", "median_rating", "median_occupancy",
+        "median_availability", "median_portfolio", "superhost_rate")
     return agg.withColumn("segment_rank", Bd.band_rank(F.col(segment), list(order)))
 
 
@@ -176,10 +161,9 @@ def availability_band_summary(lm: DataFrame, band_col: str = "avail_band") -> Da
     labels = Bd.labels(Bd.AVAILABILITY_BANDS)
     bands = spark.createDataFrame([(b, i + 1) for i, b in enumerate(labels)], "band string, band_rank int")
     total = lm.agg(F.count(F.lit(1)).alias("__total"))
-    agg = lm.groupBy(F.col(band_col).alias("band")).agg(
-        F.count(F.lit(1)).alias("listing_count"),
-        F.median("price_numeric").alias("median_price"),
-        F.median("occupancy_proxy").alias("median_occupancy"))
+    banded = lm.withColumn("band", F.col(band_col))
+    agg = with_quantiles(banded.groupBy("band").agg(F.count(F.lit(1)).alias("listing_count")), banded, ["band"], {
+        "median_price": ("price_numeric", 0.5), "median_occupancy": ("occupancy_proxy", 0.5)})
     j = (bands.join(agg, "band", "left").withColumn("__one", F.lit(1))
          .join(F.broadcast(total.withColumn("__one", F.lit(1))), "__one"))
     n = F.coalesce(F.col("listing_count"), F.lit(0))
@@ -242,9 +226,11 @@ def weekpart_availability(cal: DataFrame) -> DataFrame:
 def minimum_nights_monthly(cal: DataFrame, longstay: int = 28) -> DataFrame:
     """AG23: median/mean minimum nights and % long-stay per month (nulls skipped)."""
     mn = F.col("minimum_nights")
-    return cal.groupBy(S.month_bucket(F.col("date")).alias("month")).agg(
-        F.median(mn).alias("median_min_nights"), F.avg(mn).alias("mean_min_nights"),
-        (F.avg((mn >= longstay).cast("int")) * 100).alias("pct_longstay"))
+    monthly = cal.select(S.month_bucket(F.col("date")).alias("month"), "minimum_nights")
+    agg = monthly.groupBy("month").agg(F.avg(mn).alias("mean_min_nights"),
+                                       (F.avg((mn >= longstay).cast("int")) * 100).alias("pct_longstay"))
+    return with_quantiles(agg, monthly, ["month"], {"median_min_nights": ("minimum_nights", 0.5)}).select(
+        "month", "median_min_nights", "mean_min_nights", "pct_longstay")
 
 
 def monthly_review_volume(rev: DataFrame) -> DataFrame:
@@ -266,12 +252,13 @@ def response_rate_summary(lm: DataFrame) -> DataFrame:
     """AG26: right-closed response-rate bins."""
     el = lm.where(F.col("host_response_rate").isNotNull())
     el = el.withColumn("response_rate_band", Bd.cut(F.col("host_response_rate"), Bd.RESPONSE_RATE_BINS))
-    return el.where(F.col("response_rate_band").isNotNull()).groupBy("response_rate_band").agg(
+    el = el.where(F.col("response_rate_band").isNotNull())
+    agg = el.groupBy("response_rate_band").agg(
         F.count(F.lit(1)).alias("listing_count"),
-        F.avg(F.col("host_is_superhost").cast("double")).alias("superhost_rate"),
-        F.median("review_scores_rating").alias("median_rating"),
-        F.median("price_numeric").alias("median_price"),
-        F.median("occupancy_proxy").alias("median_occupancy"))
+        F.avg(F.col("host_is_superhost").cast("double")).alias("superhost_rate"))
+    return with_quantiles(agg, el, ["response_rate_band"], {
+        "median_rating": ("review_scores_rating", 0.5), "median_price": ("price_numeric", 0.5),
+        "median_occupancy": ("occupancy_proxy", 0.5)})
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], prefix: str = "") -> DataFrame:
@@ -291,12 +278,12 @@ def score_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 quantiles(x, [0.1, 0.25, 0.5, 0.75, 0.9]).alias(f"q{i}")]
-    wide = df.agg(*aggs)
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+    probs = [0.1, 0.25, 0.5, 0.75, 0.9]
+    wide = _one_row(df.agg(*aggs), _column_quantiles(df, cols, probs))
     rows = []
     for i, c in enumerate(cols):
-        q = F.col(f"q{i}")
+        q = [F.col(f"q{i}_{j}") for j in range(len(probs))]
         nulls = F.col("__rows") - F.col(f"n{i}")
         rows.append(F.struct(F.lit(c).alias("dimension"), F.col(f"n{i}").alias("n_rated"),
                              nulls.alias("null_count"), (nulls * 100.0 / F.col("__rows")).alias("null_pct"),
@@ -355,17 +342,18 @@ def percentile_cap(df: DataFrame, col: str, q: float = 0.99) -> DataFrame:
 
 def masked_group_median(df: DataFrame, group: str, value: str, min_n: int = 20) -> DataFrame:
     """AG30 + PF18: per-group median, null when the group has fewer than min_n values."""
-    agg = df.groupBy(group).agg(F.count(value).alias("n"), F.median(value).alias("median"))
+    agg = with_quantiles(df.groupBy(group).agg(F.count(value).alias("n")), df, [group], {"median": (value, 0.5)})
     return agg.select(group, "n", F.when(F.col("n") >= min_n, F.col("median")).alias("median_masked"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 60) -> DataFrame:
-    """AG58: fixed-width histogram over [min, max]; empty bins kept (0)."""
+    """AG58: fixed-width histogram over [min, max]; empty bins kept (0). A constant column
+    falls into the first bin, a column without values gives empty bins without bounds."""
     x = F.col(col)
     rng = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).withColumn("__one", F.lit(1))
     w = (F.col("hi") - F.col("lo")) / bins
     j = df.where(x.isNotNull()).withColumn("__one", F.lit(1)).join(F.broadcast(rng), "__one")
-    b = F.least(F.floor((x - F.col("lo")) / w), F.lit(bins - 1)).cast("int")
+    b = F.least(F.floor(F.try_divide(x - F.col("lo"), w)), F.lit(bins - 1)).cast("int")
     counts = j.groupBy(F.coalesce(b, F.lit(0)).alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     all_bins = rng.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     out = all_bins.join(counts, "bin", "left")
@@ -376,26 +364,24 @@ def histogram(df: DataFrame, col: str, bins: int = 60) -> DataFrame:
 
 def city_comparison(lm: DataFrame, city: str = "city") -> DataFrame:
     """AG34 + AG36: KPIs per city (three superhost denominators kept apart)."""
-    p = F.col("price_numeric")
     sh = F.col("host_is_superhost")
-    return lm.groupBy(city).agg(
+    agg = lm.groupBy(city).agg(
         F.count(F.lit(1)).alias("listings"),
         F.count_distinct("host_id").alias("hosts"),
-        F.median(p).alias("median_price"),
-        F.percentile(p, 0.25).alias("p25_price"), F.percentile(p, 0.75).alias("p75_price"),
-        F.percentile(p, 0.95).alias("p95_price"),
         F.avg("review_scores_rating").alias("mean_rating"),
-        F.median("occupancy_proxy").alias("median_occupancy"),
         F.avg(sh.cast("double")).alias("superhost_rate_nonnull"),
         (F.count_if(sh) / F.count(F.lit(1))).alias("superhost_rate_all_rows"),
         (F.count_if(F.col("availability_365") > 270) * 100.0 / F.count(F.lit(1))).alias("pct_avail_gt_270"),
         F.avg(F.when(F.col("room_type") == "entire_home", 1.0).otherwise(0.0)).alias("entire_home_share"),
         (F.count_if(F.col("is_professional_host")) / F.count(F.lit(1))).alias("professional_share"))
+    return with_quantiles(agg, lm, [city], {
+        "median_price": ("price_numeric", 0.5), "p25_price": ("price_numeric", 0.25), "p75_price": ("price_numeric", 0.75),
+        "p95_price": ("price_numeric", 0.95), "median_occupancy": ("occupancy_proxy", 0.5)})
 
 
 def relative_to_group_median(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
     """SC41: value / median(value) of its group (aggregate + join, skew-safe)."""
-    med = df.groupBy(group).agg(F.median(value).alias("__med"))
+    med = exact_quantiles(df, [group], {"__med": (value, 0.5)})
     return df.join(med, group, "left").withColumn(out, S.safe_ratio(F.col(value), F.col("__med"))).drop("__med")
 
 

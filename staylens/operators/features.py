@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions import scalars as S
+from staylens.operators.ordered import null_safe_join, with_quantiles
 
 # Amenity keyword -> flag column (substring match on lower-cased items).
 AMENITY_FLAGS = [
@@ -46,10 +47,16 @@ def listing_features(master: DataFrame) -> DataFrame:
         F.log1p("price_numeric").alias("log_price"), "price_numeric")
 
 
+def column_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row: the exact median of each column as ``__m_<column>``."""
+    one = df.sparkSession.range(1).select(F.lit(1).alias("__k"))
+    return with_quantiles(one, df.select(F.lit(1).alias("__k"), *cols), ["__k"],
+                          {f"__m_{c}": (c, 0.5) for c in cols}).drop("__k")
+
+
 def median_impute(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """AG38: fill nulls with each column's exact median (one aggregation, one-row broadcast)."""
-    med = df.agg(*[F.median(c).alias(f"__m_{c}") for c in cols]).withColumn("__one", F.lit(1))
-    j = df.withColumn("__one", F.lit(1)).join(F.broadcast(med), "__one")
+    """AG38: fill nulls with each column's exact median (all columns in one ordered pass)."""
+    j = null_safe_join(df, column_medians(df, cols), [])
     return j.select(*[F.coalesce(F.col(c), F.col(f"__m_{c}")).alias(c) if c in cols else F.col(c)
                       for c in df.columns])
 

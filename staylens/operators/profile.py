@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.functions import scalars as S
+from staylens.operators.ordered import with_quantiles
 
 # Completeness classes and the reference's default bounding box.
 COMPLETENESS_CLASSES = [("complete", 0.0), ("mostly_complete", 5.0), ("partial", 30.0),
@@ -28,13 +29,12 @@ def _long(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataF
 
 
 def column_profile(df: DataFrame, cols: Sequence[str] | None = None,
-                   approx_distinct: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+                   keep: Sequence[str] = ()) -> DataFrame:
     """AG47: per column dtype, rows, nulls, null %, distinct, min, max (as text)."""
     cols = list(cols or [c for c in df.columns if c not in keep])
     dtypes = dict(df.dtypes)
     lng = _long(df, cols, keep)
-    distinct = (F.approx_count_distinct("value") if approx_distinct
-                else F.count_distinct("value")).alias("distinct_count")
+    distinct = F.count_distinct("value").alias("distinct_count")
     agg = lng.groupBy(*keep, "column").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("value").isNull()).alias("null_count"),
         distinct, F.min("value").alias("min_text"), F.max("value").alias("max_text"),
@@ -59,11 +59,10 @@ def extended_profile(df: DataFrame, numeric_cols: Sequence[str]) -> DataFrame:
     agg = lng.groupBy("column").agg(
         F.count(F.lit(1)).alias("rows"), F.count("num").alias("non_null"),
         F.count_distinct("num").alias("distinct_count"),
-        F.percentile("num", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
         F.stddev_samp("num").alias("std"))
+    agg = with_quantiles(agg, lng, ["column"], {"q1": ("num", 0.25), "median": ("num", 0.5), "q3": ("num", 0.75)})
     null_pct = (F.col("rows") - F.col("non_null")) * 100.0 / F.col("rows")
-    return agg.select("column", "rows", "non_null", "distinct_count", F.col("q")[0].alias("q1"),
-                      F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "std",
+    return agg.select("column", "rows", "non_null", "distinct_count", "q1", "median", "q3", "std",
                       (F.col("distinct_count") / F.col("rows")).alias("cardinality_ratio"),
                       completeness_class(null_pct).alias("completeness"))
 
@@ -74,12 +73,11 @@ def top_values_per_column(df: DataFrame, cols: Sequence[str], k: int = 5,
     at most ``max_distinct`` distinct values. One shuffle for all columns."""
     lng = _long(df, cols).where(F.col("value").isNotNull())
     vc = lng.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+    if max_distinct is not None:  # columns of many values leave before anything is ranked
+        few = vc.groupBy("column").agg(F.count(F.lit(1)).alias("__nd")).where(F.col("__nd") <= max_distinct)
+        vc = vc.join(F.broadcast(few.select("column")), "column", "left_semi")
     w = Window.partitionBy("column").orderBy(F.col("count").desc(), F.col("value"))
-    ranked = vc.select("*", F.row_number().over(w).alias("rank"),
-                       F.count(F.lit(1)).over(Window.partitionBy("column")).alias("__nd"))
-    if max_distinct is not None:
-        ranked = ranked.where(F.col("__nd") <= max_distinct)
-    return ranked.where(F.col("rank") <= k).drop("__nd")
+    return vc.select("*", F.row_number().over(w).alias("rank")).where(F.col("rank") <= k)
 
 
 def iqr_outliers(df: DataFrame, cols: Sequence[str],
@@ -97,12 +95,12 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str],
                      F.coalesce(is_sent, F.lit(False)).alias("is_sentinel"))
     q = lng.groupBy("column").agg(
         F.count("num").alias("non_null"),
-        F.percentile("num", F.array(F.lit(0.25), F.lit(0.75))).alias("q"),
         F.count_if("is_sentinel").alias("sentinel_int_max_rows"))
-    iqr = F.col("q")[1] - F.col("q")[0]
+    q = with_quantiles(q, lng, ["column"], {"__q1": ("num", 0.25), "__q3": ("num", 0.75)})
+    iqr = F.col("__q3") - F.col("__q1")
     bounds = q.select("column", "non_null", "sentinel_int_max_rows",
-                      F.when(F.col("non_null") >= 4, F.col("q")[0] - 1.5 * iqr).alias("iqr_lower"),
-                      F.when(F.col("non_null") >= 4, F.col("q")[1] + 1.5 * iqr).alias("iqr_upper"))
+                      F.when(F.col("non_null") >= 4, F.col("__q1") - 1.5 * iqr).alias("iqr_lower"),
+                      F.when(F.col("non_null") >= 4, F.col("__q3") + 1.5 * iqr).alias("iqr_upper"))
     # one row per profiled column: bounded by len(cols)
     j = lng.join(F.broadcast(bounds), "column")
     cnt = j.groupBy("column").agg(F.count_if(F.col("num") < F.col("iqr_lower")).alias("low_outliers"),

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions import scalars as S
+from staylens.operators.ordered import with_quantiles
 
 
 def _cnt(cond: Column) -> Column:
@@ -72,20 +73,14 @@ def neighbourhood_summary(listings: DataFrame, neighbourhoods: DataFrame | None
                           host: str = "host_id", room_type: str = "room_type",
                           superhost: str = "host_is_superhost",
                           rating: str = "review_scores_rating",
-                          availability: str = "availability_365",
-                          exact_median: bool = True) -> DataFrame:
-    """AG3 + J2: per-neighbourhood market summary, with area and density.
-
-    ``exact_median=False`` switches to ``percentile_approx`` (bounded memory per
-    group) for tables with more than ~1e8 distinct prices per neighbourhood.
-    """
+                          availability: str = "availability_365") -> DataFrame:
+    """AG3 + J2: per-neighbourhood market summary, with area and density."""
     p = F.col(price)
-    med = F.median(p) if exact_median else F.percentile_approx(p, 0.5, 100000)
+    listings = listings.withColumn("neighbourhood", F.col(group))
     sh = F.col(superhost)
-    agg = listings.groupBy(F.col(group).alias("neighbourhood")).agg(
+    agg = listings.groupBy("neighbourhood").agg(
         F.count(F.lit(1)).alias("listing_count"),
         F.count_distinct(F.col(host)).alias("unique_host_count"),
-        med.cast("double").alias("median_price_gbp"),
         F.avg(p).alias("mean_price_gbp"),
         (F.sum(F.when(p.isNull(), 1).otherwise(0)).cast("double") / F.count(F.lit(1)))
         .alias("price_null_share"),
@@ -94,6 +89,7 @@ def neighbourhood_summary(listings: DataFrame, neighbourhoods: DataFrame | None
         F.avg(F.when(sh, F.lit(1.0)).when(~sh, F.lit(0.0))).alias("superhost_share"),
         F.avg(F.col(rating)).alias("avg_review_score"),
         F.avg(F.col(availability)).cast("double").alias("avg_availability_365"))
+    agg = with_quantiles(agg, listings, ["neighbourhood"], {"median_price_gbp": (price, 0.5)})
     if neighbourhoods is None:
         return agg
     # One row per neighbourhood on both sides; AQE broadcasts the measured side.
@@ -139,10 +135,10 @@ def listing_master(listings: DataFrame, rs: DataFrame, cs: DataFrame, ns: DataFr
 
 def master_totals(master: DataFrame) -> DataFrame:
     """AG4: one-row totals with FILTER-style conditional aggregates."""
-    return master.agg(
+    totals = master.agg(
         F.count(F.lit(1)).alias("row_count"),
         _cnt(F.col("is_active_supply")).alias("active_listings"),
         _cnt(F.col("is_professional_host")).alias("professional_host_listings"),
-        F.median("price_numeric").alias("median_price_gbp"),
-        F.sum("revenue_proxy_gbp").alias("total_revenue_proxy_gbp"),
-        F.median("occupancy_proxy").alias("median_occupancy_proxy"))
+        F.sum("revenue_proxy_gbp").alias("total_revenue_proxy_gbp"), F.lit(1).alias("__k"))
+    return with_quantiles(totals, master.withColumn("__k", F.lit(1)), ["__k"], {
+        "median_price_gbp": ("price_numeric", 0.5), "median_occupancy_proxy": ("occupancy_proxy", 0.5)}).drop("__k")

@@ -170,14 +170,8 @@ class Pipeline:
                  "fact_calendar", "fact_reviews", "fact_listing_snapshot"]}
 
     def report(self, name: str) -> DataFrame:
-        """Run a named report; only the warehouse tables its SQL names are built."""
-        if name == "occupancy_proxy_distribution":
-            return reports.run_report(self.spark, name,
-                                      {"fact_listing_snapshot": self.fact_listing_snapshot})
-        sql = reports.REPORT_SQL.get(name, "")
-        needed = {n: getattr(self, n) for n in
-                  ["dim_city", "dim_neighbourhood", "dim_host", "dim_listing", "dim_date",
-                   "fact_calendar", "fact_reviews", "fact_listing_snapshot"] if n in sql}
+        """Run a named report; only the warehouse tables that it names are built."""
+        needed = {n: getattr(self, n) for n in reports.needed_tables(name)}
         return reports.run_report(self.spark, name, needed)
 
     # -- materialisation ---------------------------------------------------
