@@ -7,18 +7,18 @@ equal sets form one class from the start. Exactly the classes linked with anothe
 1. Prefix count. If two sets link, they share at least k of their tokens of lowest hash (the
    prefix of n - ceil(0.8 n) + k; ``SLACK`` sets k). Tokens are dealt once by token; a class
    whose prefix holds too few tokens of other classes links with nothing and is done.
-2. Stars. Of the other classes, those with an equal min-hash are compared with one of them
+2. Stars. Of the other classes, those with an equal min-hash are compared with the most central of them
    (``STARS`` min-hashes), which joins large families by a number of comparisons that is
    linear in their members.
-3. Token-group matrix. The similar classes joined so far are the groups, in shares of about
-   ``GROUP`` members. Only tokens that stand in two joined families can make a further link,
-   so a class needs ceil(0.8 n) of them. For those classes the matrix stores each group's
-   token union. A class finds the groups of other families by its rarest tokens, its overlap
-   with each union bounds its overlap with any member, and only groups whose bound reaches
-   ceil(0.8 n) are opened: the class is compared with their members.
-
-Nothing is capped: a hot token meets groups, not documents, and the members of a joined
-family are never paired with each other. Tokens have 48 bits and classes 64, so a false
+3. Token-group matrix. Only tokens that stand in two families joined so far can make a
+   further link, so a class needs ceil(0.8 n) of them. Those classes are partitioned by
+   min-hash into chunks of similar ones. A class meets the chunks that share one of its
+   rarest tokens, and a task holds two chunks at most: the matrix has the token union of
+   each group of ``GROUP`` members, a query's overlap with it bounds that with any member,
+   and only groups whose bound reaches ceil(0.8 n) are opened and compared.
+
+Nothing is capped: a hot token meets chunks, not documents, the members of a joined family
+are never paired with each other, and a task hands on a forest of links. Tokens have 48 bits and classes 64, so a false
 link among 10^9 different sets has a chance of about 3 %.
 
 Cases: a null or empty text, or one of white space, has an empty set and is its own class;
@@ -36,13 +36,16 @@ from pyspark.sql import functions as F
 
 from staylens.llm import common
 from staylens.llm.components import components
+from staylens.operators.ordered import ordered_index
 
 WORDS = 5
 PERCENT = 80
 #: k is n // SLACK, 1 at least: longer prefixes cost rows and spare comparisons.
 SLACK = 10
 STARS = 3
-GROUP = 64
+GROUP = 32
+#: Classes of a chunk. A task holds the sets of two.
+CHUNK = 256
 #: Tables of a few numbers a class are broadcast up to this many rows, else shuffled.
 BROADCAST_ROWS = 300_000
 _CACHE = 500_000
@@ -183,45 +186,130 @@ def compared(pairs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> DataF
 
 
 def _stars(rows: DataFrame, percent: int) -> DataFrame:
-    """Links of classes with the first class of an equal min-hash."""
+    """Links of classes with the most central class of an equal min-hash: the one that shares
+    most of its tokens, as the text that others were edited from does."""
     hashes = [F.array_min(F.transform("tokens", lambda t: F.xxhash64(t, F.lit(j)))) for j in range(STARS)]
-    keys = rows.select("cls", F.posexplode(F.array(*hashes)).alias("j", "h"))
-    hubs = keys.groupBy("j", "h").agg(F.min("cls").alias("hub"), F.max("cls").alias("top")).where("hub != top")
+    keys = rows.select("cls", "central", F.posexplode(F.array(*hashes)).alias("j", "h"))
+    hubs = keys.groupBy("j", "h").agg(F.max_by("cls", F.struct("central", "cls")).alias("hub"), F.count("*").alias("size")).where("size > 1")
     return compared(keys.join(hubs, ["j", "h"]).select(F.col("cls").alias("a"), F.col("hub").alias("b")), rows, percent)
 
 
+def _groups(left: DataFrame) -> DataFrame:
+    """``left`` with ``h``, a min-hash, and ``chunk``: ``CHUNK`` classes that follow each other in
+    the order of h, so similar ones mostly share a chunk."""
+    hashed = left.withColumn("h", F.array_min(F.transform("tokens", lambda t: F.xxhash64(t, F.lit(STARS)))))
+    places = ordered_index(hashed.select("cls", "h"), ["h", "cls"], rn_col="place")
+    chunks = places.select("cls", F.floor((F.col("place") - 1) / CHUNK).alias("chunk"))
+    return hashed.join(chunks, "cls")
+
+
+def _lists(column: pa.ChunkedArray, rows: np.ndarray) -> list[np.ndarray]:
+    got = column.combine_chunks()
+    ends, values = got.offsets.to_numpy(), got.values.to_numpy(zero_copy_only=False)
+    return [values[ends[i]:ends[i + 1]] for i in rows]
+
+
+def _incidence(lists: list[np.ndarray], words: np.ndarray) -> np.ndarray:
+    """Rows by words: 1 where a list holds a word (lists and words sorted)."""
+    out = np.zeros((len(lists), len(words)), np.float32)
+    for i, x in enumerate(lists):
+        x = x[np.searchsorted(x, words[0]):np.searchsorted(x, words[-1], "right")]
+        at = np.searchsorted(words, x)
+        out[i, at[words[at] == x]] = 1
+    return out
+
+
+def block_links(queries: list[np.ndarray], members: list[np.ndarray], need: np.ndarray, slab: int = 8192):
+    """Yields (query rows, member rows, overlaps) of the groups that a query opens.
+
+    The matrix holds a row of token incidences for each group's union. A query's overlap with
+    it bounds that with any member, so the members of a group are looked at for those
+    queries alone whose bound reaches their need."""
+    words = np.intersect1d(np.unique(np.concatenate(queries)), np.unique(np.concatenate(members)))
+    if not len(words):
+        return
+    slabs = [words[i:i + slab] for i in range(0, len(words), slab)]
+    starts = np.arange(0, len(members), GROUP)
+    bound = np.zeros((len(queries), len(starts)), np.float32)
+    for w in slabs:
+        union = np.maximum.reduceat(_incidence(members, w), starts, axis=0)
+        bound += _incidence(queries, w) @ union.T
+    for g, start in enumerate(starts):
+        rows = np.flatnonzero(bound[:, g] >= need)
+        if not len(rows):
+            continue
+        group = members[start:start + GROUP]
+        both = np.zeros((len(rows), len(group)), np.float32)
+        for w in slabs:
+            both += _incidence([queries[i] for i in rows], w) @ _incidence(group, w).T
+        yield rows, start + np.arange(len(group)), both
+
+
+def _forest(a: np.ndarray, b: np.ndarray, family: dict) -> list[int]:
+    """Places of those links that join families not yet joined; family: the family of a class."""
+    root: dict = {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+    out = []
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = find(family[x]), find(family[y])
+        if x != y:
+            root[x] = y
+            out.append(i)
+    return out
+
+
 def _matrix_links(spark: SparkSession, rows: DataFrame, percent: int) -> DataFrame:
-    """Links between classes of different families. rows: (cls, n, tokens, family)."""
+    """Links between classes of different families, as many as join them: a task gives a
+    forest, not all pairs. rows: (cls, n, tokens, family)."""
     tokens = rows.select("cls", "n", "family", F.explode("tokens").alias("token"))
     crossing = shared_tokens(tokens.select("token", F.col("family").alias("label"), "cls"))
     crossing = common.written(spark, crossing, "crossing")
     left = rows.join(_small(crossing), "cls").where(F.col("shared") >= least_overlap(F.col("n"), percent)).drop("shared")
-    shares = left.groupBy("family").agg(F.ceil(F.count("*") / GROUP).alias("shares"))
-    left = common.written(spark, left.join(shares, "family").withColumn(
-        "grp", F.xxhash64("family", F.pmod(F.xxhash64("cls"), "shares"))).drop("shares"), "tgm-classes")
-    cells = left.select("cls", "n", "family", "grp", F.explode("tokens").alias("token"))
-    matrix = common.written(spark, cells.select("token", "grp", "family").distinct(), "tgm-matrix")
-    rare = matrix.groupBy("token").agg(F.count("*").alias("groups"), F.min("family").alias("lo"), F.max("family").alias("hi")).where(
-        "lo != hi").select("token", "groups")
+    left = common.written(spark, _groups(common.written(spark, left, "crossing-classes")), "tgm-classes")
+    cells = left.select("cls", "family", F.explode("tokens").alias("token"))
+    rare = cells.groupBy("token").agg(F.count("*").alias("df"), F.min("family").alias("lo"), F.max("family").alias("hi")).where(
+        "lo != hi").select("token", "df")
     need = least_overlap(F.col("n"), percent)
-    queries = cells.join(rare, "token").groupBy("cls", "n", "family").agg(
-        F.array_sort(F.collect_list(F.struct("groups", "token"))).alias("own")).where(F.size("own") >= need)
-    queries = common.written(spark, queries, "tgm-queries")
+    own = cells.join(rare, "token").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("own"))
     prefix = F.slice("own", F.lit(1), (F.size("own") - need + 1).cast("int"))
-    found = queries.select("cls", "family", F.explode(prefix).alias("t")).select("cls", "family", "t.token")
-    other = matrix.withColumnRenamed("family", "theirs")
-    candidates = found.join(other, "token").where("family != theirs").select("cls", "grp").distinct()
-    overlap = queries.select("cls", "n", F.explode("own").alias("t")).select("cls", "n", "t.token").join(candidates, "cls").join(
-        matrix.select("token", "grp"), ["token", "grp"]).groupBy("cls", "grp", "n").agg(F.count("*").alias("bound"))
-    opened = overlap.where(F.col("bound") >= need).select("cls", "grp")
-    pairs = opened.join(left.select(F.col("cls").alias("member"), "grp"), "grp").select(
-        F.least("cls", "member").alias("a"), F.greatest("cls", "member").alias("b"))
-    return compared(pairs, left, percent)
-
-
-def join_classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``."""
+    queries = left.select("cls", "n", "family", "h", "chunk").join(own, "cls").where(F.size("own") >= need).select(
+        "cls", "n", "family", "h", "chunk", F.transform(prefix, lambda x: x["token"]).alias("prefix"),
+        F.array_sort(F.transform("own", lambda x: x["token"])).alias("own"))
+    queries = common.written(spark, queries, "tgm-queries")
+    rarest = queries.select("cls", "chunk", F.explode("prefix").alias("token"))
+    matrix = rarest.select("token", F.col("chunk").alias("other")).distinct()
+    meets = rarest.join(matrix, "token").select("cls", "chunk", "other").distinct()
+    sides = meets.join(queries.select("cls", "n", "family", "h", "own"), "cls").withColumn(
+        "lo", F.least("chunk", "other")).withColumn("hi", F.greatest("chunk", "other"))
+
+    def run(block: pa.Table) -> pa.Table:
+        block = block.sort_by([("h", "ascending"), ("cls", "ascending")])
+        cls, n, family, chunk = (block.column(c).to_numpy() for c in ("cls", "n", "family", "chunk"))
+        first = np.flatnonzero(chunk == block.column("lo")[0].as_py())
+        second = np.flatnonzero(chunk == block.column("hi")[0].as_py())
+        a, b = [], []
+        if len(first) and len(second):
+            least = least_overlap(n[first], percent)
+            for q, m, both in block_links(_lists(block.column("own"), first), _lists(block.column("own"), second), least):
+                q, m = first[q], second[m]
+                hit = 100 * both >= percent * (n[q][:, None] + n[m][None, :] - both)
+                i, j = np.nonzero(hit & (family[q][:, None] != family[m][None, :]))
+                a.append(cls[q[i]])
+                b.append(cls[m[j]])
+        a, b = np.concatenate(a or [cls[:0]]), np.concatenate(b or [cls[:0]])
+        kept = _forest(a, b, dict(zip(cls.tolist(), family.tolist())))
+        return pa.table({"a": a[kept], "b": b[kept]})
+    return sides.groupBy("lo", "hi").applyInArrow(run, "a bigint, b bigint")
+
+
+def _labelled(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int):
+    """(doc_id, key, n, cls) of every row, and (cls, rep, root) of every class: its smallest id
+    and the smallest class it reaches."""
     n = F.col("n")
     prefix = F.slice("tokens", F.lit(1), F.least(n, n - least_overlap(n, percent) + _extra(n)).cast("int"))
     every = common.written(spark, sets(docs, id_col, text_col, words).withColumn("tokens", prefix), "shingle-prefixes")
@@ -230,19 +318,47 @@ def join_classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", t
         F.explode("tokens").alias("token"), F.col("cls").alias("label"), "cls"))
     classes = common.written(spark, full.groupBy("cls").agg(
         F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.min("key").alias("key")).join(near, "cls", "left"), "classes")
-    maybe = common.written(spark, classes.where(F.col("shared") >= _extra(least_overlap(n, percent))).select("key"), "maybe-linked")
+    maybe = common.written(spark, classes.where(F.col("shared") >= _extra(least_overlap(n, percent))).select(
+        "key", "cls", (F.col("shared") / n).alias("central")), "maybe-linked")
     # the whole sets of one text of each class that is left
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key"))
-    rows = sets(texts.join(_small(maybe), "key", "left_semi"), "doc_id", "text", words).where(F.col("tokens").isNotNull())
-    rows = common.written(spark, rows.select("cls", "n", "tokens").dropDuplicates(["cls"]), "whole-sets")
+    rows = sets(texts.join(_small(maybe.select("key")), "key", "left_semi"), "doc_id", "text", words).where(F.col("tokens").isNotNull())
+    rows = rows.select("cls", "n", "tokens").dropDuplicates(["cls"]).join(_small(maybe.select("cls", "central")), "cls")
+    rows = common.written(spark, rows, "whole-sets")
     links = common.written(spark, _stars(rows, percent), "star-links")
     family = components(spark, links).select(F.col("node").alias("cls"), F.col("root").alias("family"))
-    grouped = rows.join(_small(family), "cls", "left").withColumn("family", F.coalesce("family", "cls"))
+    grouped = rows.drop("central").join(_small(family), "cls", "left").withColumn("family", F.coalesce("family", "cls"))
     more = common.written(spark, _matrix_links(spark, grouped, percent), "matrix-links")
     root = components(spark, links.unionByName(more)).withColumnRenamed("node", "cls")
     named = classes.join(root, "cls", "left").select("cls", "rep", F.coalesce("root", "cls").alias("root"))
+    return every.select("doc_id", "key", "n", "cls"), named
+
+
+def join_classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs``."""
+    every, named = _labelled(spark, docs, id_col, text_col, words, percent)
     ids = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     by_class = named.join(ids, "root").select("cls", "component_id")
-    return every.select("doc_id", "n", "cls").join(by_class, "cls", "left").select(
+    return every.join(by_class, "cls", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest id (null ids last; of equal
+    ids, the smallest hash of the text). Rows without words link with nothing and stay."""
+    every, named = _labelled(spark, docs, id_col, text_col, words, percent)
+    rows = every.where(F.col("cls").isNotNull()).join(named.select("cls", "root"), "cls")
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("r")).select(
+        F.col("r.doc_id").alias("keep_id"), F.col("r.key").alias("keep_key"))
+    first = common.written(spark, first, "kept")
+    names = docs.columns
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col(id_col).alias("keep_id"),
+                      F.xxhash64(text_col).alias("keep_key"), F.coalesce(F.col(text_col).rlike(r"[^ \t\n\x0B\f\r]"), F.lit(False)).alias("worded"))
+    chosen = row.where("worded").join(
+        first.withColumnsRenamed({"keep_id": "i", "keep_key": "k"}),
+        F.col("keep_id").eqNullSafe(F.col("i")) & (F.col("keep_key") == F.col("k")), "left_semi").dropDuplicates(["keep_id", "keep_key"])
+    back = [F.col("row")[c].alias(c) for c in names]
+    return chosen.select(*back).unionByName(row.where("not worded").select(*back))
