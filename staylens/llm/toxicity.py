@@ -4,8 +4,8 @@ Examples are a sample of labelled rows with a documented bound: the ``EXAMPLES``
 lowest id hash (texts over ``EXAMPLE_CHARS`` characters are passed by). All other work
 covers every row and every word.
 
-Terms are lower-case words that tell the labels apart among the examples: a chi-square of
-``TELLING`` or more over contexts, where a word counts once per word before it and label, so
+Terms are lower-case words that tell the labels apart among the examples: a log-likelihood
+ratio of ``TELLING`` or more over contexts, where a word counts once per word before it and label, so
 that copies of one text make no term, and ``CONTEXTS`` contexts at least. A text is its TF-IDF
 vector over these terms (1 + ln tf, ln((N + 1) / (df + 1)) + 1, unit length).
 
@@ -41,7 +41,7 @@ from staylens.llm import common
 
 EXAMPLES = 4000
 EXAMPLE_CHARS = 100_000
-TELLING = 20.0
+TELLING = 30.0
 CONTEXTS = 5
 NEIGHBOURS = 24
 BLOCK = 64
@@ -68,11 +68,11 @@ def telling_terms(texts: list[str], labels: np.ndarray) -> list[str]:
         a, b = counts[w]
         if a + b < CONTEXTS or not totals.all():
             continue
-        want = (a + b) * totals / totals.sum()
-        rest = totals - [a, b]
-        other = totals - want
-        chi = sum((x - y) ** 2 / y for x, y in ((a, want[0]), (b, want[1]), (rest[0], other[0]), (rest[1], other[1])) if y)
-        if chi >= TELLING:
+        seen_in, want = np.array([a, b], float), (a + b) * totals / totals.sum()
+        rest, other = totals - seen_in, totals - want
+        cells = np.concatenate([seen_in * np.log(np.maximum(seen_in, 1e-9) / want), rest * np.log(np.maximum(rest, 1e-9) / other)])
+        ratio = 2 * cells.sum()
+        if ratio >= TELLING:
             out.append(w)
     return out
 
