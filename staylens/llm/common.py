@@ -55,21 +55,26 @@ def crc_bucket(key: Column, n: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % n
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str,
-           limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of Arrow batches in slices of about ``limit`` bytes of one text column.
+def placed_blocks(batch: pa.RecordBatch, place: int, limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, int]]:
+    """Slices of about ``limit`` bytes of one text column, and their first rows.
 
     A single longer text makes a slice of its own."""
+    if not batch.num_rows:
+        return
+    sizes = pc.fill_null(pc.binary_length(batch.column(place)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a), a
+
+
+def blocks(batches: Iterator[pa.RecordBatch], column: str,
+           limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in slices of about ``limit`` bytes of one text column."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        texts = batch.column(batch.schema.get_field_index(column))
-        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-        part = np.cumsum(sizes) // limit
-        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(cuts, cuts[1:]):
-            if b > a:
-                yield batch.slice(a, b - a)
+        for part, _ in placed_blocks(batch, batch.schema.get_field_index(column), limit):
+            yield part
 
 
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:

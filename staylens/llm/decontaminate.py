@@ -27,12 +27,15 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from staylens.llm import common
 
@@ -171,39 +174,48 @@ def _holds(score: int, length: int) -> bool:
     return score >= SCORE * MATCH * length or score >= RUN * MATCH
 
 
-def _found(docs: DataFrame, shared, id_type: str, item_type: str) -> DataFrame:
+class Finder:
+    """The items that the texts of a block hold; equal passages are aligned once."""
+
+    def __init__(self, seeds_: Seeds, vocabulary: dict[str, int]):
+        self.seeds, self.numbers, self.known = seeds_, Numbers(vocabulary), {}
+
+    def _aligned(self, k: int, passage: np.ndarray) -> tuple[int, int, int]:
+        key = (k, passage.tobytes())
+        if key not in self.known:
+            if len(self.known) > 50_000:
+                self.known.clear()
+            item = self.seeds.items[k]
+            score, end = align(item, passage)
+            # the best alignment that ends there starts where the reversed one ends
+            start = end - align(item[::-1], passage[:end][::-1])[1] if score else 0
+            self.known[key] = score, start, end
+        return self.known[key]
+
+    def find(self, texts: pa.Array) -> list[tuple[int, int, float, int, int]]:
+        """(text, item, score, first word, end word) of all texts that hold an item."""
+        numbers, offsets = self.numbers.of(texts)
+        rows = []
+        for d, k, firsts in _grouped(*seed_hits(self.seeds, numbers, offsets)):
+            a, b = offsets[d], offsets[d + 1]
+            length = len(self.seeds.items[k])
+            got = [(*self._aligned(k, numbers[a + x:a + y]), x) for x, y in passages(firsts - a, length, int(b - a))]
+            score, start, end, x = max(got, key=lambda g: (g[0], -g[3]))
+            if _holds(score, length):
+                rows.append((d, k, score / (MATCH * length), x + start, x + end))
+        return rows
+
+
+def _found(docs: DataFrame, shared, id_type: str, item_type: DataType) -> DataFrame:
     def run(batches):
-        s, vocabulary = shared.value
-        numbers_of, known = Numbers(vocabulary), {}
-
-        def aligned(k: int, passage: np.ndarray) -> tuple[int, int, int]:
-            key = (k, passage.tobytes())
-            if key not in known:
-                if len(known) > 50_000:
-                    known.clear()
-                score, end = align(s.items[k], passage)
-                # the best alignment that ends there starts where the reversed one ends
-                start = end - align(s.items[k][::-1], passage[:end][::-1])[1] if score else 0
-                known[key] = score, start, end
-            return known[key]
-
+        finder = Finder(*shared.value)
         for batch in common.blocks(batches, "text"):
-            numbers, offsets = numbers_of.of(batch.column(1))
-            doc, places, firsts = seed_hits(s, numbers, offsets)
-            rows = []
-            for d, k, fs in _grouped(doc, places, firsts):
-                a, b = offsets[d], offsets[d + 1]
-                length = len(s.items[k])
-                got = [(*aligned(k, numbers[a + x:a + y]), x) for x, y in passages(fs - a, length, int(b - a))]
-                score, start, end, x = max(got, key=lambda g: (g[0], -g[3]))
-                if _holds(score, length):
-                    rows.append((d, k, score / (MATCH * length), x + start, x + end))
+            rows = finder.find(batch.column(1))
             at = pa.array([r[0] for r in rows], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), pa.array([s.ids[r[1]] for r in rows], items),
+                [batch.column(0).take(at), pa.array([finder.seeds.ids[r[1]] for r in rows], items),
                  *(pa.array([r[i] for r in rows], t) for i, t in ((2, pa.float64()), (3, pa.int64()), (4, pa.int64())))],
                 names=["doc_id", "item_id", "score", "word_start", "word_end"])
-    from pyspark.sql.pandas.types import to_arrow_type
     items = to_arrow_type(item_type)
     return docs.mapInArrow(run, f"doc_id {id_type}, item_id {item_type.simpleString()}, score double, "
                                 "word_start bigint, word_end bigint")
@@ -225,7 +237,7 @@ def word_counts(docs: DataFrame, shared) -> tuple[np.ndarray, int]:
         numbers_of = Numbers(vocabulary)
         counts = np.zeros(len(vocabulary) + 1, np.int64)
         for batch in common.blocks(batches, "text"):
-            counts += np.bincount(numbers_of.of(batch.column(1))[0], minlength=len(counts))
+            counts += np.bincount(numbers_of.of(batch.column(batch.schema.get_field_index("text")))[0], minlength=len(counts))
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["number", "n"])
     rows = docs.mapInArrow(run, "number bigint, n bigint").groupBy("number").agg(F.sum("n").alias("n")).collect()
@@ -235,24 +247,45 @@ def word_counts(docs: DataFrame, shared) -> tuple[np.ndarray, int]:
     return counts, int(counts.sum())
 
 
-def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
-                 text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-                 part_bytes: int = PART_BYTES) -> DataFrame:
-    """(doc_id, item_id, score, word_start, word_end) of the documents that hold an item; the
-    last two are the passage in words of the document."""
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    id_type = docs.schema[id_col].dataType.simpleString()
+def _parts(spark: SparkSession, texts: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, part_bytes: int):
+    """The seeds and vocabulary of each part of the benchmark, as broadcasts."""
     bench = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
     size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-size // part_bytes) or 1
-    out = None
     for part in range(parts):
         rows = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text").collect()
         items = [item_words(r["text"]) for r in rows]
         vocabulary = {w: i + 1 for i, w in enumerate(dict.fromkeys(w for x in items for w in x))}
         counts, total = word_counts(texts, spark.sparkContext.broadcast((None, vocabulary)))
         counts = np.pad(counts, (0, max(0, len(vocabulary) + 1 - len(counts))))
-        s = seeds([r["item_id"] for r in rows], items, vocabulary, counts, total)
-        found = _found(texts, spark.sparkContext.broadcast((s, vocabulary)), id_type, bench.schema["item_id"].dataType)
-        out = found if out is None else out.unionByName(found)
+        yield spark.sparkContext.broadcast((seeds([r["item_id"] for r in rows], items, vocabulary, counts, total), vocabulary))
+
+
+def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
+                 text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+                 part_bytes: int = PART_BYTES) -> DataFrame:
+    """(doc_id, item_id, score, word_start, word_end) of the documents that hold an item; the
+    last two are the passage in words of the document."""
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    id_type, item_type = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType
+    found = [_found(texts, shared, id_type, item_type) for shared in _parts(
+        spark, texts, benchmark, item_col, item_text_col, part_bytes)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def remove(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+           item_text_col: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark item, all columns kept; no join, as a row
+    is judged where it is read."""
+    place, out = docs.columns.index(text_col), docs
+    for shared in _parts(spark, docs.select(F.col(text_col).alias("text")), benchmark, item_col, item_text_col, part_bytes):
+        def run(batches, shared=shared):
+            finder = Finder(*shared.value)
+            for batch in batches:
+                dirty = np.zeros(batch.num_rows, bool)
+                for part, start in common.placed_blocks(batch, place):
+                    for r in finder.find(part.column(place)):
+                        dirty[start + r[0]] = True
+                yield batch.filter(pa.array(~dirty))
+        out = out.mapInArrow(run, docs.schema)
     return out

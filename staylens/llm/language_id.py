@@ -190,36 +190,59 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     return out
 
 
+class Reader:
+    """Languages, scores and bits per character of the texts of a block."""
+
+    def __init__(self, model: Model):
+        self.model, self.codes = model, model.codes()
+
+    def read(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        m = self.model
+        folded = [fold(t or "") for t in texts.to_pylist()]
+        some = [i for i, t in enumerate(folded) if t and m.tables]
+        lang, score, best = [UNDETERMINED] * len(folded), np.zeros(len(folded)), np.full(len(folded), np.nan)
+        if some:
+            bits = costs(m, self.codes, [folded[i] for i in some])
+            at = np.argmin(bits, axis=1)
+            low = bits[np.arange(len(some)), at]
+            weight = np.exp(-SHARPNESS * (bits / low[:, None] - 1))
+            for i, k in zip(some, at):
+                lang[i] = m.languages[k]
+            score[some], best[some] = 1 / weight.sum(axis=1), low
+        return lang, score, best
+
+
 def identify(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             lang_col: str = "lang", learn: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, lang_pred, score, bits_per_char) of every row, and the columns in ``keep``.
+             lang_col: str = "lang", learn: Column | None = None) -> DataFrame:
+    """(doc_id, lang_pred, score, bits_per_char) of every row.
 
     learn: which rows may be learned from (all labelled ones by default)."""
-    model = train(sample(docs, id_col, text_col, lang_col, learn=learn))
-    shared = spark.sparkContext.broadcast(model)
-    schema = {f.name: f.dataType.simpleString() for f in docs.schema}
-    names = ["doc_id", *keep]
+    shared = spark.sparkContext.broadcast(train(sample(docs, id_col, text_col, lang_col, learn=learn)))
 
     def run(batches):
-        m = shared.value
-        codes = m.codes()
+        reader = Reader(shared.value)
         for batch in common.blocks(batches, "text", 4 << 20):
-            folded = [fold(t) for t in common.texts_of(batch, "text")]
-            some = [i for i, t in enumerate(folded) if t and m.tables]
-            lang, score, best = [UNDETERMINED] * len(folded), np.zeros(len(folded)), np.full(len(folded), np.nan)
-            if some:
-                bits = costs(m, codes, [folded[i] for i in some])
-                at = np.argmin(bits, axis=1)
-                low = bits[np.arange(len(some)), at]
-                weight = np.exp(-SHARPNESS * (bits / low[:, None] - 1))
-                for i, k in zip(some, at):
-                    lang[i] = m.languages[k]
-                score[some], best[some] = 1 / weight.sum(axis=1), low
+            lang, score, best = reader.read(batch.column(1))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i + 1) for i in range(len(names))), pa.array(lang, pa.string()),
-                 pa.array(score), pa.array(best, from_pandas=True)],
-                names=[*names, "lang_pred", "score", "bits_per_char"])
-    cols = [F.col(text_col).alias("text"), F.col(id_col).alias("doc_id"), *(F.col(c).alias(f"keep_{c}") for c in keep)]
-    fields = [f"doc_id {schema[id_col]}", *(f"`{c}` {schema[c]}" for c in keep)]
-    return docs.select(*cols).mapInArrow(
-        run, ", ".join(fields) + ", lang_pred string, score double, bits_per_char double")
+                [batch.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(best, from_pandas=True)],
+                names=["doc_id", "lang_pred", "score", "bits_per_char"])
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+        run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, lang_pred string, score double, bits_per_char double")
+
+
+def accept(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           lang_col: str = "lang", least: float = 0.5) -> DataFrame:
+    """``docs`` with the language found in ``lang_col``, without the rows whose language is not
+    determined or whose score is under ``least``; all other columns are kept."""
+    shared = spark.sparkContext.broadcast(train(sample(docs, id_col, text_col, lang_col)))
+    place, lang_place = docs.columns.index(text_col), docs.columns.index(lang_col)
+
+    def run(batches):
+        reader = Reader(shared.value)
+        for batch in batches:
+            for part, _ in common.placed_blocks(batch, place, 4 << 20):
+                lang, score, _ = reader.read(part.column(place))
+                kept = pa.array([x != UNDETERMINED and s >= least for x, s in zip(lang, score)], pa.bool_())
+                found = pa.array(lang, pa.string()).cast(part.schema.field(lang_place).type)
+                yield part.set_column(lang_place, part.schema.field(lang_place), found).filter(kept)
+    return docs.mapInArrow(run, docs.schema)

@@ -34,6 +34,8 @@ REACH = 60
 SUPPORT = 3
 DISCLOSES = 0.75
 REMOVES = 0.95
+#: The texts with disclosing terms are broadcast up to this many, else shuffled.
+BROADCAST_ROWS = 20_000
 #: Letters of a term, at least.
 TERM_LETTERS = 3
 
@@ -201,6 +203,9 @@ def redacted(text: Column, spans: Column) -> Column:
 def redact(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with personal data and disclosing terms replaced in the text."""
     _, terms = find(spark, docs, id_col, text_col)
+    terms = common.written(spark, terms, "pii-terms")
+    if terms.count() <= BROADCAST_ROWS:
+        terms = F.broadcast(terms)
     names = docs.columns
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        F.col(text_col).isNull().alias("was_null")).withColumn("key", _key(F.col("text")))
