@@ -4,8 +4,8 @@ Every text is cut into the pre-tokens of the tokenizer. The frequencies of a blo
 documents become postings, one row per (pre-token, block), which are dealt and sorted by
 pre-token. So all rows of a pre-token follow each other in one task: its pieces are counted
 once in the corpus, when its first row comes, and joined to all its frequencies there (a
-merge join whose other side, the vocabulary, never needs a shuffle of its own). Sums go to
-the documents. No id sequence is ever made.
+merge join whose other side, the vocabulary, never needs a shuffle of its own). A task
+hands on one row of sums per block, and these are added up block by block. No id sequence is ever made.
 
 A pre-token in a third of all documents has one posting row per block, so no key is hot:
 the rows of a block are merged before the shuffle.
@@ -23,13 +23,14 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from staylens.llm import common
 
 TOKENIZER = "byte_bpe_50k.json"
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 #: A worker's cache of chunks and pre-tokens is emptied beyond this many entries.
-CACHE = 800_000
+CACHE = 400_000
 _BITS = 20  # of a block's row numbers and of a task's block numbers
 _ROWS = 1 << 16  # of a block, at most: a cell's row number has 16 bits
 _MOST = (1 << 16) - 1  # of a cell's frequency; a higher one takes several cells
@@ -113,9 +114,8 @@ def pieces(tokenizer, pretoken: str) -> int:
 def postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              tokenizer: str = TOKENIZER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per block of documents: one row per pre-token with ``cells`` (16 bits of row number, 16
-    of frequency), and one row with an empty pre-token that holds the block's ids and bytes."""
-    id_type = docs.schema[id_col].dataType.simpleString()
-
+    of frequency), and one row with an empty pre-token that holds the block's ids and bytes
+    as an Arrow stream."""
     def run(batches):
         names = common.per_worker(PreTokens, tokenizer)
         task = TaskContext.get().partitionId() if TaskContext.get() else 0
@@ -135,58 +135,57 @@ def postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             runs = np.diff(np.append(firsts, len(token)))
             cells = (((pairs % _ROWS) << 16) | counts).astype("<u4")
             rows = len(firsts)
-            ends = pa.array([0, len(texts)], pa.int32())
-            lists = pa.ListArray.from_arrays(ends, batch.column(0))
-            n_bytes = pa.ListArray.from_arrays(ends, pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64()))
             yield pa.RecordBatch.from_arrays([
                 pa.array([names.names[i] for i in token[firsts]], pa.string()),
-                pa.array(np.full(rows, key), pa.int64()), common.binary_runs(cells, runs),
-                pa.nulls(rows, lists.type), pa.nulls(rows, n_bytes.type)], names=_POSTINGS)
+                pa.array(np.full(rows, key), pa.int64()), common.binary_runs(cells, runs)], names=_POSTINGS)
+            head = pa.RecordBatch.from_arrays(
+                [batch.column(0), pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())], names=["doc_id", "n_bytes"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, head.schema) as out:
+                out.write_batch(head)
             yield pa.RecordBatch.from_arrays([
-                pa.array([""]), pa.array([key], pa.int64()), pa.array([b""], pa.binary()), lists, n_bytes],
-                names=_POSTINGS)
+                pa.array([""]), pa.array([key], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=_POSTINGS)
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"pretoken string, block bigint, cells binary, ids array<{id_type}>, n_bytes array<bigint>")
+        run, "pretoken string, block bigint, cells binary")
 
 
-_POSTINGS = ["pretoken", "block", "cells", "ids", "n_bytes"]
+_POSTINGS = ["pretoken", "block", "cells"]
 
 
 def joined_counts(rows: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(key, n, doc_id, n_bytes) of postings sorted by pre-token within their partitions: the
-    sums of a task by document key, and a row with n = 0 for each document."""
-    id_type = rows.schema["ids"].dataType.elementType.simpleString()
-
+    """(block, docs, sums, head) of postings sorted by pre-token within their partitions: a
+    row per block holds the pieces of its documents that a task has joined (row numbers and
+    sums), or the block's head."""
     def run(batches):
         t = common.load_tokenizer(tokenizer)
         keys, sums, last, last_n = np.empty(0, np.int64), np.empty(0, np.int64), "", 0
         for batch in batches:
-            kind = batch.column(3).type.value_type
+            heads = int(pc.sum(pc.equal(batch.column(0), "")).as_py() or 0)  # they come first
+            if heads:
+                none = pa.array([b""] * heads, pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(1)[:heads], none, none, batch.column(2)[:heads]], names=_PARTS)
+            batch = batch.slice(heads)
+            if not batch.num_rows:
+                continue
             coded = batch.column(0).dictionary_encode()
             names = coded.dictionary.to_pylist()
             counts = [last_n if s == last else pieces(t, s) for s in names]
             last, last_n = names[-1], counts[-1]
-            blocks = batch.column(1).to_numpy(zero_copy_only=False)
             cells, runs = common.run_values(batch.column(2), "<u4")
             n = np.array(counts, np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
-            at = np.repeat(blocks, runs) + (cells >> 16).astype(np.int64)
+            at = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), runs) + (cells >> 16).astype(np.int64)
             keys, sums = _merged(np.concatenate([keys, at]), np.concatenate(
                 [sums, (cells & _MOST).astype(np.int64) * np.repeat(n, runs)]))
             if len(keys) > 1_000_000:
-                yield _sums(keys, sums, kind)
+                yield _parts(keys, sums)
                 keys, sums = keys[:0], sums[:0]
-            if names[0] == "":
-                for i in np.flatnonzero(coded.indices.to_numpy(zero_copy_only=False) == 0).tolist():
-                    ids, n_bytes = batch.column(3)[i].values, batch.column(4)[i].values
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(blocks[i] + np.arange(len(ids))), pa.array(np.zeros(len(ids), np.int64)), ids, n_bytes], names=_COUNTS)
         if len(keys):
-            yield _sums(keys, sums, kind)
-    return rows.mapInArrow(run, f"key bigint, n bigint, doc_id {id_type}, n_bytes bigint")
+            yield _parts(keys, sums)
+    return rows.mapInArrow(run, "block bigint, docs binary, sums binary, head binary")
 
 
-_COUNTS = ["key", "n", "doc_id", "n_bytes"]
+_PARTS = ["block", "docs", "sums", "head"]
 
 
 def _merged(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -194,18 +193,43 @@ def _merged(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return u, np.bincount(at, values, len(u)).astype(np.int64)
 
 
-def _sums(keys: np.ndarray, sums: np.ndarray, kind: pa.DataType) -> pa.RecordBatch:
+def _parts(keys: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    block = keys >> _BITS << _BITS
+    firsts = np.flatnonzero(np.diff(block, prepend=-1))
+    runs = np.diff(np.append(firsts, len(keys)))
     return pa.RecordBatch.from_arrays([
-        pa.array(keys), pa.array(sums), pa.nulls(len(keys), kind), pa.nulls(len(keys), pa.int64())], names=_COUNTS)
+        pa.array(block[firsts]), common.binary_runs((keys - block).astype("<u2"), runs),
+        common.binary_runs(sums.astype("<i8"), runs), pa.nulls(len(firsts), pa.binary())], names=_PARTS)
+
+
+def documents_of(parts: DataFrame, id_type: DataType) -> DataFrame:
+    """(doc_id, n_bytes, n_tokens) of parts sorted by block within their partitions, the head of
+    a block first. A task adds up one block at a time."""
+    def run(batches):
+        head, total, out = None, None, ["doc_id", "n_bytes", "n_tokens"]
+
+        def finished():
+            return pa.RecordBatch.from_arrays([*head.columns, pa.array(total)], names=out)
+        for batch in batches:
+            for docs, sums, stream in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                if stream is not None:
+                    if head is not None:
+                        yield finished()
+                    head = pa.ipc.open_stream(stream).read_next_batch()
+                    total = np.zeros(head.num_rows, np.int64)
+                else:
+                    total[np.frombuffer(docs, "<u2")] += np.frombuffer(sums, "<i8")  # a part has a document once
+        if head is not None:
+            yield finished()
+    return parts.mapInArrow(run, f"doc_id {id_type.simpleString()}, n_bytes bigint, n_tokens bigint")
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  tokenizer: str = TOKENIZER) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) of every row of ``docs``."""
     rows = postings(docs, id_col, text_col, tokenizer).repartition("pretoken").sortWithinPartitions("pretoken")
-    return joined_counts(rows, tokenizer).groupBy("key").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"),
-        F.sum("n").alias("n_tokens")).drop("key")
+    parts = joined_counts(rows, tokenizer).repartition("block").sortWithinPartitions("block", F.col("head").isNull())
+    return documents_of(parts, docs.schema[id_col].dataType)
 
 
 def with_limit(counts: DataFrame, limit: int = 1024) -> DataFrame:
