@@ -28,9 +28,12 @@ HOST_FEATURES = ["listing_count", "host_tenure_years", "host_response_rate", "ho
                  "host_is_superhost", "avg_price", "avg_availability_365", "avg_review_scores_rating",
                  "avg_reviews_per_month", "avg_accommodates", "avg_minimum_nights", "pct_entire_home",
                  "neighbourhood_count"]
-CLUSTER_FEATURES = ["price_numeric", "accommodates", "bedrooms", "availability_365",
-                    "review_scores_rating", "reviews_per_month_calc", "minimum_nights",
-                    "calculated_host_listings_count", "distance_km"]
+# Inputs of the segmentations, and those taken as log1p.
+CLUSTER_FEATURES = ["log_price", "accommodates", "bedrooms", "minimum_nights", "availability_365",
+                    "review_scores_rating", "reviews_per_month_calc", "distance_to_centre_km",
+                    "amenity_count"]
+CLUSTER_LOG = ["minimum_nights", "bedrooms", "reviews_per_month_calc"]
+HOST_LOG = ["listing_count", "avg_price", "avg_minimum_nights"]
 
 
 def listing_features(master: DataFrame) -> DataFrame:
@@ -93,11 +96,16 @@ def host_features(master: DataFrame, impute: bool = True) -> DataFrame:
 
 
 def clustering_features(master: DataFrame, centre: tuple[float, float]) -> DataFrame:
-    """M2: listing clustering features with distance to the centre, median-imputed."""
-    d = F.round(S.haversine_km(F.col("latitude"), F.col("longitude"), F.lit(centre[0]),
-                               F.lit(centre[1])), 3)
-    base = master.where(F.col("price_numeric").isNotNull() & (F.col("price_numeric") > 0)).select(
-        "id", "room_type", "neighbourhood_cleansed",
-        *[F.col(c).cast("double").alias(c) for c in CLUSTER_FEATURES if c != "distance_km"],
-        d.alias("distance_km"))
-    return median_impute(base, CLUSTER_FEATURES)
+    """M2: the nine clustering features of priced listings, median-imputed; the price stays."""
+    priced = master.where(F.col("price_numeric").isNotNull() & (F.col("price_numeric") > 0))
+    return median_impute(clustering_inputs(priced, centre), CLUSTER_FEATURES)
+
+
+def clustering_inputs(listings: DataFrame, centre: tuple[float, float]) -> DataFrame:
+    """The nine features before imputing; an input that is not there is null."""
+    distance = F.round(S.haversine_km(F.col("latitude"), F.col("longitude"), F.lit(centre[0]), F.lit(centre[1])), 3)
+    price = F.col("price_numeric")
+    derived = {"log_price": F.when(price > 0, F.log1p(price)), "distance_to_centre_km": distance,
+               "amenity_count": F.size(S.json_string_list(F.col("amenities")))}
+    return listings.select("id", "room_type", "neighbourhood_cleansed", price.cast("double").alias("price_numeric"),
+                           *[derived.get(c, F.col(c)).cast("double").alias(c) for c in CLUSTER_FEATURES])

@@ -18,82 +18,148 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.functions import bands as Bd
-from staylens.operators.ordered import ordered_index
+from staylens.operators.features import column_medians
+from staylens.operators.ordered import exact_quantiles, null_safe_join, ordered_index, with_quantiles
 
 
 # ------------------------------------------------------------------ scaling (M3)
-def log_scale(df: DataFrame, cols: Sequence[str], log_cols: Sequence[str] = ()) -> DataFrame:
-    """log1p on skewed columns, then (x - mean) / population std, one aggregation."""
-    x = df.select("*", *[F.log1p(F.col(c)).alias(f"__l_{c}") if c in log_cols
-                         else F.col(c).cast("double").alias(f"__l_{c}") for c in cols])
-    st = x.agg(*[F.avg(f"__l_{c}").alias(f"__mu_{c}") for c in cols],
-               *[F.stddev_pop(f"__l_{c}").alias(f"__sd_{c}") for c in cols]).withColumn("__one", F.lit(1))
-    j = x.withColumn("__one", F.lit(1)).join(F.broadcast(st), "__one")
+def _logged(df: DataFrame, cols: Sequence[str], log_cols: Sequence[str]) -> DataFrame:
+    return df.select("*", *[(F.log1p(F.col(c)) if c in log_cols else F.col(c).cast("double")).alias(f"__l_{c}")
+                            for c in cols])
+
+
+def scaler(df: DataFrame, cols: Sequence[str], log_cols: Sequence[str] = ()) -> DataFrame:
+    """One row: mean and population deviation of each column, after log1p where asked."""
+    x = _logged(df, cols, log_cols)
+    return x.agg(*[F.avg(f"__l_{c}").alias(f"__mu_{c}") for c in cols],
+                 *[F.stddev_pop(f"__l_{c}").alias(f"__sd_{c}") for c in cols])
+
+
+def scaled(df: DataFrame, stats: DataFrame, cols: Sequence[str], log_cols: Sequence[str] = ()) -> DataFrame:
+    """``z_<column>`` of each column by fitted ``scaler`` statistics; a constant gives 0."""
+    j = null_safe_join(_logged(df, cols, log_cols), stats, [])
     return j.select(*df.columns, *[
         F.when(F.col(f"__sd_{c}") > 0, (F.col(f"__l_{c}") - F.col(f"__mu_{c}")) / F.col(f"__sd_{c}"))
         .otherwise(F.lit(0.0)).alias(f"z_{c}") for c in cols])
 
 
+def log_scale(df: DataFrame, cols: Sequence[str], log_cols: Sequence[str] = ()) -> DataFrame:
+    """log1p on skewed columns, then (x - mean) / population std, one aggregation."""
+    return scaled(df, scaler(df, cols, log_cols), cols, log_cols)
+
+
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol=out).transform(df)
 
 
 # ------------------------------------------------------------------ K-Means (M4-M6)
-def kmeans_sweep(vec: DataFrame, ks: Sequence[int], seed: int = 42) -> DataFrame:
+#: Initialisations of a fit, and the most that are tried while a larger k fits worse.
+INITS, MOST_INITS = 3, 10
+
+
+def best_kmeans(vec: DataFrame, k: int, seed: int = 42, inits: int = INITS, below: float | None = None):
+    """The K-Means model of least cost over several initialisations. While it costs more than
+    ``below`` (the cost for a smaller k), up to ``MOST_INITS`` are tried."""
+    best = None
+    for i in range(max(inits, MOST_INITS)):
+        if i >= inits and (below is None or best.summary.trainingCost <= below):
+            break
+        model = KMeans(k=k, seed=seed + i, featuresCol="features", maxIter=300).fit(vec)
+        if best is None or model.summary.trainingCost < best.summary.trainingCost:
+            best = model
+    return best
+
+
+def kmeans_sweep(vec: DataFrame, ks: Sequence[int], seed: int = 42, inits: int = INITS) -> DataFrame:
     """M4 + W7: inertia and silhouette per k, percent drop of inertia vs previous k."""
     spark = vec.sparkSession
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction",
                              distanceMeasure="squaredEuclidean")
-    rows = []
+    rows, below = [], None
     for k in ks:
-        model = KMeans(k=k, seed=seed, featuresCol="features", maxIter=50).fit(vec)
-        sil = ev.evaluate(model.transform(vec))
-        rows.append((int(k), float(model.summary.trainingCost), float(sil)))
+        model = best_kmeans(vec, k, seed, inits, below)
+        below = float(model.summary.trainingCost)
+        rows.append((int(k), below, float(ev.evaluate(model.transform(vec)))))
     t = spark.createDataFrame(rows, "k int, inertia double, silhouette_sq double")
-    w = Window.orderBy("k")
+    w = Window.orderBy("k")  # a row per k
     prev = F.lag("inertia").over(w)
-    return t.withColumn("pct_drop", (prev - F.col("inertia")) / prev * 100)
+    return t.withColumn("pct_drop", F.try_divide(prev - F.col("inertia"), prev) * 100)
 
 
 def choose_k(sweep_rows: list) -> int:
-    """M5: first k whose inertia drop is < 50 % of the drop at k=3; else best silhouette."""
+    """M5: the first k whose drop of inertia is under half of the first drop; the best
+    silhouette if there is none, or if that k is 2 or less."""
     rows = sorted(sweep_rows, key=lambda r: r["k"])
-    drops = {r["k"]: r["pct_drop"] for r in rows if r["pct_drop"] is not None}
-    ref = drops.get(3)
-    if ref:
-        for r in rows:
-            if r["k"] > 3 and r["pct_drop"] is not None and r["pct_drop"] < 0.5 * ref:
-                return r["k"] - 1
-    return max(rows, key=lambda r: r["silhouette_sq"])["k"]
+    drops = [(r["k"], r["pct_drop"]) for r in rows if r["pct_drop"] is not None]
+    found = next((k for k, drop in drops if drop < 0.5 * drops[0][1]), None)
+    if found is None or found <= 2:
+        return max(rows, key=lambda r: r["silhouette_sq"])["k"]
+    return found
 
 
 def fit_kmeans(vec: DataFrame, k: int, seed: int = 42) -> DataFrame:
     """M6: final fit, cluster label attached to every row."""
-    model = KMeans(k=k, seed=seed, featuresCol="features", maxIter=50).fit(vec)
-    return model.transform(vec).withColumnRenamed("prediction", "cluster")
+    return best_kmeans(vec, k, seed).transform(vec).withColumnRenamed("prediction", "cluster")
+
+
+def _ranked(prof: DataFrame, by: str, cluster: str) -> DataFrame:
+    """Rank of the clusters by price (a window over one row per cluster), ties by cluster."""
+    return prof.withColumn("price_rank", F.row_number().over(Window.orderBy(F.col(by), F.col(cluster))))
 
 
 def cluster_profile(labelled: DataFrame, cluster: str = "cluster") -> DataFrame:
     """AG40 + AG42 + W6: per-cluster stats, size share, price rank (ties by cluster id)."""
-    n_all = labelled.agg(F.count(F.lit(1)).alias("__n")).withColumn("__one", F.lit(1))
+    n_all = labelled.agg(F.count(F.lit(1)).alias("__n"))
+    room = lambda r: (F.avg((F.col("room_type") == r).cast("double")) * 100).alias(
+        f"pct_{'entire_home' if r == 'entire_home' else r}")
     prof = labelled.groupBy(cluster).agg(
         F.count(F.lit(1)).alias("size"),
-        F.median("price_numeric").alias("median_price"),
-        F.avg("price_numeric").alias("mean_price"),
-        F.avg("review_scores_rating").alias("mean_review_scores_rating"),
-        F.avg("reviews_per_month_calc").alias("mean_reviews_per_month"),
-        F.avg("availability_365").alias("mean_availability_365"),
-        F.avg("accommodates").alias("mean_accommodates"),
-        F.avg("distance_km").alias("mean_distance_km"),
-        F.median("minimum_nights").alias("median_minimum_nights"),
-        (F.avg(F.when(F.col("room_type") == "entire_home", 1.0).otherwise(0.0)) * 100).alias("pct_entire_home"),
+        *[F.avg(c).alias(f"mean_{n}") for n, c in (
+            ("price", "price_numeric"), ("review_scores_rating", "review_scores_rating"),
+            ("reviews_per_month", "reviews_per_month_calc"), ("availability_365", "availability_365"),
+            ("accommodates", "accommodates"), ("bedrooms", "bedrooms"), ("minimum_nights", "minimum_nights"),
+            ("distance_km", "distance_to_centre_km"), ("amenity_count", "amenity_count"))],
+        *map(room, ("entire_home", "private_room", "shared_room", "hotel_room")),
         F.mode("room_type", deterministic=True).alias("modal_room_type"),
         F.mode("neighbourhood_cleansed", deterministic=True).alias("modal_neighbourhood"))
-    j = prof.withColumn("__one", F.lit(1)).join(F.broadcast(n_all), "__one")
-    # one row per cluster (k <= 10): a global window over k rows
-    rank = F.row_number().over(Window.orderBy(F.col("median_price"), F.col(cluster)))
-    out = j.select("*", (F.col("size") * 100.0 / F.col("__n")).alias("pct_of_city"), rank.alias("price_rank"))
-    return out.drop("__one", "__n").withColumn("segment_name", segment_name())
+    prof = with_quantiles(prof, labelled, [cluster], {
+        "median_price": ("price_numeric", 0.5), "median_minimum_nights": ("minimum_nights", 0.5),
+        "median_distance_km": ("distance_to_centre_km", 0.5)})
+    out = _ranked(null_safe_join(prof, n_all, []).withColumn("pct_of_city", F.col("size") * 100.0 / F.col("__n")),
+                  "median_price", cluster)
+    return out.drop("__n").withColumn("segment_name", segment_name())
+
+
+def host_profile(labelled: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """AG41 + SC44: host clusters with means, medians, share, price rank and name."""
+    n_all = labelled.agg(F.count(F.lit(1)).alias("__n"))
+    means = [("listing_count", "listing_count"), ("avg_price", "avg_price"), ("tenure", "host_tenure_years"),
+             ("response_rate", "host_response_rate"), ("acceptance_rate", "host_acceptance_rate"),
+             ("availability", "avg_availability_365"), ("rating", "avg_review_scores_rating"),
+             ("reviews_per_month", "avg_reviews_per_month"), ("accommodates", "avg_accommodates"),
+             ("pct_entire_home", "pct_entire_home"), ("neighbourhood_count", "neighbourhood_count")]
+    prof = labelled.groupBy(cluster).agg(
+        F.count(F.lit(1)).alias("hosts"), (F.avg("host_is_superhost") * 100).alias("pct_superhost"),
+        *[F.avg(c).alias(f"mean_{n}") for n, c in means])
+    prof = with_quantiles(prof, labelled, [cluster], {
+        "median_listing_count": ("listing_count", 0.5), "median_avg_price": ("avg_price", 0.5)})
+    out = null_safe_join(prof, n_all, []).withColumn("pct_of_city", F.col("hosts") * 100.0 / F.col("__n")).drop("__n")
+    return _ranked(out, "median_avg_price", cluster).withColumn("cluster_name", host_segment_name())
+
+
+def host_segment_name():
+    """SC44 for hosts: ordered naming rules, then the tier of the price rank."""
+    # Names, thresholds and their order.
+    rules = [
+        ((F.col("mean_response_rate") < 0.70) & (F.col("mean_acceptance_rate") < 0.50), "Passive Listers"),
+        ((F.col("pct_superhost") >= 50) & (F.col("mean_listing_count") >= 2), "Professional Superhosts"),
+        ((F.col("pct_superhost") >= 40) & (F.col("mean_reviews_per_month") > 1.5), "Active Superhost Operators"),
+        ((F.col("mean_pct_entire_home") > 80) & (F.col("mean_availability") < 120)
+         & (F.col("mean_reviews_per_month") < 0.5), "Part-Time Apartment Hosts"),
+        (F.col("mean_availability") < 120, "Occasional Hosts")]
+    tiers = F.array(*[F.lit(t) for t in ("Budget Hosts", "Mid-Range Hosts", "Premium Hosts", "Luxury Hosts")])
+    return F.coalesce(*[F.when(test, F.lit(name)) for test, name in rules],
+                      F.element_at(tiers, F.least(F.col("price_rank"), F.lit(4)).cast("int")))
 
 
 def segment_name():
@@ -119,8 +185,9 @@ def segment_name():
 
 # ------------------------------------------------------------------ splits
 def hash_bucket(key: str, buckets: int, seed: int = 42):
-    """Deterministic bucket of a long key (multiplicative hash), same on every engine."""
-    return F.pmod(F.col(key) * F.lit(2654435761) + F.lit(seed), F.lit(4294967296)) % buckets
+    """Deterministic bucket of a long key (multiplicative hash), same on every engine. The key is
+    taken modulo 2^31 first, so that no product leaves 64 bits."""
+    return F.pmod(F.pmod(F.col(key), F.lit(2147483648)) * F.lit(2654435761) + F.lit(seed), F.lit(4294967296)) % buckets
 
 
 def group_split(df: DataFrame, group: str = "host_id", test_pct: int = 20, seed: int = 42) -> DataFrame:
@@ -165,7 +232,7 @@ def fit_price_model(train: DataFrame, kind: str, numeric: Sequence[str], categor
 
 def score(model, df: DataFrame, numeric: Sequence[str], train: DataFrame) -> DataFrame:
     """Impute with TRAINING medians (no leakage), predict, back-transform with expm1."""
-    med = train.agg(*[F.median(c).alias(c) for c in numeric]).first().asDict()
+    med = {c: v for c, v in zip(numeric, column_medians(train, numeric).first())}
     filled = df.fillna({c: float(v) for c, v in med.items() if v is not None})
     return model.transform(filled).withColumn("predicted_price", F.expm1("prediction"))
 
@@ -178,7 +245,7 @@ def regression_metrics(pred: DataFrame, actual: str = "price_numeric",
     return pred.agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
         (F.avg(F.abs(e) / y) * 100).alias("mape"),
-        (1 - F.sum(e * e) / (F.count(F.lit(1)) * F.var_pop(y))).alias("r2"),
+        (1 - F.try_divide(F.sum(e * e), F.count(F.lit(1)) * F.var_pop(y))).alias("r2"),
         (F.avg((F.abs(e) / y <= 0.2).cast("double")) * 100).alias("pct_within_20"))
 
 
@@ -192,18 +259,18 @@ def residual_table(pred: DataFrame, actual: str = "price_numeric") -> DataFrame:
 
 def segment_errors(res: DataFrame, segment: str) -> DataFrame:
     """AG43/AG44: n, MAE, median abs error, median residual, % within 20 %, % over-predicted."""
-    return res.groupBy(segment).agg(
+    agg = res.groupBy(segment).agg(
         F.count(F.lit(1)).alias("n"), F.avg("abs_error").alias("mae"),
-        F.median("abs_error").alias("median_abs_error"), F.median("residual").alias("median_residual"),
         (F.avg((F.col("pct_error") <= 20).cast("double")) * 100).alias("pct_within_20"),
         (F.avg((F.col("residual") > 0).cast("double")) * 100).alias("pct_over_predicted"))
+    return with_quantiles(agg, res, [segment], {"median_abs_error": ("abs_error", 0.5), "median_residual": ("residual", 0.5)})
 
 
 def baseline_medians(train: DataFrame, test: DataFrame) -> DataFrame:
     """AG57: global median; per room type; per neighbourhood x room type with fallback."""
-    g = train.agg(F.median("price_numeric").alias("__g")).withColumn("__one", F.lit(1))
-    rt = train.groupBy("room_type").agg(F.median("price_numeric").alias("__rt"))
-    nr = train.groupBy("neighbourhood_cleansed", "room_type").agg(F.median("price_numeric").alias("__nr"))
+    g = column_medians(train, ["price_numeric"]).toDF("__g").withColumn("__one", F.lit(1))
+    rt = exact_quantiles(train, ["room_type"], {"__rt": ("price_numeric", 0.5)})
+    nr = exact_quantiles(train, ["neighbourhood_cleansed", "room_type"], {"__nr": ("price_numeric", 0.5)})
     t = (test.withColumn("__one", F.lit(1)).join(F.broadcast(g), "__one")
          .join(rt, "room_type", "left").join(nr, ["neighbourhood_cleansed", "room_type"], "left"))
     preds = [("global_median", F.col("__g")), ("room_type_median", F.coalesce("__rt", "__g")),
@@ -257,8 +324,13 @@ def reliability_flags(pred: DataFrame) -> DataFrame:
     return pred.withColumn("warnings", w)
 
 
-def assign_clusters(km_model, df: DataFrame, cols: Sequence[str], medians: dict) -> DataFrame:
-    """M8: impute by training medians, list imputed fields, scale (caller), predict."""
+def assign_clusters(model, stats: DataFrame, medians: DataFrame, df: DataFrame, cols: Sequence[str],
+                    log_cols: Sequence[str] = ()) -> DataFrame:
+    """M8: impute by the training medians, list the imputed fields, scale by the fitted scaler,
+    predict with the fitted model."""
     imputed = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in cols]))
-    filled = df.withColumn("imputed_fields", imputed).fillna({c: float(medians[c]) for c in cols})
-    return km_model.transform(assemble(filled, cols))
+    j = null_safe_join(df.withColumn("imputed_fields", imputed), medians, [])
+    filled = j.select(*[F.coalesce(F.col(c), F.col(f"__m_{c}")).alias(c) if c in cols else F.col(c)
+                        for c in df.columns], "imputed_fields")
+    vec = assemble(scaled(filled, stats, cols, log_cols), [f"z_{c}" for c in cols])
+    return model.transform(vec).withColumnRenamed("prediction", "cluster")

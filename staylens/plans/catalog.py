@@ -1029,42 +1029,66 @@ def _(spark, sf):
         by_rt.select(F.lit("AFRICA->AMERICA").alias("setting"), "segment", "n", "mae"))
 
 
-def _cluster_vec(spark, sf):
+def _segments(features, cols, log_cols):
+    """Fitted scaler and vectors of checkpointed features."""
+    stats = MO.scaler(features, cols, log_cols)
+    return stats, MO.assemble(MO.scaled(features, stats, cols, log_cols), [f"z_{c}" for c in cols])
+
+
+def _listing_segments(spark, sf):
     from staylens.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     cf = FE.clustering_features(shared(spark, sf).master, LONDON_CENTRE).checkpoint(eager=True)
-    scaled = MO.log_scale(cf, FE.CLUSTER_FEATURES,
-                          ["price_numeric", "reviews_per_month_calc", "calculated_host_listings_count"])
-    return MO.assemble(scaled, [f"z_{c}" for c in FE.CLUSTER_FEATURES]), cf
+    return (cf, *_segments(cf, FE.CLUSTER_FEATURES, FE.CLUSTER_LOG))
+
+
+def _host_segments(spark, sf):
+    from staylens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    hf = FE.host_features(shared(spark, sf).master).checkpoint(eager=True)
+    return (hf, *_segments(hf, FE.HOST_FEATURES, FE.HOST_LOG))
+
+
+def _fitted(vec, ks):
+    sweep = MO.kmeans_sweep(vec, ks).collect()
+    return MO.best_kmeans(vec, MO.choose_k([r.asDict() for r in sweep]))
+
+
+def _labelled_by(model, vec):
+    return model.transform(vec).withColumnRenamed("prediction", "cluster")
 
 
 @_q("segments_listing_kmeans_sweep")
 def _(spark, sf):
-    vec, _ = _cluster_vec(spark, sf)
-    return MO.kmeans_sweep(vec.cache(), range(2, 11))
+    return MO.kmeans_sweep(_listing_segments(spark, sf)[2].cache(), range(2, 11))
+
+
+@_q("segments_host_kmeans_sweep")
+def _(spark, sf):
+    return MO.kmeans_sweep(_host_segments(spark, sf)[2].cache(), range(2, 9))
 
 
 @_q("segments_listing_profiles")
 def _(spark, sf):
-    vec, _ = _cluster_vec(spark, sf)
-    vec = vec.cache()
-    sweep = MO.kmeans_sweep(vec, range(2, 11)).collect()
-    k = MO.choose_k([r.asDict() for r in sweep])
-    return MO.cluster_profile(MO.fit_kmeans(vec, k)).withColumn("k", F.lit(k))
+    vec = _listing_segments(spark, sf)[2].cache()
+    model = _fitted(vec, range(2, 11))
+    return MO.cluster_profile(_labelled_by(model, vec)).withColumn("k", F.lit(model.summary.k))
 
 
 @_q("segments_host_profiles")
 def _(spark, sf):
-    from staylens.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    hf = FE.host_features(shared(spark, sf).master).checkpoint(eager=True)
-    cols = FE.HOST_FEATURES
-    vec = MO.assemble(MO.log_scale(hf, cols, ["listing_count", "avg_price"]), [f"z_{c}" for c in cols]).cache()
-    sweep = MO.kmeans_sweep(vec, range(2, 9)).collect()
-    k = MO.choose_k([r.asDict() for r in sweep])
-    lab = MO.fit_kmeans(vec, k)
-    return lab.groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("hosts"), *[F.avg(c).alias(f"mean_{c}") for c in cols]).withColumn("k", F.lit(k))
+    vec = _host_segments(spark, sf)[2].cache()
+    model = _fitted(vec, range(2, 9))
+    return MO.host_profile(_labelled_by(model, vec)).withColumn("k", F.lit(model.summary.k))
+
+
+@_q("segments_listing_profile_of_labels")
+def _(spark, sf):
+    """AG40, AG42, W6, SC44 over given labels (id modulo 6), so that SQL can check them."""
+    cf = FE.clustering_features(shared(spark, sf).master, LONDON_CENTRE)
+    return MO.cluster_profile(cf.withColumn("cluster", (F.col("id") % 6).cast("int"))).select(
+        "cluster", "size", "pct_of_city", "median_price", "median_minimum_nights", "mean_amenity_count",
+        "mean_distance_km", "pct_entire_home", "pct_private_room", "pct_shared_room", "pct_hotel_room", "price_rank")
 
 
 @_q("segments_embedding_clusters")
@@ -1081,14 +1105,23 @@ def _(spark, sf):
 
 @_q("segments_assign_batch")
 def _(spark, sf):
-    vec, cf = _cluster_vec(spark, sf)
-    raw = shared(spark, sf).master.where(F.col("price_numeric") > 0).select(
-        "id", *[F.col(c).cast("double").alias(c) for c in FE.CLUSTER_FEATURES if c != "distance_km"],
-        F.lit(None).cast("double").alias("distance_km"))
-    from pyspark.ml.clustering import KMeans
-    km = KMeans(k=4, seed=42, featuresCol="features").fit(MO.assemble(cf, FE.CLUSTER_FEATURES))
-    med = cf.agg(*[F.median(c).alias(c) for c in FE.CLUSTER_FEATURES]).first().asDict()
-    return MO.assign_clusters(km, raw, FE.CLUSTER_FEATURES, med).select("id", "imputed_fields", "prediction")
+    """M8: every listing of the master, priced or not, by the fitted scaler, model and medians."""
+    cf, stats, vec = _listing_segments(spark, sf)
+    model = _fitted(vec.cache(), range(2, 11))
+    names = MO.cluster_profile(_labelled_by(model, vec)).select("cluster", "segment_name")
+    given = FE.clustering_inputs(shared(spark, sf).master, LONDON_CENTRE)
+    out = MO.assign_clusters(model, stats, FE.column_medians(cf, FE.CLUSTER_FEATURES), given, FE.CLUSTER_FEATURES, FE.CLUSTER_LOG)
+    return out.join(F.broadcast(names), "cluster").select("id", "cluster", "segment_name", "imputed_fields")
+
+
+@_q("segments_assign_hosts_batch")
+def _(spark, sf):
+    hf, stats, vec = _host_segments(spark, sf)
+    model = _fitted(vec.cache(), range(2, 9))
+    names = MO.host_profile(_labelled_by(model, vec)).select("cluster", "cluster_name")
+    given = FE.host_features(shared(spark, sf).master, impute=False)
+    out = MO.assign_clusters(model, stats, FE.column_medians(hf, FE.HOST_FEATURES), given, FE.HOST_FEATURES, FE.HOST_LOG)
+    return out.join(F.broadcast(names), "cluster").select("host_id", "cluster", "cluster_name", "imputed_fields")
 
 
 # ------------------------------------------------------------ sources, search, completion (IO*, PF12-21, T*, V11-12)

@@ -475,11 +475,12 @@ SELECT host_id, count(*)::DOUBLE AS listing_count,
 FROM master GROUP BY host_id""")
 
 cte("clust_feat", ["master"], """
-SELECT id, room_type, neighbourhood_cleansed, price_numeric::DOUBLE AS price_numeric,
-  accommodates::DOUBLE AS accommodates, bedrooms::DOUBLE AS bedrooms, availability_365::DOUBLE AS availability_365,
-  review_scores_rating::DOUBLE AS review_scores_rating, reviews_per_month_calc::DOUBLE AS reviews_per_month_calc,
-  minimum_nights::DOUBLE AS minimum_nights, calculated_host_listings_count::DOUBLE AS calculated_host_listings_count,
+SELECT id, room_type, neighbourhood_cleansed, price_numeric::DOUBLE AS price_numeric, ln(1 + price_numeric::DOUBLE) AS log_price,
+  accommodates::DOUBLE AS accommodates, bedrooms::DOUBLE AS bedrooms, minimum_nights::DOUBLE AS minimum_nights,
+  availability_365::DOUBLE AS availability_365, review_scores_rating::DOUBLE AS review_scores_rating,
+  reviews_per_month_calc::DOUBLE AS reviews_per_month_calc,
   round(2 * 6371.0 * asin(sqrt(pow(sin((radians(51.508) - radians(latitude)) / 2), 2)
     + cos(radians(latitude)) * cos(radians(51.508)) * pow(sin((radians(-0.1281) - radians(longitude)) / 2), 2))), 3)
-    AS distance_km
+    AS distance_to_centre_km,
+  CASE WHEN json_valid(amenities) AND json_type(amenities) = 'ARRAY' THEN json_array_length(amenities) ELSE 0 END::DOUBLE AS amenity_count
 FROM master WHERE price_numeric IS NOT NULL AND price_numeric > 0""")

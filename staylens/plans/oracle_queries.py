@@ -795,12 +795,21 @@ oracle("features_host", ["host_agg"], "SELECT host_id, " + ", ".join(
     f"round(coalesce({c}, (SELECT median({c}) FROM host_agg))"
     + (" + 1e-9" if c in ("avg_price", "avg_review_scores_rating") else "") + f", 4) AS {c}" for c in _HF)
     + " FROM host_agg")
-oracle("features_clustering", ["clust_feat"], "SELECT id, room_type, neighbourhood_cleansed, " + ", ".join(
-    f"round(coalesce({c}, (SELECT median({c}) FROM clust_feat)), 4) AS {c}" for c in
-    ["price_numeric", "accommodates", "bedrooms", "availability_365", "review_scores_rating",
-     "reviews_per_month_calc", "minimum_nights", "calculated_host_listings_count", "distance_km"])
-    + " FROM clust_feat")
-_SPLIT = "((host_id * 2654435761 + 42) % 4294967296) % 100 < 20"
+_CLUSTER_INPUTS = ["log_price", "accommodates", "bedrooms", "minimum_nights", "availability_365", "review_scores_rating",
+                   "reviews_per_month_calc", "distance_to_centre_km", "amenity_count"]
+_IMPUTED = "SELECT id, room_type, neighbourhood_cleansed, price_numeric, " + ", ".join(
+    f"coalesce({c}, (SELECT median({c}) FROM clust_feat)) AS {c}" for c in _CLUSTER_INPUTS) + " FROM clust_feat"
+oracle("features_clustering", ["clust_feat"], "SELECT id, room_type, neighbourhood_cleansed, round(price_numeric, 4) AS price_numeric, "
+       + ", ".join(f"round({c}, 4) AS {c}" for c in _CLUSTER_INPUTS) + f" FROM ({_IMPUTED})")
+oracle("segments_listing_profile_of_labels", ["clust_feat"], f"""
+SELECT *, row_number() OVER (ORDER BY median_price, cluster) AS price_rank FROM (
+SELECT CAST(id % 6 AS INTEGER) AS cluster, count(*) AS size, round(count(*) * 100.0 / (SELECT count(*) FROM clust_feat), 4) AS pct_of_city,
+  round(median(price_numeric), 4) AS median_price, round(median(minimum_nights), 4) AS median_minimum_nights,
+  round(avg(amenity_count), 4) AS mean_amenity_count, round(avg(distance_to_centre_km), 4) AS mean_distance_km,
+  """ + ", ".join(f"round(avg(CAST(room_type = '{r}' AS DOUBLE)) * 100, 4) AS pct_{r}" for r in (
+      "entire_home", "private_room", "shared_room", "hotel_room")) + f"""
+FROM ({_IMPUTED}) GROUP BY 1)""")
+_SPLIT = "(((host_id % 2147483648) * 2654435761 + 42) % 4294967296) % 100 < 20"
 oracle("model_group_split", ["master"], f"""
 SELECT {_SPLIT} AS is_test, count(*) AS listings, count(DISTINCT host_id) AS hosts
 FROM master WHERE price_numeric IS NOT NULL AND price_numeric > 0 GROUP BY 1""")
