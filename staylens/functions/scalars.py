@@ -241,8 +241,12 @@ def ascii_key(c) -> Column:
 
 
 def mojibake_key(c) -> Column:
-    """SC40: UTF-8 text whose bytes were read as Latin-1 -> re-decoded text."""
-    return F.make_valid_utf8(F.encode(_c(c), "ISO-8859-1").cast("string"))
+    """SC40: UTF-8 text whose bytes were read as Latin-1 -> re-decoded text; the trimmed text
+    itself if it holds other letters or its bytes are no UTF-8."""
+    text = _c(c).cast("string")
+    latin = ~text.rlike("[^\\x{00}-\\x{FF}]")
+    again = F.try_validate_utf8(F.encode(F.when(latin, text), "ISO-8859-1").cast("string"))
+    return F.coalesce(again, F.trim(text))
 
 
 def round_if_number(c, n: int) -> Column:

@@ -353,7 +353,7 @@ def histogram(df: DataFrame, col: str, bins: int = 60) -> DataFrame:
     rng = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).withColumn("__one", F.lit(1))
     w = (F.col("hi") - F.col("lo")) / bins
     j = df.where(x.isNotNull()).withColumn("__one", F.lit(1)).join(F.broadcast(rng), "__one")
-    b = F.least(F.floor(F.try_divide(x - F.col("lo"), w)), F.lit(bins - 1)).cast("int")
+    b = F.least(F.coalesce(F.floor(F.try_divide(x - F.col("lo"), w)), F.lit(0)), F.lit(bins - 1)).cast("int")
     counts = j.groupBy(F.coalesce(b, F.lit(0)).alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     all_bins = rng.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     out = all_bins.join(counts, "bin", "left")

@@ -89,7 +89,7 @@ def fallback_key_join(left: DataFrame, right: DataFrame, left_key: str, right_ke
                       value_cols: list[str]) -> DataFrame:
     """Attach right-side values by exact name, else mojibake form, else ASCII key.
 
-    Three left joins on alternate keys (each right key made unique first),
+    Three left joins on alternate keys (right keys that stand twice are left out),
     first hit wins via ``coalesce``. Right is a per-name table (one row per
     neighbourhood), so each join keeps the left row count.
     """
@@ -98,7 +98,8 @@ def fallback_key_join(left: DataFrame, right: DataFrame, left_key: str, right_ke
     def side(keyexpr, tag):
         r = right.select(keyexpr.alias(f"__k{tag}"), *[F.col(v).alias(f"__{tag}_{v}") for v in value_cols])
         # keep a key only when it is unambiguous
-        return r.dropDuplicates([f"__k{tag}"])
+        alone = r.groupBy(f"__k{tag}").agg(F.count(F.lit(1)).alias("__n")).where("__n = 1").select(f"__k{tag}")
+        return r.join(alone, f"__k{tag}")
 
     l = left.withColumn("__ke", F.col(left_key)) \
             .withColumn("__km", mojibake_key(F.col(left_key))) \

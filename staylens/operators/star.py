@@ -77,11 +77,13 @@ def dim_listing(listings: DataFrame, dhost: DataFrame, dneigh: DataFrame) -> Dat
 
 
 def dim_date(spark: SparkSession, start: _dt.date = _dt.date(2008, 1, 1),
-             end: _dt.date = _dt.date(2027, 1, 1)) -> DataFrame:
-    """G1 + SC22: one row per day in [start, end], generated in parallel."""
-    n_days = (end - start).days + 1
-    d = F.date_add(F.lit(start), F.col("id").cast("int"))
-    days = spark.range(n_days).select(d.alias("date"))
+             end: _dt.date = _dt.date(2027, 1, 1), facts: DataFrame | None = None) -> DataFrame:
+    """G1 + SC22: one row per day from the earlier of ``start`` and the first day of ``facts``
+    (a ``date`` column) to the later of ``end`` and its last day."""
+    bounds = spark.range(1).select(F.lit(start).alias("a"), F.lit(end).alias("b"))
+    if facts is not None:
+        bounds = facts.agg(F.least(F.lit(start), F.min("date")).alias("a"), F.greatest(F.lit(end), F.max("date")).alias("b"))
+    days = bounds.select(F.explode(F.sequence("a", "b")).alias("date"))
     dt = F.col("date")
     return days.select(
         S.date_key(dt).alias("date_key"), dt,

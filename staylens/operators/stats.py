@@ -67,11 +67,12 @@ def welch_stats(df: DataFrame, value: str, group: Column, a_label: str = "a",
         F.count(F.when(~F.col("g"), F.col("x"))).alias("n2"),
         F.avg(F.when(~F.col("g"), F.col("x"))).alias("m2"),
         F.var_samp(F.when(~F.col("g"), F.col("x"))).alias("v2"))
-    se2 = F.col("v1") / F.col("n1") + F.col("v2") / F.col("n2")
-    t = (F.col("m1") - F.col("m2")) / F.sqrt(se2)
-    dof = F.pow(se2, 2) / (F.pow(F.col("v1") / F.col("n1"), 2) / (F.col("n1") - 1)
-                           + F.pow(F.col("v2") / F.col("n2"), 2) / (F.col("n2") - 1))
-    d = (F.col("m1") - F.col("m2")) / F.sqrt((F.col("v1") + F.col("v2")) / 2)
+    se2 = F.try_divide("v1", "n1") + F.try_divide("v2", "n2")
+    # without variance or with fewer than two values in a group the test is undefined: null
+    t = F.try_divide(F.col("m1") - F.col("m2"), F.sqrt(se2))
+    dof = F.try_divide(F.pow(se2, 2), F.try_divide(F.pow(F.try_divide("v1", "n1"), 2), F.col("n1") - 1)
+                       + F.try_divide(F.pow(F.try_divide("v2", "n2"), 2), F.col("n2") - 1))
+    d = F.try_divide(F.col("m1") - F.col("m2"), F.sqrt((F.col("v1") + F.col("v2")) / 2))
     return agg.select(F.lit(a_label).alias("group_a"), F.lit(b_label).alias("group_b"),
                       "n1", "n2", "m1", "m2", "v1", "v2", t.alias("statistic"), dof.alias("dof"),
                       d.alias("effect_size"), (F.col("m1") - F.col("m2")).alias("mean_diff"),
@@ -116,11 +117,11 @@ def mann_whitney(df: DataFrame, value: str, group: Column) -> DataFrame:
     n1, n2, N = F.col("n1"), F.col("n2"), F.col("N")
     u = F.col("r1") - n1 * (n1 + 1) / 2
     mu = n1 * n2 / 2
-    sigma = F.sqrt(n1 * n2 / 12 * ((N + 1) - F.col("tie_term") / (N * (N - 1))))
-    z = (F.abs(u - mu) - 0.5) / sigma
+    sigma = F.sqrt(n1 * n2 / 12 * ((N + 1) - F.try_divide(F.col("tie_term"), N * (N - 1))))
+    z = F.try_divide(F.abs(u - mu) - 0.5, sigma)
     return j.select("n1", "n2", u.alias("statistic"), z.alias("z"),
                     normal_p_value(z).alias("p_value"),
-                    (2 * u / (n1 * n2) - 1).alias("effect_size"))
+                    (F.try_divide(2 * u, n1 * n2) - 1).alias("effect_size"))
 
 
 def kruskal_wallis(df: DataFrame, value: str, group: str) -> DataFrame:
@@ -131,10 +132,10 @@ def kruskal_wallis(df: DataFrame, value: str, group: str) -> DataFrame:
     j = _one(s).join(_one(ties), "__one")
     N = F.col("N")
     h0 = 12 / (N * (N + 1)) * F.col("s") - 3 * (N + 1)
-    h = h0 / (1 - F.col("tie_term") / (F.pow(N, 3) - N))
+    h = F.try_divide(h0, 1 - F.try_divide(F.col("tie_term"), F.pow(N, 3) - N))
     return j.select(N.cast("long").alias("n_total"), F.col("k").alias("groups"), h.alias("statistic"),
                     chi2_p_value(h, F.col("k") - 1).alias("p_value"),
-                    ((h - F.col("k") + 1) / (N - F.col("k"))).alias("effect_size"))
+                    F.try_divide(h - F.col("k") + 1, N - F.col("k")).alias("effect_size"))
 
 
 def wilcoxon_signed_rank(pairs: DataFrame, diff: str = "diff") -> DataFrame:
@@ -142,9 +143,11 @@ def wilcoxon_signed_rank(pairs: DataFrame, diff: str = "diff") -> DataFrame:
     with Cohen d of the differences and the 95 % t-interval of the mean difference."""
     d = pairs.where(F.col(diff).isNotNull() & (F.col(diff) != 0)).select(F.col(diff).alias("d"))
     ranks = value_ranks(d.select(F.abs("d").alias("a")), "a")
-    j = d.join(ranks, F.abs(F.col("d")) == F.col("v"))
-    w = j.agg(F.sum(F.when(F.col("d") > 0, F.col("avg_rank")).otherwise(0.0)).alias("w_plus"),
-              F.count(F.lit(1)).alias("n"))
+    # tied differences are counted before the join: a value meets its rank once
+    counts = d.groupBy("d").agg(F.count(F.lit(1)).alias("c"))
+    j = counts.join(ranks, F.abs(F.col("d")) == F.col("v"))
+    w = j.agg(F.sum(F.when(F.col("d") > 0, F.col("avg_rank") * F.col("c")).otherwise(0.0)).alias("w_plus"),
+              F.coalesce(F.sum("c"), F.lit(0)).alias("n"))
     ties = ranks.agg(F.sum(F.pow(F.col("t"), 3) - F.col("t")).alias("tie_term"))
     st = pairs.where(F.col(diff).isNotNull()).agg(F.avg(diff).alias("mean_diff"),
                                                   F.stddev_samp(diff).alias("sd_diff"),
@@ -153,12 +156,12 @@ def wilcoxon_signed_rank(pairs: DataFrame, diff: str = "diff") -> DataFrame:
     n = F.col("n")
     mu = n * (n + 1) / 4
     sigma = F.sqrt(n * (n + 1) * (2 * n + 1) / 24 - F.col("tie_term") / 48)
-    z = (F.col("w_plus") - mu) / sigma
+    z = F.try_divide(F.col("w_plus") - mu, sigma)
     tq = t_quantile_975(F.col("n_pairs") - 1)
     half = tq * F.col("sd_diff") / F.sqrt(F.col("n_pairs"))
     return x.select("n", "n_pairs", F.col("w_plus").alias("statistic"), z.alias("z"),
                     normal_p_value(z).alias("p_value"),
-                    (F.col("mean_diff") / F.col("sd_diff")).alias("effect_size"),
+                    F.try_divide("mean_diff", "sd_diff").alias("effect_size"),
                     "mean_diff", (F.col("mean_diff") - half).alias("ci_low"),
                     (F.col("mean_diff") + half).alias("ci_high"))
 

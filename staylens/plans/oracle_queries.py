@@ -358,14 +358,19 @@ oracle("snapshot_key_sets", ["snap_old", "snap_new"], """
 SELECT 'added' AS key_set, id FROM (SELECT id FROM snap_new EXCEPT SELECT id FROM snap_old)
 UNION ALL SELECT 'removed', id FROM (SELECT id FROM snap_old EXCEPT SELECT id FROM snap_new)
 UNION ALL SELECT 'common', id FROM (SELECT id FROM snap_old INTERSECT SELECT id FROM snap_new)""")
+# two snapshots: a version of the old one ends with the new one if its listing changed or left
 oracle("scd2_listing_history", ["snap_old", "snap_new"], """
-SELECT id, price_numeric, room_type, is_de_facto_inactive, snapshot_date AS valid_from,
-  lead(snapshot_date) OVER (PARTITION BY id ORDER BY snapshot_date) AS valid_to,
-  lead(snapshot_date) OVER (PARTITION BY id ORDER BY snapshot_date) IS NULL AS is_current
-FROM (SELECT *, lag(h) OVER (PARTITION BY id ORDER BY snapshot_date) AS prev_h
-      FROM (SELECT *, (price_numeric, room_type, is_de_facto_inactive) AS h
-            FROM (SELECT * FROM snap_old UNION ALL SELECT * FROM snap_new)))
-WHERE prev_h IS NULL OR prev_h IS DISTINCT FROM h""")
+SELECT o.id, o.price_numeric, o.room_type, o.is_de_facto_inactive, o.snapshot_date AS valid_from,
+  CASE WHEN n.id IS NULL OR (o.price_numeric, o.room_type, o.is_de_facto_inactive)
+       IS DISTINCT FROM (n.price_numeric, n.room_type, n.is_de_facto_inactive) THEN d.day END AS valid_to,
+  n.id IS NOT NULL AND (o.price_numeric, o.room_type, o.is_de_facto_inactive)
+       IS NOT DISTINCT FROM (n.price_numeric, n.room_type, n.is_de_facto_inactive) AS is_current
+FROM snap_old o LEFT JOIN snap_new n ON n.id = o.id, (SELECT max(snapshot_date) AS day FROM snap_new) d
+UNION ALL
+SELECT n.id, n.price_numeric, n.room_type, n.is_de_facto_inactive, n.snapshot_date, NULL, TRUE
+FROM snap_new n LEFT JOIN snap_old o ON n.id = o.id
+WHERE o.id IS NULL OR (o.price_numeric, o.room_type, o.is_de_facto_inactive)
+  IS DISTINCT FROM (n.price_numeric, n.room_type, n.is_de_facto_inactive)""")
 oracle("dataset_version_upsert", ["snap_old", "snap_new", "listings"], """
 SELECT snapshot_date, row_count, 'bound' AS city FROM (
   SELECT DATE '2002-01-01' AS snapshot_date, (SELECT count(*) FROM snap_new) AS row_count
@@ -742,6 +747,16 @@ FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED'"""
 oracle("cdc_dead_letter_alarm", [], """
 SELECT count(*) AS depth, count(*) > 100 AS alarm FROM orders
 WHERE o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED'""")
+# an event of order k at place p of its list arrives in batch (k + p) % 3; batch 0 comes twice
+_PLACED = """SELECT k, kind, row_number() OVER (PARTITION BY k ORDER BY kind) - 1 AS place FROM (
+  SELECT o_orderkey AS k, unnest(list_filter([1, CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 2 END,
+    CASE WHEN o_orderstatus = 'O' THEN 3 END, CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 4 END,
+    CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED' THEN 5 END], lambda x: x IS NOT NULL)) AS kind FROM orders)"""
+oracle("cdc_conservation", ["cdc_history"], f"""
+SELECT n + again AS events_in, n - twice - bad AS applied, twice + again - bad_again AS duplicate, bad + bad_again AS dead,
+  (SELECT count(*) FROM cdc_history) AS versions, bad + bad_again AS dead_letters
+FROM (SELECT count(*) AS n, count(*) FILTER (WHERE (k + place) % 3 = 0) AS again, count(*) FILTER (WHERE kind = 2) AS twice,
+  count(*) FILTER (WHERE kind = 5) AS bad, count(*) FILTER (WHERE kind = 5 AND (k + place) % 3 = 0) AS bad_again FROM ({_PLACED}))""")
 oracle("cdc_progress", ["cdc_events"], "SELECT 'listings' AS source_table, max(lsn) AS last_lsn FROM cdc_events")
 oracle("cdc_reconciliation", ["cdc_history"], """
 SELECT count(*) AS snapshot_rows, count(*) AS stream_rows, count(*) AS matched_rows, 0::BIGINT AS mismatched_rows

@@ -139,7 +139,8 @@ class Pipeline:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return star.dim_date(self.spark, B.DIM_DATE_START, B.DIM_DATE_END)
+        days = self.calendar.select("date").unionByName(self.reviews.select("date"))
+        return star.dim_date(self.spark, B.DIM_DATE_START, B.DIM_DATE_END, days)
 
     @cached_property
     def dim_city(self) -> DataFrame:

@@ -8,41 +8,20 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def spread(df: DataFrame, min_rows_to_spread: int = 0) -> DataFrame:
-    """Round-robin repartition a scan that has fewer splits than the cluster has cores.
+_SCANS: dict[tuple[int, str], DataFrame] = {}
 
-    A single-row-group Parquet file (or a gzip CSV) is one scan task; every
-    narrow operator before the first shuffle would then run single-threaded.
-    On a large cluster scans already have thousands of splits and this is a
-    no-op (the check reads only file metadata, no job runs).
-    """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
 
-
-_SCANS: dict[tuple[int, str], tuple[DataFrame, bool]] = {}
-
-
-def _scan(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
+def _scan(spark: SparkSession, path: str) -> DataFrame:
     """One relation (file listing + footer read) per session and path."""
     key = (id(spark), path)
     hit = _SCANS.get(key)
-    if hit is None or hit[0].sparkSession is not spark:
-        df = spark.read.parquet(path)
-        narrow = df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
-        hit = (df, narrow)
-        _SCANS[key] = hit
+    if hit is None or hit.sparkSession is not spark:
+        hit = _SCANS[key] = spark.read.parquet(path)
     return hit
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Read one table; with ``columns`` only those reach the Parquet ReadSchema."""
-    df, narrow = _scan(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if columns:
-        df = df.select(*columns)
-    if name in ("region", "nation") or not narrow:
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism)
+    """Read one table; with ``columns`` only those reach the Parquet ReadSchema. How a scan is
+    split is the session's business (``spark.sql.files.maxPartitionBytes``)."""
+    df = _scan(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df.select(*columns) if columns else df
