@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from staylens.llm import chat_format, decontaminate, html_extract, language_id, ngram_join, packing, pii, quality_rules, token_counts, toxicity
 from staylens.llm.common import crc_bucket, read_table
+from staylens.llm.oracles import ORACLES  # noqa: F401
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,4 +77,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_packing, op3_html_extraction, op4_token_counts, op5_decontamination, op6_quality_rules, op7_chat_formatting, op8_ngram_jaccard_join, op9_language_id, op10_pii)}
-ORACLES: dict[str, str] = {}
+
