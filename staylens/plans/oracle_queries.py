@@ -916,3 +916,37 @@ SELECT * FROM (VALUES ('table_present', 'dim_city', TRUE), ('table_present', 'di
   ('report_runs', 'median_price_by_room_type', TRUE), ('report_runs', 'top_neighbourhoods_by_listing_count', TRUE),
   ('report_runs', 'weekend_vs_weekday_availability', TRUE), ('report_runs', 'occupancy_proxy_distribution', TRUE),
   ('report_runs', 'superhost_price_rating_gap', TRUE)) t("check", target, passed)""")
+
+
+# ---------------------------------------------------------------- round trips, comparisons, classes, ranks
+oracle("io_csv_roundtrip", ["raw_listings"], """
+SELECT id, 'a "name",' || chr(10) || id AS name, price, host_is_superhost, room_type FROM raw_listings""")
+oracle("io_json_roundtrip", ["calendar_summary"], "SELECT listing_id, calendar_days, available_days FROM calendar_summary")
+oracle("io_partitioned_replace", ["listings"], """
+SELECT room_type, count(*) FILTER (WHERE room_type <> 'entire_home' OR price_numeric IS NOT NULL) AS listings,
+  count(price_numeric) AS priced FROM listings WHERE room_type IS NOT NULL GROUP BY room_type""")
+oracle("snapshot_archive", ["snap_old", "snap_new"], """
+SELECT DISTINCT 'bound' AS city, snapshot_date FROM (SELECT snapshot_date FROM snap_old UNION ALL SELECT snapshot_date FROM snap_new)""")
+oracle("listings_valid_coordinates", ["raw_listings"], """
+SELECT CAST(id AS BIGINT) AS id FROM raw_listings WHERE TRY_CAST(latitude AS DOUBLE) BETWEEN -90 AND 90
+  AND TRY_CAST(longitude AS DOUBLE) BETWEEN -180 AND 180""")
+oracle("eda_host_segment_comparison", ["lm"], """
+SELECT CASE WHEN host_portfolio_size <= 1 THEN '1 listing' WHEN host_portfolio_size <= 5 THEN '2-5 listings'
+    WHEN host_portfolio_size <= 20 THEN '6-20 listings' WHEN host_portfolio_size > 20 THEN '21+ listings' END AS segment,
+  count(*) AS listing_count, count(DISTINCT host_id) AS unique_hosts, round(avg(CAST(host_is_superhost AS DOUBLE)), 4) AS superhost_rate,
+  round(median(price_numeric), 4)::DOUBLE AS median_price, round(median(review_scores_rating), 4)::DOUBLE AS median_rating,
+  round(median(reviews_per_month_calc), 4)::DOUBLE AS median_reviews_per_month, median(availability_365)::DOUBLE AS median_availability,
+  round(median(occupancy_proxy), 4)::DOUBLE AS median_occupancy
+FROM lm GROUP BY 1""")
+oracle("eda_rating_classes", ["lm"], """
+SELECT * FROM (WITH med AS (SELECT neighbourhood_cleansed, count(review_scores_rating) AS n, median(review_scores_rating::DOUBLE) AS m FROM lm
+  GROUP BY 1 HAVING count(review_scores_rating) >= 20),
+cuts AS (SELECT quantile_cont(m, 0.33) AS low, quantile_cont(m, 0.67) AS high FROM med)
+SELECT neighbourhood_cleansed, n, round(m, 4) AS median_rating,
+  CASE WHEN m >= high THEN 'upper' WHEN m >= low THEN 'middle' ELSE 'lower' END AS rating_class FROM med, cuts)""")
+oracle("model_city_error_rank", ["master", "listings"], f"""
+SELECT * FROM (WITH rt AS (SELECT room_type, median(price_numeric::DOUBLE) AS p FROM {_TR} GROUP BY 1),
+errors AS (SELECT l.city, avg(abs(rt.p - te.price_numeric)) AS mae, count(*) AS n_test
+  FROM {_TE} te JOIN rt ON rt.room_type = te.room_type JOIN listings l ON l.id = te.id GROUP BY 1)
+SELECT e.city, round(mae, 4) AS mae, n_test, (SELECT count(*) FROM listings l WHERE l.city = e.city) AS listings,
+  rank() OVER (ORDER BY round(mae, 6)) AS mae_rank FROM errors e)""")
