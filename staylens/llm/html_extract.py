@@ -69,6 +69,7 @@ class Costs:
     ten_words: float = 1.3
     most_words: float = 3.0
     links: float = -4.0
+    links_inside: float = 0.4
     legal: float = -3.0
     heading: float = 0.8
     adjacent: float = 1.6
@@ -102,13 +103,16 @@ def _hint_words(attributes: str) -> list[str]:
 
 def _open(parent: Element, tag: str, attributes: str, number: int, costs: Costs) -> Element:
     words = _hint_words(attributes)
+    # "has-sidebar" or "no-ads" tell about a container, not what it is
+    words = [w for w, before in zip(words, ["", *words]) if before not in ("has", "with", "no", "without", "is")]
     place, content, boiler = parent.place, parent.content, parent.boiler
     if tag in CONTENT_TAGS or any(w in CONTENT_WORDS for w in words):
         place, content = costs.content_place, True
     # a page's header is boilerplate, an article's own holds its headings
     if tag in BOILER_TAGS or tag == "header" and not parent.content:
         boiler = True
-    elif tag not in CONTENT_TAGS and tag not in ("html", "body") and any(w in BOILER_WORDS for w in words):
+    elif tag not in CONTENT_TAGS and tag not in ("html", "body") and any(
+            w in BOILER_WORDS and not (w == "header" and content) for w in words):
         place = costs.boiler_word
     path = (*parent.path, number) if tag in BLOCK_TAGS else parent.path
     return Element(tag, place, boiler, content, parent.skipped or tag in SKIPPED_TAGS, parent.link or tag == "a", path)
@@ -189,7 +193,7 @@ def score(b: Block, costs: Costs = Costs()) -> float:
     if b.under.boiler:
         return costs.boiler_tag
     s = b.under.place + min(costs.most_words, costs.no_words + costs.ten_words * b.words / 10)
-    s += costs.links * b.links
+    s += costs.links * b.links * (costs.links_inside if b.under.content else 1)
     if b.heading:
         s += costs.heading
     if b.words < 40 and _LEGAL.search(b.text):

@@ -40,6 +40,9 @@ PAGES = {
     f"<body><header><h1>Site name</h1></header><p>{LONG}</p>\n\n<p>{LONG} More  \n text.</p><aside>{LONG}</aside>": f"{LONG}\n{LONG} More text.",
     f"<article><header><h2>Head</h2></header><p>{LONG}</p><aside><p>{LONG}</p></aside><div class='cookie-notice'>{LONG}</div>"
     f"<ul><li>first item<li>second item</ul></article><div class=sidebar><a href=x>{LONG}</a></div>": f"Head\n{LONG}\nfirst item\nsecond item",
+    f"<div class='page has-sidebar'><div class='entry'><header class='entry-header'><h1>Head</h1></header><p>{LONG}</p><ul><li><a href=x>one</a>"
+    f"<li><a href=y>two</a></ul></div><ol class='commentList'><li><p>{LONG}</ol><div role=navigation>{LONG}</div></div>":
+        f"Head\n{LONG}\none\ntwo",
     "<nav>only menu</nav>": "", "": "", "plain": "", f"{LONG} <b>bold</b>text <i": f"{LONG} boldtext",
     f"<p>{LONG}</p><!-- never closed <p>x": LONG, f"<p>{LONG}</p><script>x": LONG,
     f"<main><p>a < b and {LONG}</p></main>": f"a < b and {LONG}",
