@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from array import array
@@ -72,11 +73,22 @@ def placed_blocks(batch: pa.RecordBatch, place: int, limit: int = BLOCK_BYTES) -
 def blocks(batches: Iterator[pa.RecordBatch], column: str,
            limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of Arrow batches in slices of about ``limit`` bytes of one text column."""
-    for batch in batches:
+    for batch in released(batches):
         for part, _ in placed_blocks(batch, batch.schema.get_field_index(column), limit):
             yield part
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; after the last one the worker, which Spark keeps for later tasks, hands
+    freed memory back to the system."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library trims by itself or not at all
+        pass
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """The texts, null as empty."""
     return [t or "" for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]

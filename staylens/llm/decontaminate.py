@@ -281,9 +281,9 @@ def remove(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text_col:
     for shared in _parts(spark, docs.select(F.col(text_col).alias("text")), benchmark, item_col, item_text_col, part_bytes):
         def run(batches, shared=shared):
             finder = Finder(*shared.value)
-            for batch in batches:
+            for batch in common.released(batches):
                 dirty = np.zeros(batch.num_rows, bool)
-                for part, start in common.placed_blocks(batch, place):
+                for part, start in common.placed_blocks(batch, place, 4 << 20):
                     for r in finder.find(part.column(place)):
                         dirty[start + r[0]] = True
                 yield batch.filter(pa.array(~dirty))

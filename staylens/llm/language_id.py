@@ -221,7 +221,7 @@ def identify(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
 
     def run(batches):
         reader = Reader(shared.value)
-        for batch in common.blocks(batches, "text", 4 << 20):
+        for batch in common.blocks(batches, "text", 1 << 20):
             lang, score, best = reader.read(batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(best, from_pandas=True)],
@@ -239,8 +239,8 @@ def accept(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_co
 
     def run(batches):
         reader = Reader(shared.value)
-        for batch in batches:
-            for part, _ in common.placed_blocks(batch, place, 4 << 20):
+        for batch in common.released(batches):
+            for part, _ in common.placed_blocks(batch, place, 1 << 20):
                 lang, score, _ = reader.read(part.column(place))
                 kept = pa.array([x != UNDETERMINED and s >= least for x, s in zip(lang, score)], pa.bool_())
                 found = pa.array(lang, pa.string()).cast(part.schema.field(lang_place).type)

@@ -48,7 +48,7 @@ GROUP = 32
 CHUNK = 256
 #: Tables of a few numbers a class are broadcast up to this many rows, else shuffled.
 BROADCAST_ROWS = 300_000
-_CACHE = 500_000
+_CACHE = 200_000
 _MASK = np.uint64((1 << 48) - 1)
 
 

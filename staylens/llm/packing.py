@@ -26,7 +26,7 @@ TOKENIZER = "word_bpe_49k.json"
 WINDOW = 2048
 END_ID = 1
 #: Distinct words that a worker remembers; beyond, it starts anew.
-CACHE = 1_000_000
+CACHE = 300_000
 _BITS = 40  # sequence numbers of a share
 
 
@@ -96,7 +96,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
 
     def run(batches):
         words = common.per_worker(WordIds, tokenizer)
-        for batch in common.blocks(batches, "text"):
+        for batch in common.blocks(batches, "text", 4 << 20):
             flat, counts = words.of(batch.column(1))
             flat = np.insert(flat, np.cumsum(counts), end_id).astype("<u4")
             counts = counts + 1
