@@ -12,7 +12,8 @@ from typing import Sequence
 from pyspark.ml import Pipeline as MLPipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, TargetEncoder,
+                                VectorAssembler)
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -196,14 +197,41 @@ def group_split(df: DataFrame, group: str = "host_id", test_pct: int = 20, seed:
 
 
 # ------------------------------------------------------------------ price models
+#: Categories replaced by their mean target in the training rows; the others become one-hot.
+TARGET_ENCODED = ("neighbourhood_cleansed",)
+
+
 def preprocess_stages(numeric: Sequence[str], categorical: Sequence[str]):
-    """Index + one-hot categoricals (unknown kept), assemble with imputed numerics."""
+    """Scaled numerics, one-hot and target-encoded categories (unknown ones kept), all
+    fitted on the rows the pipeline is fitted on."""
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in categorical]
-    ohe = OneHotEncoder(inputCols=[f"{c}__idx" for c in categorical],
-                        outputCols=[f"{c}__ohe" for c in categorical], handleInvalid="keep")
-    va = VectorAssembler(inputCols=list(numeric) + [f"{c}__ohe" for c in categorical],
-                         outputCol="features", handleInvalid="keep")
-    return idx + [ohe, va]
+    hot = [c for c in categorical if c not in TARGET_ENCODED]
+    coded = [c for c in categorical if c in TARGET_ENCODED]
+    stages = idx + [VectorAssembler(inputCols=list(numeric), outputCol="__numeric", handleInvalid="keep"),
+                    StandardScaler(inputCol="__numeric", outputCol="__scaled", withMean=True, withStd=True)]
+    inputs = ["__scaled"]
+    if hot:
+        stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in hot], outputCols=[f"{c}__ohe" for c in hot],
+                                    handleInvalid="keep"))
+        inputs += [f"{c}__ohe" for c in hot]
+    if coded:
+        stages.append(TargetEncoder(inputCols=[f"{c}__idx" for c in coded], outputCols=[f"{c}__mean" for c in coded],
+                                    labelCol="log_price", targetType="continuous", handleInvalid="keep", smoothing=1.0))
+        inputs += [f"{c}__mean" for c in coded]
+    return stages + [VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")]
+
+
+#: Depth of the trees: 256 leaves at most in the forest, 64 in boosting.
+FOREST_DEPTH, BOOSTING_DEPTH = 8, 6
+
+
+def _modes(train: DataFrame, cols: Sequence[str]) -> dict:
+    row = train.agg(*[F.mode(c, deterministic=True).alias(c) for c in cols]).first().asDict()
+    return {c: v for c, v in row.items() if v is not None}
+
+
+def _categories(model) -> list[str]:
+    return [s.getInputCol() for s in model.stages if isinstance(s, StringIndexerModel)]
 
 
 def regressor(kind: str, n_train: int | None = None, y_std: float | None = None):
@@ -214,16 +242,16 @@ def regressor(kind: str, n_train: int | None = None, y_std: float | None = None)
                                 elasticNetParam=0.0, standardization=False, solver="normal")
     if kind == "random_forest":
         return RandomForestRegressor(featuresCol="features", labelCol="log_price", numTrees=300,
-                                     minInstancesPerNode=3, seed=42)
+                                     maxDepth=FOREST_DEPTH, minInstancesPerNode=3, seed=42)
     if kind == "gradient_boosting":
         return GBTRegressor(featuresCol="features", labelCol="log_price", maxIter=500, stepSize=0.05,
-                            subsamplingRate=0.8, seed=42)
+                            maxDepth=BOOSTING_DEPTH, minInstancesPerNode=20, subsamplingRate=0.8, seed=42)
     raise ValueError(kind)
 
 
 def fit_price_model(train: DataFrame, kind: str, numeric: Sequence[str], categorical: Sequence[str]):
     from staylens.operators.features import median_impute
-    tr = median_impute(train, list(numeric)).cache()
+    tr = median_impute(train, list(numeric)).fillna(_modes(train, categorical)).cache()
     stats = tr.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("log_price").alias("sd")).first()
     pipe = MLPipeline(stages=preprocess_stages(numeric, categorical)
                       + [regressor(kind, stats["n"], stats["sd"])])
@@ -231,9 +259,9 @@ def fit_price_model(train: DataFrame, kind: str, numeric: Sequence[str], categor
 
 
 def score(model, df: DataFrame, numeric: Sequence[str], train: DataFrame) -> DataFrame:
-    """Impute with TRAINING medians (no leakage), predict, back-transform with expm1."""
+    """Impute with TRAINING medians and modes (no leakage), predict, back-transform with expm1."""
     med = {c: v for c, v in zip(numeric, column_medians(train, numeric).first())}
-    filled = df.fillna({c: float(v) for c, v in med.items() if v is not None})
+    filled = df.fillna({c: float(v) for c, v in med.items() if v is not None}).fillna(_modes(train, _categories(model)))
     return model.transform(filled).withColumn("predicted_price", F.expm1("prediction"))
 
 

@@ -903,7 +903,7 @@ MODEL_NUMERIC = ["accommodates", "bedrooms", "beds", "bathroom_count", "minimum_
                  "review_scores_cleanliness", "review_scores_location", "reviews_per_month_calc",
                  "calculated_host_listings_count", "number_of_reviews", "beds_per_guest",
                  "host_is_superhost", "instant_bookable", "bathroom_is_shared", "amenity_count",
-                 "has_wifi", "has_kitchen", "has_washer", "has_pool"]
+                 "latitude", "longitude", *(flag for _, flag in FE.AMENITY_FLAGS)]
 MODEL_CATEGORICAL = ["room_type", "neighbourhood_cleansed", "property_type_bucket"]
 
 
@@ -958,9 +958,9 @@ def _fit(spark, sf, kind):
 
 @_q("model_price_comparison")
 def _(spark, sf):
-    """Ridge and random forest vs the median baselines, test MAE order."""
+    """Ridge, random forest and boosting vs the median baselines, test MAE order."""
     out = None
-    for kind in ["ridge", "random_forest"]:
+    for kind in ["ridge", "random_forest", "gradient_boosting"]:
         model, trf, te = _fit(spark, sf, kind)
         m = MO.regression_metrics(MO.score(model, te, MODEL_NUMERIC, trf)).withColumn("model", F.lit(kind))
         out = m if out is None else out.unionByName(m)
