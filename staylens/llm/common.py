@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import os
 import uuid
 from array import array
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from staylens.session import ensure_checkpoint_dir
 
 #: Bytes of text that a Python task works on at a time.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +83,7 @@ def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches; after the last one the worker, which Spark keeps for later tasks, hands
     freed memory back to the system."""
     yield from batches
+    gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)

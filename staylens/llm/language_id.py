@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from staylens.llm import common
 
 SAMPLE_ROWS = 300
-SAMPLE_CHARS = 40_000
+SAMPLE_CHARS = 24_000
 SEGMENT = 256
 #: Letters kept as symbols of their own; the others share one.
 ALPHABET = 120
