@@ -4,20 +4,24 @@ Examples are a sample of labelled rows with a documented bound: the ``EXAMPLES``
 lowest id hash (texts over ``EXAMPLE_CHARS`` characters are passed by). All other work
 covers every row and every word.
 
-Terms are lower-case words that tell the labels apart among the examples: a log-likelihood
-ratio of ``TELLING`` or more over contexts, where a word counts once per word before it and label, so
-that copies of one text make no term, and ``CONTEXTS`` contexts at least. A text is its TF-IDF
-vector over these terms (1 + ln tf, ln((N + 1) / (df + 1)) + 1, unit length).
-
-The examples' inverted index is kept in blocks of similar examples with each term's highest
-weight per block. A query sums these to a bound for every block and opens blocks from the
-highest bound on, until the next cannot beat its ``NEIGHBOURS``-th best cosine: so the
-nearest examples are exact. Each votes with its cosine; the vote share is mapped to a score
-by isotonic regression over the examples themselves, each scored without itself. A text
-without terms gets the rate among the examples without terms.
+Terms are the lower-case words. A text is its TF-IDF vector over all its words at unit length:
+(1 + ln tf) (ln((N + 1) / (df + 1)) + 1), df being counted over the N examples (0 for a word
+that no example has, which still counts in the length). Words that tell the labels apart weigh
+more: times 1 + ratio / ``WEIGHING``, the log-likelihood ratio over contexts, where a word
+counts once per word before it and label, so that copies of one text tell nothing, and which
+is 0 under ``CONTEXTS`` contexts. No word has no weight.
+
+The examples' vectors lie in blocks of similar examples: the ``FREQUENT`` most frequent terms
+as a matrix with each term's highest weight per block, all others as postings. The postings of
+a query's terms are summed exactly for every example; with the highest weights they bound
+every block, and blocks are opened from the highest bound on, ``ROUND`` at a time, unless none
+can beat the ``NEIGHBOURS``-th best cosine: so the nearest examples are exact. Each votes with
+its cosine; the vote share is mapped to a score by isotonic regression over the examples
+themselves, each scored without itself. A text without any word of an example gets the rate
+among the examples without words.
 
 The index goes to the tasks as a broadcast, bounded by the sample. The pass over documents is
-narrow; equal vectors of a worker are scored once.
+narrow; ``QUERIES`` texts are searched side by side.
 
 Cases: null and empty texts have no terms; without labelled rows every score is 0; equal
 cosines go by the example's place, which follows the id; repeated documents each give a row; repeated
@@ -43,8 +47,12 @@ EXAMPLES = 4000
 EXAMPLE_CHARS = 100_000
 TELLING = 30.0
 CONTEXTS = 5
+WEIGHING = 10.0
 NEIGHBOURS = 24
 BLOCK = 64
+ROUND = 8
+FREQUENT = 512
+QUERIES = 256
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -52,8 +60,8 @@ def plain(word: str) -> str:
     return _EDGES.sub("", word.lower())
 
 
-def telling_terms(texts: list[str], labels: np.ndarray) -> list[str]:
-    """Words whose contexts tell the labels apart."""
+def ratios(texts: list[str], labels: np.ndarray) -> dict[str, float]:
+    """Per word the log-likelihood ratio of its contexts by label; 0 if it has few."""
     seen: tuple[set, set] = (set(), set())
     for text, y in zip(texts, labels):
         words = [w for w in map(plain, text.split()) if w]
@@ -63,63 +71,94 @@ def telling_terms(texts: list[str], labels: np.ndarray) -> list[str]:
         for w, _ in seen[y]:
             counts.setdefault(w, [0, 0])[y] += 1
     totals = np.array([len(seen[0]), len(seen[1])], float)
-    out = []
-    for w in sorted(counts):
-        a, b = counts[w]
-        if a + b < CONTEXTS or not totals.all():
-            continue
-        seen_in, want = np.array([a, b], float), (a + b) * totals / totals.sum()
-        rest, other = totals - seen_in, totals - want
-        cells = np.concatenate([seen_in * np.log(np.maximum(seen_in, 1e-9) / want), rest * np.log(np.maximum(rest, 1e-9) / other)])
-        ratio = 2 * cells.sum()
-        if ratio >= TELLING:
-            out.append(w)
-    return out
+    words = sorted(counts)
+    found = np.array([counts[w] for w in words], float).reshape(-1, 2)
+    every = found.sum(axis=1)
+    if not totals.all():
+        return dict.fromkeys(words, 0.0)
+    want = every[:, None] * totals / totals.sum()
+    rest, other = totals - found, totals - want
+    cells = found * np.log(np.maximum(found, 1e-9) / want) + rest * np.log(np.maximum(rest, 1e-9) / other)
+    return dict(zip(words, np.where(every < CONTEXTS, 0.0, np.maximum(2 * cells.sum(axis=1), 0.0)).tolist()))
+
+
+def telling_terms(texts: list[str], labels: np.ndarray) -> list[str]:
+    """Words whose contexts tell the labels apart."""
+    return [w for w, ratio in ratios(texts, labels).items() if ratio >= TELLING]
 
 
 @dataclass
 class Index:
-    """Block-max inverted index of unit vectors."""
-    terms: dict[str, int]
-    idf: np.ndarray
-    weights: np.ndarray  # (examples, terms), in block order
+    """Block-max index of unit vectors: frequent terms dense, the others as postings."""
+    terms: dict[str, int]  # frequent ones first
+    factors: np.ndarray  # of every term; a last one for words that no example has
+    weights: np.ndarray  # (examples, frequent terms), in block order
     ids: list
     labels: np.ndarray
     none_rate: float  # of label 1 among examples without terms
     prior: float
-    highest: np.ndarray = field(default=None)  # (terms, blocks)
+    highest: np.ndarray = field(default=None)  # (frequent terms, blocks)
+    starts: np.ndarray = field(default=None)  # postings of each other term: from, to
+    places: np.ndarray = field(default=None)
+    values: np.ndarray = field(default=None)
     votes: np.ndarray = field(default=None)  # steps of the calibration
     rates: np.ndarray = field(default=None)
 
-    def vector(self, numbers: np.ndarray, tf: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(self.idf), np.float64)
-        out[numbers] = (1 + np.log(tf)) * self.idf[numbers]
-        return out / np.linalg.norm(out)
-
-    def nearest(self, query: np.ndarray, k: int = NEIGHBOURS, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the k nearest examples with a positive cosine, best first."""
-        at = np.flatnonzero(query)
-        bounds = query[at] @ self.highest[at]
-        best, cosines = np.empty(0, np.int64), np.empty(0)
-        for b in np.argsort(-bounds, kind="stable"):
+    def queries(self, rows: np.ndarray, numbers: np.ndarray, tf: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of n texts, given as (text, term, tf) with any number from len(terms) on for words
+        that no example has: weights of the frequent terms, and cosines by the other terms."""
+        known, width, size = len(self.terms), self.weights.shape[1], len(self.weights)
+        value = (1 + np.log(tf)) * self.factors[np.minimum(numbers, known)]
+        value = value / np.sqrt(np.bincount(rows, value ** 2, n))[rows]
+        dense = np.zeros((n, width))
+        at = numbers < width
+        dense[rows[at], numbers[at]] = value[at]
+        at = (numbers >= width) & (numbers < known)
+        begin, end = self.starts[numbers[at] - width], self.starts[numbers[at] - width + 1]
+        posting, lengths = common.ragged(begin, end - begin), end - begin
+        rest = np.bincount(np.repeat(rows[at], lengths) * size + self.places[posting],
+                           self.values[posting] * np.repeat(value[at], lengths), n * size)
+        return dense, rest.astype(float, copy=False).reshape(n, size)  # no postings count as integers
+
+    def nearest_all(self, dense: np.ndarray, rest: np.ndarray, k: int = NEIGHBOURS) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per query the places and cosines of the k nearest examples with a positive cosine, best first."""
+        n, size = rest.shape
+        found = np.full((n, size), -1.0)
+        edges = np.arange(0, size, BLOCK)
+        bounds = dense @ self.highest + np.maximum.reduceat(rest, edges, axis=1)
+        top = np.zeros((n, k))
+        # cosines are no lower than their parts
+        least = np.maximum(np.partition(rest, size - k, axis=1)[:, size - k], 0) if size >= k else np.zeros(n)
+        order = np.argsort(-bounds.max(axis=0), kind="stable")
+        for r in range(0, len(order), ROUND):
+            some = np.sort(order[r:r + ROUND])
+            best = bounds[:, some].max(axis=1)
             # a little room for rounding, as a bound is summed in another order
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < cosines[-1] - 1e-9:
-                break
-            rows = np.arange(b * BLOCK, min((b + 1) * BLOCK, len(self.weights)))
-            found = self.weights[rows][:, at] @ query[at]
-            keep = (found > 0) & (rows != skip)
-            best, cosines = np.concatenate([best, rows[keep]]), np.concatenate([cosines, found[keep]])
-            order = np.lexsort((best, -np.round(cosines, 12)))[:k]
-            best, cosines = best[order], cosines[order]
-        return best, cosines
+            rows = np.flatnonzero((best > 0) & (best >= least - 1e-9))
+            if not len(rows):
+                continue
+            cols = np.concatenate([np.arange(b * BLOCK, min((b + 1) * BLOCK, size)) for b in some])
+            cosines = dense[rows] @ self.weights[cols].T + rest[np.ix_(rows, cols)]
+            found[np.ix_(rows, cols)] = cosines
+            top[rows] = np.partition(np.concatenate([top[rows], cosines], axis=1), -k, axis=1)[:, -k:]
+            least[rows] = np.maximum(least[rows], top[rows].min(axis=1))
+        out = []
+        for row, low in zip(found, least):
+            at = np.flatnonzero((row > 0) & (row >= low - 1e-9))
+            at = at[np.lexsort((at, -np.round(row[at], 12)))[:k]]
+            out.append((at, row[at]))
+        return out
+
+    def nearest(self, query: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest examples of a vector over the frequent terms."""
+        return self.nearest_all(query[None], np.zeros((1, len(self.weights))), k)[0]
 
     def vote(self, best: np.ndarray, cosines: np.ndarray) -> float:
         """Share of label 1 in the votes, drawn a little to the prior."""
         return float((cosines @ self.labels[best] + self.prior) / (cosines.sum() + 1)) if len(best) else self.none_rate
 
-    def score(self, query: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        best, cosines = self.nearest(query)
-        return float(np.interp(self.vote(best, cosines), self.votes, self.rates)), best, cosines
+    def score(self, best: np.ndarray, cosines: np.ndarray) -> float:
+        return float(np.interp(self.vote(best, cosines), self.votes, self.rates))
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,34 +178,53 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(xs), np.array(ys)
 
 
-def build(ids: list, texts: list[str], labels: list[int]) -> Index | None:
+def build(ids: list, texts: list[str], labels: list[int], frequent: int = FREQUENT) -> Index | None:
     y = np.array(labels, np.float64)
     if not len(y):
         return None
-    terms = {w: i for i, w in enumerate(telling_terms(texts, y))}
-    rows, df = [], np.zeros(len(terms))
-    for text in texts:
-        found = [terms[w] for w in map(plain, text.split()) if w in terms]
-        numbers, tf = np.unique(np.array(found, np.int64), return_counts=True)
-        df[numbers] += 1
-        rows.append((numbers, tf))
+    ratio = ratios(texts, y)
+    words = [[w for w in map(plain, text.split()) if w] for text in texts]
+    df: dict[str, int] = dict.fromkeys(ratio, 0)
+    for row in words:
+        for w in set(row):
+            df[w] += 1
+    terms = {w: i for i, w in enumerate(sorted(df, key=lambda w: (-df[w], w)))}
+    factors = np.array([(np.log((len(y) + 1) / (df[w] + 1)) + 1) * (1 + ratio[w] / WEIGHING) for w in terms] + [np.log(len(y) + 1) + 1])
     prior = float(y.mean())
-    without = [y[i] for i, r in enumerate(rows) if not len(r[0])]
+    without = [y[i] for i, row in enumerate(words) if not row]
     rate = (sum(without) + prior) / (len(without) + 1)
-    out = Index(terms, np.log((len(y) + 1) / (df + 1)) + 1, np.empty((0, len(terms))), [], np.empty(0), rate, prior)
-    some = [i for i, r in enumerate(rows) if len(r[0])]
-    vectors = np.array([out.vector(*rows[i]) for i in some]).reshape(len(some), len(terms))
+    some = [i for i, row in enumerate(words) if row]
+    if not some:
+        return Index({}, factors, np.empty((0, 0)), [], np.empty(0), rate, prior)
+    rows, heaviest = [], []
+    for i in some:
+        numbers, tf = np.unique(np.fromiter(map(terms.__getitem__, words[i]), np.int64), return_counts=True)
+        value = (1 + np.log(tf)) * factors[numbers]
+        rows.append((numbers, tf, value / np.linalg.norm(value)))
+        first = numbers[np.argsort(-value, kind="stable")[:3]]
+        heaviest.append(np.pad(first, (0, 3 - len(first)), constant_values=len(terms)))
     # similar examples share a block: ordered by their heaviest terms
-    key = np.argsort(-vectors, axis=1, kind="stable")[:, :3] if len(terms) else np.zeros((len(some), 1))
-    order = np.lexsort(key.T[::-1]) if len(some) else np.empty(0, np.int64)
-    out.weights = vectors[order]
-    out.ids, out.labels = [ids[some[i]] for i in order], y[some][order] if some else np.empty(0)
-    blocks = -(-len(order) // BLOCK)
-    out.highest = np.zeros((len(terms), blocks))
-    for b in range(blocks):
-        out.highest[:, b] = out.weights[b * BLOCK:(b + 1) * BLOCK].max(axis=0)
-    votes = np.array([out.vote(*out.nearest(out.weights[i], skip=i)) for i in range(len(order))])
-    out.votes, out.rates = isotonic(votes, out.labels)
+    order = np.lexsort(np.array(heaviest).T[::-1])
+    rows = [rows[i] for i in order]
+    place = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
+    number, tf, value = (np.concatenate([r[c] for r in rows]) for c in range(3))
+    width = min(frequent, len(terms))
+    out = Index(terms, factors, np.zeros((len(rows), width)), [ids[some[i]] for i in order], y[some][order], rate, prior)
+    at = number < width
+    out.weights[place[at], number[at]] = value[at]
+    out.highest = np.maximum.reduceat(out.weights, np.arange(0, len(rows), BLOCK), axis=0).T
+    at = np.flatnonzero(~at)
+    at = at[np.argsort(number[at], kind="stable")]
+    out.starts = np.searchsorted(number[at], np.arange(width, len(terms) + 1))
+    out.places, out.values = place[at].astype(np.int32), value[at]
+    votes = []
+    for a in range(0, len(rows), QUERIES):
+        b = min(a + QUERIES, len(rows))
+        part = (place >= a) & (place < b)
+        dense, rest = out.queries(place[part] - a, number[part], tf[part], b - a)
+        rest[np.arange(b - a), np.arange(a, b)] = -np.inf  # itself
+        votes += [out.vote(*found) for found in out.nearest_all(dense, rest)]
+    out.votes, out.rates = isotonic(np.array(votes), out.labels)
     return out
 
 
@@ -194,33 +252,30 @@ def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: st
 
     def run(batches):
         index = shared.value
-        known: dict = {}
-
-        def scored(numbers: np.ndarray, tf: np.ndarray):
-            key = (numbers.tobytes(), tf.tobytes())
-            if key not in known:
-                if len(known) > 100_000:
-                    known.clear()
-                s, best, cosines = index.score(index.vector(numbers, tf))
-                known[key] = s, [{"example_id": index.ids[i], "label": int(index.labels[i]), "cosine": float(c)}
-                                 for i, c in zip(best[:3], cosines[:3])]
-            return known[key]
-
         for batch in common.blocks(batches, "text"):
             n = batch.num_rows
             score, count, evidence = np.full(n, index.none_rate if index else 0.0), np.zeros(n, np.int64), [[]] * n
             if index and index.terms:
+                known = len(index.terms)
                 chunks, at, offsets = common.coded(pc.utf8_split_whitespace(pc.fill_null(batch.column(1), "")))
+                new: dict[str, int] = {"": -1}
                 get = index.terms.get
-                number = np.fromiter((get(w, -1) for w in map(plain, chunks)), np.int64, len(chunks))[at]
-                hit = np.flatnonzero(number >= 0)
-                row = np.searchsorted(offsets, hit, "right") - 1
-                pairs, tf = np.unique(row * len(index.terms) + number[hit], return_counts=True)
-                row, number = pairs // len(index.terms), pairs % len(index.terms)
-                cuts = np.flatnonzero(np.diff(row, prepend=-1))
-                for a, b in zip(cuts, np.append(cuts[1:], len(row))):
-                    score[row[a]], evidence[row[a]] = scored(number[a:b], tf[a:b])
-                    count[row[a]] = tf[a:b].sum()
+                number = np.fromiter((get(w, -2) if get(w, -2) >= 0 else new.setdefault(w, known + len(new)) for w in map(plain, chunks)),
+                                     np.int64, len(chunks))[at]
+                row = np.repeat(np.arange(n), np.diff(offsets))[number >= 0]
+                width = known + len(new) + 1
+                pairs, tf = np.unique(row * width + number[number >= 0], return_counts=True)
+                row, number = pairs // width, pairs % width
+                count = np.bincount(row, tf * (number < known), n).astype(np.int64)
+                ask = np.flatnonzero(count)
+                for a in range(0, len(ask), QUERIES):
+                    part = ask[a:a + QUERIES]
+                    here = common.ragged(np.searchsorted(row, part), np.searchsorted(row, part, "right") - np.searchsorted(row, part))
+                    found = index.nearest_all(*index.queries(np.searchsorted(part, row[here]), number[here], tf[here], len(part)))
+                    for i, (best, cosines) in zip(part, found):
+                        score[i] = index.score(best, cosines)
+                        evidence[i] = [{"example_id": index.ids[j], "label": int(index.labels[j]), "cosine": float(c)}
+                                       for j, c in zip(best[:3], cosines[:3])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(score), pa.array(count), pa.array(evidence, pa.list_(example))],
                 names=["doc_id", "score", "n_terms", "evidence"])

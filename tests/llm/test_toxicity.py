@@ -46,6 +46,29 @@ def test_terms_are_the_telling_words():
     assert set(bad) <= set(terms) and "quixotic" not in terms and len(terms) < 12
 
 
+def test_cosines_cover_every_word(spark, make_docs):
+    texts, labels, _ = world(150)
+    probe = [" ".join(t.split()[:6]) + " unheard unheard, of" for t in texts[:40]]  # mostly no telling word
+    index = T.build(list(range(150)), texts, labels, frequent=20)
+    table = spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in T.toxicity(spark, make_docs(texts + probe), table).collect()}
+    assert len(index.starts) > 30 and len(index.factors) == len(index.terms) + 1 > 60
+
+    def vector(text):
+        words = [w for w in map(T.plain, text.split()) if w]
+        return {w: (1 + np.log(words.count(w))) * index.factors[index.terms.get(w, -1)] for w in words}
+    def cosine(a, b):
+        return sum(v * b.get(w, 0) for w, v in a.items()) / np.sqrt(sum(v * v for v in a.values()) * sum(v * v for v in b.values()))
+    examples = [vector(t) for t in texts]
+    where = {e: i for i, e in enumerate(index.ids)}
+    for i, t in enumerate(probe):
+        every = [cosine(vector(t), e) for e in examples]
+        want = sorted(range(150), key=lambda j: (-round(every[j], 9), where[j]))[:3]
+        found = got[150 + i]["evidence"]
+        assert np.allclose([e["cosine"] for e in found], [every[j] for j in want]) and got[150 + i]["n_terms"] == 6
+        assert np.allclose([every[e["example_id"]] for e in found], [every[j] for j in want])
+
+
 def test_isotonic_rises():
     rng = np.random.default_rng(1)
     x = rng.random(200)
