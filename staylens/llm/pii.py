@@ -1,20 +1,20 @@
 """Information-theoretic sanitisation of personal data, with DataFrame functions only.
 
-Base spans are found by regular expressions. Each mention of a protected entity (a base
-value) has a context: the words within ``REACH`` code points on either side. The corpus
-tells how strongly a term t reveals an entity e. With N documents, n(t) documents that hold
-t, n(e) mentions of e and n(e, t) mentions with t in their context,
+Base spans are found by regular expressions. The corpus tells how strongly a term t reveals
+a protected entity e (a base value). With N documents, n(t) documents that hold t, n(e)
+documents that hold e and n(e, t) documents that hold both, anywhere in the text,
 
     disclosure(t, e) = PMI(e; t) / IC(e) = 1 + log2(min(1, n(e, t) / n(t))) / log2(N / n(e))
 
 is 1 if t never occurs without e and falls to 0 if t says nothing about e. A term discloses
-if the ratio reaches ``DISCLOSES`` and at least ``SUPPORT`` different contexts show the pair
-(copies of one passage count once, so they prove nothing). Its occurrences in that entity's
-contexts become ``term`` spans: from ``REMOVES`` on they are removed, below generalised.
+if the ratio reaches ``DISCLOSES`` and at least ``SUPPORT`` different contexts show the pair. A
+context is the words within ``REACH`` code points on either side of a mention (of several in
+a document the one of lowest hash), so copies of one passage count once and prove nothing. All
+occurrences of a disclosing term in each document that holds its entity become ``term``
+spans: from ``REMOVES`` on they are removed, below generalised.
 
-All counts cover the whole corpus. Repeated passages are merged before each shuffle (partial
-aggregation over entity, term and context), so a mention in a third of all rows is one row
-per task.
+All counts cover the whole corpus. Words are paired only with entities of enough contexts, and
+pairs are merged before each shuffle (partial aggregation over entity, term and context).
 
 Cases: a null text has no spans and stays null when redacted; an empty table gives an empty
 result; repeated rows each give a row; a null doc_id keeps its row; spans of one start go by
@@ -128,32 +128,70 @@ def _contexts(text: Column, base: Column) -> Column:
     return F.transform(base, mention)
 
 
+def _masked(text: Column, base: Column) -> Column:
+    """The text with blanks in place of base spans."""
+    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(s: Column, x: Column) -> Column:
+        start, end = F.greatest(s["at"], x["start"]), F.greatest(s["at"], x["end"])
+        return F.struct(end.alias("at"), F.concat(
+            s["out"], F.substring(text, s["at"] + 1, start - s["at"]), F.repeat(F.lit(" "), end - start)).alias("out"))
+    return F.aggregate(base, state, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+
+
+def _held(found: DataFrame, *cols: str) -> DataFrame:
+    """(cols, text, entity, context): a row per document and entity."""
+    rows = found.where(F.size("contexts") > 0).withColumn("m", F.array_sort(F.transform(
+        "contexts", lambda m: F.struct(m["entity"].alias("entity"), m["context"].alias("context")))))
+    first = F.filter("m", lambda m, i: (i == 0) | (F.col("m")[F.greatest(i - 1, F.lit(0))]["entity"] != m["entity"]))
+    return rows.select(*cols, "text", F.explode(first).alias("m")).select(*cols, "text", "m.entity", "m.context")
+
+
+def _terms(text: Column) -> Column:
+    hits = F.regexp_extract_all(F.concat(F.lit(" "), text, F.lit(" ")), F.lit(_TERM), F.lit(0))
+    return F.array_distinct(F.transform(hits, lambda t: F.lower(t)))
+
+
 def disclosing(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataFrame:
-    """(entity, term, disclosure) of all pairs that disclose. found: a row per document."""
+    """(entity, term, disclosure) of all pairs that disclose. found: a row per document, with
+    its contexts and, if it has any, its text."""
     n_docs = found.count()
-    mentions = found.select(F.explode("contexts").alias("m")).select("m.*")
-    by_entity = mentions.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    pairs = mentions.select("entity", "context", F.explode(F.array_distinct(F.transform(
-        "terms", lambda t: t["term"]))).alias("term"))
+    held = _held(found)
+    by_entity = held.groupBy("entity", "context").agg(F.count("*").alias("n")).groupBy("entity").agg(
+        F.sum("n").alias("n_entity"), F.count("*").alias("n_contexts")).where(
+        (F.col("n_contexts") >= SUPPORT) & (F.col("n_entity") < n_docs)).drop("n_contexts")
+    pairs = held.join(by_entity, "entity", "left_semi").select("entity", "context", F.explode(_terms(F.col("text"))).alias("term"))
     together = pairs.groupBy("entity", "term", "context").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(
         F.count("*").alias("support"), F.sum("n").alias("together")).where(F.col("support") >= SUPPORT)
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(_WORD), F.lit(0)))
     by_term = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     share = F.least(F.lit(1.0), F.col("together") / F.greatest(F.col("n_term"), F.lit(1)))
     content = F.log2(F.lit(float(max(n_docs, 1))) / F.col("n_entity"))
-    rated = together.join(by_entity, "entity").join(by_term, "term", "left").where(F.col("n_entity") < n_docs)
+    rated = together.join(by_entity, "entity").join(by_term, "term", "left")
     return rated.select("entity", "term", (1 + F.log2(share) / content).alias("disclosure")).where(
         F.col("disclosure") >= DISCLOSES)
 
 
 def _term_spans(found: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(key, terms): per text the sorted spans of disclosing terms."""
-    rows = found.where(F.size("contexts") > 0).select("key", F.explode("contexts").alias("m")).select(
-        "key", "m.entity", F.explode("m.terms").alias("t")).select("key", "entity", "t.term", "t.start", "t.end").distinct()
-    spans = rows.join(pairs, ["entity", "term"]).groupBy("key", "start", "end").agg(F.max("disclosure").alias("d"))
-    value = F.when(F.col("d") >= REMOVES, F.lit("")).otherwise(F.lit("[WORD]"))
-    return spans.groupBy("key").agg(F.collect_list(F.struct(
-        F.col("start"), F.lit(KINDS.index("term")).alias("kind"), F.col("end"), value.alias("value"))).alias("terms"))
+    """(key, terms): per text the sorted spans of disclosing terms, wherever they stand."""
+    held = _held(found, "key").join(pairs.select("entity").distinct(), "entity", "left_semi")
+    hits = held.select("key", "entity", F.explode(_terms(F.col("text"))).alias("term")).join(pairs, ["entity", "term"])
+    rated = hits.groupBy("key", "term").agg(F.max("disclosure").alias("d")).groupBy("key").agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "d"))).alias("rated"))
+    texts = found.where(F.size("contexts") > 0).select("key", "text").join(rated, "key").dropDuplicates(["key"])
+    padded = F.concat(F.lit(" "), F.col("text"), F.lit(" "))
+    rows = texts.withColumn("words", F.regexp_extract_all(padded, F.lit(_TERM), F.lit(0))).withColumn(
+        "gaps", F.slice(F.split(padded, _TERM, -1), 1, F.size("words")))
+    state = F.struct(F.lit(-1).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("found"))
+
+    def step(s: Column, x: Column) -> Column:
+        start = s["at"] + F.length(x["gaps"])
+        end, d = start + F.length(x["words"]), F.try_element_at(F.col("rated"), F.lower(x["words"]))
+        value = F.when(d >= REMOVES, F.lit("")).otherwise(F.lit("[WORD]"))
+        span = F.struct(start.alias("start"), F.lit(KINDS.index("term")).alias("kind"), end.alias("end"), value.alias("value"))
+        return F.struct(end.alias("at"), F.when(d.isNull(), s["found"]).otherwise(
+            F.concat(s["found"], F.array(span))).cast(f"array<{_SPAN}>").alias("found"))
+    return rows.select("key", F.aggregate(F.arrays_zip("gaps", "words"), state, step, lambda s: s["found"]).alias("terms"))
 
 
 def _key(text: Column) -> Column:
@@ -166,7 +204,9 @@ def find(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     spotted = base_spans(rows.withColumn("key", _key(F.col("text"))), "text")
     found = common.written(spark, spotted.select(
-        "doc_id", "key", "base", _contexts(F.col("text"), F.col("base")).alias("contexts")), "pii-found")
+        "doc_id", "key", "base", F.transform(_contexts(F.col("text"), F.col("base")), lambda m: F.struct(
+            m["entity"].alias("entity"), m["context"].alias("context"))).alias("contexts"),
+        F.when(F.size("base") > 0, _masked(F.col("text"), F.col("base"))).alias("text")), "pii-found")
     pairs = disclosing(rows, found)
     return found.select("doc_id", "key", "base"), _term_spans(found, pairs)
 

@@ -84,6 +84,24 @@ def test_terms_that_disclose(spark, make_docs):
     assert "Zebulon" not in clean[0] and "[EMAIL]" in clean[0] and clean[2] == texts[2]
 
 
+def test_terms_far_from_the_mention(spark, make_docs):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    fill = lambda: " ".join(word() for _ in range(40))
+    # the name stands in the salutation and the signature, hundreds of letters from the address
+    texts = [f"Dear Zebulon, {fill()} write zq@mail.example or zq@mail.example {fill()} é Yours, Zebulon" for _ in range(5)]
+    # an address with as many mentions as there are documents
+    texts += [f"{' '.join(f'{word()} hot@mail.example' for _ in range(12))} {fill()} Quillon" for _ in range(4)]
+    texts += [fill() for _ in range(30)]
+    docs = make_docs(texts)
+    out = {r["doc_id"]: r for r in rows_of(spark, docs).collect()}
+    for i, t in enumerate(texts):
+        found = [(s["start"], s["end"]) for s in out[i]["spans"] if s["kind"] == 4]
+        assert found == [m.span() for m in re.finditer("Dear|Zebulon|write|Yours|Quillon", t)], t
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(spark, docs).collect()}
+    assert not any("Zebulon" in (t or "") or "Quillon" in (t or "") for t in clean.values())
+
+
 def test_disclosure_equals_the_formula(spark, make_docs):
     texts = planted(120)
     docs = make_docs(texts)
