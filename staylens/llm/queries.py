@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import chat_format, decontaminate, html_extract, language_id, ngram_join, packing, pii, quality_rules, token_counts, toxicity
+from staylens.llm import chat_format, decontaminate, html_extract, language_id, ngram_join, packing, periodic_runs, pii, quality_rules, token_counts, toxicity
 from staylens.llm.common import crc_bucket, read_table
 from staylens.llm.oracles import ORACLES  # noqa: F401
 
@@ -75,6 +75,17 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(periodic_runs.with_periodic_tail(read_table(spark, sf_dir, "documents")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.array_join(F.array(r["start"], r["length"], r["period"]), ","), F.lit("\n"))), "")
+    best = F.col("best")
+    return found.withColumn("best", periodic_runs.longest_run(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_packing, op3_html_extraction, op4_token_counts, op5_decontamination, op6_quality_rules, op7_chat_formatting, op8_ngram_jaccard_join, op9_language_id, op10_pii)}
+    op1_toxicity, op2_packing, op3_html_extraction, op4_token_counts, op5_decontamination, op6_quality_rules, op7_chat_formatting, op8_ngram_jaccard_join, op9_language_id, op10_pii, op11_periodic_runs)}
 
