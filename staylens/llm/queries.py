@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import chat_format, decontaminate, html_extract, language_id, ngram_join, packing, periodic_runs, pii, quality_rules, token_counts, toxicity
+from staylens.llm import centroids, chat_format, decontaminate, html_extract, language_id, ngram_join, packing, periodic_runs, pii, quality_rules, token_counts, toxicity
 from staylens.llm.common import crc_bucket, read_table
 from staylens.llm.oracles import ORACLES  # noqa: F401
 
@@ -86,6 +86,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(spark, read_table(spark, sf_dir, "embeddings"))
+    return centroids.with_inertia(spark, found).select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+        F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_packing, op3_html_extraction, op4_token_counts, op5_decontamination, op6_quality_rules, op7_chat_formatting, op8_ngram_jaccard_join, op9_language_id, op10_pii, op11_periodic_runs)}
+    op1_toxicity, op2_packing, op3_html_extraction, op4_token_counts, op5_decontamination, op6_quality_rules, op7_chat_formatting, op8_ngram_jaccard_join, op9_language_id, op10_pii, op11_periodic_runs, op12_centroid_clustering)}
 
