@@ -9,11 +9,11 @@ A dual-feasible function f maps lengths to [0, 1] so that no set of pieces that
 has a sum above 1; the sum over all pieces of a share, rounded up, then bounds its number of
 sequences from below. The bound used is the greatest over the threshold functions (long pieces
 count whole, short ones nothing) and the staircase functions floor((k + 1) x) / k. A share whose
-count meets its bound is certified: no packing of it is better. Its full sequences stay as they
-are; only the emptiest one, lost to the rounding of shares, goes on.
+count meets its bound is certified: no packing of it is better, and it has less than a sequence of
+room, which the rounding of shares costs.
 
-Shares with a gap, and the emptiest sequences of all others, exchange documents: the pieces of their
-sequences that are not full are dealt anew, with others, and packed by best-fit decreasing again.
+Shares with a gap exchange documents: the pieces of their sequences that are not full are dealt anew,
+with those of the emptiest sequences of the other shares, and packed by best-fit decreasing again.
 A round that saves no sequence is undone and ends the exchange; else it goes on until the whole
 meets the whole's bound, at most ``ROUNDS`` times.
 
@@ -42,8 +42,8 @@ ROUNDS = 4
 #: Staircase functions have up to so many steps.
 STEPS = 24
 BLOCK_BYTES = 4 << 20
-#: A worker's cache of chunks is emptied beyond this many.
-CACHE = 300_000
+#: A worker's cache is emptied beyond so many chunks or ids.
+CACHE, CACHE_IDS = 300_000, 4_000_000
 _ROUND_BITS, _SHARE_BITS = 56, 32
 
 
@@ -76,7 +76,7 @@ class ByteIds:
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one text after another, and the number of ids of each text."""
-        if len(self.chunks) > CACHE:
+        if len(self.chunks) > CACHE or len(self.runs.pool) > CACHE_IDS:
             self.clear()
         texts = pc.fill_null(texts, "")
         chunks, at, offsets = common.coded(pc.split_pattern(texts, " "))
@@ -139,6 +139,15 @@ def bound(counts: np.ndarray, window: int = WINDOW) -> int:
     return best
 
 
+def emptiest(room: np.ndarray) -> np.ndarray:
+    """The sequences of most room that hold nine tenths of all room together."""
+    order = np.argsort(-room, kind="stable")
+    before = np.cumsum(room[order]) - room[order]
+    out = np.zeros(len(room), bool)
+    out[order] = (before < 0.9 * room.sum()) & (room[order] > 0)
+    return out
+
+
 def packed(parts: DataFrame, turn: int, window: int = WINDOW) -> DataFrame:
     """``parts`` dealt into shares and packed: sequence_id, offset, and whether the piece goes into
     the next exchange (``open``). ``gap`` is the share's count less its bound."""
@@ -155,9 +164,7 @@ def packed(parts: DataFrame, turn: int, window: int = WINDOW) -> DataFrame:
         made = int(number.max()) + 1
         gap = made - bound(np.bincount(lengths, minlength=window + 1), window)
         filled = np.bincount(number, lengths, made)
-        going = filled < window
-        if not gap and going.any():
-            going = np.arange(made) == filled.argmin()
+        going = filled < window if gap else emptiest(window - filled)
         task = TaskContext.get().partitionId() if TaskContext.get() else 0
         out = share.append_column("sequence_id", pa.array(number + (turn << _ROUND_BITS) + (task << _SHARE_BITS)))
         out = out.append_column("offset", pa.array(offset)).append_column("open", pa.array(going[number]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import centroids, chat_format, decontaminate, html_extract, language_id, ngram_join, packing, periodic_runs, pii, quality_rules, token_counts, toxicity
+from staylens.llm import centroids, certified_packing, chat_format, decontaminate, html_extract, language_id, ngram_join, packing, periodic_runs, pii, quality_rules, token_counts, toxicity
 from staylens.llm.common import crc_bucket, read_table
 from staylens.llm.oracles import ORACLES  # noqa: F401
 
@@ -93,6 +93,11 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = certified_packing.pieces(read_table(spark, sf_dir, "documents"))
+    return certified_packing.pack(spark, parts.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_packing, op3_html_extraction, op4_token_counts, op5_decontamination, op6_quality_rules, op7_chat_formatting, op8_ngram_jaccard_join, op9_language_id, op10_pii, op11_periodic_runs, op12_centroid_clustering)}
+    op1_toxicity, op2_packing, op3_html_extraction, op4_token_counts, op5_decontamination, op6_quality_rules, op7_chat_formatting, op8_ngram_jaccard_join, op9_language_id, op10_pii, op11_periodic_runs, op12_centroid_clustering, op13_best_fit_packing)}
 

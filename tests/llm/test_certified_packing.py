@@ -96,29 +96,49 @@ def test_query_holds_every_id_once(spark, tmp_path, sample_texts):
     assert len(by_seq) == cp.bound(np.bincount(lengths, minlength=2049))  # one share here: certified
 
 
-def test_shares_exchange_documents(spark):
-    """Dealt into many shares, what best fit leaves open is packed again across them."""
-    rng = random.Random(2)
-    lengths = [rng.choice([1100, 700, 650, 340, 90, 5]) + rng.randint(0, 60) for _ in range(6000)]
-    rows = [(i, 0, 0, n, 1) for i, n in enumerate(lengths)]
-    parts = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
-    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")}
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
-    try:
-        alone = cp.pack(spark, parts, rounds=0).toPandas()
-        got = cp.pack(spark, parts).toPandas()
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-    least = cp.bound(np.bincount(lengths, minlength=2049))
-    assert alone.sequence_id.nunique() > least  # several shares, a gap in all
-    assert least <= got.sequence_id.nunique() < alone.sequence_id.nunique()
-    assert sorted(got.doc_id) == list(range(6000))
-    used = got.groupby("sequence_id").agg(n=("length", "sum"), last=("offset", "max"))
-    assert used.n.max() <= 2048
+@pytest.fixture
+def small_shares(spark):
+    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    before = {k: spark.conf.get(k) for k in names}
+    spark.conf.set(names[1], "1k")
+    spark.conf.set(names[0], "16k")
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def held(got, lengths):
+    """The number of sequences, after a look at the places."""
+    assert sorted(zip(got.doc_id, got.length)) == list(enumerate(lengths))
     got = got.sort_values(["sequence_id", "offset"])
     assert (got.groupby("sequence_id").length.cumsum() - got.length == got.offset).all()
+    assert got.groupby("sequence_id").length.sum().max() <= 2048
+    return got.sequence_id.nunique()
+
+
+def lengths_as_parts(spark, lengths):
+    return spark.createDataFrame([(i, 0, 0, n, 1) for i, n in enumerate(lengths)],
+                                 "doc_id long, piece int, start long, length long, ids_crc32 long")
+
+
+def test_exchange_meets_the_whole_bound(spark, small_shares):
+    """Each share loses a part of a sequence to rounding; the exchange wins these back."""
+    rng = random.Random(2)
+    lengths = [rng.randint(1, 500) for _ in range(3000)]
+    parts, least = lengths_as_parts(spark, lengths), cp.bound(np.bincount(lengths, minlength=2049))
+    assert held(cp.pack(spark, parts, rounds=0).toPandas(), lengths) > least
+    assert held(cp.pack(spark, parts).toPandas(), lengths) == least
+
+
+def test_shares_with_gaps_never_get_worse(spark, small_shares):
+    rng = random.Random(2)
+    lengths = [rng.choice([1100, 700, 650, 340, 90, 5]) + rng.randint(0, 60) for _ in range(6000)]
+    parts, least = lengths_as_parts(spark, lengths), cp.bound(np.bincount(lengths, minlength=2049))
+    alone = cp.packed(parts, 0).toPandas()
+    assert alone.gap.max() > 0 and alone[alone.gap > 0].open.any()
+    full = alone.groupby("sequence_id").length.transform("sum") == 2048
+    assert not alone[full].open.any() and alone[(alone.gap > 0) & ~full].open.all()
+    assert least <= held(cp.pack(spark, parts).toPandas(), lengths) <= held(alone, lengths)
 
 
 @pytest.mark.parametrize("rounds", [0, 4])
