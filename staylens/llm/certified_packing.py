@@ -24,9 +24,11 @@ other columns are not read. A very long text is encoded whole and gives as many
 
 from __future__ import annotations
 
+import json
+import re
+
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,54 +44,60 @@ ROUNDS = 4
 #: Staircase functions have up to so many steps.
 STEPS = 24
 BLOCK_BYTES = 4 << 20
-#: A worker's cache is emptied beyond so many chunks or ids.
-CACHE, CACHE_IDS = 300_000, 4_000_000
 _ROUND_BITS, _SHARE_BITS = 56, 32
 
 
+#: The pattern by which byte-level pre-tokenizers of this kind split a text.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Letters, figures and marks whose kind is the same in all Unicode tables since long.
+_SETTLED = re.compile("[\x00-\u0220\u0391-\u03a1\u03a3-\u03c9\u0400-\u045f\u05d0-\u05ea\u0621-\u063a\u0905-\u0939\u0e01-\u0e30"
+                      "\u2010-\u2027\u2030-\u203a\u20ac\u3001-\u3003\u3041-\u3094\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3\uff01-\uff5e]*")
+#: Merging a stretch of one kind takes the rank encoder the square of its length; one of twice
+#: ``_STRETCH`` characters fills a part of so many, where no space meets a non-space.
+_STRETCH, _EDGE = 500, re.compile(r"\S\s|\s\S")
+
+
+def overlong(text: str) -> bool:
+    return not all(_EDGE.search(text, i, i + _STRETCH) for i in range(0, len(text) - _STRETCH + 1, _STRETCH))
+
+
+def rank_encoder(t):
+    """The vocabulary of a byte-level tokenizer as a rank encoder, which is several times faster, or None
+    if its merges are not in the order of its ids or it does more than byte-level splitting."""
+    spec = json.loads(t.to_str())
+    model, split = spec["model"], spec["pre_tokenizer"] or {}
+    joined = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model.get("merges") or ()]
+    plain = (model["type"] == "BPE" and not spec["normalizer"] and split.get("type") == "ByteLevel"
+             and not split.get("add_prefix_space") and split.get("use_regex", True) and not model.get("dropout")
+             and not model.get("ignore_merges") and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix")
+             and all(model["vocab"].get(x) == 256 + i for i, x in enumerate(joined)))
+    if not plain:
+        return None
+    import tiktoken
+    byte = {letter: b for b, letter in common.byte_letters().items()}
+    ranks = {bytes(byte[c] for c in x): model["vocab"][x] for x in [*byte, *joined]}
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class ByteIds:
-    """Ids of texts under a byte-level tokenizer. A pre-token never goes on over a boundary between
-    a non-space and a single space before a non-space, so a text is the concatenation of its
-    chunks, each with the space before it, if none has white space at its edges or holds a special
-    string; other texts are encoded whole. Each distinct chunk of a worker is encoded once."""
+    """Ids of texts as the tokenizers library gives them. Texts of settled characters, without special
+    strings and overlong words, take the rank encoder, which gives the same ids."""
 
     def __init__(self, tokenizer: str):
         self.t = common.load_tokenizer(tokenizer)
         self.specials = [v.content for v in self.t.get_added_tokens_decoder().values()]
-        self.clear()
-
-    def clear(self) -> None:
-        self.chunks: dict[str, int] = {}
-        self.runs = common.Runs()
+        self.ranks = rank_encoder(self.t)
 
-    def encoded(self, text: str) -> list[int]:
-        return self.t.encode(text, add_special_tokens=False).ids
-
-    def _chunk(self, chunk: str) -> int:
-        """The run of a chunk with its space, -1 if its text has to be encoded whole."""
-        got = self.chunks.get(chunk)
-        if got is None:
-            body = chunk.removeprefix(" ")
-            odd = not body or body[0].isspace() or body[-1].isspace() or any(s in body for s in self.specials)
-            got = self.chunks[chunk] = -1 if odd else self.runs.add(self.encoded(chunk))
-        return got
+    def _ids(self, text: str) -> np.ndarray:
+        if (self.ranks is None or any(s in text for s in self.specials) or overlong(text)
+                or not _SETTLED.fullmatch(text)):
+            return np.array(self.t.encode(text, add_special_tokens=False).ids, np.uint32)
+        return self.ranks.encode_to_numpy(text)
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one text after another, and the number of ids of each text."""
-        if len(self.chunks) > CACHE or len(self.runs.pool) > CACHE_IDS:
-            self.clear()
-        texts = pc.fill_null(texts, "")
-        chunks, at, offsets = common.coded(pc.split_pattern(texts, " "))
-        runs = np.fromiter((self._chunk(" " + c) for c in chunks), np.int64, len(chunks))[at]
-        starts = offsets[:-1]
-        runs[starts] = [self._chunk(chunks[k]) for k in at[starts]]
-        odd = np.minimum.reduceat(runs, starts) < 0
-        for i in np.flatnonzero(odd).tolist():  # the first chunk stands for the whole text
-            runs[offsets[i]:offsets[i + 1]] = 0
-            runs[offsets[i]] = self.runs.add(self.encoded(texts[i].as_py()))
-        ids, lengths = self.runs.take(runs)
-        upto = np.concatenate([[0], np.cumsum(lengths)])
-        return ids, np.diff(upto[offsets])
+        ids = [self._ids(x or "") for x in texts.to_pylist()]
+        return np.concatenate([np.empty(0, np.uint32), *ids]), np.array([len(x) for x in ids], np.int64)
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER,
@@ -117,8 +125,9 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
         run, f"doc_id {id_type}, piece int, start bigint, length bigint, ids binary")
 
 
-def bound(counts: np.ndarray, window: int = WINDOW) -> int:
-    """A lower bound of the number of sequences that hold ``counts[x]`` pieces of each length x.
+def bound(counts: np.ndarray, window: int = WINDOW, met: int | None = None) -> int:
+    """A lower bound of the number of sequences that hold ``counts[x]`` pieces of each length x; no
+    better one is sought once it is ``met``.
 
     Every threshold function is followed by every staircase function; sums are whole numbers,
     of units of 1 / (k * window), so that rounding up is exact."""
@@ -130,6 +139,8 @@ def bound(counts: np.ndarray, window: int = WINDOW) -> int:
     # a threshold function changes only where a length drops out or its complement rises
     marks = np.unique(np.concatenate([[1], lengths[2 * lengths <= window], window - lengths[2 * lengths > window] + 1]))
     for mark in marks[(marks >= 1) & (2 * marks <= window + 1)].tolist():
+        if met is not None and best >= met:
+            break
         kept = np.where(lengths > window - mark, window, np.where(lengths >= mark, lengths, 0))
         best = max(best, -(-int((number * kept).sum()) // window))
         for k in range(1, STEPS + 1):
@@ -162,7 +173,7 @@ def packed(parts: DataFrame, turn: int, window: int = WINDOW) -> DataFrame:
         lengths = share.column("length").to_numpy()
         number, offset = best_fit(lengths, window)
         made = int(number.max()) + 1
-        gap = made - bound(np.bincount(lengths, minlength=window + 1), window)
+        gap = made - bound(np.bincount(lengths, minlength=window + 1), window, made)
         filled = np.bincount(number, lengths, made)
         going = filled < window if gap else emptiest(window - filled)
         task = TaskContext.get().partitionId() if TaskContext.get() else 0

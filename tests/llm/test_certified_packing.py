@@ -58,7 +58,35 @@ AWKWARD_MORE = ['He said "yes" now', 'and "yes", then', "end\". - and -) so", "a
                 "many  spaces   here", "line\nnext\n\nline", "\ttab\tx", "I'm we'll'd 's", "ends with\n next", "日本語 の 文"]
 
 
-def test_ids_equal_the_library_in_any_order_of_caches(sample_texts):
+def test_settled_characters_are_split_alike():
+    """Each settled character between letters, figures, marks and spaces, by both encoders."""
+    ids = cp.ByteIds(cp.TOKENIZER)
+    assert ids.ranks is not None
+    settled = [c for c in map(chr, range(0x10000)) if cp._SETTLED.fullmatch(c)]
+    assert len(settled) > 30_000
+    for a in range(0, len(settled), 200):
+        text = "".join(f"a{c}{c} {c}1{c}, {c}\n" for c in settled[a:a + 200])
+        assert ids.ranks.encode_ordinary(text) == ids.t.encode(text, add_special_tokens=False).ids
+
+
+def test_overlong_stretches_are_seen():
+    assert not cp.overlong("") and not cp.overlong("word " * 2000) and not cp.overlong("x" * 499)
+    for n in (0, 1, 250, 499):
+        assert cp.overlong("ab " * n + "x" * 1000 + " cd" * 300) and cp.overlong("ab " * n + " " * 1000 + "cd " * 300)
+    ids = cp.ByteIds(cp.TOKENIZER)
+    text = "so " * 100 + "xy" * 20_000 + " " * 5000 + "end"
+    assert ids.of(pa.array([text]))[0].tolist() == ids.t.encode(text, add_special_tokens=False).ids
+
+
+def test_rare_letter_sequences_merge_alike():
+    rng, ids = random.Random(9), cp.ByteIds(cp.TOKENIZER)
+    vocab = [x.replace("\u0120", " ") for x in ids.t.get_vocab() if x.isascii() or x[0] == "\u0120"]
+    for _ in range(4000):
+        text = "".join(rng.choice(vocab) if rng.random() < 0.6 else rng.choice("etaoinshrdlu\u00e9\u00fc\u00df'- ") for _ in range(30))
+        assert ids.ranks.encode_ordinary(text) == ids.t.encode(text, add_special_tokens=False).ids, text
+
+
+def test_ids_equal_the_library_in_any_order(sample_texts):
     t = common.load_tokenizer(cp.TOKENIZER)
     rng = random.Random(1)
     parts = ['"', "'", ",", ".", "-", "yes", "end", "don't", "İ", "é", "é", "\n", " ", "  ", "\t", "12", "_", "<|endoftext|>", "日", " ", "(", ")", "—"]
