@@ -25,15 +25,16 @@ from staylens.llm import common
 TOKENIZER = "word_bpe_49k.json"
 WINDOW = 2048
 END_ID = 1
-#: Distinct words that a worker remembers; beyond, it starts anew.
-CACHE = 300_000
+#: Distinct words, and ids, that a worker remembers; beyond, it starts anew.
+CACHE, CACHE_IDS = 300_000, 4_000_000
 _BITS = 40  # sequence numbers of a share
 
 
 class WordIds:
     """Ids of texts whose tokenizer drops white space: a text is the concatenation of its
-    white-space separated chunks. A chunk is a word and its trailing marks, or else encoded
-    as it is. Each distinct word of a worker is encoded once."""
+    white-space separated chunks. A chunk is a plain word and its trailing marks, or else encoded
+    as it is. Each distinct word or chunk of a worker is encoded once; only proven plain words are
+    among ``words``, as the library makes one pre-token of other characters and the marks after them."""
 
     def __init__(self, tokenizer: str):
         self.t = common.load_tokenizer(tokenizer)
@@ -41,13 +42,14 @@ class WordIds:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {"": 0}
+        self.words: dict[str, int] = {"": 0}
+        self.chunks: dict[str, int] = {}
         self.runs = common.Runs()
 
     def _encoded(self, text: str) -> int:
-        got = self.number.get(text)
+        got = self.chunks.get(text)
         if got is None:
-            got = self.number[text] = self.runs.add(self.t.encode(text, add_special_tokens=False).ids)
+            got = self.chunks[text] = self.runs.add(self.t.encode(text, add_special_tokens=False).ids)
         return got
 
     def _word(self, word: str) -> int | None:
@@ -56,14 +58,14 @@ class WordIds:
             return None
         low = word.lower()
         spelled = low if low.isascii() else "".join(map(self.bytes.__getitem__, low.encode()))
-        got = self.number[word] = self.runs.add([x.id for x in self.t.model.tokenize(spelled)])
+        got = self.words[word] = self.runs.add([x.id for x in self.t.model.tokenize(spelled)])
         return got
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one text after another, and the number of ids of each text."""
-        if len(self.number) > CACHE:
+        if len(self.words) + len(self.chunks) > CACHE or len(self.runs.pool) > CACHE_IDS:
             self.clear()
-        known = self.number
+        known = self.words
         chunks, at, offsets = common.coded(pc.ascii_split_whitespace(pc.fill_null(texts, "")))
         runs = np.zeros((len(chunks), 2), np.int64)  # of the word and of its marks
         for i, chunk in enumerate(chunks):
@@ -161,7 +163,10 @@ def best_fit(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.
 def pack(parts: DataFrame, window: int = WINDOW) -> DataFrame:
     """``parts`` (doc_id, start, length, ... fixed-size columns) with sequence_id and offset.
 
-    Any column of ``parts`` is carried; drop long ones first, as every row is shuffled."""
+    Any column of ``parts`` is carried; drop long ones first, as every row is shuffled. Columns of
+    ``parts`` that have these names already are left out."""
+    parts = parts.drop("sequence_id", "offset")
+
     def run(batches):
         got = [b for b in batches if b.num_rows]
         if not got:

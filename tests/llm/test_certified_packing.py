@@ -80,7 +80,8 @@ def test_overlong_stretches_are_seen():
 
 def test_rare_letter_sequences_merge_alike():
     rng, ids = random.Random(9), cp.ByteIds(cp.TOKENIZER)
-    vocab = [x.replace("\u0120", " ") for x in ids.t.get_vocab() if x.isascii() or x[0] == "\u0120"]
+    vocab = [x.replace("\u0120", " ") for x in sorted(ids.t.get_vocab())
+             if (x.isascii() or x[0] == "\u0120") and x not in ids.specials]
     for _ in range(4000):
         text = "".join(rng.choice(vocab) if rng.random() < 0.6 else rng.choice("etaoinshrdlu\u00e9\u00fc\u00df'- ") for _ in range(30))
         assert ids.ranks.encode_ordinary(text) == ids.t.encode(text, add_special_tokens=False).ids, text

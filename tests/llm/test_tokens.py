@@ -52,6 +52,34 @@ def test_pieces_hold_the_library_ids(spark, make_docs, sample_texts):
         assert at <= packing.WINDOW
 
 
+def test_ids_equal_the_library_whatever_was_seen_before():
+    """Quotes, dashes, dotted and combining letters; one worker's cache, its reverse order, and fresh ones."""
+    import random
+
+    import pyarrow as pa
+    rng, t = random.Random(11), common.load_tokenizer(packing.TOKENIZER)
+    parts = ['"', "'", "\u201c", "-", "\u2014", ",", ".", "!", "?", ")", "(", "yes", "End", "don't", "\u0130", "\u0131", "e\u0301", "\u00e9", "\u00df",
+             "7", "42", "_", "\u65e5\u672c", "\u03a3", "x", "*", "/", "\u00ad", "\u200d", " ", " ", " ", "\n"]
+    texts = ['He said "yes" now', 'and "yes", then', "- and -) so", 'end" and end".']
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(30_000)]
+    want = {x: t.encode(x, add_special_tokens=False).ids for x in texts}
+    shared = packing.WordIds(packing.TOKENIZER)
+
+    def same(words, order):
+        ids, counts = words.of(pa.array(order))
+        return [x for x, got in zip(order, np.split(ids, np.cumsum(counts)[:-1])) if got.tolist() != want[x]]
+    assert not same(shared, texts) and not same(shared, texts[::-1])
+    for a in range(0, 600, 3):
+        assert not same(packing.WordIds(packing.TOKENIZER) if a < 30 else shared, texts[a:a + 3])
+    shared.clear()
+    assert not [x for x in rng.sample(texts, 3000) if same(shared, [x])]
+
+
+def test_pack_leaves_out_clashing_columns(spark, make_docs):
+    parts = packing.pieces(make_docs(["a b", "c"])).selectExpr("*", "'x' as sequence_id", "'y' as offset")
+    assert sorted(r["offset"] for r in packing.pack(parts).collect())[0] == 0
+
+
 def test_crc_is_of_little_endian_ids(spark, make_docs):
     from pyspark.sql import functions as F
     r = packing.pieces(make_docs(["a b"])).where("doc_id = 0").select("ids", F.crc32("ids").alias("c")).first()
