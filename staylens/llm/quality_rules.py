@@ -5,6 +5,11 @@ to lie in a band. The band depends on the length, since short texts compress les
 above the band means repetition, one below means incompressible junk. Base counts of words,
 symbols, repeated lines and repeated 5-word windows are taken on the way and fail first.
 
+Chunks have the largest of the sizes of ``chunks`` that goes into the text twice, with limits
+of that size; the last chunk is the text's last bytes of that size, so it may overlap the one
+before and every byte is judged. Under twice the smallest size the whole is the only chunk. Under
+64 bytes the compressor stores what it can't shorten, so there is a limit on repetition only.
+
 One narrow pass over the rows, no shuffle; a task holds a few MB of text at a time.
 
 Cases: a null or empty text has no words and fails the base; ties and repeated rows are
@@ -29,14 +34,14 @@ WINDOW = 5
 
 @dataclass(frozen=True)
 class Bands:
-    """(bytes from, lowest ratio, highest ratio) of whole texts in ascending order; the last
-    row whose bytes are reached holds. ``chunk`` is (lowest, highest) for each full chunk,
-    and at most ``bad_chunks`` of a text's full chunks may lie outside."""
+    """(bytes from, lowest ratio, highest ratio) in ascending order; the last row whose bytes are
+    reached holds. ``whole`` is for texts; ``chunks`` for chunks of just so many bytes, of which at
+    most the share ``bad_chunks`` of a text's may lie outside."""
     whole: tuple[tuple[int, float, float], ...] = (
-        (0, 0.0, 1e9), (64, 0.6, 2.6), (128, 0.9, 3.0), (256, 1.1, 3.5),
+        (0, 0.0, 0.9), (16, 0.0, 1.0), (32, 0.0, 1.25), (64, 0.6, 2.6), (128, 0.9, 3.0), (256, 1.1, 3.5),
         (512, 1.2, 4.0), (1024, 1.35, 4.5), (2048, 1.4, 5.0), (8192, 1.4, 6.0))
-    chunk_bytes: int = 2048
-    chunk: tuple[float, float] = (1.35, 5.0)
+    chunks: tuple[tuple[int, float, float], ...] = (
+        (128, 0.95, 3.0), (256, 1.08, 3.5), (512, 1.2, 4.0), (1024, 1.3, 4.5), (2048, 1.35, 5.0))
     bad_chunks: float = 0.25
     level: int = 3
 
@@ -80,17 +85,17 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
 
 
 def band_verdict(data: bytes, compress, bands: Bands) -> tuple[float, int, int, bool]:
-    """Ratio of the whole, full chunks, full chunks out of their band, and the verdict."""
+    """Ratio of the whole, chunks, chunks out of their band, and the verdict."""
     if not data:
         return 0.0, 0, 0, False
     ratio = len(data) / len(compress(data))
     _, low, high = [b for b in bands.whole if len(data) >= b[0]][-1]
-    size, bad, full = bands.chunk_bytes, 0, 0
-    if len(data) >= 2 * size:
-        for i in range(0, len(data) - size + 1, size):
-            full += 1
-            bad += not bands.chunk[0] <= size / len(compress(data[i:i + size])) <= bands.chunk[1]
-    return ratio, full, bad, low <= ratio <= high and bad <= bands.bad_chunks * full
+    bad, starts = 0, []
+    for size, chunk_low, chunk_high in [b for b in bands.chunks if len(data) >= 2 * b[0]][-1:]:
+        starts = [*range(0, len(data) - size, size), len(data) - size]
+        for i in starts:
+            bad += not chunk_low <= size / len(compress(data[i:i + size])) <= chunk_high
+    return ratio, len(starts), bad, low <= ratio <= high and bad <= bands.bad_chunks * len(starts)
 
 
 _INTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
