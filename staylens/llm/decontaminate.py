@@ -4,19 +4,21 @@
 2. A seed is the shortest n-gram of an item (``SHORTEST`` to ``LONGEST`` words) that chance
    would bring at most ``EXPECTED`` times into the corpus, were its words independent. So an
    n-gram of frequent words grows until it is rare, and a passage that leaked into many
-   documents keeps its seeds, since not its own frequency counts. What isn't rare at the
-   longest is no seed; an item without seeds gets itself as one.
+   documents keeps its seeds, since not its own frequency counts. Where nothing is rare at the
+   longest, it grows on up to the whole item; an item that chance alone brings is no evidence.
 3. Seeds join every document's words to items; around each hit the passage that the whole
    item could cover is aligned with the item. The score is the best local alignment over
-   the best possible, 2 a match, -1 a change, a gap or an extra word. From ``SCORE`` on, or
-   from ``RUN`` words' worth of matches on, the document holds the item.
+   the best possible, 2 a match, -1 a change, a gap or an extra word. From ``SCORE`` on, but
+   at least ``LEAST`` words' worth of matches, or from ``RUN`` words' worth on, the document
+   holds the item.
 
 The benchmark goes to the tasks in parts of at most ``PART_BYTES`` of text (one pass over the
 documents each), so its size is bounded, not assumed. Documents are one narrow pass: no
 shuffle of texts, no pairs beyond seed hits, and equal passages of a task are aligned once.
 
-Words are runs between ASCII white space, lower case, without other characters than letters
-and digits. Cases: null or empty texts and items match nothing, as do items without words;
+Words of both sides are runs between white space (all of Unicode's), lower case, without other
+characters than letters and digits. Cases: null or empty texts and items match nothing, as do
+items of fewer than ``LEAST`` words or of frequent words only ("yes", "the end of the");
 repeated rows each give their rows; repeated items are items; null ids are kept; a document
 with an item twice gives the best passage, the first on a tie; empty tables give an empty
 result; other columns are not read.
@@ -43,6 +45,7 @@ SHORTEST, LONGEST = 3, 8
 EXPECTED = 0.5
 SCORE = 0.5
 RUN = 20
+LEAST = 5
 MATCH, MISS = 2, -1
 PART_BYTES = 16 << 20
 _NO_WORD = re.compile(r"[\W_]+")
@@ -57,7 +60,8 @@ def item_words(text: str | None) -> list[str]:
 
 
 class Numbers:
-    """Numbers of benchmark words in texts: 0 for other words, none for chunks without one."""
+    """Numbers of benchmark words in texts, 0 for other words. A chunk between ASCII white space may
+    hold several words, between other white space, or none."""
 
     def __init__(self, vocabulary: dict[str, int]):
         self.vocabulary = vocabulary
@@ -65,11 +69,13 @@ class Numbers:
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all words one text after another, and the offsets of the texts."""
         chunks, at, offsets = common.coded(pc.ascii_split_whitespace(pc.fill_null(texts, "")))
-        get = self.vocabulary.get
-        number = np.fromiter((get(w, 0) if w else -1 for w in map(plain, chunks)), np.int64, len(chunks))[at]
-        word = number >= 0
-        upto = np.concatenate([[0], np.cumsum(word)])
-        return number[word], upto[offsets]
+        numbers, lengths = [], np.empty(len(chunks), np.int64)
+        for i, chunk in enumerate(chunks):
+            before = len(numbers)
+            numbers += [self.vocabulary.get(w, 0) for w in map(plain, chunk.split()) if w]
+            lengths[i] = len(numbers) - before
+        found = np.array(numbers, np.int64)[common.ragged((np.cumsum(lengths) - lengths)[at], lengths[at])]
+        return found, np.concatenate([[0], np.cumsum(lengths[at])])[offsets]
 
 
 @dataclass
@@ -95,17 +101,21 @@ def seeds(ids: list, items: list[list[str]], vocabulary: dict[str, int], counts:
     rate = np.log(np.maximum(counts, 1) / max(total, 1))
     found: dict[int, list[tuple[int, int, int]]] = {}
     for k, item in enumerate(numbers):
-        own = rate[item] if len(item) else np.empty(0)
-        chance, some = np.concatenate([[0.0], np.cumsum(own)]) + 0.0, False
-        for i in range(len(item)):
-            for n in range(SHORTEST, min(LONGEST, len(item) - i) + 1):
-                if math.log(max(total, 1)) + chance[i + n] - chance[i] <= math.log(EXPECTED):
+        if len(item) < LEAST:
+            continue
+        chance = np.concatenate([[0.0], np.cumsum(rate[item])])
+        limit, some = math.log(EXPECTED) - math.log(max(total, 1)), False
+
+        def rare(i, n):
+            return chance[i + n] - chance[i] <= limit
+        for longest in (LONGEST, len(item)):
+            for i in range(len(item) - SHORTEST + 1):
+                n = next((n for n in range(SHORTEST, min(longest, len(item) - i) + 1) if rare(i, n)), 0)
+                if n:
                     found.setdefault(n, []).append((k, i, n))
                     some = True
-                    break
-        if len(item) and not some:
-            n = min(len(item), LONGEST)
-            found.setdefault(n, []).extend((k, i, n) for i in range(0, len(item) - n + 1))
+            if some:
+                break
     by_length = {}
     for n, rows in found.items():
         h = np.array([_hashes(numbers[k][i:i + n], n)[0] for k, i, _ in rows], np.uint64)
@@ -171,7 +181,7 @@ def passages(firsts: np.ndarray, length: int, words: int) -> list[tuple[int, int
 
 
 def _holds(score: int, length: int) -> bool:
-    return score >= SCORE * MATCH * length or score >= RUN * MATCH
+    return score >= MATCH * min(max(SCORE * length, LEAST), RUN)
 
 
 class Finder:

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from staylens.llm import decontaminate as D
 
@@ -84,11 +85,37 @@ def test_awkward_rows(spark, make_docs, sample_texts):
     docs = make_docs([*sample_texts, "One, two three: four five six seven eight nine TEN", "OK.", "one two\x85three", "the the the the"])
     n = len(sample_texts)
     got = {(r["doc_id"], r["item_id"], r["score"]) for r in D.contaminated(spark, docs, bench).collect()}
-    assert {(n, None, 1.0), (n + 1, 4, 1.0), (n + 3, 5, 1.0)} <= got
+    assert (n, None, 1.0) in got and {i for _, i, _ in got} == {None}  # short items are no evidence
     assert D.contaminated(spark, docs.where("false"), bench).count() == 0
     assert D.contaminated(spark, docs, bench.where("false")).count() == 0
 
 
+def test_items_that_chance_brings_mark_nothing(spark, make_docs):
+    _, texts, _ = world(6)
+    items = ["the", "yes", "The of.", "of the and a", None, ""]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = make_docs([*texts, "yes", "the", "of the and a", "oh yes the"])
+    assert D.contaminated(spark, docs, bench).count() == 0
+    rng = random.Random(2)
+    few = make_docs([" ".join(rng.choice("abcd") for _ in range(100)) for _ in range(60)])
+    bench = spark.createDataFrame([(1, "a b c d a"), (2, "a b c d a b c d a b c d a b c d")], "item_id long, text string")
+    assert D.contaminated(spark, few, bench.where("item_id = 1")).count() == 0  # chance brings it six times
+    planted = few.unionByName(make_docs(["d d a b c d a b c d a b c d a b c d b b"]).where("doc_id = 0").withColumn("doc_id", F.lit(-5)))
+    assert [r["doc_id"] for r in D.contaminated(spark, planted, bench).where("score = 1").collect()] == [-5]
+    assert D.remove(spark, docs, bench).count() == docs.count()
+
+
+def test_other_white_space_parts_words_on_both_sides(spark, make_docs):
+    items, texts, want = world(7)
+    spaces = ["\u00a0", "\u3000", "\u2028", "\x85", " \u00a0 ", "\x1f"]
+    strange = [t.replace(" ", spaces[i % len(spaces)]) if i in want else t for i, t in enumerate(texts)]
+    for bench_items, docs in ((items, strange), ([t.replace(" ", "\u00a0") for t in items], texts),
+                              ([t.replace(" ", "\u2028") for t in items], strange)):
+        bench = spark.createDataFrame(list(enumerate(bench_items)), "item_id long, text string")
+        got = D.contaminated(spark, make_docs(docs), bench).collect()
+        assert {r["doc_id"]: r["item_id"] for r in got} == want
+
+
 def test_seeds_do_not_cross_documents():
     v = {w: i + 1 for i, w in enumerate("abcdefgh")}
     s = D.seeds([0], [list("abcdefgh")], v, np.ones(9), 10**6)
