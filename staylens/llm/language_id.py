@@ -10,10 +10,13 @@ letters outside the automata's alphabet are one rare symbol. The folded texts of
 parsed side by side in segments of ``SEGMENT`` characters, all of them, so a step of every
 segment is one lookup in a dense transition table.
 
-The labelled text is a sample with a documented bound: per language the rows with the lowest
-hash of doc_id, ``SAMPLE_ROWS`` at most, and of their folded texts whole ones up to
-``SAMPLE_CHARS`` characters in all (a text over a quarter of that is passed by). All other
-work covers every row and every character.
+The labelled text is a sample with a documented bound: the rows of a language are dealt into
+``SAMPLE_CELLS`` cells by a hash of doc_id, and the least hash of each cell is chosen (a partial
+aggregate, so no task sees a language's rows together). Of each chosen text a passage of at most
+``PASSAGE`` characters is read, at a place that the hash gives, and of the folded passages so
+many are learned as ``SAMPLE_CHARS`` characters hold, the last one cut. So every labelled
+language with letters is learned, also one of long texts only. All other work covers every row and
+every character.
 
 Cases: a null text or one without a letter is ``und`` with score 0, as is every text if no
 row is labelled; equal costs go to the first language by name; repeated rows each give a
@@ -28,12 +31,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.llm import common
 
-SAMPLE_ROWS = 300
+SAMPLE_CELLS = 300
+PASSAGE = 2_000
 SAMPLE_CHARS = 24_000
 SEGMENT = 256
 #: Letters kept as symbols of their own; the others share one.
@@ -42,7 +46,9 @@ UNDETERMINED = "und"
 #: How sharply costs turn into a score.
 SHARPNESS = 12.0
 
-_OTHERS = re.compile(r"[\W\d_]+")
+# \w also matches figures such as \u00bd and \u2167, which are no letters
+_FIGURES = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha())
+_OTHERS = re.compile(rf"[\W_{_FIGURES}]+")
 
 
 def fold(text: str) -> str:
@@ -104,10 +110,10 @@ def train(texts: dict[str, list[str]], chars: int = SAMPLE_CHARS, alphabet: int
     for lang in sorted(texts):
         out, size = [], 0
         for t in map(fold, texts[lang]):
-            if t and len(t) <= chars // 4 and size + len(t) + 1 <= chars:
-                out.append(t)
+            if t and size < chars:
+                out.append(t[:chars - size])
                 size += len(t) + 1
-        if out or (out := [t[:chars] for t in map(fold, texts[lang][:1]) if t]):
+        if out:
             kept[lang] = " ".join(out)
     counts: dict[str, int] = {}
     for t in kept.values():
@@ -169,23 +175,20 @@ def costs(model: Model, codes: np.ndarray, texts: list[str], segment: int = SEGM
 
 
 def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-           rows: int = SAMPLE_ROWS, learn: Column | None = None) -> dict[str, list[str]]:
-    """Per language the texts of the rows with the lowest hash of the id, ``rows`` at most.
-
-    Ids and languages alone are ranked (each task keeps its first ``rows``); texts are read
-    for the chosen ids."""
-    ids = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    ids = ids if learn is None else ids.where(learn)
-    ids = ids.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).withColumn(
-        "h", F.xxhash64(F.col("id").cast("string")))
-    first = ids.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))).where(
-        F.col("k") <= rows).select("id", "lang")
-    chosen = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(
-        F.broadcast(first.distinct()), ["id", "lang"], "left_semi")
+           cells: int = SAMPLE_CELLS, passage: int = PASSAGE, learn: Column | None = None) -> dict[str, list[str]]:
+    """Per language passages of the rows with the least hash of each cell; ``cells`` passages of
+    ``passage`` characters at most. Texts are read for the chosen rows only."""
+    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    rows = rows if learn is None else rows.where(learn)
+    rows = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h"),
+                       F.col(text_col).alias("text"))
+    first = rows.groupBy("lang", F.pmod("h", F.lit(cells))).agg(F.min("h").alias("h")).select("lang", "h")
+    place = F.pmod(F.xxhash64(F.col("h")), F.greatest(F.length("text") - passage + 1, F.lit(1))).cast("int")
+    # a repeated id brings more rows than were chosen; the least passage stands for them, so the bound holds
+    chosen = rows.join(F.broadcast(first), ["lang", "h"], "left_semi").select(
+        "lang", "h", F.substring("text", place + 1, F.lit(passage)).alias("text"))
     out: dict[str, list[str]] = {}
-    # a repeated id may bring more rows than were chosen; the bound holds for them as well
-    short = chosen.where(F.length("text") <= SAMPLE_CHARS).dropDuplicates(["id", "lang"])
-    for r in short.orderBy(F.xxhash64(F.col("id").cast("string")), "id").collect():
+    for r in chosen.groupBy("lang", "h").agg(F.min("text").alias("text")).orderBy("h", "lang").collect():
         out.setdefault(r["lang"], []).append(r["text"])
     return out
 

@@ -51,6 +51,34 @@ def test_edge_cases(spark, make_docs, sample_texts):
     assert L.identify(spark, docs.where("false")).count() == 0
 
 
+def test_figures_are_no_letters(spark, make_docs):
+    rows = [(1000 + i, "the cat and the hat " * 9, "en", "s", None, 0) for i in range(4)]
+    docs = make_docs(["\u00bd \u00b2 \u2167", "12 \u0663 _ \u2460", "\u00bd cup", "\u0915", "\u00aa"], rows)
+    by = {r["doc_id"]: r["lang_pred"] for r in L.identify(spark, docs).collect()}
+    assert [by[i] == "und" for i in range(5)] == [True, True, False, False, False]
+
+
+def test_a_language_of_long_texts_only_is_learned(spark, make_docs):
+    import random
+    rng = random.Random(3)
+
+    def text(words, n):
+        return " ".join(rng.choice(words) for _ in range(n))
+    en, de = ["the", "cat", "and", "hat", "with", "that"], ["der", "hund", "und", "katze", "mit", "nicht"]
+    rows = [(100 + i, text(en, 60), "en", "s", None, 0) for i in range(10)]
+    rows += [(200 + i, text(de, 9000), "de", "s", None, 0) for i in range(10)]
+    docs = make_docs([], rows)
+    assert {k: max(map(len, v)) for k, v in L.sample(docs).items() if k == "de"} == {"de": L.PASSAGE}
+    by = {r["doc_id"]: r["lang_pred"] for r in L.identify(spark, docs).collect()}
+    assert {by[100 + i] for i in range(10)} == {"en"} and {by[200 + i] for i in range(10)} == {"de"}
+
+
+def test_sample_is_bounded_and_merges_repeated_ids(spark, make_docs):
+    rows = [(7, f"text number {i}", "xx", "s", None, 0) for i in range(50)] + [(i, "b " * 3000, "yy", "s", None, 0) for i in range(900)]
+    got = L.sample(make_docs([], rows), cells=20)
+    assert got["xx"] == ["text number 0"] and len(got["yy"]) == 20 and {len(t) for t in got["yy"]} == {L.PASSAGE}
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text")
