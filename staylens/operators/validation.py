@@ -1,10 +1,9 @@
-"""Declarative expectations evaluated in one aggregation pass.
+"""Declarative expectations evaluated in one tagged pass.
 
-An expectation is a small dict; ``run_expectations`` turns all column-level
-expectations into conditional counts inside ONE ``agg`` (uniqueness needs a
-per-column group count, computed as its own partial aggregation), then
-unpivots them into result rows: expectation, column, success, observed value,
-element count, unexpected count and percentage.
+An expectation is a small dict. ``run_suites`` turns those of all suites into row measures and
+keys of ``rulebook`` tables, so that all tables are read once and uniqueness shares one shuffle, and
+gives result rows: expectation, column, success, observed value, element count, unexpected count
+and percentage.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staylens.operators import rulebook as R
 
 def expect(kind: str, column: str | None = None, **kw) -> dict:
     return {"kind": kind, "column": column, **kw}
@@ -28,79 +28,73 @@ def _between(c: Column, lo, hi) -> Column:
     return cond
 
 
+def _unexpected(e: dict) -> Column:
+    x = F.col(e["column"])
+    if e["kind"] == "not_null":
+        return x.isNull().cast("int")
+    if e["kind"] == "in_set":
+        return R.failing(x.isin(list(e["values"])))
+    if e["kind"] == "between":
+        return R.failing(_between(x, e.get("min"), e.get("max")))
+    raise ValueError(f"unknown expectation {e['kind']}")
+
+
+def _static(e: dict, columns: set) -> tuple[bool, str] | None:
+    """Success and observation of what the column names alone decide."""
+    c = e["column"]
+    if e["kind"] == "column_set":
+        want = set(e["columns"])
+        lost = sorted(want ^ columns if e.get("exact") else want - columns)
+        return not lost, ",".join(lost) or "all present"
+    if e["kind"] == "column_exists":
+        return c in columns, "present" if c in columns else "missing"
+    if c is not None and c not in columns:
+        return False, "column missing"
+    return None
+
+
+def run_suites(suites: dict[str, tuple[DataFrame, Sequence[dict]]]) -> DataFrame:
+    """One row per suite and expectation: success, observed, element and unexpected counts."""
+    tables = []
+    for suite, (df, expectations) in suites.items():
+        live = [(i, e) for i, e in enumerate(expectations) if _static(e, set(df.columns)) is None]
+        sums: dict[str, Column] = {}
+        for i, e in live:
+            if e["kind"] not in ("unique", "row_count_between"):
+                sums[f"unexpected {i}"] = _unexpected(e)
+            if e["kind"] not in ("not_null", "row_count_between"):
+                sums[f"present {e['column']}"] = F.col(e["column"]).isNotNull().cast("int")
+        keys = {f"{suite}.{e['column']}": [e["column"]] for _, e in live if e["kind"] == "unique"}
+        tables.append(R.Table(suite, df, keys, sums))
+    found, none = R.figures(tables), F.lit(None).cast("bigint")
+    cells = []
+    for suite, (df, expectations) in suites.items():
+        for i, e in enumerate(expectations):
+            c, kind = e["column"], e["kind"]
+            fixed = _static(e, set(df.columns))
+            rows, elements, unexpected, share = found.rows(suite), none, none, F.lit(None).cast("double")
+            if fixed:
+                ok, observed = F.lit(fixed[0]), F.lit(fixed[1])
+            elif kind == "row_count_between":
+                ok, observed, elements = _between(rows, e.get("min"), e.get("max")), rows.cast("string"), rows
+                unexpected, share = F.lit(0).cast("bigint"), F.lit(0.0)
+            else:
+                elements = rows if kind == "not_null" else found.measure(suite, f"present {c}")
+                unexpected = found.copies(suite, f"{suite}.{c}") if kind == "unique" else found.measure(suite, f"unexpected {i}")
+                share = F.when(elements > 0, unexpected * 100.0 / elements).otherwise(0.0)
+                # whole numbers of a thousandth, so that no engine's rounding decides
+                allowed = 1000 - round(1000 * e.get("mostly", 1.0))
+                ok, observed = 1000 * unexpected <= allowed * elements, unexpected.cast("string")
+            cells.append(F.struct(F.lit(suite).alias("suite"), F.lit(i).alias("idx"), F.lit(kind).alias("expectation"),
+                                  F.lit(c).cast("string").alias("column"), ok.alias("success"), observed.alias("observed"),
+                                  elements.alias("element_count"), unexpected.cast("bigint").alias("unexpected_count"),
+                                  share.alias("unexpected_pct")))
+    return found.df.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
+
+
 def run_expectations(df: DataFrame, suite: str, expectations: Sequence[dict]) -> DataFrame:
-    """V1-V7: evaluate a suite; one output row per expectation."""
-    spark = df.sparkSession
-    cols = set(df.columns)
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    static_rows = []
-    plans = []
-    uniq_cols = []
-    for i, e in enumerate(expectations):
-        k, c = e["kind"], e.get("column")
-        if k == "column_set":
-            want = set(e["columns"])
-            ok = want <= cols if not e.get("exact") else want == cols
-            static_rows.append((i, k, None, ok, ",".join(sorted(want - cols)) or "all present"))
-            continue
-        if k == "column_exists":
-            static_rows.append((i, k, c, c in cols, "present" if c in cols else "missing"))
-            continue
-        if c is not None and c not in cols:
-            static_rows.append((i, k, c, False, "column missing"))
-            continue
-        x = F.col(c) if c else None
-        if k == "row_count_between":
-            plans.append((i, k, c, None))
-            continue
-        if k == "not_null":
-            aggs += [F.count(F.lit(1)).alias(f"e{i}"), F.count_if(x.isNull()).alias(f"u{i}")]
-        elif k == "in_set":
-            aggs += [F.count(x).alias(f"e{i}"),
-                     F.count_if(x.isNotNull() & ~x.isin(list(e["values"]))).alias(f"u{i}")]
-        elif k == "between":
-            aggs += [F.count(x).alias(f"e{i}"),
-                     F.count_if(x.isNotNull() & ~_between(x, e.get("min"), e.get("max"))).alias(f"u{i}")]
-        elif k == "unique":
-            uniq_cols.append((i, c))
-            aggs += [F.count(x).alias(f"e{i}")]
-        else:
-            raise ValueError(f"unknown expectation {k}")
-        plans.append((i, k, c, e.get("mostly", 1.0)))
-    wide = df.agg(*aggs)
-    for i, c in uniq_cols:
-        # rows whose (non-null) value occurs more than once -- partial aggregation per value
-        dup = (df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("__n"))
-               .where(F.col("__n") > 1).agg(F.coalesce(F.sum("__n"), F.lit(0)).alias(f"u{i}")))
-        wide = wide.withColumn("__one", F.lit(1)).join(
-            F.broadcast(dup.withColumn("__one", F.lit(1))), "__one").drop("__one")
-    rows = []
-    for i, k, c, mostly in plans:
-        e = expectations[i]
-        if k == "row_count_between":
-            n = F.col("__rows")
-            ok = _between(n, e.get("min"), e.get("max"))
-            rows.append(F.struct(F.lit(i).alias("idx"), F.lit(k).alias("expectation"),
-                                 F.lit(c).cast("string").alias("column"), ok.alias("success"),
-                                 n.cast("string").alias("observed"), n.alias("element_count"),
-                                 F.lit(0).cast("long").alias("unexpected_count"),
-                                 F.lit(0.0).alias("unexpected_pct")))
-            continue
-        el, un = F.col(f"e{i}"), F.col(f"u{i}").cast("long")
-        pct = F.when(el > 0, un * 100.0 / el).otherwise(F.lit(0.0))
-        ok = F.when(el > 0, (un / el) <= F.lit(1.0 - mostly) + F.lit(1e-12)).otherwise(F.lit(True))
-        rows.append(F.struct(F.lit(i).alias("idx"), F.lit(k).alias("expectation"),
-                             F.lit(c).alias("column"), ok.alias("success"),
-                             un.cast("string").alias("observed"), el.alias("element_count"),
-                             un.alias("unexpected_count"), pct.alias("unexpected_pct")))
-    out = wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*") if rows else None
-    if static_rows:
-        st = spark.createDataFrame(
-            [(i, k, c, ok, obs, None, None, None) for i, k, c, ok, obs in static_rows],
-            "idx int, expectation string, column string, success boolean, observed string, "
-            "element_count long, unexpected_count long, unexpected_pct double")
-        out = st if out is None else out.unionByName(st)
-    return out.withColumn("suite", F.lit(suite))
+    """V1-V7: evaluate one suite; one output row per expectation."""
+    return run_suites({suite: (df, expectations)})
 
 
 def suite_summary(results: DataFrame) -> DataFrame:

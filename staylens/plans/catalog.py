@@ -388,6 +388,7 @@ def _(spark, sf):
 import datetime as _dt  # noqa: E402
 
 from staylens.operators import changes as CH  # noqa: E402
+from staylens.operators import rulebook as R
 from staylens.operators import validation as V  # noqa: E402
 
 OLD_SNAPSHOT = _dt.date(2000, 1, 1)
@@ -464,6 +465,7 @@ def _(spark, sf):
 
 
 # ------------------------------------------------------------ validation (V*)
+# Bounds and names of a short suite over the master; all of them are in operators/suites.py
 MASTER_SUITE = [
     V.expect("row_count_between", min=1000, max=200000),
     V.expect("column_set", columns=["id", "host_id", "neighbourhood_cleansed", "latitude",
@@ -510,35 +512,25 @@ def _(spark, sf):
 @query("validation_warehouse_rules")
 def _(spark, sf):
     p = shared(spark, sf)
-    fc, fr, dl, fs = p.fact_calendar, p.fact_reviews, p.dim_listing, p.fact_listing_snapshot
-
-    def rule(name, df):
-        return df.select(F.lit(name).alias("rule"), F.col("violations").cast("long"))
-
-    rules = [
-        rule("listing_key_not_null", dl.agg(F.count_if(F.col("listing_key").isNull()).alias("violations"))),
-        rule("listing_key_unique", dl.groupBy("listing_key").count().where("count > 1")
-             .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("violations"))),
-        rule("calendar_referential_listing", V.orphan_count(fc, dl, "listing_key", "listing_key")
-             .select(F.col("orphans").alias("violations"))),
-        rule("reviews_referential_listing", V.orphan_count(fr, dl, "listing_key", "listing_key")
-             .select(F.col("orphans").alias("violations"))),
-        rule("calendar_available_int_zero_or_one",
-             fc.agg(F.count_if(~F.col("available_int").isin(0, 1)).alias("violations"))),
-        rule("calendar_key_unique", fc.groupBy("listing_key", "date_key").count().where("count > 1")
-             .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("violations"))),
-        rule("price_non_negative", fs.agg(F.count_if(F.col("price_numeric") < 0).alias("violations"))),
-        rule("occupancy_in_range", fs.agg(F.count_if(~F.col("occupancy_proxy").between(0, 1))
-                                          .alias("violations"))),
-        rule("snapshot_listing_parity", fs.agg(F.count(F.lit(1)).alias("a")).withColumn("__one", F.lit(1))
-             .join(dl.agg(F.count(F.lit(1)).alias("b")).withColumn("__one", F.lit(1)), "__one")
-             .select(F.abs(F.col("a") - F.col("b")).alias("violations"))),
-    ]
-    out = rules[0]
-    for r_ in rules[1:]:
-        out = out.unionByName(r_)
-    return out.withColumn("category", V.rule_category(F.col("rule"))) \
-              .withColumn("passed", F.col("violations") == 0)
+    found = R.figures([
+        R.Table("dim_listing", p.dim_listing, {"listing": ["listing_key"]},
+                {"no_key": F.col("listing_key").isNull().cast("int")}),
+        R.Table("fact_calendar", p.fact_calendar, {"listing": ["listing_key"], "night": ["listing_key", "date_key"]},
+                {"available": R.failing(F.col("available_int").isin(0, 1))}),
+        R.Table("fact_reviews", p.fact_reviews, {"listing": ["listing_key"]}),
+        R.Table("snapshot", p.fact_listing_snapshot, {}, {
+            "price": R.failing(F.col("price_numeric") >= 0), "occupancy": R.failing(F.col("occupancy_proxy").between(0, 1))})])
+    return R.rule_rows(found, {
+        "listing_key_not_null": found.measure("dim_listing", "no_key"),
+        "listing_key_unique": found.copies("dim_listing", "listing"),
+        "calendar_referential_listing": found.orphans("fact_calendar", "dim_listing", "listing"),
+        "reviews_referential_listing": found.orphans("fact_reviews", "dim_listing", "listing"),
+        "calendar_available_int_zero_or_one": found.measure("fact_calendar", "available"),
+        "calendar_key_unique": found.copies("fact_calendar", "night"),
+        "price_non_negative": found.measure("snapshot", "price"),
+        "occupancy_in_range": found.measure("snapshot", "occupancy"),
+        "snapshot_listing_parity": F.abs(found.rows("snapshot") - found.rows("dim_listing")),
+    }).withColumn("category", V.rule_category(F.col("rule"))).withColumn("passed", F.col("violations") == 0)
 
 
 @query("validation_date_dimension")
