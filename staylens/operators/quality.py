@@ -6,9 +6,8 @@ materialise both should persist/write the flagged plan once (see
 ``staylens.plans.pipeline``).
 
 Duplicate detection (keep=False semantics: every copy of a repeated key is
-flagged, null keys are equal to each other) is a per-key count aggregate joined
-back null-safely, not a window: partial aggregation plus AQE skew-join
-splitting keep a key holding a third of all rows from landing in one task.
+flagged, null keys are equal to each other) is ``repeats.flag_repeats``: one scan and one
+exchange for each key, whatever share of the rows a key holds.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions import scalars as S
+from staylens.operators.repeats import flag_repeats
 
 # Columns dropped / typed by the listings cleaner.
 LISTING_DROP_COLUMNS = ["listing_url", "scrape_id", "picture_url", "host_url",
@@ -62,22 +62,6 @@ def _split(flagged: DataFrame, reason_col: str = "rejection_reason") -> Quaranti
     return Quarantined(clean, rejected, flagged)
 
 
-def flag_duplicates(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
-    """Add boolean ``flag``: true on every row whose key occurs more than once."""
-    keys = list(keys)
-    alias = {k: f"__dk_{i}" for i, k in enumerate(keys)}
-    dup = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-           .where(F.col("__n") > 1)
-           .select(*[F.col(k).alias(alias[k]) for k in keys], F.lit(True).alias("__dup")))
-    cond = None
-    for k in keys:
-        c = df[k].eqNullSafe(F.col(alias[k]))
-        cond = c if cond is None else cond & c
-    out = df.join(dup, cond, "left")
-    return out.select(*[df[c] for c in df.columns],
-                      F.coalesce(F.col("__dup"), F.lit(False)).alias(flag))
-
-
 def drop_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """PF1: drop, tolerant of absent columns."""
     return df.drop(*[c for c in cols if c in df.columns])
@@ -133,7 +117,7 @@ def clean_listings_flagged(raw: DataFrame, currency_code: str = "GBP") -> DataFr
                                   F.lit(False)).alias("is_de_facto_inactive"))
     typed = typed.select("*", *derived)
     if "id" in cols:
-        typed = flag_duplicates(typed, ["id"], "__dup_id")
+        typed = flag_repeats(typed, ["id"], "__dup_id")
     rules = []
     if "price" in cols:
         rules.append(("negative_price", F.coalesce(F.col("price_numeric") < 0, F.lit(False))))
@@ -164,7 +148,7 @@ def clean_calendar(raw: DataFrame) -> Quarantined:
         S.parse_bool("available").alias("available"),
         S.cap_sentinel("minimum_nights").alias("minimum_nights"),
         S.cap_sentinel("maximum_nights").alias("maximum_nights"))
-    typed = flag_duplicates(typed, ["listing_id", "date"], "__dup")
+    typed = flag_repeats(typed, ["listing_id", "date"], "__dup")
     bad = (F.col("listing_id").isNull() | F.col("date").isNull()
            | F.col("available").isNull() | F.col("__dup"))
     flagged = typed.withColumn("rejection_reason", F.when(bad, F.lit(CALENDAR_REJECTION))).drop("__dup")
@@ -182,8 +166,8 @@ def clean_reviews(raw: DataFrame) -> Quarantined:
         S.trim_keep_null("reviewer_name").alias("reviewer_name"),
         comments.alias("comments"))
     typed = typed.withColumn("comment_length", F.length("comments").cast("long"))
-    typed = flag_duplicates(typed, ["comments"], "comment_is_duplicate")
-    typed = flag_duplicates(typed, ["id"], "__dup_id")
+    typed = flag_repeats(typed, ["comments"], "comment_is_duplicate")
+    typed = flag_repeats(typed, ["id"], "__dup_id")
     bad = (F.col("id").isNull() | F.col("listing_id").isNull() | F.col("date").isNull()
            | F.col("__dup_id"))
     flagged = typed.withColumn("rejection_reason", F.when(bad, F.lit(REVIEW_REJECTION))).drop("__dup_id")
