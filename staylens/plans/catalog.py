@@ -12,6 +12,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staylens.operators.ordered import with_quantiles
 from staylens.plans.pipeline import Pipeline, shared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -353,9 +354,9 @@ def _(spark, sf):
 def _(spark, sf):
     lm = _eda(spark, sf).withColumn(
         "review_bucket", Bd.band(F.col("number_of_reviews"), Bd.REVIEW_COUNT_BUCKETS))
-    return lm.groupBy("review_bucket").agg(
-        F.count(F.lit(1)).alias("listing_count"), F.median("price_numeric").alias("median_price"),
-        F.avg("review_scores_rating").alias("mean_rating"))
+    agg = lm.groupBy("review_bucket").agg(
+        F.count(F.lit(1)).alias("listing_count"), F.avg("review_scores_rating").alias("mean_rating"))
+    return with_quantiles(agg, lm, ["review_bucket"], {"median_price": ("price_numeric", 0.5)})
 
 
 @_q("eda_city_comparison")
