@@ -69,11 +69,15 @@ class Numbers:
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all words one text after another, and the offsets of the texts."""
         chunks, at, offsets = common.coded(pc.ascii_split_whitespace(pc.fill_null(texts, "")))
-        numbers, lengths = [], np.empty(len(chunks), np.int64)
+        get, numbers, lengths = self.vocabulary.get, [], np.empty(len(chunks), np.int64)
         for i, chunk in enumerate(chunks):
-            before = len(numbers)
-            numbers += [self.vocabulary.get(w, 0) for w in map(plain, chunk.split()) if w]
-            lengths[i] = len(numbers) - before
+            if chunk.isalnum() and chunk.isascii():
+                numbers.append(get(chunk.lower(), 0))
+                lengths[i] = 1
+                continue
+            words = [w for w in map(plain, chunk.split()) if w]
+            numbers += [get(w, 0) for w in words]
+            lengths[i] = len(words)
         found = np.array(numbers, np.int64)[common.ragged((np.cumsum(lengths) - lengths)[at], lengths[at])]
         return found, np.concatenate([[0], np.cumsum(lengths[at])])[offsets]
 
