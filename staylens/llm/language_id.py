@@ -46,13 +46,14 @@ UNDETERMINED = "und"
 #: How sharply costs turn into a score.
 SHARPNESS = 12.0
 
-# \w also matches figures such as \u00bd and \u2167, which are no letters
-_FIGURES = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha())
-_OTHERS = re.compile(rf"[\W_{_FIGURES}]+")
+_OTHERS = re.compile(r"[\W\d_]+")
 
 
 def fold(text: str) -> str:
-    return _OTHERS.sub(" ", text.lower()).strip()
+    out = _OTHERS.sub(" ", text.lower()).strip()
+    if out and not out.replace(" ", "").isalpha():  # figures such as \u00bd and \u2167 are word characters
+        out = " ".join("".join(c if c.isalpha() else " " for c in out).split())
+    return out
 
 
 def automaton(text: str) -> list[dict[str, int]]:
