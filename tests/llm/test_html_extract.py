@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import pytest
 
@@ -49,6 +50,52 @@ PAGES = {
 }
 
 
+#: Articles without an element or word of their own, misleading words, unfinished markup.
+HARD = {
+    f"<article><p>{LONG}</p></article><section id=comments><article class=comment><p>{LONG}</p></article></section>": LONG,
+    f"<article><p>{LONG}</p><div class='post-comments'><div class=content><p>{LONG}</p></div></div></article>": LONG,
+    f"<article class='post tag-comments'><p>{LONG}</p></article>": LONG,
+    f"<div class='social-history-post'><article><p>{LONG}</p><p>{LONG}</p></article></div>": f"{LONG}\n{LONG}",
+    f"<main><h1>Head</h1><div class=search><p>{LONG}</p><p>{LONG}</p></div></main>": f"Head\n{LONG}\n{LONG}",
+    f"<form action=x><nav>menu</nav><div><p>{LONG}</p><p>{LONG}</p></div></form>": f"{LONG}\n{LONG}",
+    f"<article><p>{LONG}</p></article><form><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></form>": LONG,
+    f"<p>{LONG}</p><div class=related><article class=teaser>{LONG}</article></div>": LONG,
+    f"<body><p>{LONG}</p><p>Yes it is.</p><footer>Words of a footer</footer>": f"{LONG}\nYes it is.",
+    f"<head><title>t</title><body><p>{LONG}</p><p title=\"open>Last words here.</p>": f"{LONG}\nLast words here.",
+    f"<p>{LONG}</p><p>He said <b class=x don't>no</b> twice.</p>": f"{LONG}\nHe said no twice.",
+    f"<p>{LONG}</p><p data-id='share' title='a > b'>Last words here.</p>": f"{LONG}\nLast words here.",
+    f"<p>{LONG}</p><a href=x words and words without an end": LONG,
+}
+
+
+@pytest.mark.parametrize("page", HARD)
+def test_hard_pages(page):
+    assert H.main_text(page) == HARD[page]
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 100000 + LONG, "<p><i>" + "<b>" * 100000 + LONG + "</i>" * 100000, LONG + "<a" * 500000, LONG + "<a b='" * 200000,
+    LONG + "<a b=\"x' " * 100000, "<ul><li>" * 50000 + LONG + "</ul>" * 50000, LONG + "<!--" * 250000, LONG + "<" * 1000000,
+    LONG + "<a " + "= " * 300000, "</b>" * 200000 + LONG])
+def test_work_grows_with_the_page(page):
+    begin = time.process_time()
+    assert H.main_text(page).startswith(LONG)
+    assert time.process_time() - begin < 10
+
+
+@pytest.mark.parametrize("instead, least", [("div", 0.97), ("", 0.97)])
+def test_articles_without_their_element(instead, least):
+    """The given pages of a size that chose no weight, their article element renamed or gone."""
+    import pyarrow.parquet as pq
+    pages = pq.read_table("/root/testdata/sf0.1/pages.parquet").column("html").to_pylist()
+    right = 0
+    for page in pages:
+        bare = page.replace("<article>", f"<{instead}>" * bool(instead)).replace("</article>", f"</{instead}>" * bool(instead))
+        right += H.main_text(bare) == H.main_text(page)
+    print(instead, right, len(pages))
+    assert right >= least * len(pages)
+
+
 @pytest.mark.parametrize("page", PAGES)
 def test_main_text(page):
     assert H.main_text(page) == PAGES[page]
