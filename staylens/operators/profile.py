@@ -15,9 +15,21 @@ from pyspark.sql import functions as F
 from staylens.functions import scalars as S
 from staylens.operators.ordered import with_quantiles
 
-# Completeness classes and the reference's default bounding box.
-COMPLETENESS_CLASSES = [("complete", 0.0), ("mostly_complete", 5.0), ("partial", 30.0),
-                        ("sparse", 100.0)]
+# The fields that must be there and those that matter, by source; others are optional.
+CRITICAL_FIELDS = {
+    "listings": ["id", "host_id", "latitude", "longitude", "last_scraped", "neighbourhood_cleansed", "room_type"],
+    "calendar": ["listing_id", "date", "available"],
+    "reviews": ["id", "listing_id", "date"],
+    "neighbourhoods": ["neighbourhood"],
+}
+IMPORTANT_FIELDS = {
+    "listings": ["price", "property_type", "accommodates", "bedrooms", "beds", "minimum_nights", "maximum_nights",
+                 "host_is_superhost", "host_since", "review_scores_rating", "amenities", "availability_365",
+                 "number_of_reviews", "instant_bookable"],
+    "calendar": ["minimum_nights", "maximum_nights"],
+    "reviews": ["reviewer_id", "comments"],
+}
+# Fixed value: the reference's default bounding box.
 LONDON_BBOX = {"lat": (51.2, 51.8), "lon": (-0.55, 0.35)}
 
 
@@ -45,15 +57,24 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None,
                       "distinct_count", "min_text", "max_text", "min_num", "max_num", "mean_num")
 
 
-def completeness_class(null_pct: Column) -> Column:
-    expr = None
-    for label, hi in COMPLETENESS_CLASSES:
-        cond = null_pct <= F.lit(hi)
-        expr = F.when(cond, label) if expr is None else expr.when(cond, label)
-    return expr
+def completeness_class(source: str, column: Column) -> Column:
+    """AG48: critical, important or optional, by the field's name in its source."""
+    return (F.when(column.isin(CRITICAL_FIELDS.get(source, [])), "critical")
+            .when(column.isin(IMPORTANT_FIELDS.get(source, [])), "important").otherwise("optional"))
 
 
-def extended_profile(df: DataFrame, numeric_cols: Sequence[str]) -> DataFrame:
+def field_completeness(profiles: dict[str, DataFrame]) -> DataFrame:
+    """AG48: (source, column, completeness_class, rows, null_count, null_pct) of the column
+    profiles of several sources."""
+    out = None
+    for source, profile in profiles.items():
+        part = profile.select(F.lit(source).alias("source"), "column", completeness_class(source, F.col("column")).alias(
+            "completeness_class"), "rows", "null_count", "null_pct")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def extended_profile(df: DataFrame, numeric_cols: Sequence[str], source: str = "listings") -> DataFrame:
     """AG48: median/std/quartiles, cardinality ratio and completeness class per column."""
     lng = _long(df, numeric_cols)
     agg = lng.groupBy("column").agg(
@@ -61,10 +82,9 @@ def extended_profile(df: DataFrame, numeric_cols: Sequence[str]) -> DataFrame:
         F.count_distinct("num").alias("distinct_count"),
         F.stddev_samp("num").alias("std"))
     agg = with_quantiles(agg, lng, ["column"], {"q1": ("num", 0.25), "median": ("num", 0.5), "q3": ("num", 0.75)})
-    null_pct = (F.col("rows") - F.col("non_null")) * 100.0 / F.col("rows")
     return agg.select("column", "rows", "non_null", "distinct_count", "q1", "median", "q3", "std",
                       (F.col("distinct_count") / F.col("rows")).alias("cardinality_ratio"),
-                      completeness_class(null_pct).alias("completeness"))
+                      completeness_class(source, F.col("column")).alias("completeness"))
 
 
 def top_values_per_column(df: DataFrame, cols: Sequence[str], k: int = 5,

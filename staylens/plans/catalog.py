@@ -571,6 +571,14 @@ def _(spark, sf):
     return PR.extended_profile(shared(spark, sf).listings, EXT_COLS)
 
 
+@_q("profile_field_completeness")
+def _(spark, sf):
+    p = shared(spark, sf)
+    return PR.field_completeness({
+        "listings": PR.column_profile(p.raw_listings, RAW_LISTING_COLS), "calendar": PR.column_profile(p.raw_calendar),
+        "reviews": PR.column_profile(p.raw_reviews)})
+
+
 @_q("profile_top_values")
 def _(spark, sf):
     return PR.top_values_per_column(shared(spark, sf).raw_listings, TOPV_COLS, 5, 200)

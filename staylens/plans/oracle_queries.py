@@ -496,6 +496,32 @@ def _profile_sql(cols, src, extra_select="", group=""):
     return "\nUNION ALL\n".join(parts)
 
 
+# Fields by completeness class; others are optional.
+_FIELDS = {
+    "listings": ("id host_id latitude longitude last_scraped neighbourhood_cleansed room_type",
+                 "price property_type accommodates bedrooms beds minimum_nights maximum_nights host_is_superhost "
+                 "host_since review_scores_rating amenities availability_365 number_of_reviews instant_bookable"),
+    "calendar": ("listing_id date available", "minimum_nights maximum_nights"),
+    "reviews": ("id listing_id date", "reviewer_id comments"),
+}
+
+
+def _field_class(source, column):
+    critical, important = (x.split() for x in _FIELDS[source])
+    return "'critical'" if column in critical else "'important'" if column in important else "'optional'"
+
+
+def _field_sql(source, table, cols):
+    return "\nUNION ALL\n".join(
+        f"SELECT '{source}' AS source, '{c}' AS \"column\", {_field_class(source, c)} AS completeness_class, count(*) AS rows, "
+        f"count(*) - count({c}) AS null_count, round((count(*) - count({c})) * 100.0 / count(*), 4) AS null_pct FROM {table}"
+        for c in cols)
+
+
+oracle("profile_field_completeness", ["raw_listings_full", "raw_calendar_full", "raw_reviews"], "\nUNION ALL\n".join([
+    _field_sql("listings", "raw_listings_full", _RAW_LISTING_COLS),
+    _field_sql("calendar", "raw_calendar_full", "listing_id date available price adjusted_price minimum_nights maximum_nights".split()),
+    _field_sql("reviews", "raw_reviews", "listing_id id date reviewer_id reviewer_name comments".split())]))
 oracle("profile_raw_listings", ["raw_listings_full"], _profile_sql(_RAW_LISTING_COLS, "raw_listings_full"))
 oracle("profile_extended_listings", ["listings"], "\nUNION ALL\n".join(
     f"""SELECT '{c}' AS "column", count(*) AS rows, count({c}) AS non_null,
@@ -503,9 +529,7 @@ oracle("profile_extended_listings", ["listings"], "\nUNION ALL\n".join(
   round(quantile_cont({c}::DOUBLE, 0.5), 4) AS median, round(quantile_cont({c}::DOUBLE, 0.75), 4) AS q3,
   round(stddev_samp({c}::DOUBLE), 4) AS std,
   round(count(DISTINCT {c}::DOUBLE) / count(*), 4) AS cardinality_ratio,
-  CASE WHEN (count(*) - count({c})) * 100.0 / count(*) <= 0 THEN 'complete'
-       WHEN (count(*) - count({c})) * 100.0 / count(*) <= 5 THEN 'mostly_complete'
-       WHEN (count(*) - count({c})) * 100.0 / count(*) <= 30 THEN 'partial' ELSE 'sparse' END AS completeness
+  {_field_class("listings", c)} AS completeness
 FROM listings""" for c in ["price_numeric", "availability_365", "review_scores_rating", "accommodates",
                            "bedrooms"]).replace(
     "count(DISTINCT price_numeric::DOUBLE) AS distinct_count,", "count(DISTINCT price_numeric::DOUBLE) AS distinct_count,"))
