@@ -92,6 +92,14 @@ def test_scores_and_awkward_rows(spark, make_docs, sample_texts):
     assert T.toxicity(spark, docs.where("false"), table).count() == 0
 
 
+def test_folds_choose_the_weighing():
+    texts, labels, _ = world()
+    losses = {w: T.fold_loss(list(range(len(texts))), texts, labels, w) for w in (T.WEIGHING, 1e9)}
+    assert losses[T.WEIGHING] < losses[1e9] < 0.7
+    assert T.fold_loss([], [], []) == 0.0 and T.fold_loss([1], ["a"], [1]) > 0
+    assert np.isfinite(T.fold_loss([1, 2, 3, 4], ["", "a b", "...", "a c"], [0, 1, 0, 1]))
+
+
 def test_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.op1_toxicity(spark, sf)
