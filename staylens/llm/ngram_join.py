@@ -15,10 +15,15 @@ equal sets form one class from the start. Exactly the classes linked with anothe
    min-hash into chunks of similar ones. A class meets the chunks that share one of its
    rarest tokens, and a task holds two chunks at most: the matrix has the token union of
    each group of ``GROUP`` members, a query's overlap with it bounds that with any member,
-   and only groups whose bound reaches ceil(0.8 n) are opened and compared.
-
-Nothing is capped: a hot token meets chunks, not documents, the members of a joined family
-are never paired with each other, and a task hands on a forest of links. Tokens have 48 bits and classes 64, so a false
+   and only groups whose bound reaches ceil(0.8 n) are opened and compared. A task hands on
+   as many links as join families, no more.
+4. Links. Every link lies inside a component. Its classes are cut, in order of size, into
+   chunks of a bounded weight in tokens; two chunks meet in a task if their sizes allow a
+   link, by the same matrix. A task hands on a count per class (``join_classes``) or the links
+   themselves (``class_links``); copies are counted, not paired.
+
+Nothing is capped: a hot token meets chunks, not documents. A component of T tokens is sent
+T / ``CHUNK_TOKENS`` times to find its links. Tokens have 48 bits and classes 64, so a false
 link among 10^9 different sets has a chance of about 3 %.
 
 Cases: a null or empty text, or one of white space, has an empty set and is its own class;
@@ -46,6 +51,9 @@ STARS = 3
 GROUP = 32
 #: Classes of a chunk. A task holds the sets of two.
 CHUNK = 256
+#: Tokens of a chunk of a component (beyond, by one set at most), where a set weighs ``LEAST_WEIGHT`` or more.
+CHUNK_TOKENS = 1 << 17
+LEAST_WEIGHT = 64
 #: Tables of a few numbers a class are broadcast up to this many rows, else shuffled.
 BROADCAST_ROWS = 300_000
 _CACHE = 200_000
@@ -230,7 +238,7 @@ def block_links(queries: list[np.ndarray], members: list[np.ndarray], need: np.n
         return
     slabs = [words[i:i + slab] for i in range(0, len(words), slab)]
     starts = np.arange(0, len(members), GROUP)
-    bound = np.zeros((len(queries), len(starts)), np.float32)
+    bound = np.zeros((len(queries), len(starts)))  # a slab's counts are exact in 32 bits, their sums in 64
     for w in slabs:
         union = np.maximum.reduceat(_incidence(members, w), starts, axis=0)
         bound += _incidence(queries, w) @ union.T
@@ -239,7 +247,7 @@ def block_links(queries: list[np.ndarray], members: list[np.ndarray], need: np.n
         if not len(rows):
             continue
         group = members[start:start + GROUP]
-        both = np.zeros((len(rows), len(group)), np.float32)
+        both = np.zeros((len(rows), len(group)))
         for w in slabs:
             both += _incidence([queries[i] for i in rows], w) @ _incidence(group, w).T
         yield rows, start + np.arange(len(group)), both
@@ -307,9 +315,62 @@ def _matrix_links(spark: SparkSession, rows: DataFrame, percent: int) -> DataFra
     return sides.groupBy("lo", "hi").applyInArrow(run, "a bigint, b bigint")
 
 
+def _family_chunks(rows: DataFrame) -> DataFrame:
+    """``rows`` (cls, n, family, ..) with ``chunk``: classes that follow each other in the order of
+    family and size, up to a weight of ``CHUNK_TOKENS``."""
+    weighed = rows.select("family", "n", "cls", F.greatest("n", F.lit(LEAST_WEIGHT)).alias("weight"))
+    placed = ordered_index(weighed, ["family", "n", "cls"], value_col="weight", cum_col="until")
+    chunks = placed.select("cls", F.floor((F.col("until") - F.col("weight")) / CHUNK_TOKENS).alias("chunk"))
+    return rows.join(chunks, "cls")
+
+
+def family_links(spark: SparkSession, rows: DataFrame, percent: int = PERCENT, pairs: bool = False) -> DataFrame:
+    """All links of the classes ``rows`` (cls, n, tokens, copies, family), a family being closed
+    under links. Per class and task (cls, classes, copies): the linked classes and their copies;
+    or with ``pairs`` each link once, as (a, b, shared)."""
+    rows = common.written(spark, _family_chunks(rows), "family-chunks")
+    spans = rows.groupBy("family", "chunk").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    later = spans.select("family", F.col("chunk").alias("hi"), F.col("least").alias("least_hi"))
+    # the sizes of a family ascend, so the later chunk's least decides
+    meets = spans.withColumnRenamed("chunk", "lo").join(later, "family").where(
+        (F.col("lo") <= F.col("hi")) & (F.col("least_hi") * percent <= F.col("most") * 100)).select("family", "lo", "hi")
+    sides = meets.select("*", F.col("lo").alias("chunk")).unionByName(
+        meets.where("lo != hi").select("*", F.col("hi").alias("chunk")))
+    dealt = rows.join(sides, ["family", "chunk"]).select("cls", "n", "copies", "tokens", "family", "chunk", "lo", "hi")
+    schema = "a bigint, b bigint, shared bigint" if pairs else "cls bigint, classes bigint, copies bigint"
+
+    def run(block: pa.Table) -> pa.Table:
+        block = block.sort_by([("family", "ascending"), ("n", "ascending"), ("cls", "ascending")])
+        cls, n, copies, chunk = (block.column(c).to_numpy() for c in ("cls", "n", "copies", "chunk"))
+        lo, hi = block.column("lo")[0].as_py(), block.column("hi")[0].as_py()
+        first, second = np.flatnonzero(chunk == lo), np.flatnonzero(chunk == hi)
+        classes, weight = np.zeros(len(cls), np.int64), np.zeros(len(cls), np.int64)
+        found = []
+        for q, m, both in block_links(_lists(block.column("tokens"), first), _lists(block.column("tokens"), second),
+                                      least_overlap(n[first], percent)):
+            q, m = first[q], second[m]
+            hit = 100 * both >= percent * (n[q][:, None] + n[m][None, :] - both)
+            if lo == hi:
+                hit &= q[:, None] < m[None, :]
+            if pairs:
+                i, j = np.nonzero(hit)
+                found.append((cls[q[i]], cls[m[j]], both[i, j].astype(np.int64)))
+                continue
+            classes[q] += hit.sum(axis=1)
+            classes[m] += hit.sum(axis=0)
+            weight[q] += hit @ copies[m]
+            weight[m] += copies[q] @ hit
+        if pairs:
+            parts = [np.concatenate(x) for x in zip(*found)] or [cls[:0]] * 3
+            return pa.table(dict(zip(["a", "b", "shared"], parts)))
+        some = classes > 0
+        return pa.table({"cls": cls[some], "classes": classes[some], "copies": weight[some]})
+    return dealt.groupBy("lo", "hi").applyInArrow(run, schema)
+
+
 def _labelled(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int):
-    """(doc_id, key, n, cls) of every row, and (cls, rep, root) of every class: its smallest id
-    and the smallest class it reaches."""
+    """(doc_id, key, n, cls) of every row, (cls, rep, root) of every class: its smallest id and the
+    smallest class it reaches, and (cls, n, tokens) of those that may have links."""
     n = F.col("n")
     prefix = F.slice("tokens", F.lit(1), F.least(n, n - least_overlap(n, percent) + _extra(n)).cast("int"))
     every = common.written(spark, sets(docs, id_col, text_col, words).withColumn("tokens", prefix), "shingle-prefixes")
@@ -331,25 +392,60 @@ def _labelled(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str,
     more = common.written(spark, _matrix_links(spark, grouped, percent), "matrix-links")
     root = components(spark, links.unionByName(more)).withColumnRenamed("node", "cls")
     named = classes.join(root, "cls", "left").select("cls", "rep", F.coalesce("root", "cls").alias("root"))
-    return every.select("doc_id", "key", "n", "cls"), named
+    return every.select("doc_id", "key", "n", "cls"), named, rows.select("cls", "n", "tokens")
+
+
+def _families(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int):
+    """(doc_id, n, cls) of every row, (cls, rep, component_id) of every class, and (cls, n, tokens,
+    copies, family) of the classes that link with another."""
+    every, named, sets_of = _labelled(spark, docs, id_col, text_col, words, percent)
+    ids = named.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("members"))
+    by_class = common.written(spark, named.join(ids, "root"), "class-components")
+    joined = _small(by_class.where("members > 1").select("cls", F.col("root").alias("family")))
+    copies = every.join(joined.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.count("*").alias("copies"))
+    rows = sets_of.join(joined, "cls").join(copies, "cls")
+    return every.select("doc_id", "n", "cls"), by_class.select("cls", "rep", "component_id"), rows
 
 
 def join_classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``."""
-    every, named = _labelled(spark, docs, id_col, text_col, words, percent)
-    ids = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_class = named.join(ids, "root").select("cls", "component_id")
-    return every.join(by_class, "cls", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    """(doc_id, n_shingles, component_id, n_links, n_class_links) of every row of ``docs``.
+
+    n_links: other rows linked with this one, those of an equal set included; n_class_links:
+    different sets linked with its set. Both are 0 without words."""
+    every, by_class, rows = _families(spark, docs, id_col, text_col, words, percent)
+    found = family_links(spark, rows, percent).groupBy("cls").agg(F.sum("classes").alias("classes"), F.sum("copies").alias("near"))
+    every = every.where(F.col("cls").isNotNull()), every.where(F.col("cls").isNull())
+    equal = every[0].groupBy("cls").agg(F.count("*").alias("equal"))
+    sums = by_class.join(equal, "cls").join(found, "cls", "left").select(
+        "cls", "component_id", (F.coalesce("near", F.lit(0)) + F.col("equal") - 1).alias("n_links"),
+        F.coalesce("classes", F.lit(0)).cast("bigint").alias("n_class_links"))
+    none = F.lit(0).cast("bigint")
+    return every[0].join(sums, "cls").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links", "n_class_links").unionByName(
+        every[1].select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
+                        none.alias("n_links"), none.alias("n_class_links")))
+
+
+def class_links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(a, b, shared, n_a, n_b): every link between different sets once, each named by the smallest
+    id of its rows, with the shingles they share and have. Rows of one set are one class; a
+    class whose ids are all null has a null name."""
+    _, by_class, rows = _families(spark, docs, id_col, text_col, words, percent)
+    named = by_class.join(rows.select("cls", "n"), "cls").select("cls", "rep", "n")
+    ends = [named.select(F.col("cls").alias(c), F.col("rep").alias(f"rep_{c}"), F.col("n").alias(f"n_{c}")) for c in "ab"]
+    both = family_links(spark, rows, percent, pairs=True).join(ends[0], "a").join(ends[1], "b")
+    ordered = F.col("rep_a") <= F.col("rep_b")
+    pick = lambda x, y: F.when(ordered, F.col(x)).otherwise(F.col(y))
+    return both.select(pick("rep_a", "rep_b").alias("a"), pick("rep_b", "rep_a").alias("b"), "shared",
+                       pick("n_a", "n_b").alias("n_a"), pick("n_b", "n_a").alias("n_b"))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component, that of the smallest id (null ids last; of equal
     ids, the smallest hash of the text). Rows without words link with nothing and stay."""
-    every, named = _labelled(spark, docs, id_col, text_col, words, percent)
+    every, named, _ = _labelled(spark, docs, id_col, text_col, words, percent)
     rows = every.where(F.col("cls").isNotNull()).join(named.select("cls", "root"), "cls")
     first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("r")).select(
         F.col("r.doc_id").alias("keep_id"), F.col("r.key").alias("keep_key"))

@@ -29,8 +29,13 @@ pairs AS (
   FROM cells a JOIN cells b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
 links AS (SELECT x, y FROM pairs WHERE 100 * shared >= 80 * (n + m - shared)),
 edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+counted AS (SELECT x, count(*) AS n_links FROM edges GROUP BY x),
+near AS (SELECT e.x, count(DISTINCT list_sort(t.s)) AS n_class_links FROM edges e JOIN sets t ON t.doc_id = e.y
+  JOIN sets o ON o.doc_id = e.x WHERE list_sort(t.s) <> list_sort(o.s) GROUP BY e.x),
 reach AS (SELECT doc_id AS x, doc_id AS y FROM sets UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x)
-SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.y) AS component_id
-FROM sets s JOIN reach r ON r.x = s.doc_id GROUP BY s.doc_id, len(s.s)"""
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.y) AS component_id,
+  coalesce(any_value(c.n_links), 0) AS n_links, coalesce(any_value(k.n_class_links), 0) AS n_class_links
+FROM sets s JOIN reach r ON r.x = s.doc_id LEFT JOIN counted c ON c.x = s.doc_id LEFT JOIN near k ON k.x = s.doc_id
+GROUP BY s.doc_id, len(s.s)"""
 
 ORACLES = {"op7_chat_formatting": _CHAT, "op8_ngram_jaccard_join": _JACCARD}

@@ -39,6 +39,20 @@ def brute(ids, texts):
     return [(len(s), least.get(find(i))) for i, s in enumerate(found)]
 
 
+def brute_links(texts):
+    """Per text, its linked texts and the different sets among them; and the links of different sets."""
+    found = brute_sets(texts)
+    linked = [[j for j, t in enumerate(found) if j != i and s and 100 * len(s & t) >= 80 * len(s | t)] for i, s in enumerate(found)]
+    counts = [(len(js), len({frozenset(found[j]) for j in js} - {frozenset(found[i])})) for i, js in enumerate(linked)]
+    least = {}
+    for i, s in enumerate(found):
+        least.setdefault(frozenset(s), i)
+    name = lambda i: least[frozenset(found[i])]
+    pairs = {(name(i), name(j), len(found[i] & found[j]), len(found[i]), len(found[j]))
+             for i, js in enumerate(linked) for j in js if name(i) < name(j)}
+    return counts, pairs
+
+
 def corpus(seed, n=260):
     rng = random.Random(seed)
     word = lambda: rng.choice("abcdefghij") + rng.choice("klmnop") + rng.choice("qrstuv")
@@ -79,6 +93,19 @@ def test_matrix_alone_finds_all_links(spark, make_docs, monkeypatch):
     assert got == {i: c for i, (_, c) in zip(ids, brute(ids, [*texts, "no id here"]))}
 
 
+@pytest.mark.parametrize("tokens", [1 << 17, 600])
+def test_no_link_is_lost(spark, make_docs, monkeypatch, tokens):
+    """Links inside a family too, in one chunk and over many of a few sets each."""
+    monkeypatch.setattr(J, "CHUNK_TOKENS", tokens)
+    texts = corpus(4, 200)
+    counts, pairs = brute_links(texts)
+    docs = make_docs(texts)
+    got = {r["doc_id"]: (r["n_links"], r["n_class_links"]) for r in J.join_classes(spark, docs).collect()}
+    assert got == {**dict(enumerate(counts)), None: (0, 0)} and max(counts)[0] > 8
+    rows = J.class_links(spark, docs).collect()
+    assert len(rows) == len(pairs) > 50 and {tuple(r) for r in rows} == pairs
+
+
 def test_awkward_rows(spark, make_docs, sample_texts):
     texts = sample_texts + ["same few words", "Same few\nwords", "same few"]
     docs = make_docs(texts, [(None, "same few words", None, None, None, 0), (7, None, None, None, None, 0)])
