@@ -166,50 +166,6 @@ def wilcoxon_signed_rank(pairs: DataFrame, diff: str = "diff") -> DataFrame:
                     (F.col("mean_diff") + half).alias("ci_high"))
 
 
-# ------------------------------------------------------------------ bootstrap (H7)
-def bootstrap_mean_diff(df: DataFrame, value: str, group: Column, replicates: int = 2000,
-                        seed: int = 42, conf: float = 0.95) -> DataFrame:
-    """H7: Poisson(1)-weight bootstrap of the difference of group means.
-
-    Each task draws weights for its own rows (seeded by partition index, so a
-    retried task redraws the same weights) and emits per-replicate partial
-    sums (replicates x 4 numbers per task); Spark sums them per replicate.
-    """
-    base = df.where(F.col(value).isNotNull() & group.isNotNull()).select(
-        F.col(value).cast("double").alias("x"), group.alias("g"), F.spark_partition_id().alias("__pid"))
-    out_schema = "rep int, s1 double, w1 double, s2 double, w2 double"
-
-    def partial(batches):
-        acc = np.zeros((replicates, 4))
-        rng = None
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            if rng is None:
-                rng = np.random.default_rng([seed, int(pdf["__pid"].iloc[0])])
-            x = pdf["x"].to_numpy()
-            g = pdf["g"].to_numpy().astype(bool)
-            for start in range(0, len(x), 4096):
-                xs, gs = x[start:start + 4096], g[start:start + 4096]
-                w = rng.poisson(1.0, size=(replicates, len(xs))).astype(np.float64)
-                acc[:, 0] += w[:, gs] @ xs[gs]
-                acc[:, 1] += w[:, gs].sum(axis=1)
-                acc[:, 2] += w[:, ~gs] @ xs[~gs]
-                acc[:, 3] += w[:, ~gs].sum(axis=1)
-        yield pd.DataFrame({"rep": np.arange(replicates, dtype=np.int32), "s1": acc[:, 0],
-                            "w1": acc[:, 1], "s2": acc[:, 2], "w2": acc[:, 3]})
-
-    parts = base.mapInPandas(partial, out_schema)
-    reps = parts.groupBy("rep").agg(((F.sum("s1") / F.sum("w1")) - (F.sum("s2") / F.sum("w2")))
-                                    .alias("diff"))
-    lo, hi = (1 - conf) / 2, 1 - (1 - conf) / 2
-    point = base.agg((F.avg(F.when(F.col("g"), F.col("x"))) - F.avg(F.when(~F.col("g"), F.col("x"))))
-                     .alias("mean_diff"))
-    ci = reps.agg(F.percentile("diff", lo).alias("ci_low"), F.percentile("diff", hi).alias("ci_high"),
-                  F.count(F.lit(1)).alias("replicates"))
-    return _one(point).join(_one(ci), "__one").drop("__one")
-
-
 # ------------------------------------------------------------------ OLS with HC3 (H8)
 def design_matrix(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str],
                   levels: dict[str, list]) -> tuple[DataFrame, list[str]]:

@@ -12,6 +12,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staylens.operators.bootstrap import bootstrap_mean_diff
 from staylens.operators.ordered import with_quantiles
 from staylens.plans.pipeline import Pipeline, shared
 
@@ -783,7 +784,7 @@ def _(spark, sf):
 
 @_q("stats_bootstrap_superhost_price")
 def _(spark, sf):
-    return ST.bootstrap_mean_diff(_eda(spark, sf), "price_numeric", F.col("host_is_superhost"), 2000)
+    return bootstrap_mean_diff(_eda(spark, sf), "price_numeric", F.col("host_is_superhost"), 2000)
 
 
 @query("stats_ols_hc3_log_price")

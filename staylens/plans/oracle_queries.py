@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from staylens.operators.bootstrap import poisson_steps
 from staylens.plans.oracle import compose
 
 ORACLES: dict[str, str] = {}
@@ -722,6 +723,31 @@ FROM (SELECT count(*) FILTER (WHERE g) AS n1, count(*) FILTER (WHERE NOT g) AS n
                     + count(*) OVER (PARTITION BY review_scores_rating) - 1
                     + rank() OVER (ORDER BY review_scores_rating)) / 2.0 AS r
             FROM lm WHERE review_scores_rating IS NOT NULL AND host_is_superhost IS NOT NULL))""")
+
+
+def _bootstrap(source: str, value: str, group: str, replicates: int) -> str:
+    """Keyed Poisson draws, a row per replicate."""
+    u = "(('0x' || substr({0}, 1 + 8 * CAST(rep % 8 AS INT), 8))::BIGINT)"
+    steps = "[" + ", ".join(map(str, poisson_steps())) + "]"
+    return f"""
+SELECT * FROM (WITH base AS (SELECT CAST({value} AS DOUBLE) AS x, CAST({group} AS INT) AS g FROM {source}
+  WHERE {value} IS NOT NULL AND {group} IS NOT NULL),
+counts AS (SELECT g, x, count(*) AS c, CAST(CAST(x AS DECIMAL(38,9)) AS VARCHAR) AS name FROM base GROUP BY g, x),
+copies AS (SELECT *, unnest(CASE WHEN c <= 30 THEN range(0, c) ELSE [-1] END) AS copy FROM counts),
+digests AS (SELECT g, x, c, copy, block, sha256('42|' || g || '|' || name || '|' || copy || '|' || block) AS one,
+    CASE WHEN copy < 0 THEN sha256('42|' || g || '|' || name || '|' || copy || '|' || block || '|b') END AS other
+  FROM copies, range(0, {-(-replicates // 8)}) t(block)),
+draws AS (SELECT g, x, c, copy, block * 8 + k AS rep, one, other FROM digests, range(0, 8) s(k)),
+weights AS (SELECT rep, g, x, CASE WHEN copy >= 0 THEN len(list_filter({steps}, lambda t: t <= {u.format("one")}))
+    ELSE greatest(0, floor(c + sqrt(c) * sqrt(-2 * ln(({u.format("one")} + 0.5) / 4294967296.0))
+      * cos(2 * pi() * (({u.format("other")} + 0.5) / 4294967296.0)) + 0.5)) END AS w FROM draws WHERE rep < {replicates}),
+means AS (SELECT rep, g, sum(w * x) / nullif(sum(w), 0) AS m FROM weights GROUP BY rep, g),
+diffs AS (SELECT max(m) FILTER (WHERE g = 1) - max(m) FILTER (WHERE g = 0) AS d FROM means GROUP BY rep)
+SELECT (SELECT round(avg(x) FILTER (WHERE g = 1) - avg(x) FILTER (WHERE g = 0), 4) FROM base) AS mean_diff,
+  round(quantile_cont(d, 0.025), 4) AS ci_low, round(quantile_cont(d, 0.975), 4) AS ci_high, count(d) AS replicates FROM diffs)"""
+
+
+oracle("stats_bootstrap_superhost_price", ["eda"], _bootstrap("eda", "price_numeric", "host_is_superhost", 2000))
 oracle("stats_kruskal_neighbourhood_price", ["eda"], """
 SELECT CAST(n AS BIGINT) AS n_total, k AS groups, round(h, 4) AS statistic, round((h - k + 1) / (n - k), 4) AS effect_size
 FROM (SELECT n, k, (12 / (n * (n + 1)) * s - 3 * (n + 1)) / (1 - tie / (pow(n, 3) - n)) AS h
