@@ -873,6 +873,19 @@ def _expected_current(spark, sf):
         room.alias("room_type"))
 
 
+@query("cdc_two_tables_compacted")
+def _(spark, sf):
+    """Versions and dead letters of each source table, with compactions between the deliveries."""
+    job = CDC.run_two_tables(spark, sf)
+    history = job.history().groupBy("source_table").agg(
+        F.count(F.lit(1)).alias("versions"), F.count_if("is_current").alias("current_versions"),
+        F.sum("lsn").alias("lsn_sum"), F.sum(F.round(F.col("price_numeric") * 100).cast("bigint")).alias("price_cents"))
+    dead = job.dead_letters().groupBy("source_table").agg(
+        F.count_if(F.col("failure_reason") == "conflicting_event").alias("conflicts"),
+        F.count_if(F.col("failure_reason") == "invalid_price_numeric").alias("malformed"))
+    return history.join(dead, "source_table", "left").fillna(0, ["conflicts", "malformed"])
+
+
 @query("cdc_reconciliation")
 def _(spark, sf):
     cur = CDC.run_from_orders(spark, sf).history().where("is_current AND NOT is_deleted").select(

@@ -808,6 +808,11 @@ SELECT n + again AS events_in, n - twice - bad AS applied, twice + again - bad_a
 FROM (SELECT count(*) AS n, count(*) FILTER (WHERE (k + place) % 3 = 0) AS again, count(*) FILTER (WHERE kind = 2) AS twice,
   count(*) FILTER (WHERE kind = 5) AS bad, count(*) FILTER (WHERE kind = 5 AND (k + place) % 3 = 0) AS bad_again FROM ({_PLACED}))""")
 oracle("cdc_progress", ["cdc_events"], "SELECT 'listings' AS source_table, max(lsn) AS last_lsn FROM cdc_events")
+oracle("cdc_two_tables_compacted", ["cdc_history"], """
+SELECT t AS source_table, h.*, (SELECT count(*) FROM orders WHERE o_orderstatus = 'O') AS conflicts,
+  (SELECT count(*) FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED') AS malformed
+FROM (VALUES ('listings'), ('hosts')) v(t), (SELECT count(*) AS versions, count(*) FILTER (WHERE is_current) AS current_versions,
+  CAST(sum(lsn) AS BIGINT) AS lsn_sum, CAST(sum(CAST(round(price_numeric * 100) AS BIGINT)) AS BIGINT) AS price_cents FROM cdc_history) h""")
 oracle("cdc_reconciliation", ["cdc_history"], """
 SELECT count(*) AS snapshot_rows, count(*) AS stream_rows, count(*) AS matched_rows, 0::BIGINT AS mismatched_rows
 FROM cdc_history WHERE is_current AND NOT is_deleted""")
