@@ -153,7 +153,7 @@ def wilcoxon_signed_rank(pairs: DataFrame, diff: str = "diff") -> DataFrame:
                                                   F.stddev_samp(diff).alias("sd_diff"),
                                                   F.count(F.lit(1)).alias("n_pairs"))
     x = _one(w).join(_one(ties), "__one").join(_one(st), "__one")
-    n = F.col("n")
+    n = F.col("n").cast("double")  # n * n * n leaves 64 bits from two million pairs on
     mu = n * (n + 1) / 4
     sigma = F.sqrt(n * (n + 1) * (2 * n + 1) / 24 - F.col("tie_term") / 48)
     z = F.try_divide(F.col("w_plus") - mu, sigma)

@@ -58,3 +58,12 @@ def test_ols_matches_numpy(spark):
     h = np.einsum("ij,jk,ik->i", X, inv, X)
     cov = inv @ (X.T * (e / (1 - h)) ** 2) @ X @ inv
     assert abs(res["x1"]["std_err"] - math.sqrt(cov[1, 1])) < 1e-9
+
+
+def test_wilcoxon_of_millions_of_pairs(spark):
+    """The third power of the number of pairs leaves 64 bits."""
+    n = 2_000_000
+    pairs = spark.range(n).select(F.when(F.col("id") % 2 == 0, 1.0).otherwise(-1.0).alias("diff"))
+    r = ST.wilcoxon_signed_rank(pairs).first()
+    assert (r["n"], r["n_pairs"], r["statistic"]) == (n, n, n / 2 * (n + 1) / 2)
+    assert abs(r["z"]) < 1e-9
