@@ -29,6 +29,8 @@ IMPORTANT_FIELDS = {
     "calendar": ["minimum_nights", "maximum_nights"],
     "reviews": ["reviewer_id", "comments"],
 }
+# Classes of a column by its share of nulls, in per cent.
+NULL_CLASSES = [("complete", 0.0), ("mostly_complete", 5.0), ("partial", 30.0), ("sparse", 100.0)]
 # Fixed value: the reference's default bounding box.
 LONDON_BBOX = {"lat": (51.2, 51.8), "lon": (-0.55, 0.35)}
 
@@ -63,6 +65,11 @@ def completeness_class(source: str, column: Column) -> Column:
             .when(column.isin(IMPORTANT_FIELDS.get(source, [])), "important").otherwise("optional"))
 
 
+def null_class(null_pct: Column) -> Column:
+    """The class of a column by its measured share of nulls."""
+    return F.coalesce(*(F.when(null_pct <= F.lit(hi), label) for label, hi in NULL_CLASSES))
+
+
 def field_completeness(profiles: dict[str, DataFrame]) -> DataFrame:
     """AG48: (source, column, completeness_class, rows, null_count, null_pct) of the column
     profiles of several sources."""
@@ -75,7 +82,8 @@ def field_completeness(profiles: dict[str, DataFrame]) -> DataFrame:
 
 
 def extended_profile(df: DataFrame, numeric_cols: Sequence[str], source: str = "listings") -> DataFrame:
-    """AG48: median/std/quartiles, cardinality ratio and completeness class per column."""
+    """AG48: median/std/quartiles, cardinality ratio, completeness by the share of nulls and the
+    class of the field in its source, per column."""
     lng = _long(df, numeric_cols)
     agg = lng.groupBy("column").agg(
         F.count(F.lit(1)).alias("rows"), F.count("num").alias("non_null"),
@@ -84,7 +92,8 @@ def extended_profile(df: DataFrame, numeric_cols: Sequence[str], source: str = "
     agg = with_quantiles(agg, lng, ["column"], {"q1": ("num", 0.25), "median": ("num", 0.5), "q3": ("num", 0.75)})
     return agg.select("column", "rows", "non_null", "distinct_count", "q1", "median", "q3", "std",
                       (F.col("distinct_count") / F.col("rows")).alias("cardinality_ratio"),
-                      completeness_class(source, F.col("column")).alias("completeness"))
+                      null_class((F.col("rows") - F.col("non_null")) * 100.0 / F.col("rows")).alias("completeness"),
+                      completeness_class(source, F.col("column")).alias("completeness_class"))
 
 
 def top_values_per_column(df: DataFrame, cols: Sequence[str], k: int = 5,
