@@ -1,7 +1,9 @@
 """Plans and results that must hold when tables grow."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from staylens.operators import bootstrap as B
 from staylens.operators import profile as PR
 
 
@@ -18,3 +20,24 @@ def test_completeness_follows_the_nulls(spark):
         "accommodates": "complete", "bedrooms": "partial", "id": "sparse"}
     assert {c: r["completeness_class"] for c, r in got.items()} == {
         "accommodates": "important", "bedrooms": "important", "id": "critical"}
+
+
+def test_draws_are_made_for_many_replicates_at_once(spark):
+    """The draws of a replicate are no rows or columns of Spark's."""
+    df = spark.createDataFrame([(1.0, True), (2.0, False)], "x double, g boolean")
+    assert "Generate" not in plan(B.replicate_means(df, "x", F.col("g"), 100))
+
+
+def test_draws_by_hand(spark):
+    import hashlib
+    df = spark.createDataFrame([(1.5, True), (1.5, True), (4.0, True), (2.0, False)], "x double, g boolean")
+    got = {r["rep"]: r["mean_1"] for r in B.replicate_means(df, "x", F.col("g"), 11, seed=7).collect()}
+    steps = B.poisson_steps()
+
+    def weight(name, copy, rep):
+        digest = hashlib.sha256(f"7|1|{name}|{copy}|{rep // 8}".encode()).digest()
+        u = int.from_bytes(digest[4 * (rep % 8):4 * (rep % 8) + 4], "big")
+        return sum(step <= u for step in steps)
+    for rep in range(11):
+        a, b = weight("1.500000000", 0, rep) + weight("1.500000000", 1, rep), weight("4.000000000", 0, rep)
+        assert got[rep] == (pytest.approx((1.5 * a + 4.0 * b) / (a + b)) if a + b else None)
