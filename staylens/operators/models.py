@@ -7,6 +7,7 @@ metric rows (a handful) are seen by the driver.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import Sequence
 
 from pyspark.ml import Pipeline as MLPipeline
@@ -60,14 +61,20 @@ INITS, MOST_INITS = 3, 10
 
 def best_kmeans(vec: DataFrame, k: int, seed: int = 42, inits: int = INITS, below: float | None = None):
     """The K-Means model of least cost over several initialisations. While it costs more than
-    ``below`` (the cost for a smaller k), up to ``MOST_INITS`` are tried."""
-    best = None
-    for i in range(max(inits, MOST_INITS)):
-        if i >= inits and (below is None or best.summary.trainingCost <= below):
+    ``below`` (the cost for a smaller k), up to ``MOST_INITS`` are tried.
+
+    Of a cached table MLlib keeps no points of its own: every iteration would read its rows and
+    rebuild their vectors. The points are a table that isn't cached, so MLlib keeps them."""
+    points = vec.select("features")
+
+    def fit(i: int):
+        return KMeans(k=k, seed=seed + i, featuresCol="features", maxIter=300).fit(points)
+    with ThreadPoolExecutor(max(inits, 1)) as pool:  # their small jobs fill each other's gaps
+        best = min(pool.map(fit, range(inits)), key=lambda m: m.summary.trainingCost)
+    for i in range(inits, max(inits, MOST_INITS)):
+        if below is None or best.summary.trainingCost <= below:
             break
-        model = KMeans(k=k, seed=seed + i, featuresCol="features", maxIter=300).fit(vec)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
+        best = min(best, fit(i), key=lambda m: m.summary.trainingCost)
     return best
 
 

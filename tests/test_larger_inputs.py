@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from staylens.operators import bootstrap as B
+from staylens.operators import models as MO
 from staylens.operators import profile as PR
 
 
@@ -41,3 +42,17 @@ def test_draws_by_hand(spark):
     for rep in range(11):
         a, b = weight("1.500000000", 0, rep) + weight("1.500000000", 1, rep), weight("4.000000000", 0, rep)
         assert got[rep] == (pytest.approx((1.5 * a + 4.0 * b) / (a + b)) if a + b else None)
+
+
+def test_kmeans_points_are_kept_by_the_fit(spark, monkeypatch):
+    """A cached table would be read and its vectors rebuilt in every iteration."""
+    seen = []
+
+    class Seen(MO.KMeans):
+        def fit(self, points):
+            seen.append(points.storageLevel.useMemory)
+            return super().fit(points)
+    monkeypatch.setattr(MO, "KMeans", Seen)
+    vec = MO.assemble(spark.range(60).select(F.col("id").cast("double").alias("x")), ["x"]).cache()
+    assert MO.best_kmeans(vec, 2).summary.k == 2
+    assert seen == [False] * MO.INITS
