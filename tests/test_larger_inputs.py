@@ -56,3 +56,28 @@ def test_kmeans_points_are_kept_by_the_fit(spark, monkeypatch):
     vec = MO.assemble(spark.range(60).select(F.col("id").cast("double").alias("x")), ["x"]).cache()
     assert MO.best_kmeans(vec, 2).summary.k == 2
     assert seen == [False] * MO.INITS
+
+
+def test_importance_plan_does_not_grow_with_repeats(spark):
+    class Model:
+        def transform(self, df):
+            return df.withColumn("prediction", F.log1p(F.col("a") + F.coalesce("b", F.lit(0.0))))
+    test = spark.range(40).select("id", F.col("id").cast("int").alias("a"), F.lit(2.0).alias("b"),
+                                  (F.col("id") + 2.0).alias("price_numeric"))
+    size = lambda n: len(plan(MO.permutation_importance(Model(), test, ["a", "b"], {"b": 1.0}, repeats=n)).splitlines())
+    assert size(3) == size(1)
+    got = {r["feature"]: r for r in MO.permutation_importance(Model(), test, ["a", "b"], {"b": 1.0}, repeats=3).collect()}
+    assert got["a"]["mae_increase"] > 5 and abs(got["b"]["mae_increase"]) < 1e-9
+
+
+def test_fit_finds_medians_once_and_keeps_no_rows(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(MO, "column_medians", lambda df, cols, was=MO.column_medians: asked.append(cols) or was(df, cols))
+    rows = [(i, None if i % 5 == 0 else i, "x" if i % 3 else None, "p", float(i + 1)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, a int, room_type string, neighbourhood_cleansed string, price_numeric double")
+    df = df.withColumn("log_price", F.log1p("price_numeric"))
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    model, fill = MO.fit_price_model(df, "ridge", ["a"], ["room_type", "neighbourhood_cleansed"])
+    assert fill == {"a": 30.0, "room_type": "x", "neighbourhood_cleansed": "p"}
+    assert MO.score(model, df, fill).where("predicted_price IS NULL").count() == 0
+    assert len(asked) == 1 and spark.sparkContext._jsc.getPersistentRDDs().size() == kept
