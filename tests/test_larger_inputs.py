@@ -1,11 +1,15 @@
 """Plans and results that must hold when tables grow."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from staylens.operators import bootstrap as B
 from staylens.operators import models as MO
+from staylens.operators import ordered as O
 from staylens.operators import profile as PR
+from staylens.operators import summaries as SU
 
 
 def plan(df):
@@ -58,6 +62,32 @@ def test_kmeans_points_are_kept_by_the_fit(spark, monkeypatch):
     assert seen == [False] * MO.INITS
 
 
+def test_master_deals_listings_by_id_only(spark):
+    from staylens.plans.pipeline import Pipeline
+    p = Pipeline(spark, "/root/testdata/sf0.001")
+    ns = spark.createDataFrame([("X", 1, 2.0, 3.0)], "neighbourhood string, listing_count long, "
+                               "median_price_gbp double, listings_per_km2 double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = plan(SU.listing_master(p.listings, p.review_summary, p.calendar_summary, ns, dt.date(2024, 2, 15)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(neighbourhood_cleansed" not in got
+
+
+def test_quantiles_deal_counts_once(spark):
+    df = spark.range(50).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        q = O.exact_quantiles(df, ["g"], {"m": ("v", 0.5)})
+        assert "SortMergeJoin" not in plan(q)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r["g"]: r["m"] for r in q.collect()} == {0: 24.0, 1: 25.0}
+
+
 def test_importance_plan_does_not_grow_with_repeats(spark):
     class Model:
         def transform(self, df):
