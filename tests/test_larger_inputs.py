@@ -111,3 +111,27 @@ def test_fit_finds_medians_once_and_keeps_no_rows(spark, monkeypatch):
     assert fill == {"a": 30.0, "room_type": "x", "neighbourhood_cleansed": "p"}
     assert MO.score(model, df, fill).where("predicted_price IS NULL").count() == 0
     assert len(asked) == 1 and spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+
+
+def test_boosting_has_a_task_a_core(spark, monkeypatch):
+    """However the rows were split before: the same rows in the same places, none lost."""
+    monkeypatch.setattr(MO, "BOOSTING_TASK_ROWS", 50)
+    df = spark.range(120).select("id", F.when(F.col("id") % 7 > 0, F.col("id") % 5).alias("a"), F.lit("x").alias("room_type"),
+                                 F.log1p("id").alias("log_price"))
+    twice = df.unionByName(df.where("id % 10 = 0"))
+    cores = spark.sparkContext.defaultParallelism
+    places = lambda n, rows: [list(map(tuple, p)) for p in MO.dealt_for_boosting(twice.repartition(n), rows).rdd.glom().collect()]
+    assert places(50, 132) == places(3, 132) and len(places(50, 132)) == cores
+    assert sum(map(len, places(50, 132))) == 132 and len(places(2, 50 * cores + 1)) == cores + 1
+    seen = []
+
+    class Stages:
+        def __init__(self, stages):
+            pass
+
+        def fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), rows.count()))
+    monkeypatch.setattr(MO, "MLPipeline", Stages)
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    MO.fit_price_model(twice.repartition(50), "gradient_boosting", ["a"], ["room_type"])
+    assert seen == [(cores, 132)] and spark.sparkContext._jsc.getPersistentRDDs().size() == kept
