@@ -405,9 +405,7 @@ def snapshots(spark, sf):
     re-typed to hotel_room / inactive where nothing is available.
     """
     p = shared(spark, sf)
-    cs = p.calendar_summary.select(F.col("listing_id").alias("id"), "first_calendar_date",
-                                   "last_calendar_date", "availability_rate")
-    base = p.listings.select("id", "price_numeric", "room_type", "is_de_facto_inactive").join(cs, "id")
+    base = p.listing_states
     old = base.where(F.col("first_calendar_date") < F.lit(_dt.date(2000, 1, 1))).select(
         "id", "price_numeric", "room_type", "is_de_facto_inactive",
         F.lit(OLD_SNAPSHOT).alias("snapshot_date"))

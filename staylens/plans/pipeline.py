@@ -124,6 +124,16 @@ class Pipeline:
                                                    self.calendar_summary, self.neighbourhood_summary,
                                                    self.snapshot))
 
+    @cached_property
+    def listing_states(self) -> DataFrame:
+        """Price, room type and inactivity of the listings with their calendars' spans; only the raw
+        columns that these and the rejection rules need are joined, checked for copies and kept."""
+        raw = self.raw_listings.select("id", "price", "latitude", "longitude", "room_type", "minimum_nights")
+        spans = self.calendar_summary.select(
+            F.col("listing_id").alias("id"), "first_calendar_date", "last_calendar_date", "availability_rate")
+        return self._keep(quality.clean_listings(raw, self.currency_code).clean.select(
+            "id", "price_numeric", "room_type", "is_de_facto_inactive").join(spans, "id"))
+
     # -- star schema -------------------------------------------------------
     @cached_property
     def dim_neighbourhood(self) -> DataFrame:

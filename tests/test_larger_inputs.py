@@ -135,3 +135,14 @@ def test_boosting_has_a_task_a_core(spark, monkeypatch):
     kept = spark.sparkContext._jsc.getPersistentRDDs().size()
     MO.fit_price_model(twice.repartition(50), "gradient_boosting", ["a"], ["room_type"])
     assert seen == [(cores, 132)] and spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+
+
+def test_snapshots_clean_the_columns_they_need(spark):
+    from staylens.plans.pipeline import Pipeline
+    sf = "/root/testdata/sf0.001"
+    p = Pipeline(spark, sf)
+    read = p.listing_states._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_totalprice" in read and not any(c in read for c in ("c_name", "c_mktsegment", "first_order_ts", "amenities"))
+    spans = p.calendar_summary.select(F.col("listing_id").alias("id"), "first_calendar_date", "last_calendar_date", "availability_rate")
+    want = p.listings.select("id", "price_numeric", "room_type", "is_de_facto_inactive").join(spans, "id")
+    assert sorted(map(str, p.listing_states.collect())) == sorted(map(str, want.collect()))
