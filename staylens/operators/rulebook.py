@@ -1,11 +1,11 @@
 """Rules over many tables in one tagged pass.
 
-Rows of all tables become (domain, key, table, measures). A domain is a set of keys that means
-the same in several tables, such as listing keys. One grouped aggregation over (domain, key) counts each
-table's rows per key and adds up the row measures; a second one, over the groups, reads off what
-the rules ask: rows, repeated keys, keys without a parent, measures. So all rules together take
-one shuffle by key, however many tables and rules there are. Rows of a key that holds a third of
-a table are added up before the shuffle. A table without keys shrinks to one row per task.
+Keys of all tables become (domain, key, table). A domain is a set of keys that means the same in
+several tables, such as listing keys. One grouped aggregation over (domain, key) counts each table's rows
+per key; a second one, over the groups and the rows' measures, reads off what the rules ask: rows,
+repeated keys, keys without a parent, measures. So all rules together take one shuffle by key, however
+many tables and rules there are, and it carries keys and counts alone: measures are added up in
+the tasks that read the rows. Rows of a key that holds a third of a table are added up before the shuffle.
 
 Nulls: a key with a null part is no key. It is no repetition of another, and a reference with it has no
 parent; ``repeated`` counts rows less distinct keys as SQL's COUNT(DISTINCT) does, so null keys
@@ -49,22 +49,26 @@ def _key_type(tables: Sequence[Table]) -> str:
     return "bigint" if all(isinstance(k, IntegralType) for k in kinds) else "string"
 
 
-def _tagged(table: Table, names: list[str], width: int, kind: str) -> DataFrame:
-    """The rows of a table, once for each of its domains; measures stand in the first."""
+def _keyed(table: Table, width: int, kind: str) -> DataFrame:
+    """The keys of a table's rows, once for each of its domains."""
     none = F.lit(None).cast(kind)
 
-    def key(domain, columns, first):
+    def key(domain, columns):
         parts = [F.col(c).cast(kind) for c in columns] + [none] * (width - len(columns))
         whole = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in columns), F.lit(bool(columns)))
         return F.struct(F.lit(domain).alias("domain"), *(p.alias(f"k{i}") for i, p in enumerate(parts)),
-                        whole.alias("whole"), F.lit(first).alias("first"))
-    places = [key(d, c, i == 0) for i, (d, c) in enumerate((table.keys or {"": []}).items())]
+                        whole.alias("whole"))
+    places = [key(d, c) for d, c in table.keys.items()]
+    rows = table.df.select((F.explode(F.array(*places)) if len(places) > 1 else places[0]).alias("at"))
+    return rows.select(F.lit(table.name).alias("table"), "at.*")
+
+
+def _measured(table: Table, names: list[str], counts: Sequence[str]) -> DataFrame:
+    """The measures of a table's rows."""
     own = {n: c for n, _, c in _measures(table)}
-    cells = [own.get(n, F.lit(None).cast("bigint")).alias(f"m{i}") for i, n in enumerate(names)]
-    rows = table.df.select(*cells, (F.explode(F.array(*places)) if len(places) > 1 else places[0]).alias("at"))
-    held = [F.when(F.col("at.first"), F.col(f"m{i}")).alias(f"m{i}") for i in range(len(names))]
-    return rows.select(F.lit(table.name).alias("table"), "at.domain", *(f"at.k{i}" for i in range(width)),
-                       "at.whole", *held)
+    none = F.lit(None).cast("bigint")
+    return table.df.select(F.lit(table.name).alias("table"), F.lit(None).cast("string").alias("domain"), F.lit(None).cast("boolean").alias("whole"),
+                           *(none.alias(c) for c in counts), *(own.get(n, none).alias(f"m{i}") for i, n in enumerate(names)))
 
 
 class Figures:
@@ -96,11 +100,13 @@ def figures(tables: Sequence[Table]) -> Figures:
     how = [h for t in tables for _, h, _ in _measures(t)]
     width = max((len(c) for t in tables for c in t.keys.values()), default=0)
     kind = _key_type(tables)
-    rows = reduce(DataFrame.unionByName, (_tagged(t, names, width, kind) for t in tables))
     count = {t.name: f"n{i}" for i, t in enumerate(tables)}
-    per_key = rows.groupBy("domain", *(f"k{i}" for i in range(width)), "whole").agg(
-        *(F.count_if(F.col("table") == n).alias(c) for n, c in count.items()),
-        *(h(f"m{i}").alias(f"m{i}") for i, h in enumerate(how)))
+    # keys alone are dealt by key; measures go with no key, so they are added up in the tasks
+    rows = reduce(DataFrame.unionByName, (_measured(t, names, list(count.values())) for t in tables))
+    if keyed := [_keyed(t, width, kind) for t in tables if t.keys]:
+        per_key = reduce(DataFrame.unionByName, keyed).groupBy("domain", *(f"k{i}" for i in range(width)), "whole").agg(
+            *(F.count_if(F.col("table") == n).alias(c) for n, c in count.items()))
+        rows = rows.unionByName(per_key.select("domain", "whole", *count.values()), allowMissingColumns=True)
 
     def over(domain, value):
         return F.coalesce(F.sum(F.when(F.col("domain") == domain, value)), F.lit(0))
@@ -108,7 +114,7 @@ def figures(tables: Sequence[Table]) -> Figures:
            for i, (n, h) in enumerate(zip(names, how))]
     for t in tables:
         n = F.col(count[t.name])
-        out.append(over(next(iter(t.keys), ""), n).alias(f"rows {t.name}"))
+        out.append(F.count_if(F.col("table") == t.name).alias(f"rows {t.name}"))
         for d in t.keys:
             out += [over(d, n - F.when(F.col("whole") & (n > 0), 1).otherwise(0)).alias(f"repeated {t.name} {d}"),
                     over(d, F.when(F.col("whole") & (n > 1), n)).alias(f"copies {t.name} {d}")]
@@ -116,7 +122,7 @@ def figures(tables: Sequence[Table]) -> Figures:
                 if p.name != t.name and d in p.keys:
                     lost = ~F.col("whole") | (F.col(count[p.name]) == 0)
                     out.append(over(d, F.when(lost, n)).alias(f"orphans {t.name} {p.name} {d}"))
-    return Figures(per_key.agg(*out), tables)
+    return Figures(rows.agg(*out), tables)
 
 
 def rule_rows(found: Figures, rules: dict[str, Column], name: str = "rule", value: str = "violations") -> DataFrame:

@@ -80,3 +80,10 @@ def test_suites_share_the_pass(spark):
     assert (rows["a", 3]["unexpected_count"], rows["a", 3]["element_count"]) == (1, 3)
     assert rows["a", 6]["observed"] == "v" and rows["a", 5]["observed"] == "column missing"
     assert {(r["suite"], r["evaluated"], r["passed"], r["failed"]) for r in suite_summary(got).collect()} == {("a", 8, 2, 6), ("b", 2, 2, 0)}
+
+
+def test_measures_are_not_dealt_by_key(spark):
+    found, _, _ = run(spark)
+    lines = found.df._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = lines[next(i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x) + 1]
+    assert "Aggregate" in below and "partial_sum" not in below and "partial_min" not in below and "partial_max" not in below
