@@ -141,7 +141,7 @@ def test_snapshots_clean_the_columns_they_need(spark):
     from staylens.plans.pipeline import Pipeline
     sf = "/root/testdata/sf0.001"
     p = Pipeline(spark, sf)
-    read = p.listing_states._jdf.queryExecution().optimizedPlan().toString()
+    read = plan(p.listing_states)
     assert "o_totalprice" in read and not any(c in read for c in ("c_name", "c_mktsegment", "first_order_ts", "amenities"))
     spans = p.calendar_summary.select(F.col("listing_id").alias("id"), "first_calendar_date", "last_calendar_date", "availability_rate")
     want = p.listings.select("id", "price_numeric", "room_type", "is_de_facto_inactive").join(spans, "id")
