@@ -339,17 +339,18 @@ def dealt_for_boosting(train: DataFrame, rows: int) -> DataFrame:
 
 def fit_price_model(train: DataFrame, kind: str, numeric: Sequence[str], categorical: Sequence[str]):
     """The fitted pipeline and the values that stand for missing inputs. Medians and modes of the
-    imputed rows are those of the given ones, so they are found once."""
+    imputed rows are those of the given ones, so they are found once. ``train`` is read in every stage
+    of the pipeline, so it should be a written table."""
     fill = training_fill(train, numeric, categorical)
     tr = train.select(*[F.coalesce(F.col(c), F.lit(fill[c]).cast("double")).alias(c) if c in numeric else F.col(c)
-                        for c in train.columns]).fillna({c: fill[c] for c in categorical if c in fill}).cache()
+                        for c in train.columns]).fillna({c: fill[c] for c in categorical if c in fill})
     stats = tr.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("log_price").alias("sd")).first()
     pipe = MLPipeline(stages=preprocess_stages(numeric, categorical)
                       + [regressor(kind, stats["n"], stats["sd"])])
     rows = dealt_for_boosting(tr, stats["n"]).cache() if kind == "gradient_boosting" else tr
     model = pipe.fit(rows)
-    rows.unpersist()
-    tr.unpersist()
+    if rows is not tr:
+        rows.unpersist()
     return model, fill
 
 

@@ -7,7 +7,8 @@ materialise both should persist/write the flagged plan once (see
 
 Duplicate detection (keep=False semantics: every copy of a repeated key is
 flagged, null keys are equal to each other) is ``repeats.flag_repeats``: one scan and one
-exchange for each key, whatever share of the rows a key holds.
+exchange for each key, whatever share of the rows a key holds. Listings are wide and keyed by
+their id, so ``repeats.flag_listed_repeats`` deals the ids alone.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions import scalars as S
-from staylens.operators.repeats import flag_repeats
+from staylens.operators.repeats import flag_listed_repeats, flag_repeats
 
 # Columns dropped / typed by the listings cleaner.
 LISTING_DROP_COLUMNS = ["listing_url", "scrape_id", "picture_url", "host_url",
@@ -117,7 +118,7 @@ def clean_listings_flagged(raw: DataFrame, currency_code: str = "GBP") -> DataFr
                                   F.lit(False)).alias("is_de_facto_inactive"))
     typed = typed.select("*", *derived)
     if "id" in cols:
-        typed = flag_repeats(typed, ["id"], "__dup_id")
+        typed = flag_listed_repeats(typed, ["id"], "__dup_id")
     rules = []
     if "price" in cols:
         rules.append(("negative_price", F.coalesce(F.col("price_numeric") < 0, F.lit(False))))

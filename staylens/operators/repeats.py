@@ -21,8 +21,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from staylens.operators.ordered import null_safe_join
+
 #: Repeated keys that a task remembers.
 REMEMBERED = 4096
+#: Repeated keys that are sent to all tasks; more are joined by key.
+BROADCAST_KEYS = 100_000
 
 
 def _same(batch: pa.RecordBatch, places: list[int], rows: np.ndarray, key: list) -> np.ndarray:
@@ -62,25 +66,39 @@ class Seen:
         return known
 
 
+def flag_listed_repeats(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
+    """``flag_repeats`` for wide rows of narrow keys that seldom repeat: the keys alone are dealt and counted
+    (a job when the plan is built), and the rows look theirs up among the repeated ones. Rows are not dealt,
+    or once by the key if many keys repeat, and columns that nobody reads are never made."""
+    from staylens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    repeated = counts.where(F.col("__n") > 1).checkpoint(eager=True)
+    few = repeated.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    joined = null_safe_join(df, F.broadcast(repeated) if few else repeated, keys, "left")
+    return joined.select(*df.columns, F.col("__n").isNotNull().alias(flag))
+
+
 def flag_repeats(df: DataFrame, keys: Sequence[str], flag: str, remembered: int = REMEMBERED) -> DataFrame:
     """``df`` with boolean ``flag``: true on every row whose key occurs more than once."""
-    digest, spread = "__digest", "__spread"
-    names = [*df.columns, digest]
+    digest, spread = F.xxhash64(*(F.col(k) for k in keys)), "__spread"
+    names = df.columns
     places = [names.index(k) for k in keys]
-    with_digest = df.withColumn(digest, F.xxhash64(*(F.col(k) for k in keys)))
+    with_digest = df.withColumn("__digest", digest)
 
     def run(batches):
         seen, sent = Seen(places, remembered), 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            known = seen.known_copies(batch, batch.column(len(names) - 1).to_numpy(zero_copy_only=False))
+            known = seen.known_copies(batch, batch.column(len(names)).to_numpy(zero_copy_only=False))
             n = int(known.sum())
             out = np.zeros(batch.num_rows, np.int64)  # 0: home; others differ, so they are dealt evenly
             out[known] = np.arange(sent + 1, sent + n + 1)
             sent += n
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*names, spread])
-    schema = StructType([*with_digest.schema.fields, StructField(spread, LongType())])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out)], names=[*names, spread])
+    # the digest is found again after the exchange: eight random bytes a row don't pack
+    schema = StructType([*df.schema.fields, StructField(spread, LongType())])
     dealt = with_digest.mapInArrow(run, schema).repartition(digest, spread)
     copies = F.count(F.lit(1)).over(Window.partitionBy(digest, spread, *keys))
     return dealt.select(*df.columns, ((F.col(spread) > 0) | (copies > 1)).alias(flag))

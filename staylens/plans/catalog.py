@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from staylens.operators.bootstrap import bootstrap_mean_diff
 from staylens.operators.ordered import with_quantiles
-from staylens.plans.pipeline import Pipeline, shared
+from staylens.plans.pipeline import LISTINGS_ONLY, MASTER_NEEDS, Pipeline, shared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -920,12 +920,18 @@ MODEL_NUMERIC = ["accommodates", "bedrooms", "beds", "bathroom_count", "minimum_
 MODEL_CATEGORICAL = ["room_type", "neighbourhood_cleansed", "property_type_bucket"]
 
 
+FEATURE_NEEDS = (*MASTER_NEEDS, *FE.NUMERIC_FEATURES, *FE.BINARY_FEATURES, *FE.CATEGORICAL_FEATURES, "amenities")
+
+
 def _features(spark, sf):
-    """Model inputs, checkpointed (shared spark.checkpoint.dir): model fitting runs many
-    actions over them, and the lineage back to the raw scans is cut once."""
-    from staylens.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    return FE.listing_features(shared(spark, sf).master).checkpoint(eager=True)
+    """Model inputs, written once (to the shared spark.checkpoint.dir): model fitting runs many
+    actions over them, and the lineage back to the raw scans is cut. Listings without the columns
+    that no feature needs are kept; the master is made once, so it isn't."""
+    import uuid
+    from staylens.session import scratch_path
+    path = scratch_path(spark, f"features-{uuid.uuid4().hex}")
+    FE.listing_features(shared(spark, sf, FEATURE_NEEDS, LISTINGS_ONLY).master).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _split(spark, sf):

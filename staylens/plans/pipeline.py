@@ -22,28 +22,43 @@ from staylens.plans import reports
 _SHARED: dict = {}
 
 
-def shared(spark: SparkSession, sf_dir: str) -> "Pipeline":
-    """One lazy Pipeline per (session, data folder).
+#: What the listing master and the neighbourhood summary read of a listing, besides what their readers ask for.
+MASTER_NEEDS = ("id", "host_id", "neighbourhood_cleansed", "room_type", "price_numeric", "bedrooms", "host_since",
+                "host_is_superhost", "review_scores_rating", "availability_365", "calculated_host_listings_count",
+                "has_availability", "is_de_facto_inactive")
+#: What one-off queries keep: the narrow listings are read several times, the others once.
+LISTINGS_ONLY = ("listings",)
+
+
+def shared(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] | None = None,
+           kept: tuple[str, ...] | None = None) -> "Pipeline":
+    """One lazy Pipeline per (session, data folder), and per ``columns`` and ``kept`` where a query asks for
+    narrow tables (see ``Pipeline``).
 
     Its attributes are immutable lazy DataFrames, so queries in one session
     share the Python-side plan construction; every action still executes the
     full plan from the scans.
     """
-    key = (id(spark), sf_dir)
+    key = (id(spark), sf_dir, columns, kept)
     p = _SHARED.get(key)
     if p is None or p.spark is not spark:
-        p = Pipeline(spark, sf_dir, persist=True)
+        p = Pipeline(spark, sf_dir, persist=True, columns=columns, kept=kept)
         _SHARED[key] = p
     return p
 
 
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, snapshot: _dt.date = B.SNAPSHOT,
-                 currency_code: str = "GBP", persist: bool = False):
+                 currency_code: str = "GBP", persist: bool = False,
+                 columns: tuple[str, ...] | None = None, kept: tuple[str, ...] | None = None):
         """``persist``: keep the clean/rejected tables and the master in executor
         memory/disk once computed (the pipeline's materialisation boundaries), for
-        sessions that run many reports over one snapshot."""
+        sessions that run many reports over one snapshot. ``kept``: only these of them
+        (listings, calendar, reviews, master); a table that isn't kept is made of the columns
+        that its reader needs, each time it is read. ``columns``: of the clean listings only these."""
         self.persist = persist
+        self.columns = columns
+        self.kept = kept
         self.spark = spark
         self.sf_dir = sf_dir
         self.snapshot = snapshot
@@ -67,26 +82,30 @@ class Pipeline:
         return B.neighbourhood_geometry(self.spark, self.sf_dir)
 
     # -- clean + quarantine ------------------------------------------------
-    def _keep(self, df: DataFrame) -> DataFrame:
-        if self.persist:
+    def _keep(self, df: DataFrame, name: str = "") -> DataFrame:
+        if self.persist and (self.kept is None or name in self.kept):
             from pyspark import StorageLevel
             return df.persist(StorageLevel.MEMORY_AND_DISK)
         return df
 
-    def _quarantine(self, q: quality.Quarantined) -> quality.Quarantined:
-        return quality._split(self._keep(q.flagged)) if self.persist else q
+    def _quarantine(self, q: quality.Quarantined, name: str) -> quality.Quarantined:
+        return quality._split(self._keep(q.flagged, name)) if self.persist else q
 
     @cached_property
     def listings_q(self) -> quality.Quarantined:
-        return self._quarantine(quality.clean_listings(self.raw_listings, self.currency_code))
+        q = quality.clean_listings(self.raw_listings, self.currency_code)
+        if self.columns is not None:
+            wanted = {*self.columns, "rejection_reason"}
+            q = quality._split(q.flagged.select(*[c for c in q.flagged.columns if c in wanted]))
+        return self._quarantine(q, "listings")
 
     @cached_property
     def calendar_q(self) -> quality.Quarantined:
-        return self._quarantine(quality.clean_calendar(self.raw_calendar))
+        return self._quarantine(quality.clean_calendar(self.raw_calendar), "calendar")
 
     @cached_property
     def reviews_q(self) -> quality.Quarantined:
-        return self._quarantine(quality.clean_reviews(self.raw_reviews))
+        return self._quarantine(quality.clean_reviews(self.raw_reviews), "reviews")
 
     @property
     def listings(self) -> DataFrame:
@@ -122,7 +141,7 @@ class Pipeline:
     def master(self) -> DataFrame:
         return self._keep(summaries.listing_master(self.listings, self.review_summary,
                                                    self.calendar_summary, self.neighbourhood_summary,
-                                                   self.snapshot))
+                                                   self.snapshot), "master")
 
     @cached_property
     def listing_states(self) -> DataFrame:
