@@ -10,7 +10,8 @@ from staylens.operators import suites as SU
 from staylens.operators.validation import run_suites, suite_summary
 from staylens.plans import bindings as B
 from staylens.plans.catalog import query
-from staylens.plans.pipeline import Pipeline, shared
+from staylens.plans.pipeline import WAREHOUSE_NEEDS, Pipeline, shared
+from staylens.session import release
 
 
 def _suites(p: Pipeline) -> DataFrame:
@@ -69,14 +70,20 @@ def _(spark, sf):
     return SU.warehouse_rules(p.warehouse(), B.raw_neighbourhoods(spark, sf))
 
 
+def _faulty_rules(spark, sf) -> DataFrame:
+    """The rules read each fact table several times, and few columns of a listing."""
+    p = shared(spark, sf, WAREHOUSE_NEEDS, ("listings", "calendar", "reviews"))
+    rules = SU.warehouse_rules(faulty(p), B.raw_neighbourhoods(spark, sf))
+    release(spark)  # the dimensions are written by now
+    return rules
+
+
 @query("validation_rules_on_faults")
 def _(spark, sf):
-    p = shared(spark, sf)
-    return SU.warehouse_rules(faulty(p), B.raw_neighbourhoods(spark, sf))
+    return _faulty_rules(spark, sf)
 
 
 @query("validation_rule_categories")
 def _(spark, sf):
     """V13 over the faulty tables."""
-    p = shared(spark, sf)
-    return SU.category_summary(SU.warehouse_rules(faulty(p), B.raw_neighbourhoods(spark, sf)))
+    return SU.category_summary(_faulty_rules(spark, sf))
