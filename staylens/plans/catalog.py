@@ -1068,17 +1068,26 @@ def _segments(features, cols, log_cols):
     return stats, MO.assemble(MO.scaled(features, stats, cols, log_cols), [f"z_{c}" for c in cols])
 
 
+#: What the segmentations read of a listing; the master is made once or twice, so it isn't kept.
+SEGMENT_NEEDS = ((*MASTER_NEEDS, "accommodates", "minimum_nights", "latitude", "longitude", "amenities",
+                  "host_response_rate", "host_acceptance_rate"), LISTINGS_ONLY)
+
+
 def _listing_segments(spark, sf):
-    from staylens.session import ensure_checkpoint_dir
+    from staylens.session import ensure_checkpoint_dir, release
     ensure_checkpoint_dir(spark)
-    cf = FE.clustering_features(shared(spark, sf).master, LONDON_CENTRE).checkpoint(eager=True)
+    cf = FE.clustering_features(shared(spark, sf, *SEGMENT_NEEDS).master, LONDON_CENTRE).checkpoint(eager=True)
+    release(spark)
     return (cf, *_segments(cf, FE.CLUSTER_FEATURES, FE.CLUSTER_LOG))
 
 
 def _host_segments(spark, sf):
-    from staylens.session import ensure_checkpoint_dir
+    from staylens.session import ensure_checkpoint_dir, release
     ensure_checkpoint_dir(spark)
-    hf = FE.host_features(shared(spark, sf).master).checkpoint(eager=True)
+    # written before the medians are found, else the hosts are made twice
+    hosts = FE.host_features(shared(spark, sf, *SEGMENT_NEEDS).master, impute=False).checkpoint(eager=True)
+    hf = FE.median_impute(hosts, FE.HOST_FEATURES).checkpoint(eager=True)
+    release(spark)
     return (hf, *_segments(hf, FE.HOST_FEATURES, FE.HOST_LOG))
 
 
@@ -1146,7 +1155,7 @@ def _(spark, sf):
     cf, stats, vec = _listing_segments(spark, sf)
     model = _fitted(vec.cache(), range(2, 11))
     names = MO.cluster_profile(_labelled_by(model, vec)).select("cluster", "segment_name")
-    given = FE.clustering_inputs(shared(spark, sf).master, LONDON_CENTRE)
+    given = FE.clustering_inputs(shared(spark, sf, *SEGMENT_NEEDS).master, LONDON_CENTRE)
     out = MO.assign_clusters(model, stats, FE.column_medians(cf, FE.CLUSTER_FEATURES), given, FE.CLUSTER_FEATURES, FE.CLUSTER_LOG)
     return out.join(F.broadcast(names), "cluster").select("id", "cluster", "segment_name", "imputed_fields")
 
@@ -1156,7 +1165,7 @@ def _(spark, sf):
     hf, stats, vec = _host_segments(spark, sf)
     model = _fitted(vec.cache(), range(2, 9))
     names = MO.host_profile(_labelled_by(model, vec)).select("cluster", "cluster_name")
-    given = FE.host_features(shared(spark, sf).master, impute=False)
+    given = FE.host_features(shared(spark, sf, *SEGMENT_NEEDS).master, impute=False)
     out = MO.assign_clusters(model, stats, FE.column_medians(hf, FE.HOST_FEATURES), given, FE.HOST_FEATURES, FE.HOST_LOG)
     return out.join(F.broadcast(names), "cluster").select("host_id", "cluster", "cluster_name", "imputed_fields")
 
