@@ -57,13 +57,13 @@ def test_a_sweep_and_its_best_model_fit_once(spark, vec, monkeypatch):
 
 
 def test_equal_and_few_points(spark):
-    """Centres that no point has stay; equal centres take a point each once."""
+    """Of equal centres the first takes all points, then leaves the equal ones to the other; a centre without points stays."""
     same = spark.createDataFrame([(1.0, 2.0)] * 5 + [(3.0, 2.0)], "a double, b double")
     vec = MO.assemble(same, ["a", "b"])
     fits = MO.Fits(vec)
     fit = lloyd.Fit(3, 0, np.array([[1.0, 2.0], [1.0, 2.0], [9.0, 9.0]]))
     lloyd.run(fits.blocks, [fit], fits.count)
     fits.close()
-    assert fit.stay[:, 2].tolist() == [6.0, 0.0, 0.0]
+    assert fit.stay[:, 2].tolist() == [1.0, 5.0, 0.0]
     assert fit.centres[2].tolist() == [9.0, 9.0]
     assert MO.best_kmeans(vec, 2).summary.trainingCost == 0
